@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,22 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and minimum-covariance-determinant verdicts for all documents."""
+    from localpulse.llm import robust
+
+    stats = robust.verdicts(robust.counts(_table(spark, sf_dir, "documents")))
+    return stats.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op3_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of all documents along a Hilbert curve, row counts at most one apart."""
+    from localpulse.llm import hilbert
+
+    placed = hilbert.shard_documents(_table(spark, sf_dir, "documents"), 8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents into pair-grammar shards and read the ids back."""
     from localpulse.llm import repair
@@ -25,6 +42,34 @@ def op4_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_documents(shards)
 
 
+def op5_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in all documents by a positional inverted index."""
+    from localpulse.llm import positional
+
+    index = positional.build_index(_table(spark, sf_dir, "documents"))
+    return positional.contamination(index, _table(spark, sf_dir, "benchmark"))
+
+
+OP5_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g
+  FROM iw, LATERAL (SELECT unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i) WHERE len(w) > 0),
+gram AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM dw, (SELECT DISTINCT k FROM win) ks, LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i)),
+hit AS (SELECT gram.doc_id, gram.k, gram.i, win.item_id FROM gram JOIN win USING (k, g)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, i, k FROM hit)) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+
 def op6_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents by deficit round-robin over their sources."""
     from localpulse.llm import mixpack
@@ -34,10 +79,15 @@ def op6_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_robust_outliers": op2_robust_outliers,
+        "op3_hilbert": op3_hilbert,
         "op4_repair": op4_repair,
+        "op5_positional_index": op5_positional_index,
         "op6_mixture_packing": op6_mixture_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_positional_index": OP5_SQL,
+    }
