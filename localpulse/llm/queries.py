@@ -77,6 +77,28 @@ def op6_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixpack.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1)
 
 
+def op8_count_vector_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 4-word shingles, Jaccard 0.85."""
+    from localpulse.llm import rtree
+
+    return rtree.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+OP8_SQL = r"""
+WITH RECURSIVE dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM dw, LATERAL (SELECT unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT dw.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.component_id
+FROM dw LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) r USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_robust_outliers": op2_robust_outliers,
@@ -84,10 +106,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_repair": op4_repair,
         "op5_positional_index": op5_positional_index,
         "op6_mixture_packing": op6_mixture_packing,
+        "op8_count_vector_rtree": op8_count_vector_rtree,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_positional_index": OP5_SQL,
+        "op8_count_vector_rtree": OP8_SQL,
     }
