@@ -18,6 +18,45 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Format all conversations, and one that speaks a template's control strings, and read them back."""
+    from localpulse.llm import replytree
+
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], turns.schema)
+    done = replytree.format_branches(replytree.turns_as_tree(turns.unionByName(odd)))
+    back = done.select("tree", "formatted", replytree.parsed_turns(F.col("formatted")).alias("turns"), replytree.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    return back.select(
+        F.col("tree").alias("conv_id"),
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+def _op1_sql() -> str:
+    from localpulse.llm.replytree import CONTROL, END, MIDDLE, START
+
+    def escaped(c: str) -> str:
+        out = f"replace({c}, '\\', '\\\\')"
+        for s in CONTROL:
+            out = f"replace({out}, '{s}', '{s[0]}\\{s[1:]}')"
+        return out
+
+    frame = len(START + MIDDLE + END) + 1
+    return f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({frame} + length({escaped("role")}) + length({escaped("text")})) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id"""
+
+
 def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and minimum-covariance-determinant verdicts for all documents."""
     from localpulse.llm import robust
@@ -77,6 +116,28 @@ def op6_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixpack.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1)
 
 
+def op7_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents that stand on eight sites or more are removed but for their first occurrence."""
+    from localpulse.llm import linespread
+
+    out = linespread.remove_boilerplate(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), min_sites=8)
+    text = F.coalesce("text", F.lit(""))
+    return out.select("doc_id", "n_lines", "n_removed", F.char_length(text).cast("bigint").alias("kept_chars"), F.md5(text).alias("kept_md5"))
+
+
+OP7_SQL = r"""
+WITH l AS (
+  SELECT doc_id, coalesce(source, '') AS site, p - 1 AS pos, parts[p] AS line
+  FROM (SELECT doc_id, source, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL), LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS p)),
+w AS (SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS worded FROM l),
+bad AS (SELECT line, min((doc_id, pos)) AS first FROM w WHERE worded GROUP BY line HAVING count(DISTINCT site) >= 8),
+m AS (SELECT w.*, bad.line IS NOT NULL AND (w.doc_id, w.pos) <> bad.first AS gone FROM w LEFT JOIN bad ON w.worded AND w.line = bad.line),
+d AS (SELECT doc_id, count(*) FILTER (worded) AS n_lines, count(*) FILTER (gone) AS n_removed, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS t FROM m GROUP BY doc_id)
+SELECT documents.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, length(coalesce(t, '')) AS kept_chars, md5(coalesce(t, '')) AS kept_md5
+FROM documents LEFT JOIN d USING (doc_id)
+"""
+
+
 def op8_count_vector_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 4-word shingles, Jaccard 0.85."""
     from localpulse.llm import rtree
@@ -101,17 +162,21 @@ FROM dw LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_reply_trees": op1_reply_trees,
         "op2_robust_outliers": op2_robust_outliers,
         "op3_hilbert": op3_hilbert,
         "op4_repair": op4_repair,
         "op5_positional_index": op5_positional_index,
         "op6_mixture_packing": op6_mixture_packing,
+        "op7_site_spread": op7_site_spread,
         "op8_count_vector_rtree": op8_count_vector_rtree,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_reply_trees": _op1_sql(),
         "op5_positional_index": OP5_SQL,
+        "op7_site_spread": OP7_SQL,
         "op8_count_vector_rtree": OP8_SQL,
     }
