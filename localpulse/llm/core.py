@@ -40,11 +40,16 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the scratch tables written so far; only for callers that have stored what they read from them."""
-    while _SCRATCH:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def scratch_since(mark: int) -> list[str]:
+    """Scratch tables written since there were ``mark`` of them; ``scratch_since(0)`` lists all."""
+    return _SCRATCH[mark:]
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables; only for callers that have stored what they read from them."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -160,6 +160,20 @@ FROM dw LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component
 """
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned outside the fold crc32(doc_id) mod 5 = 0."""
+    from localpulse.llm import langid
+
+    return langid.identify(_table(spark, sf_dir, "documents"), folds=5, fold=0)
+
+
+def op10_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned outside the fold crc32(doc_id) mod 4 = 2."""
+    from localpulse.llm import toxicity
+
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), folds=4, fold=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_reply_trees": op1_reply_trees,
@@ -170,6 +184,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_mixture_packing": op6_mixture_packing,
         "op7_site_spread": op7_site_spread,
         "op8_count_vector_rtree": op8_count_vector_rtree,
+        "op9_language": op9_language,
+        "op10_pattern_grammar": op10_pattern_grammar,
     }
 
 
