@@ -77,7 +77,10 @@ class Rule:
         return differ + 1 + spare, spare
 
 
-SKETCH = f"doc_id bigint, n bigint, h1 bigint, h2 bigint, point array<int>, blocks binary"
+#: Least and most fine groups of a set, of whose counts the parities are kept; a power of two near the set's size.
+FINE = (256, 4096)
+
+SKETCH = "doc_id bigint, n bigint, h1 bigint, h2 bigint, point array<int>, parity binary, blocks binary"
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -132,6 +135,28 @@ def block_keys(h: np.ndarray, row: np.ndarray, n: np.ndarray, rule: Rule) -> tup
     return key[order], owner[order]
 
 
+def parities(h: np.ndarray, row: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity bits of the fine group counts of all rows, packed, and the bytes of each row."""
+    groups = np.clip(2 ** np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64), *FINE)
+    base = np.cumsum(groups) - groups
+    slot = base[row] + (mix64(h ^ np.uint64(0x1F83D9ABFB41BD6B)) & (groups[row] - 1).astype(np.uint64)).astype(np.int64)
+    return np.packbits((np.bincount(slot, minlength=int(groups.sum())) & 1).astype(np.uint8)), groups // 8
+
+
+def folded(bits: list[bytes]) -> np.ndarray:
+    """Parities at the least number of groups among the rows: halves of a longer row are added up."""
+    size = min(map(len, bits))
+    out = np.empty((len(bits), size), np.uint8)
+    for i, b in enumerate(bits):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(b, np.uint8).reshape(-1, size), 0)
+    return out.view(np.uint64)
+
+
+def _binary_column(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())]).cast(pa.binary())
+
+
 def _sum_by_row(values: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     out = np.zeros(rows, np.uint64)
     np.add.at(out, row, values)
@@ -155,10 +180,9 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
                 h1, h2 = (_sum_by_row(mix64(h ^ np.uint64(s)), row, rows).view(np.int64) for s in (0x2545F4914F6CDD1D, 0x27D4EB2F165667C5))
                 point = np.bincount(row * GROUPS + (mix64(h) >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=rows * GROUPS).astype(np.int32)
                 key, owner = block_keys(h, row, n, rule)
-                ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=rows))]) * 8
-                blocks = pa.Array.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(key.tobytes())]).cast(pa.binary())
+                blocks = _binary_column(key, 8 * np.bincount(owner, minlength=rows))
                 points = pa.ListArray.from_arrays(pa.array(np.arange(0, rows * GROUPS + 1, GROUPS, dtype=np.int32)), pa.array(point))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, rows), pa.array(n), pa.array(h1), pa.array(h2), points, blocks], ["doc_id", "n", "h1", "h2", "point", "blocks"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, rows), pa.array(n), pa.array(h1), pa.array(h2), points, _binary_column(*parities(h, row, n)), blocks], ["doc_id", "n", "h1", "h2", "point", "parity", "blocks"])
 
     return docs.mapInArrow(run, SKETCH)
 
@@ -218,47 +242,60 @@ def _may_link(n_a, n_b, bound, rule: Rule):
     return bound * (100 + rule.percent) >= (n_a + n_b) * rule.percent
 
 
+def _may_link_fine(n_a, n_b, differ, rule: Rule):
+    """The same, from a lower bound of how many shingles differ."""
+    return differ * (100 + rule.percent) <= (n_a + n_b) * (100 - rule.percent)
+
+
 class PackedTree:
-    """One level of R-tree pages over points; enough for a block, whose points are sorted by size before they are packed."""
+    """One level of R-tree pages over points; enough for a block, whose points are sorted by size before they are packed.
+
+    The sum of coordinate minima is half of what two sizes leave of the points' L1
+    distance. In the fine groups, of which only parities are kept, that distance is
+    at least the number of unequal parities, which bounds the minima once more.
+    """
 
-    def __init__(self, n: np.ndarray, points: np.ndarray) -> None:
+    def __init__(self, n: np.ndarray, points: np.ndarray, bits: list[bytes]) -> None:
         self.order = np.lexsort((points[:, 0], n))
-        self.n, self.points = n[self.order], points[self.order]
+        self.n, self.points, self.bits = n[self.order], points[self.order], folded(bits)[self.order]
         self.heads = np.arange(0, len(n), PAGE)
         self.low = np.minimum.reduceat(self.n, self.heads)
         self.high = np.maximum.reduceat(self.points, self.heads)
 
     def pairs(self, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of positions (of the input) that the bound leaves."""
+        """Pairs of positions (of the input) that the bounds leave."""
         for p, head in enumerate(self.heads.tolist()):
             bound = np.minimum(self.high[p], self.high[p:]).sum(1)
             rest = np.flatnonzero(_may_link(self.low[p], self.low[p:], bound, rule)) + p
             own = np.arange(head, min(head + PAGE, len(self.n)))
-            for start in range(0, len(rest), 256):
-                other = (self.heads[rest[start : start + 256], None] + np.arange(PAGE)).ravel()
+            for start in range(0, len(rest), 64):
+                other = (self.heads[rest[start : start + 64], None] + np.arange(PAGE)).ravel()
                 other = other[other < len(self.n)]
                 bound = np.minimum(self.points[own][:, None], self.points[other][None]).sum(2)
                 x, y = np.nonzero(_may_link(self.n[own][:, None], self.n[other][None], bound, rule) & (own[:, None] < other[None]))
-                if len(x):
-                    yield self.order[own[x]], self.order[other[y]]
+                x, y = own[x], other[y]
+                differ = np.bitwise_count(self.bits[x] ^ self.bits[y]).sum(1, dtype=np.int64)
+                fine = _may_link_fine(self.n[x], self.n[y], differ, rule)
+                if fine.any():
+                    yield self.order[x[fine]], self.order[y[fine]]
 
 
 def block_pairs(members: DataFrame, rule: Rule) -> DataFrame:
     """Pairs ``a, b`` of one block and different components that the R-tree bound leaves.
 
-    ``members``: ``key, node, component, n, point``.
+    ``members``: ``key, node, component, n, point, parity``.
     """
-    columns = ["key", "node", "component", "n", "point"]
+    columns = ["key", "node", "component", "n", "point", "parity"]
     sorted_ = members.select(*columns).repartition("key").sortWithinPartitions("key")
 
-    def search(node, comp, n, points):
-        for a, b in PackedTree(n, points).pairs(rule):
+    def search(node, comp, n, points, bits):
+        for a, b in PackedTree(n, points, bits.tolist()).pairs(rule):
             cross = comp[a] != comp[b]
             if cross.any():
                 yield np.minimum(node[a[cross]], node[b[cross]]), np.maximum(node[a[cross]], node[b[cross]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 4 + [np.zeros((0, GROUPS), np.int64)]
+        held = [np.zeros(0, np.int64)] * 4 + [np.zeros((0, GROUPS), np.int64), np.zeros(0, object)]
 
         def out(found):
             if found:
@@ -266,18 +303,16 @@ def block_pairs(members: DataFrame, rule: Rule) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         def blocks(values, stop):
-            key, node, comp, n, points = (v[:stop] for v in values)
+            key, node, comp, n, points, bits = (v[:stop] for v in values)
             heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if stop else np.zeros(0, np.int64)
             sizes = np.diff(np.append(heads, stop))
             found = []
             two = heads[sizes == 2]
             bound = np.minimum(points[two], points[two + 1]).sum(1)
-            ok = _may_link(n[two], n[two + 1], bound, rule) & (comp[two] != comp[two + 1])
-            if ok.any():
-                x, y = node[two[ok]], node[two[ok] + 1]
-                found.append((np.minimum(x, y), np.maximum(x, y)))
-            for h, s in zip(heads[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-                for pair in search(node[h : h + s], comp[h : h + s], n[h : h + s], points[h : h + s]):
+            two = two[_may_link(n[two], n[two + 1], bound, rule) & (comp[two] != comp[two + 1])]
+            for h in [*two.tolist(), *heads[sizes > 2].tolist()]:
+                end = int(np.searchsorted(key, key[h], "right"))
+                for pair in search(node[h:end], comp[h:end], n[h:end], points[h:end], bits[h:end]):
                     found.append(pair)
                     if sum(len(a) for a, _ in found) > 1 << 16:
                         yield from out(found)
@@ -287,6 +322,7 @@ def block_pairs(members: DataFrame, rule: Rule) -> DataFrame:
         for batch in batches:
             new = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(4)]
             new.append(batch.column(4).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, GROUPS))
+            new.append(np.array([*batch.column(5).to_pylist(), None], object)[:-1])
             held = [np.concatenate(x) for x in zip(held, new, strict=True)]
             key = held[0]
             stop = int(np.searchsorted(key, key[-1])) if len(key) else 0
@@ -309,11 +345,11 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_i
     shared = Window.partitionBy("key")
     members = exploded_blocks(reps).withColumns({"hub": F.min("node").over(shared), "size": F.count("*").over(shared)}).where("size > 1").drop("size")
     members = materialize(members, "blocks")
-    points = materialize(reps.select(F.col("doc_id").alias("node"), "n", "point").join(members.select("node").distinct(), "node", "left_semi"), "points")
+    points = materialize(reps.select(F.col("doc_id").alias("node"), "n", "point", "parity").join(members.select("node").distinct(), "node", "left_semi"), "points")
 
     # Each representative against the hub it shares most blocks with.
     hubs = members.where("hub < node").groupBy("node", "hub").count().groupBy("node").agg(F.max_by("hub", F.struct("count", -F.col("hub"))).alias("hub"))
-    p = hubs.join(points, "node").join(points.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("point").alias("hub_point")), "hub")
+    p = hubs.join(points, "node").drop("parity").join(points.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("point").alias("hub_point")), "hub")
     bound = F.aggregate(F.zip_with("point", "hub_point", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
     links = verified(p.where(_may_link(F.col("n"), F.col("hub_n"), bound, rule)).select(F.col("hub").alias("a"), F.col("node").alias("b")), docs, rule)
     found = materialize(components(links), "components")
@@ -336,5 +372,5 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_i
 def keep_one(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with only the least id of each group of near-duplicates."""
     groups = near_duplicates(docs, words=words, percent=percent, doc_id=doc_id, text=text)
-    gone = groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(materialize(gone, "near-duplicates"), F.col(doc_id) == F.col("_gone"), "left_anti")
+    gone = groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("__lp_gone")).distinct()
+    return docs.join(materialize(gone, "near-duplicates"), F.col(doc_id) == F.col("__lp_gone"), "left_anti")
