@@ -29,21 +29,21 @@ _WORD = r"[^\x20\x09-\x0D]"
 
 
 def _keys(doc_id: str, text: str) -> list[Column]:
-    return [F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63))).alias("_id"), F.xxhash64(F.col(text)).alias("_text")]
+    return [F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63))).alias("__lp_id"), F.xxhash64(F.col(text)).alias("__lp_text")]
 
 
 def line_table(docs: DataFrame, doc_id: str, text: str, site: str) -> DataFrame:
-    """Stored ``_id, _text, site, pos, h1, h2`` of every line with a word."""
+    """Stored ``__lp_id, __lp_text, site, pos, h1, h2`` of every line with a word."""
     lines = docs.select(*_keys(doc_id, text), F.coalesce(F.col(site).cast("string"), F.lit("\x00")).alias("site"), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line"))
     lines = lines.where(F.col("line").rlike(_WORD))
-    return materialize(lines.select("_id", "_text", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")), "lines")
+    return materialize(lines.select("__lp_id", "__lp_text", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")), "lines")
 
 
 def widespread(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """``h1, h2, first`` of the lines that stand on at least ``min_sites`` sites."""
     spread = lines.groupBy("h1", "h2").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(SKETCH_BITS))).alias("sites"),
-        F.min(F.struct("_id", "pos")).alias("first"),
+        F.min(F.struct("__lp_id", "pos")).alias("first"),
     )
     spread = materialize(spread.where(F.col("sites") >= min_sites * (1 - BAND)), "spread")
     near = spread.where(F.col("sites") < min_sites * (1 + BAND))
@@ -57,14 +57,14 @@ def remove_boilerplate(docs: DataFrame, *, min_sites: int = MIN_SITES, doc_id: s
     """``docs`` with ``text`` cut, and ``n_lines`` (lines with a word before) and ``n_removed``."""
     lines = line_table(docs, doc_id, text, site)
     bad = materialize(widespread(lines, min_sites), "boilerplate")
-    gone = lines.join(bad, ["h1", "h2"]).where(F.struct("_id", "pos") != F.col("first"))
-    gone = gone.groupBy("_id", "_text").agg(F.array_sort(F.collect_set("pos")).alias("_gone"))
-    keyed = docs.withColumns(dict(zip(("_id", "_text"), _keys(doc_id, text), strict=True)))
-    out = keyed.join(gone, ["_id", "_text"], "left")
+    gone = lines.join(bad, ["h1", "h2"]).where(F.struct("__lp_id", "pos") != F.col("first"))
+    gone = gone.groupBy("__lp_id", "__lp_text").agg(F.array_sort(F.collect_set("pos")).alias("__lp_gone"))
+    keyed = docs.withColumns(dict(zip(("__lp_id", "__lp_text"), _keys(doc_id, text), strict=True)))
+    out = keyed.join(gone, ["__lp_id", "__lp_text"], "left")
     parts = F.split(F.col(text), "\n")
-    kept = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_gone", i)), "\n"))
+    kept = F.when(F.col("__lp_gone").isNull(), F.col(text)).otherwise(F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("__lp_gone", i)), "\n"))
     n_lines = F.coalesce(F.size(F.filter(parts, lambda x: x.rlike(_WORD))), F.lit(0)).cast("bigint")
     n_lines = F.when(F.col(text).isNull(), F.lit(0).cast("bigint")).otherwise(n_lines)
-    n_gone = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("bigint")
-    out = out.withColumns({"_kept": kept, "n_lines": n_lines, "n_removed": n_gone})
-    return out.withColumn(text, F.col("_kept")).drop("_id", "_text", "_gone", "_kept")
+    n_gone = F.when(F.col("__lp_gone").isNull(), F.lit(0)).otherwise(F.size("__lp_gone")).cast("bigint")
+    out = out.withColumns({"__lp_kept": kept, "n_lines": n_lines, "n_removed": n_gone})
+    return out.withColumn(text, F.col("__lp_kept")).drop("__lp_id", "__lp_text", "__lp_gone", "__lp_kept")

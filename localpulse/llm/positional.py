@@ -213,5 +213,5 @@ def contamination(index: DataFrame, benchmark: DataFrame, *, window: int = WINDO
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the documents in which a window of the benchmark stands. Documents with a null id are matched like any other."""
     found = contamination(build_index(docs, doc_id=doc_id, text=text), benchmark, window=window)
-    bad = materialize(found.where("contaminated").select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col("_bad")), "left_anti")
+    bad = materialize(found.where("contaminated").select(F.col("doc_id").alias("__lp_bad")).distinct(), "contaminated")
+    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col("__lp_bad")), "left_anti")

@@ -325,5 +325,5 @@ def remove_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``docs`` without those predicted toxic; rows of one id share the higher score. Rows with a null id are scored like any other."""
     found = toxicity(docs, labels, **options)
     doc_id = options.get("doc_id", "doc_id")
-    bad = materialize(found.where("predicted = 1").select(F.col("doc_id").alias("_bad")).distinct(), "toxic")
-    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col("_bad")), "left_anti")
+    bad = materialize(found.where("predicted = 1").select(F.col("doc_id").alias("__lp_bad")).distinct(), "toxic")
+    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col("__lp_bad")), "left_anti")
