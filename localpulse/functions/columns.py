@@ -75,10 +75,11 @@ def location_string(*parts: Column) -> Column:
 
 
 def expected_states(city: Column, location: Column) -> Column:
-    """Distinct trimmed, upper-case tokens after the first comma of a market's city and location."""
-    tokens = F.concat(*(F.slice(F.split(F.coalesce(c, F.lit("")), ","), 2, 10) for c in (city, location)))
-    clean = F.transform(tokens, lambda t: F.upper(F.trim(t)))
-    return F.array_distinct(F.filter(clean, lambda t: t != ""))
+    """State tokens in small letters: what follows a city's last comma, and the second part of a location."""
+    after = F.when(city.contains(","), F.split_part(city, F.lit(","), F.lit(-1)))
+    parts = F.filter(F.transform(F.split(F.coalesce(location, F.lit("")), ","), lambda t: F.trim(t)), lambda t: t != "")
+    both = F.transform(F.array_compact(F.array(after, F.try_element_at(parts, F.lit(2)))), lambda t: F.lower(F.trim(t)))
+    return F.array_distinct(F.filter(both, lambda t: t != ""))
 
 
 def query_text(entity: Column, market: Column) -> Column:
@@ -105,9 +106,13 @@ def suffixes(host: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
 
 
-def word_pattern(alias: str) -> str:
+def word_pattern(alias: Column) -> Column:
     """Pattern for ``alias`` between word boundaries, any case, Unicode words."""
-    return r"(?iU)(?<!\w)\Q" + alias.replace("\\E", "") + r"\E(?!\w)"
+    return F.concat(F.lit(r"(?iU)(?<!\w)\Q"), F.replace(alias, F.lit("\\E"), F.lit("")), F.lit(r"\E(?!\w)"))
+
+
+def mentioned(text: Column, alias: Column) -> Column:
+    return F.coalesce((F.coalesce(alias, F.lit("")) != "") & F.regexp_like(text, word_pattern(alias)), F.lit(False))
 
 
 # --- dates ------------------------------------------------------------------

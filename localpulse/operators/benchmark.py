@@ -7,20 +7,21 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CITATION_BOTS = ("OAI-SearchBot", "ChatGPT-User", "PerplexityBot", "ClaudeBot", "Bingbot")
+#: Crawlers that fetch pages to cite them: fixed values.
+CITATION_BOTS = ("OAI-SearchBot", "PerplexityBot", "Bingbot")
 
 
 def rollup_pages(pages: DataFrame) -> DataFrame:
     """Per host: pages, mean words, what all pages and what any page has, and the home page's own facts."""
-    every = lambda c: F.bool_and(F.coalesce(F.col(c), F.lit(0)) > 0)
+    every = lambda c, low, high=10**9: F.bool_and(F.coalesce(F.col(c), F.lit(0)).between(low, high))
     some = lambda c: F.bool_or(F.coalesce(F.col(c), F.lit(False)))
     return pages.groupBy("host").agg(
         F.count("*").alias("pages_n"),
-        F.avg("word_count").alias("avg_words"),
-        every("title_length").alias("all_titled"),
-        every("meta_description_length").alias("all_desc"),
-        every("h1_count").alias("all_h1"),
-        F.bool_or(F.col("h2_count") >= 2).alias("multi_h2"),
+        F.bround(F.avg("word_count")).alias("avg_words"),
+        every("title_length", 10, 65).alias("all_titled"),
+        every("meta_description_length", 50, 170).alias("all_desc"),
+        every("h1_count", 1).alias("all_h1"),
+        every("h2_count", 2).alias("multi_h2"),
         some("has_phone").alias("has_phone"),
         some("local_business").alias("local_business"),
         some("faq").alias("faq"),

@@ -95,12 +95,12 @@ def cell_results(pages: DataFrame) -> DataFrame:
     return pages.groupBy("cell_id", "bucket").agg(F.sum("n_results").alias("found"), F.bool_or(F.col("more") | (F.col("n_results") >= 60)).alias("saturated"))
 
 
-def sweep_estimate(cells: DataFrame, queries: int, rate: float, page_factor: float = 2.0) -> DataFrame:
+def sweep_estimate(cells: DataFrame, queries: int, rate: float) -> DataFrame:
     """Requests and cost in the low, expected and worst case; requests are floor(v + 0.999)."""
     p = F.col("population")
     total = cells.agg(F.count("*").alias("low"), F.sum(C.expected_subdivision(p)).alias("expected"), F.sum(C.high_subdivision(p)).alias("high"))
     up = lambda c, f: F.floor(F.coalesce(F.col(c), F.lit(0)) * float(queries * f) + 0.999).cast("bigint")
-    req = total.select(up("low", 1.0).alias("low_requests"), up("expected", page_factor).alias("expected_requests"), up("high", 3.0).alias("high_requests"))
+    req = total.select(up("low", K.PAGES[0]).alias("low_requests"), up("expected", K.PAGES[1]).alias("expected_requests"), up("high", K.PAGES[2]).alias("high_requests"))
     return req.withColumns({c.replace("requests", "usd"): F.col(c) * rate / 1000 for c in req.columns})
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from localpulse import config as K
 from localpulse.functions import columns as C
 
 PIN = ["place_id", "row", "col", "keyword"]
@@ -117,7 +118,8 @@ def pin_grid(centers: DataFrame, rows: int, cols: int, spacing_km: float) -> Dat
     """Pins around each centre (``place_id, lat, lng``); (0, 0) is the north-west corner; 6 decimals."""
     if rows < 1 or cols < 1 or spacing_km <= 0:
         raise ValueError("a grid needs rows, columns and spacing above 0")
-    dlat, dlng = C.degrees_of(F.lit(spacing_km * 1000.0), F.col("lat"))
+    dlat = F.lit(spacing_km / K.KM_PER_DEGREE_LAT)
+    dlng = F.lit(spacing_km) / (F.lit(K.KM_PER_DEGREE_LNG) * F.cos(F.radians("lat")))
     grid = centers.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))).withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(cols - 1))))
     north, east = F.lit((rows - 1) / 2.0) - F.col("row"), F.col("col") - F.lit((cols - 1) / 2.0)
     return grid.select("place_id", "row", "col", F.round(F.col("lat") + north * dlat, 6).alias("lat"), F.round(F.col("lng") + east * dlng, 6).alias("lng"))

@@ -47,7 +47,12 @@ def profile_order() -> list[Column]:
 
 
 def pitch_order() -> list[Column]:
-    return [F.desc_nulls_last("rating"), F.desc("complaint_count"), F.asc(F.coalesce("review_count", F.lit(0))), F.col("place_id")]
+    return [F.desc(F.coalesce("rating", F.lit(0))), F.desc(F.coalesce("complaint_count", F.lit(0))), F.asc(F.coalesce("rating_votes", F.lit(0))), F.col("place_id")]
+
+
+def shortlist_order() -> list[Column]:
+    """Weakest site first, then the busiest."""
+    return [F.desc(F.coalesce("readiness_score", F.lit(-1))), F.desc(F.coalesce("review_count", F.lit(0))), F.col("place_id")]
 
 
 def state_totals(leads: DataFrame) -> DataFrame:
@@ -55,7 +60,7 @@ def state_totals(leads: DataFrame) -> DataFrame:
 
 
 def shortlist(biz: DataFrame, enrichment: DataFrame, measured: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Leads worth measuring and not yet measured; explicit keys override the opportunity filter."""
+    """Leads with a live, scored site that are not yet measured; explicit keys override that filter. Rank them by ``shortlist_order``."""
     joined = biz.join(enrichment, "place_id", "left").join(measured.select("place_id"), "place_id", "left_anti")
-    good = C.has_gap(F.col("no_website"), F.col("site_status"), F.col("readiness_score"))
+    good = (F.coalesce("website", F.lit("")) != "") & (F.col("no_website") == 0) & F.col("readiness_score").isNotNull()
     return joined.where(F.col("place_id").isin(*keys) if keys else good)

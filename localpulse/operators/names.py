@@ -31,7 +31,7 @@ def mention_join(texts: DataFrame, aliases: DataFrame, limit: int = 10_000) -> D
     Aliases are one broadcast pattern table (the configured entities; more than
     ``limit`` rows are matched by their first word instead, as an equi-join).
     """
-    pattern = F.concat(F.lit(r"(?iU)(?<!\w)\Q"), F.replace("alias", F.lit("\\E"), F.lit("")), F.lit(r"\E(?!\w)"))
+    pattern = C.word_pattern(F.col("alias"))
     if aliases.count() <= limit:
         hit = texts.join(F.broadcast(aliases.select("entity", pattern.alias("_p"))), F.expr("text rlike _p"))
     else:
@@ -56,12 +56,21 @@ def pick_audit(entities: DataFrame, audits: DataFrame) -> DataFrame:
 
 
 def pack_rank(items: DataFrame, entities: DataFrame, top: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Each entity's rank in each keyword's pack (domain first, title only without one), and the leading items."""
-    by_domain = items.where("domain IS NOT NULL").join(entities.select("entity", "domain"), "domain").select("keyword", "entity", "position")
-    by_title = items.where("domain IS NULL").join(F.broadcast(entities.select("entity", "name")), F.expr("lower(title) = lower(name)")).select("keyword", "entity", "position")
-    ranks = by_domain.unionByName(by_title).groupBy("keyword", "entity").agg(F.min("position").alias("rank"))
-    w = Window.partitionBy("keyword").orderBy("position")
-    return ranks, items.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= top).drop("_n")
+    """Each entity's rank in each keyword's map pack, and the leading items.
+
+    ``items``: ``keyword, seq, item_id, rank_absolute, rank_group, domain, title``;
+    rows without an id are ads. An item is matched by its domain (or what that lies
+    under), and by an alias in its title only if it has no domain.
+    """
+    w = Window.partitionBy("keyword").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pack = items.where("item_id IS NOT NULL").withColumn("position", F.count("*").over(w).cast("int"))
+    rank = F.coalesce(F.nullif("rank_absolute", F.lit(0)), F.nullif("rank_group", F.lit(0)), F.col("position"))
+    pack = pack.withColumns({"rank": rank, "domain": F.nullif(C.norm_domain(F.col("domain")), F.lit(""))})
+    own = entities.select("entity", F.col("domain").alias("suffix"))
+    by_domain = pack.where("domain IS NOT NULL").withColumn("suffix", F.explode(C.suffixes(F.col("domain")))).join(own, "suffix").select("keyword", "entity", "position", "rank")
+    titles = mention_join(pack.where("domain IS NULL").select(F.struct("keyword", "position", "rank").alias("key"), F.col("title").alias("text")), entities.select("entity", F.col("name").alias("alias")))
+    found = by_domain.unionByName(titles.select("key.keyword", "entity", "key.position", "key.rank"))
+    return found.groupBy("keyword", "entity").agg(F.min_by("rank", "position").alias("rank")), pack.where(F.col("position") <= top).select("keyword", "position", "title", "domain")
 
 
 def organic_rank(items: DataFrame, entities: DataFrame) -> DataFrame:
@@ -71,10 +80,14 @@ def organic_rank(items: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def resolve_listing(entities: DataFrame, candidates: DataFrame) -> DataFrame:
-    """The first valid candidate of each entity: names contain one another (the reverse way with two words at least), state agrees if shown."""
-    n, c = F.lower("name"), F.lower("candidate")
-    named = c.contains(n) | (n.contains(c) & (F.size(F.split(F.trim("candidate"), r"\s+")) >= 2))
-    place = F.col("candidate_state").isNull() | (F.col("candidate_state") == "") | (F.col("candidate_state") == F.col("state"))
+    """The first valid candidate of each entity (``entity, name, states``; ``entity, position, candidate, address``).
+
+    One name stands in the other between word boundaries (the candidate in the entity's only with two words at least), and a shown address names an expected state.
+    """
+    two = F.size(F.split(F.trim("candidate"), r"\s+")) >= 2
+    named = C.mentioned(F.col("candidate"), F.col("name")) | (two & C.mentioned(F.col("name"), F.col("candidate")))
+    hidden = F.coalesce("address", F.lit("")) == ""
+    place = hidden | (F.size("states") == 0) | F.exists("states", lambda x: C.mentioned(F.col("address"), x))
     rows = entities.join(candidates, "entity", "left").withColumn("valid", F.coalesce(named & place, F.lit(False)))
     out = rows.groupBy("entity").agg(F.count("candidate").alias("n"), F.min_by("candidate", F.when(F.col("valid"), F.col("position"))).alias("matched"))
     status = F.when(F.col("matched").isNotNull(), "matched").when(F.col("n") > 0, "mismatch").otherwise("not_found")

@@ -116,12 +116,13 @@ def compare_sources(stored: DataFrame, live: DataFrame) -> DataFrame:
     """Both sources' rating, votes and hours side by side with what agrees."""
     s, v = stored.alias("s"), live.alias("v")
     gap = F.abs(F.col("s.votes") - F.col("v.votes"))
+    sure = lambda c: F.coalesce(c, F.lit(False))
     return s.join(v, "place_id").select(
         "place_id",
-        (F.abs(F.col("s.rating") - F.col("v.rating")) <= 0.11).alias("rating_ok"),
-        (gap <= F.greatest(F.lit(2.0), F.col("v.votes") * 0.05)).alias("votes_ok"),
-        (F.col("s.has_hours") == F.col("v.has_hours")).alias("hours_ok"),
-        (gap > F.greatest(F.lit(5.0), F.col("v.votes") * 0.2)).alias("votes_far"),
+        sure(F.abs(F.col("s.rating") - F.col("v.rating")) <= 0.11).alias("rating_ok"),
+        sure(gap <= F.greatest(F.lit(2.0), F.col("v.votes") * 0.05)).alias("votes_ok"),
+        F.col("s.has_hours").eqNullSafe(F.col("v.has_hours")).alias("hours_ok"),
+        sure(gap > F.greatest(F.lit(5.0), F.col("v.votes") * 0.2)).alias("votes_far"),
     )
 
 

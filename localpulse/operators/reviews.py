@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-COMPLAINTS = ("no_show", "communication", "quality", "pricing", "damage", "delay", "professionalism", "other")
+#: Complaint types that a reply may name: fixed values.
+COMPLAINTS = ("no_callback", "unresponsive", "no_show", "no_followthrough")
 REPLY = "array<struct<place_id:string,name:string,complaint_count:int,complaint_types:array<string>,evidence:array<string>>>"
 
 
@@ -38,13 +39,13 @@ def reply_array(reply: Column) -> Column:
 
 
 def normalise_flags(flags: Column) -> Column:
-    """Known complaint types only, two quotes of 160 characters at most, counts not under the types named; entries without a key go."""
+    """Known complaint types only, two quotes of 160 characters at most, a count under 1 becomes the number of quotes (at least 1); entries without a key go."""
     none = F.array().cast("array<string>")
 
     def clean(x: Column) -> Column:
-        types = F.array_distinct(F.filter(F.coalesce(x["complaint_types"], none), lambda t: t.isin(*COMPLAINTS)))
+        types = F.filter(F.coalesce(x["complaint_types"], none), lambda t: t.isin(*COMPLAINTS))
         quotes = F.slice(F.transform(F.coalesce(x["evidence"], none), lambda q: F.substring(q, 1, 160)), 1, 2)
-        count = F.greatest(F.coalesce(x["complaint_count"], F.lit(0)), F.lit(0))
+        count = F.when(x["complaint_count"] >= 1, x["complaint_count"]).otherwise(F.greatest(F.size(quotes), F.lit(1)))
         return F.struct(x["place_id"].alias("place_id"), x["name"].alias("name"), count.alias("complaint_count"), types.alias("complaint_types"), quotes.alias("evidence"))
 
     return F.transform(F.filter(flags, lambda x: F.coalesce(x["place_id"], F.lit("")) != ""), clean)
@@ -58,6 +59,7 @@ def latest_flags(replies: DataFrame) -> DataFrame:
 
 
 def pitch_rows(flags: DataFrame, biz: DataFrame, audits: DataFrame, contacts: DataFrame, review_cap: int, complaint_floor: int) -> DataFrame:
-    """Flagged businesses with their latest audit and contacts, under a review cap and over a complaint floor."""
+    """Flagged businesses with their latest audit (``rating``, ``rating_votes``) and contacts, under a cap on votes (0: none) and over a complaint floor."""
     out = flags.join(biz, "place_id").join(audits, "place_id").join(contacts, "place_id", "left")
-    return out.where((F.coalesce("review_count", F.lit(0)) <= review_cap) & (F.col("complaint_count") >= complaint_floor))
+    out = out.where(F.coalesce("complaint_count", F.lit(1)) >= complaint_floor)
+    return out.where(F.coalesce("rating_votes", F.lit(0)) <= review_cap) if review_cap else out

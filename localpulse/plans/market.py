@@ -104,7 +104,7 @@ query("c13_haversine", f"SELECT a.cell_id AS a, b.cell_id AS b, ROUND({HAV}, 3)
 query("c14_degrees", "SELECT cell_id, 14000 / 111320e0 AS dlat, 14000 / (111320e0 * greatest(0.1, cos(radians(lat)))) AS dlng FROM cells", "cells")(lambda s: s.cells.select("cell_id", *(c.alias(n) for c, n in zip(C.degrees_of(F.lit(14000.0), F.col("lat")), ("dlat", "dlng"), strict=True))))
 query(
     "c15_pin_grid",
-    """SELECT cell_id AS place_id, CAST(r AS INT) AS "row", CAST(c AS INT) AS col, ROUND(lat + (2 - r) * 2000 / 111320e0, 6) AS lat, ROUND(lng + (c - 2) * 2000 / (111320e0 * greatest(0.1, cos(radians(lat)))), 6) AS lng FROM cells, range(5) x(r), range(5) y(c)""",
+    """SELECT cell_id AS place_id, CAST(r AS INT) AS "row", CAST(c AS INT) AS col, ROUND(lat + (2 - r) * (2 / 110.574e0), 6) AS lat, ROUND(lng + (c - 2) * (2 / (111.32e0 * cos(radians(lat)))), 6) AS lng FROM cells, range(5) x(r), range(5) y(c)""",
     "cells",
 )(lambda s: grid.pin_grid(s.cells.withColumnRenamed("cell_id", "place_id"), 5, 5, 2.0))
 query(
@@ -131,8 +131,8 @@ query("f11_j21_query_plan", f"SELECT cell_id, bucket, phrase FROM cells, {BUCKET
 )
 query(
     "a21_sweep_estimate",
-    f"""WITH t AS (SELECT COUNT(*) AS l, SUM({EXPECTED}) AS e, SUM({HIGH}) AS h FROM cells) SELECT CAST(floor(l * 5e0 + 0.999e0) AS BIGINT) AS low_requests, CAST(floor(e * 10e0 + 0.999e0) AS BIGINT) AS expected_requests, CAST(floor(h * 15e0 + 0.999e0) AS BIGINT) AS high_requests,
-    floor(l * 5e0 + 0.999e0) * 35e0 / 1000 AS low_usd, floor(e * 10e0 + 0.999e0) * 35e0 / 1000 AS expected_usd, floor(h * 15e0 + 0.999e0) * 35e0 / 1000 AS high_usd FROM t""",
+    f"""WITH t AS (SELECT COUNT(*) AS l, SUM({EXPECTED}) AS e, SUM({HIGH}) AS h FROM cells) SELECT CAST(floor(l * 5e0 + 0.999e0) AS BIGINT) AS low_requests, CAST(floor(e * 7e0 + 0.999e0) AS BIGINT) AS expected_requests, CAST(floor(h * 11e0 + 0.999e0) AS BIGINT) AS high_requests,
+    floor(l * 5e0 + 0.999e0) * 35e0 / 1000 AS low_usd, floor(e * 7e0 + 0.999e0) * 35e0 / 1000 AS expected_usd, floor(h * 11e0 + 0.999e0) * 35e0 / 1000 AS high_usd FROM t""",
     "cells",
 )(lambda s: discovery.sweep_estimate(s.cells, 5, 35.0))
 RESULTS = "SELECT CAST(l_suppkey AS {s}) AS cell_id, l_returnflag AS bucket, CAST(l_quantity AS BIGINT) AS n_results, l_quantity > 48 AS more FROM {t}"
@@ -231,7 +231,7 @@ query(
 )(lambda s: discovery.rank_within(_budget(s), "state_code", lenses.budget_order()).select("place_id", "budget_tier", "place"))
 query("a18_tier_counts", f"WITH {LEAD}, {BUDGET} SELECT budget_tier, COUNT(*) AS n FROM bud GROUP BY 1", *LENS)(lambda s: _budget(s).groupBy("budget_tier").agg(F.count("*").alias("n")))
 query("a16_state_totals", "SELECT state_code, COUNT(*) AS leads, COUNT(*) FILTER (no_website = 1) AS no_site FROM businesses GROUP BY 1", "businesses")(lambda s: lenses.state_totals(s.businesses))
-query("j5_shortlist", f"SELECT place_id FROM businesses LEFT JOIN enrichment USING (place_id) WHERE {GAP} AND place_id NOT IN (SELECT place_id FROM contacts)", *LENS)(lambda s: lenses.shortlist(s.businesses, s.enrichment, s.contacts).select("place_id"))
+query("j5_shortlist", f"SELECT place_id, ROW_NUMBER() OVER (PARTITION BY state_code ORDER BY readiness_score DESC, review_count DESC, place_id) AS place FROM businesses LEFT JOIN enrichment USING (place_id) WHERE website IS NOT NULL AND no_website = 0 AND readiness_score IS NOT NULL AND place_id NOT IN (SELECT place_id FROM contacts)", *LENS)(lambda s: discovery.rank_within(lenses.shortlist(s.businesses, s.enrichment, s.contacts), "state_code", lenses.shortlist_order()).select("place_id", "place"))
 query("s7_area_label", "SELECT string_agg(DISTINCT state_name, ', ' ORDER BY state_name) AS label FROM businesses", "businesses")(lambda s: __import__("localpulse.sources.tables", fromlist=["area_label"]).area_label(s.businesses))
 
 # --- profiles ---------------------------------------------------------------
@@ -276,7 +276,7 @@ def _compared(s):
     return profiles.compare_sources(stored, live)
 
 
-query("j20_compare_sources", f"WITH {LAT}, {BASE}, {CMP} SELECT place_id, gap <= greatest(2, votes * 0.05e0) AS votes_ok, ok AS hours_ok, gap > greatest(5, votes * 0.2e0) AS votes_far FROM c", "audits")(lambda s: _compared(s).select("place_id", "votes_ok", "hours_ok", "votes_far"))
+query("j20_compare_sources", f"WITH {LAT}, {BASE}, {CMP} SELECT place_id, COALESCE(gap <= greatest(2, votes * 0.05e0), false) AS votes_ok, ok AS hours_ok, COALESCE(gap > greatest(5, votes * 0.2e0), false) AS votes_far FROM c", "audits")(lambda s: _compared(s).select("place_id", "votes_ok", "hours_ok", "votes_far"))
 query("a19_reliability", f"WITH {LAT}, {BASE}, {CMP} SELECT COUNT(*) AS n, COUNT(*) FILTER (gap <= greatest(2, votes * 0.05e0)) / COUNT(*)::DOUBLE AS votes_ok_share, COUNT(*) FILTER (ok) / COUNT(*)::DOUBLE AS hours_ok_share, COUNT(*) FILTER (gap > greatest(5, votes * 0.2e0)) / COUNT(*)::DOUBLE AS votes_far_share FROM c", "audits")(lambda s: profiles.reliability(_compared(s)).drop("rating_ok_share"))
 
 # --- reviews ----------------------------------------------------------------

@@ -24,7 +24,7 @@ query("c6_title_case", "SELECT n_nationkey, array_to_string(list_transform(strin
 query("c7_fill_template", "SELECT place_id, 'best ' || lower(trade_bucket) || ' in ' || state_name || ', ' || state_code AS q, state_name || ',' || state_code || ',United States' AS location FROM businesses", "businesses")(
     lambda s: s.businesses.select("place_id", C.fill_template(F.lit("best {trade} in {city}, {state}"), F.lower("trade_bucket"), F.col("state_name"), F.col("state_code")).alias("q"), C.location_string(F.col("state_name"), F.col("state_code"), F.lit("United States")).alias("location"))
 )
-query("c8_expected_states", "SELECT n_nationkey, upper(n_name) || '|TN' AS tokens FROM nation")(lambda s: s.nation.select("n_nationkey", F.array_join(C.expected_states(F.concat(F.lit("x, "), "n_name"), F.lit("y,tn")), "|").alias("tokens")))
+query("c8_expected_states", "SELECT n_nationkey, lower(n_name) || '|tennessee' AS tokens FROM nation")(lambda s: s.nation.select("n_nationkey", F.array_join(C.expected_states(F.concat(F.lit("x, "), "n_name"), F.lit("Town,Tennessee,United States")), "|").alias("tokens")))
 query("c9_query_text", "SELECT n_nationkey, n_name || ' market' AS q FROM nation")(lambda s: s.nation.select("n_nationkey", C.query_text(F.col("n_name"), F.lit("market")).alias("q")))
 query("c10_clip_text", "SELECT review_id, substr(text, 1, 160) AS clip FROM reviews", "reviews")(lambda s: s.reviews.select("review_id", C.clip_text(F.col("text"), 160).alias("clip")))
 query("c11_parse_ts", "SELECT id, audited_ts::TIMESTAMP - (INTERVAL 1 MICROSECOND * (epoch_us(audited_ts) % 1000000)) AS ts FROM audits", "audits")(lambda s: s.audits.select("id", C.parse_ts(F.date_format("audited_ts", "yyyy/MM/dd HH:mm:ss")).alias("ts")).withColumn("ts", F.col("ts").cast("timestamp_ntz")))
@@ -112,28 +112,30 @@ query(
 query("w7_organic_rank", f"WITH {HOSTS}, {DOMAINS} SELECT keyword, domain AS entity, min(NULLIF(rank, 0)) AS rank FROM (SELECT page_id % 10 AS keyword, page_id % 6 AS rank, host FROM h) x JOIN d ON host = domain OR ends_with(host, '.' || domain) GROUP BY 1, 2")(
     lambda s: names.organic_rank(_hosts(s).select((F.col("page_id") % 10).alias("keyword"), (F.col("page_id") % 6).alias("rank_absolute"), F.col("host").alias("domain")), _domains(s).withColumn("entity", F.col("domain")))
 )
-PACK = "it AS (SELECT l_orderkey % 50 AS keyword, CASE WHEN l_suppkey % 4 = 0 THEN NULL ELSE 'd' || (l_suppkey % 9) END AS domain, 'Name ' || (l_suppkey % 9) AS title, ROW_NUMBER() OVER (PARTITION BY l_orderkey % 50 ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_quantity, l_shipdate) AS position FROM lineitem)"
+PACK_ROWS = """SELECT keyword, seq, item_id, rank_absolute, rank_group, CASE WHEN seq % 4 = 0 THEN NULL WHEN seq % 4 = 1 THEN CONCAT('shop.d', CAST(item_id AS BIGINT) % 9, '.com') ELSE CONCAT('d', CAST(item_id AS BIGINT) % 9, '.com') END AS domain, CONCAT('The Name ', COALESCE(CAST(item_id AS BIGINT), 0) % 9, ' shop') AS title FROM {items}"""
+PACK = f"""it AS ({PACK_ROWS.format(items="items")}), pk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY keyword ORDER BY seq) AS position FROM it WHERE item_id IS NOT NULL),
+e AS (SELECT 'e' || n_nationkey AS entity, 'd' || n_nationkey || '.com' AS dom, 'name ' || n_nationkey AS name FROM nation WHERE n_nationkey < 5)"""
 
 
 def _pack(s):
-    items = s.spark.sql("SELECT l_orderkey % 50 AS keyword, CASE WHEN l_suppkey % 4 = 0 THEN NULL ELSE concat('d', l_suppkey % 9) END AS domain, concat('Name ', l_suppkey % 9) AS title, ROW_NUMBER() OVER (PARTITION BY l_orderkey % 50 ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_quantity, l_shipdate) AS position FROM {l}", l=s.lineitem)
-    ents = s.nation.where("n_nationkey < 5").select(F.concat(F.lit("e"), "n_nationkey").alias("entity"), F.concat(F.lit("d"), "n_nationkey").alias("domain"), F.concat(F.lit("name "), "n_nationkey").alias("name"))
-    return names.pack_rank(items, ents)
+    ents = s.nation.where("n_nationkey < 5").select(F.concat(F.lit("e"), "n_nationkey").alias("entity"), F.concat(F.lit("d"), "n_nationkey", F.lit(".com")).alias("domain"), F.concat(F.lit("name "), "n_nationkey").alias("name"))
+    return names.pack_rank(s.spark.sql(PACK_ROWS.format(items="{items}"), items=s.items), ents)
 
 
-query("w6_pack_rank", f"WITH {PACK}, e AS (SELECT 'e' || n_nationkey AS entity, 'd' || n_nationkey AS domain, 'name ' || n_nationkey AS name FROM nation WHERE n_nationkey < 5) SELECT keyword, entity, min(position) AS rank FROM it JOIN e ON (it.domain IS NOT NULL AND it.domain = e.domain) OR (it.domain IS NULL AND lower(title) = lower(name)) GROUP BY 1, 2")(lambda s: _pack(s)[0])
-query("w6_pack_leaders", f"WITH {PACK} SELECT keyword, domain, title, position FROM it WHERE position <= 3")(lambda s: _pack(s)[1])
-CAND = "SELECT c_custkey % 100 AS position, {n} AS entity, c_name AS candidate, CASE WHEN c_custkey % 3 = 0 THEN '' WHEN c_custkey % 3 = 1 THEN 'TN' ELSE 'GA' END AS candidate_state FROM {c} WHERE c_custkey % 7 <> 0"
+query("w6_pack_rank", f"WITH {PACK} SELECT keyword, entity, CAST(arg_min(COALESCE(NULLIF(rank_absolute, 0), NULLIF(rank_group, 0), position), position) AS INT) AS rank FROM pk JOIN e ON domain = dom OR ends_with(domain, '.' || dom) OR (domain IS NULL AND contains(lower(title), name || ' ')) GROUP BY 1, 2", "items")(lambda s: _pack(s)[0])
+query("w6_pack_leaders", f"WITH {PACK} SELECT keyword, position, title, domain FROM pk WHERE position <= 3", "items")(lambda s: _pack(s)[1])
+CAND = "SELECT c_custkey % 100 AS position, {n} AS entity, CONCAT('Acme ', c_custkey % 9, CASE WHEN c_custkey % 2 = 0 THEN ' Dirt' ELSE '' END) AS candidate, CASE WHEN c_custkey % 3 = 0 THEN '' WHEN c_custkey % 3 = 1 THEN 'Town, TN 1' ELSE 'Town, GA 2' END AS address FROM {c} WHERE c_custkey % 7 <> 0"
+ENTITY = "SELECT s_suppkey AS entity, CASE WHEN s_suppkey % 2 = 0 THEN CONCAT('Acme ', s_suppkey % 9) ELSE CONCAT('The Acme ', s_suppkey % 9, ' Dirt Co') END AS name FROM {s}"
 
 
 @query(
     "j15_resolve_listing",
-    f"""WITH e AS (SELECT s_suppkey AS entity, right(s_name, 2) AS name, 'TN' AS state FROM supplier), c AS ({CAND.format(n="CAST(c_custkey // 100 AS BIGINT)", c="customer")}),
-    j AS (SELECT e.entity, candidate, position, candidate IS NOT NULL AND (contains(lower(candidate), lower(name)) OR (contains(lower(name), lower(candidate)) AND len(string_split(trim(candidate), ' ')) >= 2)) AND (candidate_state = '' OR candidate_state = state) AS ok FROM e LEFT JOIN c USING (entity))
+    f"""WITH e AS ({ENTITY.format(s="supplier")}), c AS ({CAND.format(n="CAST(c_custkey // 100 AS BIGINT)", c="customer")}),
+    j AS (SELECT e.entity, candidate, position, candidate IS NOT NULL AND (contains(' ' || lower(candidate) || ' ', ' ' || lower(name) || ' ') OR contains(' ' || lower(name) || ' ', ' ' || lower(candidate) || ' ')) AND (address = '' OR contains(address, ' TN ')) AS ok FROM e LEFT JOIN c USING (entity))
     SELECT entity, CASE WHEN count(*) FILTER (ok) > 0 THEN 'matched' WHEN count(candidate) > 0 THEN 'mismatch' ELSE 'not_found' END AS status, arg_min(candidate, position) FILTER (ok) AS matched FROM j GROUP BY 1""",
 )
 def resolve(s):
-    e = s.supplier.select(F.col("s_suppkey").alias("entity"), F.expr("right(s_name, 2)").alias("name"), F.lit("TN").alias("state"))
+    e = s.spark.sql(ENTITY.format(s="{s}"), s=s.supplier).withColumn("states", F.array(F.lit("tn")))
     return names.resolve_listing(e, s.spark.sql(CAND.format(n="CAST(c_custkey div 100 AS BIGINT)", c="{c}"), c=s.customer))
 
 
@@ -267,24 +269,24 @@ query("g15_lead_location", "SELECT place_id, 'Old Town,TN,United States' AS loca
 
 
 def _replies(s):
-    entry = F.concat(F.lit('Here: [{"place_id":"'), (F.col("review_id") % 150).cast("string"), F.lit('","name":"n","complaint_count":'), (F.col("rating") + 1).cast("string"), F.lit(',"complaint_types":["quality","nonsense"],"evidence":["a","b","c"]},{"name":"no key"}] done'))
+    entry = F.concat(F.lit('Here: [{"place_id":"'), (F.col("review_id") % 150).cast("string"), F.lit('","name":"n","complaint_count":'), (F.col("rating") + 1).cast("string"), F.lit(',"complaint_types":["no_show","nonsense"],"evidence":["a","b","c"]},{"name":"no key"}] done'))
     return s.reviews.select(F.format_string("f%08d", "review_id").alias("file"), F.when(F.col("review_id") % 11 == 0, F.lit("sorry, no list")).otherwise(entry).alias("reply"))
 
 
 FLAGS = "fl AS (SELECT CAST(review_id % 150 AS VARCHAR) AS place_id, arg_max(rating + 1, review_id) AS complaint_count FROM reviews WHERE review_id % 11 <> 0 GROUP BY 1)"
-query("s11_c25_latest_flags", f"WITH {FLAGS} SELECT place_id, complaint_count, 'quality' AS types, 'a|b' AS evidence FROM fl", "reviews")(lambda s: reviews.latest_flags(_replies(s)).select("place_id", "complaint_count", F.array_join("complaint_types", "|").alias("types"), F.array_join("evidence", "|").alias("evidence")))
+query("s11_c25_latest_flags", f"WITH {FLAGS} SELECT place_id, complaint_count, 'no_show' AS types, 'a|b' AS evidence FROM fl", "reviews")(lambda s: reviews.latest_flags(_replies(s)).select("place_id", "complaint_count", F.array_join("complaint_types", "|").alias("types"), F.array_join("evidence", "|").alias("evidence")))
 LAT = "lat AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY place_id ORDER BY id DESC) AS r FROM audits WHERE status = 'complete') WHERE r = 1)"
 
 
 def _pitch(s):
     flags = reviews.latest_flags(_replies(s)).select("place_id", "complaint_count")
-    return reviews.pitch_rows(flags, s.businesses, profiles.latest_audits(s.audits).select("place_id", F.col("rating_votes").alias("rating")), s.contacts, 15, 3)
+    return reviews.pitch_rows(flags, s.businesses, profiles.latest_audits(s.audits).select("place_id", F.col("total_photos").alias("rating"), "rating_votes"), s.contacts, 40, 3)
 
 
-query("j8_pitch_rows", f"WITH {FLAGS}, {LAT} SELECT place_id, complaint_count FROM fl JOIN businesses USING (place_id) JOIN lat USING (place_id) WHERE review_count <= 15 AND complaint_count >= 3", "reviews", "businesses", "audits")(lambda s: _pitch(s).select("place_id", "complaint_count"))
+query("j8_pitch_rows", f"WITH {FLAGS}, {LAT} SELECT place_id, complaint_count FROM fl JOIN businesses USING (place_id) JOIN lat USING (place_id) WHERE COALESCE(rating_votes, 0) <= 40 AND complaint_count >= 3", "reviews", "businesses", "audits")(lambda s: _pitch(s).select("place_id", "complaint_count"))
 
 
-@query("o5_pitch_order", f"WITH {FLAGS}, {LAT} SELECT place_id, ROW_NUMBER() OVER (PARTITION BY state_code ORDER BY rating_votes DESC NULLS LAST, complaint_count DESC, review_count, place_id) AS place FROM fl JOIN businesses USING (place_id) JOIN lat USING (place_id) WHERE review_count <= 15 AND complaint_count >= 3", "reviews", "businesses", "audits")
+@query("o5_pitch_order", f"WITH {FLAGS}, {LAT} SELECT place_id, ROW_NUMBER() OVER (PARTITION BY state_code ORDER BY COALESCE(total_photos, 0) DESC, complaint_count DESC, COALESCE(rating_votes, 0), place_id) AS place FROM fl JOIN businesses USING (place_id) JOIN lat USING (place_id) WHERE COALESCE(rating_votes, 0) <= 40 AND complaint_count >= 3", "reviews", "businesses", "audits")
 def pitch(s):
     from localpulse.operators.discovery import rank_within
     from localpulse.operators.lenses import pitch_order
