@@ -55,6 +55,13 @@ def pick_audit(entities: DataFrame, audits: DataFrame) -> DataFrame:
     return joined.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
+def pick_pagespeed(entities: DataFrame, records: DataFrame) -> DataFrame:
+    """The first record without an error of each entity's host (``host, position, error, score``)."""
+    pairs = domain_join(records.select("host"), entities.select("domain"))
+    joined = entities.join(pairs, "domain").join(records.where("error IS NULL"), "host")
+    return joined.groupBy("entity").agg(F.min_by("score", "position").alias("score"))
+
+
 def pack_rank(items: DataFrame, entities: DataFrame, top: int = 3) -> tuple[DataFrame, DataFrame]:
     """Each entity's rank in each keyword's map pack, and the leading items.
 

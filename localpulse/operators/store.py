@@ -74,3 +74,17 @@ def store_status(biz: DataFrame) -> DataFrame:
 
 def top_k(df: DataFrame, n: int, order: list) -> DataFrame:
     return df.orderBy(*order).limit(n)
+
+
+def open_run(runs: DataFrame, region: str, budget: float, mode: str, now: Column) -> DataFrame:
+    """The ledger with one more row, which has spent nothing yet."""
+    number = (runs.agg(F.max("run_id")).first()[0] or 0) + 1
+    row = runs.sparkSession.range(1).select(F.lit(number).cast("bigint").alias("run_id"), F.lit(region).alias("region"), F.lit(budget).alias("budget"), F.lit(mode).alias("mode"), now.alias("started_ts"), F.lit(None).cast("timestamp").alias("ended_ts"), F.lit(0).cast("bigint").alias("requests"), F.lit(0.0).alias("cost"))
+    return runs.unionByName(row)
+
+
+def finish_run(runs: DataFrame, results: DataFrame) -> DataFrame:
+    """The ledger with end, requests and cost of the runs in ``results`` (``run_id, ended_ts, requests, cost``)."""
+    r, n = runs.alias("r"), results.alias("n")
+    later = lambda c: F.coalesce(f"n.{c}", f"r.{c}").alias(c)
+    return r.join(n, "run_id", "left").select("run_id", "region", "budget", "mode", "started_ts", later("ended_ts"), later("requests"), F.round(F.coalesce("n.cost", "r.cost"), 2).alias("cost"))

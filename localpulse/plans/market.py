@@ -234,6 +234,43 @@ query("a16_state_totals", "SELECT state_code, COUNT(*) AS leads, COUNT(*) FILTER
 query("j5_shortlist", f"SELECT place_id, ROW_NUMBER() OVER (PARTITION BY state_code ORDER BY readiness_score DESC, review_count DESC, place_id) AS place FROM businesses LEFT JOIN enrichment USING (place_id) WHERE website IS NOT NULL AND no_website = 0 AND readiness_score IS NOT NULL AND place_id NOT IN (SELECT place_id FROM contacts)", *LENS)(lambda s: discovery.rank_within(lenses.shortlist(s.businesses, s.enrichment, s.contacts), "state_code", lenses.shortlist_order()).select("place_id", "place"))
 query("s7_area_label", "SELECT string_agg(DISTINCT state_name, ', ' ORDER BY state_name) AS label FROM businesses", "businesses")(lambda s: __import__("localpulse.sources.tables", fromlist=["area_label"]).area_label(s.businesses))
 
+query(
+    "f23_lead_records",
+    f"""WITH {LEAD}, {BUDGET} SELECT place_id, CASE budget_tier WHEN 1 THEN 'PROVEN BUDGET' WHEN 2 THEN 'QUALIFIED DEMAND' ELSE 'long tail' END AS qualified, CASE relevance WHEN 'match' THEN 'CONFIRMED' ELSE 'REVIEW' END AS tier, review_count AS reviews, CASE WHEN no_website = 1 THEN 'NO' ELSE 'yes' END AS has_website,
+    COALESCE(site_status, CASE WHEN no_website = 1 THEN 'none' ELSE '' END) AS site_status, COALESCE(mgmt_status, '') AS management, array_to_string({TAGS}, ', ') AS marketing_tags, COALESCE(phone, '') AS phone, COALESCE(website, '') AS website, state_code AS state FROM bud""",
+    *LENS,
+)(lambda s: lenses.to_record(_budget(s)).drop("name", "budget_signal", "readiness"))
+query(
+    "f23_profile_records",
+    "WITH lat AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY place_id ORDER BY id DESC) AS r FROM audits WHERE status = 'complete') WHERE r = 1) SELECT place_id, CASE relevance WHEN 'match' THEN 'CONFIRMED' ELSE 'REVIEW' END AS tier, CASE WHEN is_claimed IS NULL THEN '?' WHEN is_claimed <> 0 THEN 'yes' ELSE 'NO' END AS claimed, COALESCE(CAST(rating_votes AS VARCHAR), '') AS votes, COALESCE(CAST(total_photos AS VARCHAR), '') AS photos, COALESCE(phone, '') AS phone, state_code AS state FROM businesses JOIN lat USING (place_id) LEFT JOIN contacts USING (place_id)",
+    "businesses",
+    "audits",
+    "contacts",
+)(lambda s: lenses.to_profile_record(lenses.profile_view(s.businesses, profiles.latest_audits(profiles.with_neglect(s.audits)), s.contacts)).drop("name", "neglect", "top_gaps"))
+PROSPECT = """pr AS (SELECT b.place_id, b.name, b.review_count, b.website IS NULL OR b.page % 3 = 1 AS no_usable, CASE WHEN b.page % 3 = 0 THEN b.page % 8 END AS score, CASE WHEN contains(b.name, '77') THEN 'chain' ELSE 'local' END AS tier, 'p' || b.name AS phone, b.page % 3 AS k, b.page
+  FROM (SELECT x.*, p.page_id AS page FROM businesses x LEFT JOIN (SELECT max(page_id) AS page_id, regexp_extract(url, '://([^/]*)', 1) AS h FROM pages GROUP BY 2) p ON p.h = regexp_extract(x.website, '://([^/]*)', 1)) b)"""
+GROUPED = "SELECT *, CASE WHEN no_usable THEN 'build' ELSE tier END AS grp, ROW_NUMBER() OVER (PARTITION BY CASE WHEN no_usable THEN 'build' ELSE tier END ORDER BY CASE WHEN NOT no_usable AND tier = 'local' THEN COALESCE(score, -1) ELSE 0 END DESC, review_count DESC, place_id) AS rank FROM pr"
+
+
+def _prospects(s):
+    page = F.col("page_id")
+    audits = s.pages.groupBy(C.host_of(F.col("url")).alias("host")).agg(F.max("page_id").alias("page_id"))
+    audits = audits.select("host", F.when(page % 3 == 0, 200).when(page % 3 == 1, 404).otherwise(403).alias("http_status"), F.lit("Home").alias("title"), F.lit(300).alias("word_count"), (page % 8).alias("score"), F.lit(True).alias("https"))
+    contacts = s.businesses.select("name", F.concat(F.lit("p"), "name").alias("phone"))
+    return lenses.prospect_groups(lenses.prospect_table(s.businesses, audits, contacts).withColumn("tier", C.tier_of(F.col("name"), ["77"])))
+
+
+query("j23_o6_prospect_groups", f"WITH {PROSPECT} SELECT place_id, grp AS \"group\", rank FROM ({GROUPED})", "businesses")(lambda s: _prospects(s).select("place_id", "group", "rank"))
+query("f24_flat_prospects", f"WITH {PROSPECT} SELECT place_id, grp AS \"group\", rank, name, CASE WHEN no_usable THEN 'NO SITE' WHEN score IS NULL THEN 'n/a (site error)' ELSE CAST(score AS VARCHAR) END AS score, phone, CASE WHEN page IS NULL THEN '' ELSE 'yes' END AS https, CASE WHEN page IS NULL THEN '' ELSE '300' END AS words FROM ({GROUPED})", "businesses")(lambda s: lenses.flat_prospects(_prospects(s)))
+query("s19_run_ledger", "SELECT DISTINCT o_orderkey AS run_id, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey ELSE 0 END AS requests, CASE WHEN o_orderkey % 2 = 0 THEN round(o_totalprice, 2) ELSE 0 END AS cost FROM orders UNION ALL SELECT max(o_orderkey) + 1, 0, 0 FROM orders")(
+    lambda s: store.open_run(
+        store.finish_run(
+            s.orders.select(F.col("o_orderkey").alias("run_id"), F.lit("all").alias("region"), F.lit(5.0).alias("budget"), F.lit("live").alias("mode"), F.lit("2026-01-01").cast("timestamp").alias("started_ts"), F.lit(None).cast("timestamp").alias("ended_ts"), F.lit(0).cast("bigint").alias("requests"), F.lit(0.0).alias("cost")),
+            s.orders.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("run_id"), F.lit("2026-01-02").cast("timestamp").alias("ended_ts"), F.col("o_custkey").cast("bigint").alias("requests"), F.col("o_totalprice").alias("cost")),
+        ), "all", 5.0, "live", F.lit("2026-01-03").cast("timestamp")
+    ).select("run_id", "requests", "cost")
+)
+
 # --- profiles ---------------------------------------------------------------
 
 SCORE = "(CASE WHEN rating_votes < 10 THEN 10 ELSE 0 END + CASE WHEN total_photos < 10 THEN 10 ELSE 0 END + CASE WHEN additional_categories_count = 0 THEN 8 ELSE 0 END + CASE WHEN has_hours = 0 THEN 7 ELSE 0 END)"

@@ -94,6 +94,14 @@ def read_reviews(spark: SparkSession, path: str) -> DataFrame:
     return files.select("place_id", F.explode("reviews").alias("r")).select("place_id", "r.*")
 
 
+def read_audits(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each page of the page-audit files by host; pages with an error are dropped."""
+    page = "struct<status:int,title:string,word_count:int,error:string>"
+    files = spark.read.schema(f"host string, pages map<string,{page}>").json(path)
+    rows = files.select("host", F.posexplode(F.map_entries("pages")).alias("position", "p")).select("host", "position", F.col("p.key").alias("url"), "p.value.*")
+    return rows.where("error IS NULL").drop("error")
+
+
 def flatten_pagespeed(responses: DataFrame) -> DataFrame:
     """Scores out of 100 and field metrics of performance responses."""
     return responses.select("url", (F.col("lighthouse.score") * 100).alias("score"), F.transform_values("field", lambda _, v: v.cast("double")).alias("field"))
