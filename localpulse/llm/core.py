@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
@@ -52,6 +54,32 @@ def release(spark: SparkSession, paths: list[str]) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+BATCH_BYTES = 4 << 20
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def trimmed(run):
+    """``run`` (for mapInArrow) for whole texts: with Arrow batches of ``BATCH_BYTES``, and freed memory given back when a task ends.
+
+    The number of rows says little about a batch of texts, so the session's limit
+    in bytes is lowered from its default; a limit that the user chose stays. Workers
+    live on for other stages, which is why their memory is given back.
+    """
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.conf.get(_BATCH_LIMIT).rstrip("b") == str(64 << 20):
+        spark.conf.set(_BATCH_LIMIT, str(BATCH_BYTES))
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return task
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string column; a null counts as an empty text."""
     if isinstance(column, pa.ChunkedArray):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import materialize, text_buffer
+from localpulse.llm.core import materialize, text_buffer, trimmed
 from localpulse.llm.tokens import slices
 
 BUCKETS = 1 << 16
@@ -96,7 +96,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(seen[some])], ["bucket", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(trimmed(run), "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
     df = np.zeros(BUCKETS + 1, np.int64)
     for r in counts.collect():  # at most one row per bucket
         df[r.bucket] = r.n
@@ -187,7 +187,7 @@ def fit(docs: DataFrame, *, folds: int = 5, fold: int = 0) -> Model | None:
                     blob = value.tobytes() + count.astype(np.uint32).tobytes()
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 1), batch.column(1).slice(k, 1).cast(pa.string()), pa.array([blob], pa.binary())], ["doc_id", "lang", "counts"])
 
-    found = sample.select("doc_id", "lang", "text").mapInArrow(run, "doc_id bigint, lang string, counts binary").orderBy(order, "doc_id").collect()
+    found = sample.select("doc_id", "lang", "text").mapInArrow(trimmed(run), "doc_id bigint, lang string, counts binary").orderBy(order, "doc_id").collect()
     samples = []
     for r in found:
         n = len(r.counts) // 6
@@ -217,7 +217,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                     scores.append(p)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, "doc_id bigint, lang_pred string, score double")
+    return rows.mapInArrow(trimmed(run), "doc_id bigint, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 5, fold: int = 0) -> DataFrame:

@@ -29,10 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import materialize, text_buffer
+from localpulse.llm.core import materialize, text_buffer, trimmed
 from localpulse.llm.tokens import encoder, slices
 
 WINDOW = 2048
+#: Documents whose pieces are worked out at once.
+PACK_ROWS = 1000
 MAX_QUEUES = 256
 #: Rows of the offsets table (writer task x source) up to which it is broadcast; it is joined by shuffle beyond.
 BROADCAST_ROWS = 200_000
@@ -111,7 +113,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str | Column, t
                 flat = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(ids.tobytes())]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(j - i, part, np.int32)), batch.column(1).slice(i, j - i).cast(pa.string()), batch.column(0).slice(i, j - i), pa.array(at, pa.int64()), pa.array(n), flat], ["part", "source", "doc_id", "at", "n_tokens", "ids"])
 
-    return materialize(rows.mapInArrow(run, TOKENS), "tokens")
+    return materialize(rows.mapInArrow(trimmed(run), TOKENS), "tokens")
 
 
 def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, length: int = WINDOW, weights: dict[str, float] | None = None, doc_id: str | Column = "doc_id", text: str | Column = "text", source: str | Column = "source") -> DataFrame:
@@ -148,9 +150,7 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, length: int = WIND
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, schedule = plan.value
         number = {name: i for i, name in enumerate(names)}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(i, PACK_ROWS) for b in batches for i in range(0, b.num_rows, PACK_ROWS)):
             own = batch.column(1).to_pylist()
             queue = np.array([number.get(name, len(names) - 1) for name in own], np.int64)
             a, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
@@ -178,4 +178,4 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, length: int = WIND
             crc = [zlib.crc32(view[4 * i : 4 * j]) for i, j in zip(from_.tolist(), (from_ + hi - lo).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(start), pa.array(hi - lo), pa.array(crc, pa.int64()), pa.array(n[row]), pa.array(window), pa.array(offset), batch.column(1).take(pa.array(row)).cast(pa.string())], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
 
-    return placed.mapInArrow(run, PIECES)
+    return placed.mapInArrow(trimmed(run), PIECES)

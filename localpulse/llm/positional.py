@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import ALNUM, LOWER, materialize, run_hashes, text_buffer, word_runs
+from localpulse.llm.core import ALNUM, LOWER, materialize, run_hashes, text_buffer, trimmed, word_runs
 from localpulse.llm.tokens import slices
 
 WINDOW = 10
@@ -64,7 +64,7 @@ def build_index(docs: DataFrame, *, doc_id: str | Column = "doc_id", text: str |
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([segment], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in out)], ["part", "segment", "doc_ids", "doc_starts", "terms", "term_starts", "postings"])
                 segment += 1
 
-    return materialize(rows.mapInArrow(run, INDEX), "postings")
+    return materialize(rows.mapInArrow(trimmed(run), INDEX), "postings")
 
 
 class Phrases:
@@ -173,7 +173,7 @@ def search(index: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, slop
                         span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
                         yield pa.RecordBatch.from_pylist(out, pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("doc", pa.int32()), ("exact", span), ("near", span), ("items", pa.list_(pa.string()))]))
 
-        found.append(index.select("part", "segment", "doc_starts", "terms", "term_starts", "postings").mapInArrow(run, HITS))
+        found.append(index.select("part", "segment", "doc_starts", "terms", "term_starts", "postings").mapInArrow(trimmed(run), HITS))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -191,7 +191,7 @@ def indexed_documents(index: DataFrame) -> DataFrame:
                 k = len(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(k, part, np.int32)), pa.array(np.full(k, segment, np.int32)), pa.array(np.arange(k, dtype=np.int32)), pa.array(ids, mask=ids == -(2**63)), pa.array(n)], ["part", "segment", "doc", "doc_id", "n_words"])
 
-    return index.select("part", "segment", "doc_ids", "doc_starts").mapInArrow(run, "part int, segment int, doc int, doc_id bigint, n_words bigint")
+    return index.select("part", "segment", "doc_ids", "doc_starts").mapInArrow(trimmed(run), "part int, segment int, doc int, doc_id bigint, n_words bigint")
 
 
 def contamination(index: DataFrame, benchmark: DataFrame, *, window: int = WINDOW) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import materialize, text_buffer
+from localpulse.llm.core import materialize, text_buffer, trimmed
 from localpulse.llm.tokens import encoder, slices
 
 SHARD_TOKENS = 1 << 20
@@ -191,7 +191,7 @@ def write_shards(docs: DataFrame, tokenizer: str, *, end_id: int = 2, doc_id: st
         if held:
             yield flush()
 
-    return materialize(rows.mapInArrow(run, SHARDS), "token-shards")
+    return materialize(rows.mapInArrow(trimmed(run), SHARDS), "token-shards")
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
@@ -217,4 +217,4 @@ def read_documents(shards: DataFrame) -> DataFrame:
                 keys = pa.array(s.doc_ids, mask=s.doc_ids == -(2**63))
                 yield pa.RecordBatch.from_arrays([keys, pa.array(before_part.value[part] + begin + stop - n), pa.array(n), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return shards.select("part", "part_start", "payload").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return shards.select("part", "part_start", "payload").mapInArrow(trimmed(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import NOT_SPACE, byte_table, gram_hashes, materialize, mix64, run_hashes, text_buffer, word_runs
+from localpulse.llm.core import NOT_SPACE, byte_table, gram_hashes, materialize, mix64, run_hashes, text_buffer, trimmed, word_runs
 from localpulse.llm.tokens import slices
 
 MIN_WORDS = 50
@@ -99,7 +99,7 @@ def counts(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
                 own = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([own.column(0), own.column(1).cast(pa.string()), own.column(2).cast(pa.string()), *(pa.array(x.astype(np.int64)) for x in found)], names)
 
-    return rows.mapInArrow(run, COUNTS)
+    return rows.mapInArrow(trimmed(run), COUNTS)
 
 
 def base_failed() -> Column:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import LOWER, NOT_SPACE, gram_hashes, materialize, mix64, run_hashes, text_buffer, word_runs
+from localpulse.llm.core import LOWER, NOT_SPACE, gram_hashes, materialize, mix64, run_hashes, text_buffer, trimmed, word_runs
 from localpulse.llm.graph import components
 from localpulse.llm.tokens import slices
 
@@ -184,7 +184,7 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
                 points = pa.ListArray.from_arrays(pa.array(np.arange(0, rows * GROUPS + 1, GROUPS, dtype=np.int32)), pa.array(point))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, rows), pa.array(n), pa.array(h1), pa.array(h2), points, _binary_column(*parities(h, row, n)), blocks], ["doc_id", "n", "h1", "h2", "point", "parity", "blocks"])
 
-    return docs.mapInArrow(run, SKETCH)
+    return docs.mapInArrow(trimmed(run), SKETCH)
 
 
 def exploded_blocks(reps: DataFrame) -> DataFrame:
@@ -202,7 +202,7 @@ def exploded_blocks(reps: DataFrame) -> DataFrame:
             for a in range(0, len(keys), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + (1 << 16)]), pa.array(nodes[a : a + (1 << 16)])], ["key", "node"])
 
-    return reps.select("doc_id", "blocks").mapInArrow(run, "key bigint, node bigint")
+    return reps.select("doc_id", "blocks").mapInArrow(trimmed(run), "key bigint, node bigint")
 
 
 def _sets(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
@@ -220,7 +220,7 @@ def _sets(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=j - i))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], ["node", "items"])
 
-    sets = few.mapInArrow(run, "node bigint, items array<bigint>")
+    sets = few.mapInArrow(trimmed(run), "node bigint, items array<bigint>")
     return materialize(sets, "sets").groupBy("node").agg(F.first("items").alias("items"))
 
 
@@ -330,7 +330,7 @@ def block_pairs(members: DataFrame, rule: Rule) -> DataFrame:
             held = [v[stop:] for v in held]
         yield from blocks(held, len(held[0]))
 
-    return sorted_.mapInArrow(run, "a bigint, b bigint").distinct()
+    return sorted_.mapInArrow(trimmed(run), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

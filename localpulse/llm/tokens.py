@@ -16,7 +16,7 @@ import numpy as np
 from localpulse.llm.core import HashTable, run_hashes
 
 #: Pieces a worker remembers before it starts afresh; bounds its memory, not what is encoded.
-REMEMBERED_PIECES = 1_500_000
+REMEMBERED_PIECES = 1_000_000
 
 _SPACE, _LETTER, _DIGIT, _SIGN, _OTHER = range(5)
 

@@ -27,11 +27,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import ALNUM, LOWER, HashTable, byte_table, materialize, mix64, run_hashes, text_buffer, word_runs
+from localpulse.llm.core import ALNUM, LOWER, HashTable, byte_table, materialize, mix64, run_hashes, text_buffer, trimmed, word_runs
 from localpulse.llm.langid import held_out
 from localpulse.llm.tokens import slices
 
@@ -239,17 +240,19 @@ def _count_features(sample: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = text_buffer(batch.column(0))
-            toxic = batch.column(1).to_numpy(zero_copy_only=False) == 1
-            words = read_words(buf, offs, PREFIXES)
-            for k, (at, hashes) in {0: (np.arange(len(words.hashes)), words.hashes), **words.prefixes}.items():
-                row = words.row[at]
-                pair = np.unique(np.stack([hashes, row.astype(np.uint64)], 1), axis=0) if len(row) else np.zeros((0, 2), np.uint64)
-                value, code = np.unique(pair[:, 0], return_inverse=True)
-                hit = toxic[pair[:, 1].astype(np.int64)]
-                t, c = np.bincount(code[hit], minlength=len(value)), np.bincount(code[~hit], minlength=len(value))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), k, np.int32)), pa.array(value.view(np.int64)), pa.array(t.astype(np.int64)), pa.array(c.astype(np.int64))], ["k", "hash", "t", "c"])
-
-    counts = sample.select("text", "toxic").mapInArrow(run, "k int, hash bigint, t bigint, c bigint")
+            marks = batch.column(1).to_numpy(zero_copy_only=False) == 1
+            for i, j in slices(offs, 1 << 20):
+                words = read_words(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], PREFIXES)
+                toxic = marks[i:j]
+                for k, (at, hashes) in {0: (np.arange(len(words.hashes)), words.hashes), **words.prefixes}.items():
+                    row = words.row[at]
+                    first = ~pd.Series(mix64(hashes ^ (row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))).duplicated().to_numpy()
+                    code, value = pd.factorize(hashes[first])
+                    hit = toxic[row[first]]
+                    t, c = np.bincount(code[hit], minlength=len(value)), np.bincount(code[~hit], minlength=len(value))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), k, np.int32)), pa.array(np.asarray(value).view(np.int64)), pa.array(t.astype(np.int64)), pa.array(c.astype(np.int64))], ["k", "hash", "t", "c"])
+
+    counts = sample.select("text", "toxic").mapInArrow(trimmed(run), "k int, hash bigint, t bigint, c bigint")
     return counts.groupBy("k", "hash").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
 
 
@@ -291,7 +294,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, folds: int = 4, fold: int = 2) ->
             words = read_words(buf, offs, lexicon.lengths)
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(lexicon.clauses(words)), pa.array(words.per_row)], ["toxic", "total", "n"])
 
-    found = sample.select("text", "toxic").mapInArrow(run, "toxic int, total double, n bigint").toPandas()
+    found = sample.select("text", "toxic").mapInArrow(trimmed(run), "toxic int, total double, n bigint").toPandas()
     y = found["toxic"].to_numpy(float)
     per_row = np.where(y == 1, held[1] / n_t, held[0] / n_c)
     weights = fit_logistic(_features(found["total"].to_numpy(), found["n"].to_numpy()), y, per_row * len(y) / per_row.sum())
@@ -310,7 +313,7 @@ def score(docs: DataFrame, model: Model | float) -> DataFrame:
             scores = [sent.value.score(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i]) for i, j in slices(offs, 1 << 20)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([np.zeros(0), *scores]))], ["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, score double")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), "doc_id bigint, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 4, fold: int = 2) -> DataFrame:
