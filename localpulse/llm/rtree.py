@@ -283,10 +283,12 @@ class PackedTree:
 def block_pairs(members: DataFrame, rule: Rule) -> DataFrame:
     """Pairs ``a, b`` of one block and different components that the R-tree bound leaves.
 
-    ``members``: ``key, node, component, n, point, parity``.
+    ``members``: ``hub, key, node, component, n, point, parity``. Blocks with one hub
+    (their least node) go to one task, where pairs that share several of them are
+    emitted once.
     """
-    columns = ["key", "node", "component", "n", "point", "parity"]
-    sorted_ = members.select(*columns).repartition("key").sortWithinPartitions("key")
+    columns = ["key", "node", "component", "n", "point", "parity", "hub"]
+    sorted_ = members.select(*columns).repartition("hub").sortWithinPartitions("hub", "key")
 
     def search(node, comp, n, points, bits):
         for a, b in PackedTree(n, points, bits.tolist()).pairs(rule):
@@ -295,40 +297,52 @@ def block_pairs(members: DataFrame, rule: Rule) -> DataFrame:
                 yield np.minimum(node[a[cross]], node[b[cross]]), np.maximum(node[a[cross]], node[b[cross]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 4 + [np.zeros((0, GROUPS), np.int64), np.zeros(0, object)]
+        held = [np.zeros(0, np.int64)] * 4 + [np.zeros((0, GROUPS), np.int64), np.zeros(0, object), np.zeros(0, np.int64)]
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        last = None
 
-        def out(found):
+        def once():
+            return np.unique(np.stack([np.concatenate(x) for x in zip(*found, strict=True)], 1), axis=0)
+
+        def out():
             if found:
-                a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                pairs = once()
+                found.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
         def blocks(values, stop):
-            key, node, comp, n, points, bits = (v[:stop] for v in values)
+            nonlocal last
+            key, node, comp, n, points, bits, hub = (v[:stop] for v in values)
             heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if stop else np.zeros(0, np.int64)
             sizes = np.diff(np.append(heads, stop))
-            found = []
             two = heads[sizes == 2]
             bound = np.minimum(points[two], points[two + 1]).sum(1)
             two = two[_may_link(n[two], n[two + 1], bound, rule) & (comp[two] != comp[two + 1])]
-            for h in [*two.tolist(), *heads[sizes > 2].tolist()]:
-                end = int(np.searchsorted(key, key[h], "right"))
+            for h in sorted([*two.tolist(), *heads[sizes > 2].tolist()]):
+                end = h + int(sizes[np.searchsorted(heads, h)])
+                if hub[h] != last:
+                    yield from out()
+                    last = hub[h]
                 for pair in search(node[h:end], comp[h:end], n[h:end], points[h:end], bits[h:end]):
                     found.append(pair)
-                    if sum(len(a) for a, _ in found) > 1 << 16:
-                        yield from out(found)
-                        found = []
-            yield from out(found)
+                if sum(len(x) for x, _ in found) > 1 << 20:  # so many with repeats: fold them, and let go of what is still large
+                    pairs = once()
+                    found[:] = [(pairs[:, 0], pairs[:, 1])]
+                    if len(pairs) > 1 << 19:
+                        yield from out()
 
         for batch in batches:
             new = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(4)]
             new.append(batch.column(4).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, GROUPS))
             new.append(np.array([*batch.column(5).to_pylist(), None], object)[:-1])
+            new.append(batch.column(6).to_numpy(zero_copy_only=False).astype(np.int64))
             held = [np.concatenate(x) for x in zip(held, new, strict=True)]
             key = held[0]
-            stop = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            stop = int(np.flatnonzero(np.append(True, key[1:] != key[:-1]))[-1]) if len(key) else 0
             yield from blocks(held, stop)
             held = [v[stop:] for v in held]
         yield from blocks(held, len(held[0]))
+        yield from out()
 
     return sorted_.mapInArrow(trimmed(run), "a bigint, b bigint").distinct()
 
@@ -355,7 +369,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_i
     found = materialize(components(links), "components")
 
     # What the hubs left apart: pairs across components within a block.
-    labelled = members.drop("hub").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = labelled.withColumns({"lo": F.min("component").over(shared), "hi": F.max("component").over(shared)}).where("lo <> hi").drop("lo", "hi")
     more = block_pairs(split.join(points, "node"), rule)
     tried = hubs.select(F.col("hub").alias("a"), F.col("node").alias("b"))
