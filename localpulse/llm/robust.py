@@ -6,7 +6,8 @@ minimum covariance determinant gives a location and scatter that outliers do not
 move: concentration steps keep the ``SUPPORT`` share of rows with the smallest
 Mahalanobis distances and re-estimate from them, from two starts, of which the one
 with the smaller determinant stays. After one reweighting step, documents beyond
-the ``CUTOFF`` quantile of the chi-square distribution are rejected.
+``CUTOFF``, the 0.999 quantile of the chi-square distribution, are rejected. Where a
+scatter is singular or narrower than ``FLOOR``, it is widened to that and no further.
 
 All rows count in every step: a step is one aggregation of moments by group and
 distance bin (``BINS`` to an octave), so no group is gathered anywhere and a hot
@@ -37,10 +38,12 @@ STEPS = 4
 BINS = 64
 #: Rows a group needs for estimates of its own.
 OWN_GROUP = 200
-#: Quantiles of the chi-square distribution with as many degrees of freedom as there are features (5): fixed values.
-CHI2_MEDIAN, CHI2_975, CUTOFF = 4.3515, 12.8325, 33.10
-#: Least standard deviation of each feature (in its own unit): a group whose rows are all alike rejects no small departure.
-FLOOR = [0.50, 0.06, 0.03, 0.15, 0.12]
+#: Quantiles 0.975 and 0.999 of the chi-square distribution with as many degrees of freedom as there are features (5), and medians for 1 to 5: fixed values.
+CHI2_975, CUTOFF = 12.8325, 20.515
+CHI2_MEDIANS = [0.4549, 1.3863, 2.3660, 3.3567, 4.3515]
+#: Least standard deviation of each feature (in its own unit), so that rows that are all alike do not reject one symbol, one repeated line
+#: or one repeated 3-word window (6 words) in ``MIN_WORDS`` words, which are 0.07, 0.2 and 0.12, against sqrt(CUTOFF) = 4.53 times the floor.
+FLOOR = [0.10, 0.01, 0.02, 0.05, 0.03]
 FEATURES = len(FLOOR)
 
 _LINE = byte_table(lambda b: b != 10)
@@ -137,10 +140,10 @@ _SUMS = ["n", *(f"s_{x}" for x in _X), *(f"s_{i}_{j}" for i, j in _PAIRS)]
 
 
 def _estimates(sums: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean, inverse scatter (upper triangle) and log determinant from moments; one row per key."""
+    """Mean, inverse scatter (upper triangle), log determinant and count of directions wider than the floor from moments; one row per key."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        floor = np.diag(np.square(FLOOR))
+        unit = np.outer(FLOOR, FLOOR)
         for df in batches:
             n = np.maximum(df["n"].to_numpy(float), 1.0)
             mean = df[[f"s_{x}" for x in _X]].to_numpy(float) / n[:, None]
@@ -148,16 +151,20 @@ def _estimates(sums: DataFrame, keys: list[str]) -> DataFrame:
             for i, j in _PAIRS:
                 cov[:, i, j] = cov[:, j, i] = df[f"s_{i}_{j}"].to_numpy(float) / n - mean[:, i] * mean[:, j]
             scale = df["scale"].to_numpy(float)[:, None, None] if "scale" in df else 1.0
-            cov = cov * scale + floor
-            inv = np.linalg.inv(cov) if len(df) else cov
+            # In units of the floor no direction is narrower than 1.
+            width, axes = np.linalg.eigh(cov * scale / unit)
+            free = (width > 1.0).sum(1)
+            width = np.maximum(width, 1.0)
+            inv = (axes / width[:, None, :]) @ axes.transpose(0, 2, 1) / unit
             out = df[keys].copy()
             out["mean"] = list(mean)
             out["inv"] = [[float(m[i, j]) for i, j in _PAIRS] for m in inv]
-            out["logdet"] = np.linalg.slogdet(cov)[1] if len(df) else np.zeros(0)
+            out["logdet"] = np.log(width).sum(1)
+            out["free"] = free.astype(np.int32)
             yield out
 
     fields = ", ".join(f"{k} {sums.schema[k].dataType.simpleString()}" for k in keys)
-    return sums.mapInPandas(run, f"{fields}, mean array<double>, inv array<double>, logdet double")
+    return sums.mapInPandas(run, f"{fields}, mean array<double>, inv array<double>, logdet double, free int")
 
 
 def _nearest(rows: DataFrame, params: DataFrame, keys: list[str]) -> DataFrame:
@@ -192,14 +199,15 @@ def verdicts(stats: DataFrame) -> DataFrame:
     first = _estimates(rows.groupBy("grp").agg(*_moments()).withColumn("start", F.lit(0)), ["grp", "start"])
     medians = rows.groupBy("grp").agg(F.array(*(F.percentile_approx(x, 0.5, 1000) for x in _X)).alias("mid"))
     spread = rows.join(medians, "grp").groupBy("grp", "mid").agg(F.array(*(F.avg(F.abs(F.col(x) - F.col("mid")[i])) for i, x in enumerate(_X))).alias("mad"))
-    diagonal = [1 / (F.pow(F.col("mad")[i] * 1.2533, 2) + FLOOR[i] ** 2) if i == j else F.lit(0.0) for i, j in _PAIRS]
-    second = spread.select("grp", F.lit(1).alias("start"), F.col("mid").alias("mean"), F.array(*diagonal).alias("inv"), F.lit(0.0).alias("logdet"))
+    diagonal = [1 / F.pow(F.greatest(F.col("mad")[i] * 1.2533, F.lit(FLOOR[i])), 2) if i == j else F.lit(0.0) for i, j in _PAIRS]
+    second = spread.select("grp", F.lit(1).alias("start"), F.col("mid").alias("mean"), F.array(*diagonal).alias("inv"), F.lit(0.0).alias("logdet"), F.lit(0).alias("free"))
     params = first.unionByName(second)
     for _ in range(STEPS):
         params = materialize(_estimates(_nearest(rows, params, ["grp", "start"]), ["grp", "start"]), "estimates")
-    best = params.groupBy("grp").agg(F.min_by(F.struct("mean", "inv"), F.struct("logdet", "start")).alias("b")).select("grp", "b.*")
-    # Scale so that the median distance is that of the chi-square distribution, then reweight once.
-    scaled = _nearest(rows, best, ["grp"]).withColumn("scale", F.greatest(F.col("median") / CHI2_MEDIAN, F.lit(1e-3)))
+    best = params.groupBy("grp").agg(F.min_by(F.struct("mean", "inv", "free"), F.struct("logdet", "start")).alias("b")).select("grp", "b.*")
+    # Scale so that the median distance is that of the chi-square distribution over the directions that vary, then reweight once.
+    expected = F.array(*map(F.lit, CHI2_MEDIANS))[F.greatest(F.col("free") - 1, F.lit(0))]
+    scaled = _nearest(rows, best, ["grp", "free"]).withColumn("scale", F.greatest(F.col("median") / expected, F.lit(1e-3)))
     raw = materialize(_estimates(scaled, ["grp"]), "estimates")
     inner = rows.join(raw, "grp").where(_distance() <= CHI2_975).groupBy("grp").agg(*_moments())
     final = materialize(_estimates(inner.withColumn("scale", F.lit(1.1)), ["grp"]), "estimates")

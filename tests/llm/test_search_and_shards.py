@@ -119,3 +119,18 @@ def test_outliers_do_not_mask_each_other(spark):
     assert not out.loc[[900, 901]].kept.any() and out.loc[[900, 901]].base_failed.all()
     empty = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string")
     assert robust.verdicts(robust.counts(empty)).count() == 0
+
+
+def test_each_feature_can_reject(spark):
+    rng = np.random.Generator(np.random.PCG64(2))
+    rows = []
+    for i in range(400):
+        n = int(np.exp(rng.normal(5.5, 0.3)))
+        rows.append((i, "en", "s", n, int(n * rng.normal(5.0, 0.2)), 0, 0, 0))
+    odd = {900: (2500, 12500, 0, 0, 0), 901: (245, 1715, 0, 0, 0), 902: (245, 1225, 18, 0, 0), 903: (245, 1225, 0, 10, 0), 904: (245, 1225, 0, 0, 110)}
+    mild = {950: (245, 1225, 1, 0, 0), 951: (245, 1225, 0, 1, 0), 952: (245, 1225, 0, 0, 6)}
+    rows += [(i, "en", "s", *c) for i, c in {**odd, **mild}.items()]
+    out = robust.verdicts(spark.createDataFrame(rows, robust.COUNTS)).toPandas().set_index("doc_id")
+    assert not out.base_failed.any()
+    assert not out.loc[list(odd)].kept.any() and out.loc[list(mild)].kept.all()
+    assert out.loc[:399].kept.mean() > 0.98
