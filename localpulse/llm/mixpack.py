@@ -10,8 +10,10 @@ end together and only the last window is padded.
 
 Since the order is a formula over the queues' totals, any task can tell which
 windows its documents fall into: deficits cross windows and partitions without a
-sequential pass. ``MAX_QUEUES`` largest sources have a queue each, the others
-share one (in the order of their names), so that the totals stay small.
+sequential pass. Every source has a queue of its own. Queues of equal total and
+weight are due at the same times, so the totals are kept once for each such class
+with the number of its members: there are far fewer classes than sources, since n
+ids make at most sqrt(2 n) different totals.
 
 Defined cases: a null text is one id (the end id); a null source is a source of
 its own; repeated rows are packed as often as they occur; an empty table gives
@@ -35,7 +37,8 @@ from localpulse.llm.tokens import encoder, slices
 WINDOW = 2048
 #: Documents whose pieces are worked out at once.
 PACK_ROWS = 1000
-MAX_QUEUES = 256
+#: Windows times classes that are worked out at once.
+CELLS = 2_000_000
 #: Rows of the offsets table (writer task x source) up to which it is broadcast; it is joined by shuffle beyond.
 BROADCAST_ROWS = 200_000
 
@@ -44,13 +47,14 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 
 
 class Schedule:
-    """Which ids the windows take from which queue."""
+    """Which ids the windows take from which queue. A queue may stand for a class of ``members`` equal ones."""
 
-    def __init__(self, totals: list[int], weights: list[float], length: int) -> None:
+    def __init__(self, totals: list[int], weights: list[float], length: int, members: list[int] | None = None) -> None:
         self.totals = np.array(totals, np.int64)
         self.weights = np.array(weights, np.float64)
+        self.members = np.ones(len(totals), np.int64) if members is None else np.array(members, np.int64)
         self.length = length
-        self.n = int(self.totals.sum())
+        self.n = int((self.totals * self.members).sum())
 
     def _due(self, queue: np.ndarray | int, k: np.ndarray) -> np.ndarray:
         return (k + 0.5) / self.weights[queue]
@@ -63,33 +67,56 @@ class Schedule:
             k += (due < time) | (with_ties & (due == time))
         return np.minimum(k, self.totals[queue])
 
-    def window_of(self, queue: np.ndarray, k: np.ndarray) -> np.ndarray:
-        """Window of id ``k`` of each queue."""
-        rank, time = k.astype(np.int64), self._due(queue, k)
+    def window_of(self, queue: np.ndarray, k: np.ndarray, member: np.ndarray | int = 0) -> np.ndarray:
+        """Window of id ``k`` of each queue (of its ``member``)."""
+        rank, time = k.astype(np.int64) * self.members[queue] + member, self._due(queue, k)
         for other in range(len(self.totals)):
-            rank = rank + np.where(queue == other, 0, self._before(other, time, other < queue))
+            rank = rank + np.where(queue == other, 0, self.members[other] * self._before(other, time, other < queue))
         return rank // self.length
 
-    def taken(self, windows: np.ndarray) -> np.ndarray:
-        """Ids taken from each queue before each window: shape (windows, queues)."""
+    def cut(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids taken before each window from every member of each queue, and how many first members gave one more: shapes (windows, queues)."""
         goal = np.minimum(windows.astype(np.int64) * self.length, self.n)
         queues = range(len(self.totals))
         low = np.zeros(len(goal))
         high = np.full(len(goal), float((self.totals / self.weights).max()) + 1.0)
         for _ in range(80):  # the last time before which no more than ``goal`` ids are due
             mid = (low + high) / 2
-            few = sum(self._before(q, mid, False) for q in queues) <= goal
+            few = sum(self.members[q] * self._before(q, mid, False) for q in queues) <= goal
             low, high = np.where(few, mid, low), np.where(few, high, mid)
             if np.all(np.nextafter(low, np.inf) >= high):
                 break
         out = np.stack([self._before(q, low, False) for q in queues], 1)
-        left = goal - out.sum(1)
+        more = np.zeros_like(out)
+        left = goal - out @ self.members
         for q in queues:  # ids due at just that time, in the order of the queues
-            tie = (left > 0) & (out[:, q] < self.totals[q]) & (self._due(q, out[:, q]) == low)
-            out[:, q] += tie
-            left -= tie
+            tie = (out[:, q] < self.totals[q]) & (self._due(q, out[:, q]) == low)
+            more[:, q] = np.where(tie, np.minimum(left, self.members[q]), 0)
+            left -= more[:, q]
         assert not left.any()
-        return out
+        return out, more
+
+    def taken(self, windows: np.ndarray) -> np.ndarray:
+        """Ids taken from each queue (all its members) before each window: shape (windows, queues)."""
+        out, more = self.cut(windows)
+        return out * self.members + more
+
+    def spans(self, queue: np.ndarray, member: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First id, end and place in the window of what each window takes from a member of a queue."""
+        step = max(1, CELLS // len(self.totals))
+        found = [self._spans(queue[i : i + step], member[i : i + step], window[i : i + step]) for i in range(0, len(queue), step)]
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    def _spans(self, queue: np.ndarray, member: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        windows = np.unique(np.concatenate([window, window + 1]))
+        out, more = self.cut(windows)
+        at, to = np.searchsorted(windows, window), np.searchsorted(windows, window + 1)
+        taken = out * self.members + more
+        before = np.cumsum(taken, 1) - taken
+        base, base_to, some, some_to = out[at, queue], out[to, queue], more[at, queue], more[to, queue]
+        begin, end = base + (member < some), base_to + (member < some_to)
+        ahead = before[to, queue] - before[at, queue] + (base_to - base) * member + np.minimum(member, some_to) - np.minimum(member, some)
+        return begin, end, ahead
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str | Column, text: str | Column, source: str | Column) -> DataFrame:
@@ -125,47 +152,41 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, length: int = WIND
     stored = encode(docs, tokenizer, end_id, doc_id, text, source)
     dtype = encoder(tokenizer).dtype
     per_part = materialize(stored.groupBy("source", "part").agg(F.sum("n_tokens").alias("n")), "queue-parts")
-    per_source = per_part.groupBy("source").agg(F.sum("n").alias("n"))
-    top = per_source.orderBy(F.desc("n"), F.col("source")).limit(MAX_QUEUES - 1).collect()
-    total = per_part.agg(F.sum("n")).first()[0] or 0
-    queues = [r.source for r in top]
-    held = [r.n for r in top]
-    if total > sum(held):
-        queues.append("\x00others")
-        held.append(total - sum(held))
-    share = held if weights is None else [max(weights.get(q, 0.0), 1e-9 * max(weights.values(), default=1.0)) for q in queues]
-    plan = docs.sparkSession.sparkContext.broadcast((queues, Schedule(held, share, length)))
-
-    # A source's place in its queue: 0 for those with a queue of their own.
-    shared = F.lit(True) if not queues else ~F.coalesce(F.col("source"), F.lit("\x00null")).isin(["\x00null" if q is None else q for q in queues])
-    base = Window.orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
-    rest = per_source.where(shared).select(F.col("source"), F.coalesce(F.sum("n").over(base), F.lit(0)).alias("queue_at"))
+    # A source's class (equal total and weight) and its number there, in the order of the names, by range partitions.
+    sources = per_part.groupBy("source").agg(F.sum("n").alias("n")).withColumn("weight", F.col("n").cast("double"))
+    if weights is not None:
+        least = 1e-9 * max(weights.values(), default=1.0)
+        named = docs.sparkSession.createDataFrame([(q, float(w)) for q, w in weights.items()], "named string, target double")
+        sources = sources.join(named, F.col("source").eqNullSafe(F.col("named")), "left").select("source", "n", F.greatest(F.coalesce("target", F.lit(0.0)), F.lit(least)).alias("weight"))
+    ranged = materialize(sources.repartitionByRange(F.desc("n"), F.desc("weight"), F.col("source")).withColumn("range", F.spark_partition_id()), "queues")
+    counts = materialize(ranged.groupBy("n", "weight", "range").agg(F.count("*").alias("members")), "queue-ranges")
+    classes = sorted(counts.groupBy("n", "weight").agg(F.sum("members").alias("members")).collect(), key=lambda r: (-r.n, -r.weight))
+    plan = docs.sparkSession.sparkContext.broadcast(Schedule([r.n for r in classes], [r.weight for r in classes], length, [r.members for r in classes]))
+    earlier = Window.partitionBy("n", "weight").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("n", "weight", "range", F.coalesce(F.sum("members").over(earlier), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("n", "weight", "range").orderBy("source")) - 1
+    members = ranged.withColumn("place", place).join(starts, ["n", "weight", "range"]).select(F.col("source").alias("own"), F.col("n").alias("total"), "weight", (F.col("start") + F.col("place")).alias("member"))
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.join(rest.withColumnRenamed("source", "own"), F.col("source").eqNullSafe(F.col("own")), "left").select(F.col("source").alias("of"), F.col("part").alias("in"), (F.coalesce(F.sum("n").over(before), F.lit(0)) + F.coalesce("queue_at", F.lit(0))).alias("base"))
+    offsets = per_part.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).join(members, F.col("source").eqNullSafe(F.col("own")))
+    offsets = offsets.select(F.col("source").alias("of"), F.col("part").alias("in"), "base", "total", "weight", "member")
     offsets = materialize(offsets, "queue-offsets")
     if offsets.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    placed = stored.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in"))).select("doc_id", "source", (F.col("base") + F.col("at")).alias("at"), "n_tokens", "ids")
+    placed = stored.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in"))).select("doc_id", "source", (F.col("base") + F.col("at")).alias("at"), "n_tokens", "ids", "total", "weight", "member")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, schedule = plan.value
-        number = {name: i for i, name in enumerate(names)}
+        schedule = plan.value
+        number = {key: i for i, key in enumerate(zip(schedule.totals.tolist(), schedule.weights.tolist(), strict=True))}
         for batch in (b.slice(i, PACK_ROWS) for b in batches for i in range(0, b.num_rows, PACK_ROWS)):
-            own = batch.column(1).to_pylist()
-            queue = np.array([number.get(name, len(names) - 1) for name in own], np.int64)
-            a, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            first, last = schedule.window_of(queue, a), schedule.window_of(queue, a + n - 1)
+            queue = np.array([number[key] for key in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True)], np.int64)
+            a, n, member = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 7))
+            first, last = schedule.window_of(queue, a, member), schedule.window_of(queue, a + n - 1, member)
             per = last - first + 1
             row = np.repeat(np.arange(len(a)), per)
             window = np.repeat(first, per) + np.arange(len(row)) - np.repeat(np.cumsum(per) - per, per)
-            windows = np.unique(np.concatenate([window, window + 1]))
-            taken = schedule.taken(windows)
-            at = np.searchsorted(windows, window)
-            q = queue[row]
-            begin, end = taken[at, q], taken[at + 1, q]
+            begin, end, ahead = schedule.spans(queue[row], member[row], window)
             lo, hi = np.maximum(begin, a[row]), np.minimum(end, (a + n)[row])
-            ahead = np.cumsum(taken[at + 1] - taken[at], 1)
-            offset = ahead[np.arange(len(q)), q] - (end - begin) + lo - begin
+            offset = ahead + lo - begin
             some = hi > lo
             row, window, lo, hi, offset = (x[some] for x in (row, window, lo, hi, offset))
             start = lo - a[row]

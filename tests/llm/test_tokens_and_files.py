@@ -123,3 +123,36 @@ def test_proportions_hold_in_every_window(spark):
     rows = mixpack.pack(docs, tokenizer_path(), length=300).toPandas()
     share = rows[rows.source == "small"].groupby("sequence_id").length.sum().iloc[:-1]
     assert share.between(98, 102).all()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 60), st.integers(1, 5)), min_size=1, max_size=5), st.integers(1, 50))
+def test_classes_against_sorting(classes, length):
+    totals, members = zip(*classes, strict=True)
+    order = sorted(((k + 0.5) / np.float64(t), q, j, k) for q, (t, m) in enumerate(classes) for j in range(m) for k in range(t))
+    plan = mixpack.Schedule(totals, [float(t) for t in totals], length, members)
+    queue, member, k = (np.array([r[i] for r in order]) for i in (1, 2, 3))
+    window = plan.window_of(queue, k, member)
+    assert window.tolist() == [i // length for i in range(len(order))]
+    begin, end, ahead = plan.spans(queue, member, window)
+    for i in range(len(order)):
+        own = order[window[i] * length : (window[i] + 1) * length]
+        mine = [r[3] for r in own if r[1:3] == order[i][1:3]]
+        assert (begin[i], end[i]) == (mine[0], mine[-1] + 1)
+        assert ahead[i] == sum(r[1:3] < order[i][1:3] for r in own)
+
+
+@pytest.mark.parametrize("named", [False, True])
+def test_every_source_has_a_queue(spark, named):
+    # 300 sources: with a shared queue for the smallest, a window would hold one or two of those.
+    docs = spark.createDataFrame([(i, "a b c d e f g h " * (2 if i >= 270 else 8), f"s{i:03d}") for i in range(300)], "doc_id int, text string, source string")
+    weights = {"s280": 1.0, "s000": 1.0} if named else None
+    rows = mixpack.pack(docs, tokenizer_path(), length=1000, weights=weights).toPandas()
+    assert rows.groupby("sequence_id").length.sum().iloc[:-1].eq(1000).all()
+    if named:
+        assert (rows[rows.source == "s280"].sequence_id == 0).all()
+        return
+    sizes = rows.groupby("source").length.sum()
+    per = rows.groupby(["source", "sequence_id"]).length.sum().unstack(fill_value=0).iloc[:, :-1]
+    expected = sizes.to_numpy()[:, None] * 1000 / sizes.sum()
+    assert (abs(per.to_numpy() - expected) <= 2).all()
