@@ -49,10 +49,20 @@ def ingest_listings(sightings: DataFrame, table: SnapshotTable, checkpoint: str,
 
 
 def ingest_snapshots(audits: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Score arriving audits and append one row per place and time."""
-    once = audits.withWatermark("audited_ts", "1 day").dropDuplicatesWithinWatermark(["place_id", "audited_ts"])
-    scored = with_neglect(once).withColumn("signals", F.map_keys("signals"))
-    return scored.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    """Score arriving audits and append one row per place and time, however late; each batch is a folder ``v=<batch>`` of the table at ``path``."""
+    key = ["place_id", "audited_ts"]
+    spark = audits.sparkSession
+
+    def append(batch: DataFrame, number: int) -> None:
+        table = SnapshotTable(spark, path, batch)
+        new = batch.dropDuplicates(key)
+        held = [f"{path}/v={v}" for v in table.versions() if v < number]
+        if held:
+            old = spark.read.parquet(*held).select(*(F.col(k).alias(f"_{k}") for k in key))
+            new = new.join(old, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key], "left_anti")
+        table.write(with_neglect(new).withColumn("signals", F.map_keys("signals")), number)
+
+    return audits.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def live_grid(points: DataFrame, name: str, checkpoint: str) -> StreamingQuery:

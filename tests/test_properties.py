@@ -1,5 +1,6 @@
 """Properties: merges are idempotent, pruning is greedy, prefixes never overspend, streams equal batches."""
 
+import datetime
 import math
 import random
 
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from localpulse.operators import budget, discovery, grid, store
 from localpulse.sources.scratch import new_path
-from localpulse.streaming.jobs import SnapshotTable, ingest_listings
+from localpulse.streaming.jobs import SnapshotTable, ingest_listings, ingest_snapshots
 
 SIGHTING = "place_id string, name string, website string, review_count bigint, state_code string, trade_bucket string, relevance string, found_via array<string>, seq bigint"
 BUSINESS = "place_id string, state_code string, trade_bucket string, relevance string, name string, website string, review_count bigint, found_via array<string>, first_seen timestamp, last_refreshed timestamp"
@@ -87,3 +88,14 @@ def test_empty_tables(spark):
     cells = spark.createDataFrame([], "cell_id string, lat double, lng double, population bigint")
     assert discovery.prune_overlapping(discovery.plan_cells(cells)).count() == 0
     assert budget.budget_prefix(spark.createDataFrame([], "id int, cost bigint"), "cost", ["id"], 5).count() == 0
+
+
+def test_late_audits_are_kept(spark):
+    schema = "place_id string, audited_ts timestamp, total_photos int"
+    source, sink, checkpoint = (new_path(spark, tag) for tag in ("late-in", "late-out", "late-cp"))
+    day = lambda d: datetime.datetime(2026, 3, d)
+    for rows in ([("a", day(20), 1), ("a", day(20), 1), ("b", day(19), 2)], [("a", day(2), 3), ("a", day(20), 1), ("c", day(1), 4)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        ingest_snapshots(spark.readStream.schema(schema).parquet(source), sink, checkpoint).awaitTermination()
+    got = sorted((r.place_id, r.audited_ts.day) for r in spark.read.parquet(sink).collect())
+    assert got == [("a", 2), ("a", 20), ("b", 19), ("c", 1)]
