@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,10 +17,12 @@ _OWN_DIR: list[str] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder the cluster shares (``spark.checkpoint.dir``); a folder of our own only where it is unset."""
+    """The folder the cluster shares (``spark.checkpoint.dir``); where it is unset, a folder of our own in local mode, and an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if found:
         return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _OWN_DIR:
         _OWN_DIR.append(tempfile.mkdtemp(prefix="localpulse-"))
     return f"file://{_OWN_DIR[0]}"
@@ -55,23 +58,22 @@ def release(spark: SparkSession, paths: list[str]) -> None:
 
 
 BATCH_BYTES = 4 << 20
-_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def trimmed(run):
-    """``run`` (for mapInArrow) for whole texts: with Arrow batches of ``BATCH_BYTES``, and freed memory given back when a task ends.
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``BATCH_BYTES``; the number of rows says little about a batch of texts."""
+    for batch in batches:
+        step = max(1, batch.num_rows * BATCH_BYTES // max(batch.nbytes, 1))
+        for i in range(0, batch.num_rows, step):
+            yield batch.slice(i, step)
 
-    The number of rows says little about a batch of texts, so the session's limit
-    in bytes is lowered from its default; a limit that the user chose stays. Workers
-    live on for other stages, which is why their memory is given back.
-    """
-    spark = SparkSession.getActiveSession()
-    if spark is not None and spark.conf.get(_BATCH_LIMIT).rstrip("b") == str(64 << 20):
-        spark.conf.set(_BATCH_LIMIT, str(BATCH_BYTES))
+
+def trimmed(run):
+    """``run`` (for mapInArrow) for whole texts: with batches of ``BATCH_BYTES``, and freed memory given back when a task ends, since workers live on for other stages."""
 
     def task(batches):
         try:
-            yield from run(batches)
+            yield from run(_pieces(batches))
         finally:
             pa.default_memory_pool().release_unused()
             with contextlib.suppress(OSError, AttributeError):

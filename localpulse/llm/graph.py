@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import materialize
+from localpulse.llm.core import materialize, release, scratch_since
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def components(edges: DataFrame) -> DataFrame:
     only a skewed key, which the join splits; the edge list never grows.
     """
     state = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
+    before, mark = None, len(scratch_since(0)) - 1
     while True:
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -25,6 +25,9 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v")))
         state = materialize(small.distinct(), "edges")
         sign = state.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        # The state is stored: the tables it was made from are not read again.
+        release(edges.sparkSession, scratch_since(mark)[:-1])
+        mark = len(scratch_since(0)) - 1
         if (sign.n, sign.h) == before:
             break
         before = (sign.n, sign.h)

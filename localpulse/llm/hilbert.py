@@ -37,6 +37,11 @@ class Dimension:
     kind: str
 
 
+#: Dimensions of a document, and what orders rows of one curve cell.
+DIMENSIONS = [Dimension("lang", "category"), Dimension("source", "category"), Dimension("size", "log"), Dimension("doc_id", "number")]
+TIES = ["text_crc32", "size", "doc_id"]
+
+
 def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
     """Index on the Hilbert curve of integer points (rows of ``cells``), after Skilling's transform, for all rows at once."""
     x = cells.T.astype(np.int64).copy()
@@ -107,21 +112,32 @@ def curve_order(df: DataFrame, dims: list[Dimension], shards: int, ties: list[st
     return ranked.withColumn("shard", shard).withColumn("slot", F.col("_rank") - first).drop("_at", "_part", "_base", "_rank")
 
 
-def shard_documents(docs: DataFrame, shards: int = 8, *, doc_id: str = "doc_id", text: str = "text", dims: list[Dimension] | None = None) -> DataFrame:
-    """Shard and slot of every document; sizes and checksums are taken from the text, the text itself is not moved."""
+def _measured(docs: DataFrame, doc_id: str, text: str, dims: list[Dimension], *more: Column) -> DataFrame:
+    """Id, size, checksum and dimensions of every document, and ``more``."""
     size = (F.octet_length(F.coalesce(F.col(text), F.lit(""))) + 1).cast("bigint")
     crc = F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    dims = dims or [Dimension("lang", "category"), Dimension("source", "category"), Dimension("size", "log"), Dimension("doc_id", "number")]
     keep = [F.col(d.column) for d in dims if d.column not in ("doc_id", "size")]
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), size.alias("size"), crc.alias("text_crc32"), *keep)
-    return curve_order(rows, dims, shards, ["text_crc32", "size", "doc_id"])
+    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), size.alias("size"), crc.alias("text_crc32"), *keep, *more)
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str, *, doc_id: str = "doc_id") -> None:
-    """Store the documents as one folder of Parquet files per shard, each in slot order."""
-    where = placed.select(F.col("doc_id").alias("_doc"), "shard", "slot")
-    df = docs.join(where, F.col(doc_id) == F.col("_doc")).drop("_doc")
-    df.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def shard_documents(docs: DataFrame, shards: int = 8, *, doc_id: str = "doc_id", text: str = "text", dims: list[Dimension] | None = None) -> DataFrame:
+    """Shard and slot of every document; sizes and checksums are taken from the text, the text itself is not moved."""
+    dims = dims or DIMENSIONS
+    return curve_order(_measured(docs, doc_id, text, dims), dims, shards, TIES)
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = 8, *, doc_id: str = "doc_id", text: str = "text", dims: list[Dimension] | None = None) -> None:
+    """Store the documents as one folder of Parquet files per shard (``hilbert_shard``), each in the order of ``hilbert_slot``.
+
+    Whole rows move along the curve, so rows with equal or null ids stay what they
+    are. Input columns named like the two new ones are replaced.
+    """
+    dims = dims or DIMENSIONS
+    placed = curve_order(_measured(docs, doc_id, text, dims, F.struct("*").alias("_row")), dims, shards, TIES)
+    keep = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ("hilbert_shard", "hilbert_slot")]
+    df = placed.select(*keep, F.col("shard").alias("hilbert_shard"), F.col("slot").alias("hilbert_slot"))
+    order = ["hilbert_shard", "hilbert_slot"]
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("hilbert_shard").parquet(path)
 
 
 def manifest(placed: DataFrame, columns: list[str]) -> DataFrame:

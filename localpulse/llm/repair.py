@@ -3,13 +3,14 @@
 Texts are range-partitioned by document id, encoded, and cut into shards of
 about ``SHARD_TOKENS`` ids that end at a document's end. In each shard the most
 frequent pairs of neighbouring symbols become nonterminals, round after round,
-until no pair occurs ``MIN_COUNT`` times or the symbol space is used up. A shard
-is one row: rules, expansion lengths, the symbol stream, and where each
+until no pair occurs ``MIN_COUNT`` times or the symbol space is used up. Symbols
+have 16 bits where the vocabulary leaves a quarter of those free, else 32 bits with
+``WIDE_RULES`` nonterminals. A shard is one row: rules, expansion lengths, the symbol stream, and where each
 document's symbols start. No rule crosses a document's end, so a document, or a
 range of its ids, decodes without the rest of its shard.
 
 Defined cases: a null or empty text is one id (the end id); documents with equal
-ids are ordered by text; a null document id sorts first; an empty table gives no
+ids are ordered by a hash of the text, then by text; a null document id sorts first; an empty table gives no
 shard. Other columns are ignored, whatever their names.
 """
 
@@ -30,26 +31,37 @@ from localpulse.llm.tokens import encoder, slices
 
 SHARD_TOKENS = 1 << 20
 MIN_COUNT = 12
-ROUNDS = 6
 PAIRS_A_ROUND = 2048
-SYMBOLS = 1 << 16
-_HEAD = struct.Struct("<4sIIIIII")  # magic, base symbols, rules, rounds, documents, symbols, ids
+#: Nonterminals of a shard whose vocabulary does not fit 16-bit symbols.
+WIDE_RULES = 1 << 18
+_HEAD = struct.Struct("<4sIIIIIII")  # magic, base symbols, bytes of a symbol, rules, rounds, documents, symbols, ids
 
 SHARDS = "part int, shard int, part_start bigint, n_docs int, n_tokens bigint, n_symbols bigint, payload binary"
 
 
-def compress(ids: np.ndarray, doc_tokens: np.ndarray, base: int, *, min_count: int = MIN_COUNT, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+def symbol_space(base: int) -> tuple[int, type]:
+    """Symbols (ids and nonterminals) of a shard with ``base`` ids, and the type that holds them."""
+    return (1 << 16, np.uint16) if 4 * base <= 3 << 16 else (base + WIDE_RULES, np.uint32)
+
+
+def compress(ids: np.ndarray, doc_tokens: np.ndarray, base: int, *, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
     """Symbols, rules (left, right), symbols per document, and rules made up to each round."""
+    space, kind = symbol_space(base)
     seq = ids.astype(np.uint32)
+    if len(seq) and int(seq.max()) >= base:
+        raise ValueError(f"id {int(seq.max())} is outside a vocabulary of {base}")
+    # Two symbols as one number: of 32 bits where the symbols have 16.
+    half, key = (np.uint32(16), np.uint32) if kind is np.uint16 else (np.uint64(32), np.uint64)
+    low = key((1 << int(half)) - 1)
     last = np.zeros(len(seq), bool)
     last[np.cumsum(doc_tokens)[doc_tokens > 0] - 1] = True
     rules = np.zeros((0, 2), np.uint32)
     made = []
-    for _ in range(rounds):
-        room = min(PAIRS_A_ROUND, SYMBOLS - base - len(rules))
-        if room <= 0 or len(seq) < 2:
+    while len(seq) > 1:
+        room = min(PAIRS_A_ROUND, space - base - len(rules))
+        if room <= 0:
             break
-        pair = (seq[:-1] << np.uint32(16)) | seq[1:]
+        pair = (seq[:-1].astype(key) << half) | seq[1:]
         inner = ~last[:-1]
         keys = np.sort(pair[inner])
         if not len(keys):
@@ -61,8 +73,8 @@ def compress(ids: np.ndarray, doc_tokens: np.ndarray, base: int, *, min_count: i
             break
         order = np.lexsort((keys[head[good]], -count[good]))[:room]
         chosen = np.sort(keys[head[good[order]]])
-        left, right = np.zeros(SYMBOLS, bool), np.zeros(SYMBOLS, bool)
-        left[chosen >> 16], right[chosen & 0xFFFF] = True, True
+        left, right = np.zeros(space, bool), np.zeros(space, bool)
+        left[chosen >> half], right[chosen & low] = True, True
         at = np.flatnonzero(inner & left[seq[:-1]] & right[seq[1:]])
         slot = np.minimum(np.searchsorted(chosen, pair[at]), len(chosen) - 1)
         hit = chosen[slot] == pair[at]
@@ -78,7 +90,7 @@ def compress(ids: np.ndarray, doc_tokens: np.ndarray, base: int, *, min_count: i
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
         seq, last = seq[stay], last[stay]
-        rules = np.concatenate([rules, np.stack([chosen >> 16, chosen & 0xFFFF], 1).astype(np.uint32)])
+        rules = np.concatenate([rules, np.stack([chosen >> half, chosen & low], 1).astype(np.uint32)])
         made.append(len(rules))
     ends = np.flatnonzero(last) + 1
     per_doc = np.zeros(len(doc_tokens), np.int64)
@@ -98,10 +110,11 @@ def expansion_lengths(rules: np.ndarray, base: int, made: list[int]) -> np.ndarr
 
 def pack_shard(doc_ids: np.ndarray, doc_tokens: np.ndarray, ids: np.ndarray, base: int) -> tuple[bytes, int]:
     seq, rules, per_doc, made = compress(ids, doc_tokens, base)
+    kind = symbol_space(base)[1]
     parts = [
-        _HEAD.pack(b"RPG1", base, len(rules), len(made), len(doc_ids), len(seq), len(ids)),
-        np.array(made, np.uint32), rules.astype(np.uint16), expansion_lengths(rules, base, made),
-        doc_ids.astype(np.int64), per_doc.astype(np.uint32), doc_tokens.astype(np.uint32), seq.astype(np.uint16),
+        _HEAD.pack(b"RPG2", base, kind().itemsize, len(rules), len(made), len(doc_ids), len(seq), len(ids)),
+        np.array(made, np.uint32), rules.astype(kind), expansion_lengths(rules, base, made),
+        doc_ids.astype(np.int64), per_doc.astype(np.uint32), doc_tokens.astype(np.uint32), seq.astype(kind),
     ]
     return b"".join(p if isinstance(p, bytes) else p.tobytes() for p in parts), len(seq)
 
@@ -110,9 +123,10 @@ class Shard:
     """One shard read back: whole, by document, or by a range of a document's ids."""
 
     def __init__(self, payload: bytes) -> None:
-        magic, self.base, n_rules, rounds, docs, symbols, self.n_tokens = _HEAD.unpack_from(payload)
-        if magic != b"RPG1":
+        magic, self.base, width, n_rules, rounds, docs, symbols, self.n_tokens = _HEAD.unpack_from(payload)
+        if magic != b"RPG2":
             raise ValueError("not a shard of pair-grammar token ids")
+        self.kind = np.uint16 if width == 2 else np.uint32
         at = _HEAD.size
 
         def read(kind, n):
@@ -122,19 +136,19 @@ class Shard:
             return out
 
         self.made = read(np.uint32, rounds).tolist()
-        self.rules = read(np.uint16, 2 * n_rules).reshape(-1, 2)
+        self.rules = read(self.kind, 2 * n_rules).reshape(-1, 2)
         self.sizes = read(np.uint32, n_rules)
         self.doc_ids, self.doc_symbols, self.doc_tokens = read(np.int64, docs), read(np.uint32, docs), read(np.uint32, docs)
-        self.symbols = read(np.uint16, symbols)
+        self.symbols = read(self.kind, symbols)
 
     def expand(self, seq: np.ndarray) -> np.ndarray:
-        seq = seq.astype(np.uint16)
+        seq = seq.astype(self.kind)
         tops = [0, *self.made]
         for low, high in zip(tops[-2::-1], tops[:0:-1], strict=True):
             big = (seq >= self.base + low) & (seq < self.base + high) if high < len(self.rules) else seq >= self.base + low
             n = big.astype(np.int64) + 1
             stop = np.cumsum(n)
-            out = np.empty(int(stop[-1]) if len(stop) else 0, np.uint16)
+            out = np.empty(int(stop[-1]) if len(stop) else 0, self.kind)
             first = stop - n
             rule = self.rules[seq[big].astype(np.int64) - self.base]
             out[first] = seq
@@ -163,7 +177,9 @@ def write_shards(docs: DataFrame, tokenizer: str, *, end_id: int = 2, doc_id: st
     """Encode ``docs`` and store them as shards; returns the stored shard table (columns ``SHARDS``)."""
     col = lambda c: F.col(c) if isinstance(c, str) else c
     rows = docs.select(col(doc_id).cast("bigint").alias("doc_id"), col(text).cast("string").alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The hash spreads the rows of one id, and those without an id, over several tasks.
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part = encoder(tokenizer), TaskContext.get().partitionId()

@@ -1,12 +1,14 @@
 """Positional index, curve sharding, robust outliers against brute force."""
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from localpulse.llm import hilbert, positional, robust
 from localpulse.llm.core import text_buffer
@@ -90,8 +92,27 @@ def test_shards_are_even_and_gapless(spark, tmp_path):
     assert (counts["min"] == 0).all() and (counts["max"] == counts["count"] - 1).all() and (counts["nunique"] == counts["count"]).all()
     assert hilbert.shard_documents(docs.limit(0), 8).count() == 0
     assert hilbert.manifest(placed, ["lang"]).count() == 8
-    hilbert.write_shards(docs, placed, str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 101
+
+
+def test_shards_hold_the_curve_order_and_every_row(spark, tmp_path):
+    rng = np.random.Generator(np.random.PCG64(4))
+    rows = [(None if i % 9 == 0 else int(rng.integers(0, 60)), "x" * int(rng.integers(0, 3)) if i % 7 else None, f"l{i % 3}" if i % 4 else None, f"s{i % 2}", i) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, shard int")
+    dims = [hilbert.Dimension("lang", "category"), hilbert.Dimension("source", "category"), hilbert.Dimension("size", "log"), hilbert.Dimension("doc_id", "number")]
+    hilbert.write_shards(docs, str(tmp_path / "out"), 8)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(str, back.select(docs.columns).collect())) == sorted(map(str, docs.collect()))
+    sized = docs.select("*", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("size"))
+    cells = {r.shard: tuple(r)[1:] for r in sized.select("shard", *hilbert.cells(sized, dims)).collect()}
+    place = sorted(((r.hilbert_shard, r.hilbert_slot), r.shard, r.text, r.doc_id) for r in back.collect())
+    assert [p for p, *_ in place] == [(s, k) for s in range(8) for k in range(-(-150 * (s + 1) // 8) - -(-150 * s // 8))]
+    keys = []
+    for _, row, text, doc_id in place:
+        index = int(hilbert.curve_index(np.array([cells[row]]), hilbert.BITS)[0])
+        keys.append((index, zlib.crc32((text or "").encode()), len(text or "") + 1, -1 if doc_id is None else doc_id))
+    assert keys == sorted(keys)
+    got = {(r.size, r.text_crc32) for r in hilbert.shard_documents(docs, 8).collect()}
+    assert got == {(len(t or "") + 1, zlib.crc32((t or "").encode())) for _, t, *_ in rows}
 
 
 @settings(max_examples=80, deadline=None)
@@ -134,3 +155,81 @@ def test_each_feature_can_reject(spark):
     assert not out.base_failed.any()
     assert not out.loc[list(odd)].kept.any() and out.loc[list(mild)].kept.all()
     assert out.loc[:399].kept.mean() > 0.98
+
+
+def brute_mcd(x):
+    """Squared distances by concentration steps with exact supports, from the same two starts, to convergence."""
+    floor, p = np.array(robust.FLOOR), robust.FEATURES
+    unit = np.outer(floor, floor)
+
+    def estimate(rows, scale=1.0):
+        cov = np.cov(rows.T, bias=True) * scale / unit
+        width, axes = np.linalg.eigh(cov)
+        free, width = int((width > 1).sum()), np.maximum(width, 1)
+        return rows.mean(0), (axes / width) @ axes.T / unit, np.log(width).sum(), free
+
+    def dist(est):
+        d = x - est[0]
+        return np.einsum("ni,ij,nj->n", d, est[1], d)
+
+    h = int(np.ceil(robust.SUPPORT * len(x)))
+    mid = np.median(x, 0)
+    mad = np.maximum(np.abs(x - mid).mean(0) * 1.2533, floor)
+    ends = []
+    for est in (estimate(x), (mid, np.diag(1 / mad**2), 0.0, 0)):
+        for _ in range(50):
+            new = estimate(x[np.argsort(dist(est), kind="stable")[:h]])
+            if abs(new[2] - est[2]) < 1e-9:
+                break
+            est = new
+        ends.append(est)
+    best = min(ends, key=lambda e: e[2])
+    d = dist(best)
+    scale = np.median(d) / robust.CHI2_MEDIANS[max(best[3] - 1, 0)]
+    raw = estimate(x[np.argsort(d, kind="stable")[:h]], max(scale, 1e-3))
+    return dist(estimate(x[dist(raw) <= robust.CHI2_975], 1.1))
+
+
+def test_verdicts_against_brute_force(spark):
+    rng = np.random.Generator(np.random.PCG64(3))
+    rows = []
+    for g, (lang, source) in enumerate([("en", "a"), ("en", "b"), ("de", None)]):
+        for i in range(120):
+            n = int(np.exp(rng.normal(5.0 + 0.4 * g, 0.3)))
+            bad = i < 15
+            rows.append((None if i % 10 == 0 else i % 50, lang, source, n, int(n * rng.normal(4 + g, 0.3) * (1.6 if bad else 1)), int(rng.poisson(2)) + (60 if bad else 0), int(rng.poisson(1)), int(rng.poisson(n / 40))))
+    out = robust.verdicts(spark.createDataFrame(rows, robust.COUNTS)).toPandas()
+    assert len(out) == len(rows)
+    near = 0
+    for key, own in out[~out.base_failed].groupby(["lang", "source"], dropna=False):
+        n, chars = own.n_words.to_numpy(float), own.word_chars.to_numpy(float)
+        x = np.stack([np.log(n), np.log(chars / n), np.sqrt(own.n_symbols / chars), own.n_dup_lines * 10 / n, own.n_repeat_words / n], 1)
+        d = brute_mcd(x)
+        sure = (d < 0.8 * robust.CUTOFF) | (d > 1.25 * robust.CUTOFF)
+        near += (~sure).sum()
+        assert (own.kept.to_numpy() == (d <= robust.CUTOFF))[sure].all(), key
+        assert np.median(np.abs(own.distance / d - 1)) < 0.1
+    assert near < 15 and 40 <= (~out.kept & ~out.base_failed).sum() <= 70
+
+
+def test_groups_are_not_pooled_from_fifty_rows(spark):
+    """A document that is usual in one source and far out in another is judged by its own; sources too small for that share their language."""
+    rng = np.random.Generator(np.random.PCG64(5))
+
+    def row(i, source, level):
+        n = int(np.exp(rng.normal(5.5, 0.2)))
+        return (i, "en", source, n, int(n * rng.normal(level, 0.1)), 0, 0, 0)
+
+    rows = [row(i, "short", 4.0) for i in range(60)] + [row(100 + i, "long", 8.0) for i in range(60)] + [(900, "en", "short", 245, 245 * 8, 0, 0, 0)]
+    kept = robust.verdicts(spark.createDataFrame(rows, robust.COUNTS)).toPandas().set_index("doc_id").kept
+    assert not kept[900] and kept[:199].mean() > 0.95
+    few = [r for r in rows if r[0] % 100 < 35 or r[0] == 900]
+    kept = robust.verdicts(spark.createDataFrame(few, robust.COUNTS)).toPandas().set_index("doc_id").kept
+    assert kept[900]
+
+
+def test_rows_of_one_id_get_their_own_verdicts(spark):
+    rows = [(None if i % 2 else 7, "en", None, 200 + i % 30, 1000 + 5 * (i % 30), 0, 0, 0) for i in range(80)]
+    rows += [(None, "en", None, 200, 4000, 0, 0, 0), (7, "en", None, 10, 50, 0, 0, 0)]
+    out = robust.verdicts(spark.createDataFrame(rows, robust.COUNTS)).toPandas()
+    assert len(out) == 82 and out.kept.sum() == 80

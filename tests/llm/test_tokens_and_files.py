@@ -1,6 +1,7 @@
 """Token ids equal the library's; shards and packed pieces give them back."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,30 @@ def test_grammar_round_trip(docs, data):
             assert shard.document(i, a, b).tolist() == d[a:b]
 
 
+def test_grammar_of_a_large_vocabulary():
+    rng = np.random.Generator(np.random.PCG64(6))
+    phrase = rng.integers(0, 80_000, 40)
+    docs = [np.concatenate([phrase, rng.integers(60_000, 80_000, 9)]) for _ in range(50)] + [np.array([70_000])]
+    ids, n = np.concatenate(docs).astype(np.uint32), np.array([len(d) for d in docs])
+    payload, symbols = repair.pack_shard(np.arange(len(docs)), n, ids, 80_000)
+    shard = repair.Shard(payload)
+    assert symbols < len(ids) / 2 and shard.ids().tolist() == ids.tolist()
+    assert shard.document(50).tolist() == [70_000] and shard.document(7, 30, 45).tolist() == docs[7][30:45].tolist()
+    with pytest.raises(ValueError, match="vocabulary"):
+        repair.pack_shard(np.arange(1), np.array([1]), np.array([9]), 9)
+
+
+def test_grammar_stops_only_when_done():
+    """No pair within a document is left MIN_COUNT times while symbols are free."""
+    rng = np.random.Generator(np.random.PCG64(7))
+    ids = rng.zipf(1.3, 60_000).clip(0, 499).astype(np.uint16)
+    n = np.full(60, 1000)
+    seq, rules, per_doc, _ = repair.compress(ids, n, 500)
+    last = set((np.cumsum(per_doc) - 1).tolist())
+    pairs = Counter((int(a), int(b)) for i, (a, b) in enumerate(zip(seq[:-1], seq[1:], strict=True)) if i not in last and a != b)
+    assert len(rules) < (1 << 16) - 500 and max(pairs.values()) < repair.MIN_COUNT
+
+
 def test_grammar_compresses():
     ids = np.tile(np.array([1, 2, 3, 4], np.uint16), 2000)
     seq, rules, _, made = repair.compress(ids, np.array([len(ids)]), 10)
