@@ -15,16 +15,23 @@ That filter is exact, as are the bound and the final check of whole sets.
 
 Order of work:
 1. one pass over the texts: set size, set hash, point, block keys;
-2. equal sets become one class; from here on only class representatives move;
-3. each representative is checked against the hub (least id) it shares most
-   blocks with, and links give components;
-4. blocks that still hold several components are searched with an R-tree for
-   pairs across components; these are checked too. Nothing else can link.
+2. equal sets become one class; from here on only one representative of each moves;
+3. an R-tree over each block gives every representative its first partner there
+   (range queries from the block's first points, then a dual-tree join of what they
+   leave); the partner met in most blocks is checked, and links give components;
+4. blocks that still hold several components are joined by the trees again, one
+   pair for each pair of components first, then all that is left across components;
+   subtrees of one component are not descended. These pairs are checked too.
+   Nothing else can link.
+
+A block with more than ``CHUNK`` members is searched in chunks. In step 3 each has
+the block's first member; in step 4 all members outside that one's component.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing;
 a text with fewer words than a shingle is one shingle; rows with one id are one
-document to the links; rows with a null id are linked with nothing and get a null
-component; an empty table gives an empty result; other columns are ignored.
+document to the links, whatever their texts; rows with a null id are linked with
+nothing and get a null component; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,7 +54,14 @@ from localpulse.llm.tokens import slices
 GROUPS = 32
 #: Ids up to which the set of documents to compare is broadcast to the scan of the texts; beyond, it is joined by shuffle.
 BROADCAST_IDS = 2_000_000
+#: Entries of a tree node.
 PAGE = 16
+#: Members of a block that are searched in one tree.
+CHUNK = 8192
+#: Members of a task, about.
+TASK_ROWS = 50_000
+#: Range queries from a block's first points before the dual-tree join.
+SEEDS = 4
 #: Ratio of neighbouring size bands; above the greatest ratio of two linked sets.
 _MARGIN = 1.003
 
@@ -80,7 +94,7 @@ class Rule:
 #: Least and most fine groups of a set, of whose counts the parities are kept; a power of two near the set's size.
 FINE = (256, 4096)
 
-SKETCH = "doc_id bigint, n bigint, h1 bigint, h2 bigint, point array<int>, parity binary, blocks binary"
+SKETCH = "doc_id bigint, n bigint, h1 bigint, h2 bigint, point binary, parity binary, blocks binary"
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,13 +157,54 @@ def parities(h: np.ndarray, row: np.ndarray, n: np.ndarray) -> tuple[np.ndarray,
     return np.packbits((np.bincount(slot, minlength=int(groups.sum())) & 1).astype(np.uint8)), groups // 8
 
 
-def folded(bits: list[bytes]) -> np.ndarray:
-    """Parities at the least number of groups among the rows: halves of a longer row are added up."""
-    size = min(map(len, bits))
-    out = np.empty((len(bits), size), np.uint8)
-    for i, b in enumerate(bits):
-        out[i] = np.bitwise_xor.reduce(np.frombuffer(b, np.uint8).reshape(-1, size), 0)
-    return out.view(np.uint64)
+def packed_points(point: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Points in the least of 1, 2 or 4 bytes a coordinate that holds the row, and the bytes of each row."""
+    top = point.max(1, initial=0)
+    width = np.where(top < 1 << 8, 1, np.where(top < 1 << 16, 2, 4))
+    raw = point.astype("<u4").view(np.uint8).reshape(len(point), GROUPS, 4)
+    return raw[np.broadcast_to(np.arange(4) < width[:, None, None], raw.shape)], width * GROUPS
+
+
+def binary_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a binary column and where its rows start (one more entry than rows)."""
+    _, where, data = column.buffers()
+    where = np.frombuffer(where, np.int32, len(column) + 1, 4 * column.offset).astype(np.int64)
+    return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), where
+
+
+def unpacked_points(column: pa.Array) -> np.ndarray:
+    data, where = binary_rows(column)
+    out = np.empty((len(column), GROUPS), np.int32)
+    size = np.diff(where)
+    for w in (1, 2, 4):
+        own = np.flatnonzero(size == w * GROUPS)
+        out[own] = data[where[own][:, None] + np.arange(w * GROUPS)].view(f"<u{w}")
+    return out
+
+
+class Parities:
+    """Parity bits of the fine group counts of a batch."""
+
+    def __init__(self, column: pa.Array) -> None:
+        self.data, self.where = binary_rows(column)
+        self.size = np.diff(self.where)
+
+    def _folded(self, rows: np.ndarray, size: int) -> np.ndarray:
+        """Parities at ``size`` bytes: the parts of a longer row are added up."""
+        out = np.zeros((len(rows), size), np.uint8)
+        for k in np.unique(self.size[rows]).tolist():
+            own = np.flatnonzero(self.size[rows] == k)
+            out[own] = np.bitwise_xor.reduce(self.data[self.where[rows[own]][:, None] + np.arange(k)].reshape(len(own), -1, size), 1)
+        return out.view(np.uint64)
+
+    def differ(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Unequal parities of each pair of rows at the smaller number of groups: no more than the shingles in which the sets differ."""
+        out = np.empty(len(x), np.int64)
+        least = np.minimum(self.size[x], self.size[y])
+        for k in np.unique(least).tolist():
+            for own in np.array_split(np.flatnonzero(least == k), 1 + int((least == k).sum()) * k // (8 << 20)):
+                out[own] = np.bitwise_count(self._folded(x[own], k) ^ self._folded(y[own], k)).sum(1, dtype=np.int64)
+        return out
 
 
 def _binary_column(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -163,6 +218,11 @@ def _sum_by_row(values: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
+def set_hashes(h: np.ndarray, row: np.ndarray, rows: int) -> list[np.ndarray]:
+    """Two 64-bit hashes of each row's set."""
+    return [_sum_by_row(mix64(h ^ np.uint64(s)), row, rows).view(np.int64) for s in (0x2545F4914F6CDD1D, 0x27D4EB2F165667C5)]
+
+
 def _input(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
@@ -177,40 +237,37 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
                 rows = j - i
                 h, row = shingle_sets(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], rule.words)
                 n = np.bincount(row, minlength=rows)
-                h1, h2 = (_sum_by_row(mix64(h ^ np.uint64(s)), row, rows).view(np.int64) for s in (0x2545F4914F6CDD1D, 0x27D4EB2F165667C5))
+                h1, h2 = set_hashes(h, row, rows)
                 point = np.bincount(row * GROUPS + (mix64(h) >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=rows * GROUPS).astype(np.int32)
                 key, owner = block_keys(h, row, n, rule)
                 blocks = _binary_column(key, 8 * np.bincount(owner, minlength=rows))
-                points = pa.ListArray.from_arrays(pa.array(np.arange(0, rows * GROUPS + 1, GROUPS, dtype=np.int32)), pa.array(point))
+                points = _binary_column(*packed_points(point.reshape(rows, GROUPS)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, rows), pa.array(n), pa.array(h1), pa.array(h2), points, _binary_column(*parities(h, row, n)), blocks], ["doc_id", "n", "h1", "h2", "point", "parity", "blocks"])
 
     return docs.mapInArrow(trimmed(run), SKETCH)
 
 
 def exploded_blocks(reps: DataFrame) -> DataFrame:
-    """``key, node`` for each block of each representative."""
+    """``key, node`` for each block of each representative (``node, blocks``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(1)
-            _, where, data = column.buffers()
-            if data is None or not len(column):
-                continue
-            where = np.frombuffer(where, np.int32, len(column) + 1, 4 * column.offset).astype(np.int64)
-            keys = np.frombuffer(data, np.int64, (where[-1] - where[0]) // 8, where[0])
+            data, where = binary_rows(batch.column(1))
+            keys = data[where[0] : where[-1]].view(np.int64)
             nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.diff(where) // 8)
             for a in range(0, len(keys), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + (1 << 16)]), pa.array(nodes[a : a + (1 << 16)])], ["key", "node"])
 
-    return reps.select("doc_id", "blocks").mapInArrow(trimmed(run), "key bigint, node bigint")
+    return reps.select("node", "blocks").mapInArrow(trimmed(run), "key bigint, node bigint")
 
 
-def _sets(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """Stored ``node, items`` for the documents of ``pairs``; rows with one id are united."""
-    nodes = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "nodes")
+def _sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """Stored ``node, items`` for the classes of ``pairs``, from a row of each class."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    nodes = materialize(classes.join(nodes, "node", "left_semi").select("node", F.col("rep").alias("_rep"), "h1", "h2"), "nodes")
     if nodes.count() <= BROADCAST_IDS:
         nodes = F.broadcast(nodes)
-    few = docs.join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
+    few = docs.join(nodes, F.col("doc_id") == F.col("_rep")).select("node", "text", "h1", "h2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,18 +275,22 @@ def _sets(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
             for i, j in slices(offs, 1 << 20):
                 h, row = shingle_sets(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], rule.words)
                 ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=j - i))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], ["node", "items"])
+                # Other texts of the same id belong to other classes.
+                own = np.ones(j - i, bool)
+                for c, have in zip((2, 3), set_hashes(h, row, j - i), strict=True):
+                    own &= batch.column(c).slice(i, j - i).to_numpy(zero_copy_only=False) == have
+                out = pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], ["node", "items"])
+                yield out if own.all() else out.filter(pa.array(own))
 
     sets = few.mapInArrow(trimmed(run), "node bigint, items array<bigint>")
-    return materialize(sets, "sets").groupBy("node").agg(F.first("items").alias("items"))
+    return materialize(sets, "sets").groupBy("node").agg(F.first("items").alias("items"))  # rows of a class have equal sets
 
 
-def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets are similar enough."""
-    pairs = materialize(pairs, "pairs")
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """Those of the stored pairs ``a, b`` whose whole sets are similar enough."""
     if pairs.isEmpty():
         return pairs
-    sets = _sets(docs, pairs, rule)
+    sets = _sets(docs, pairs, classes, rule)
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y")).cast("bigint")
@@ -247,104 +308,205 @@ def _may_link_fine(n_a, n_b, differ, rule: Rule):
     return differ * (100 + rule.percent) <= (n_a + n_b) * (100 - rule.percent)
 
 
-class PackedTree:
-    """One level of R-tree pages over points; enough for a block, whose points are sorted by size before they are packed.
+def _packed(points: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+    """``rows`` halved at the middle of their widest coordinate until they fit a page."""
+    if len(rows) <= PAGE:
+        return [rows]
+    own = points[rows]
+    rows = rows[np.argsort(own[:, np.ptp(own, 0).argmax()], kind="stable")]
+    half = PAGE * (-(-len(rows) // PAGE) // 2)
+    return _packed(points, rows[:half]) + _packed(points, rows[half:])
+
+
+class CountTree:
+    """An R-tree over the points of a block, packed level by level into pages up to one root.
+
+    A node keeps the least set size and the greatest count of each group below it, so
+    the summed minima of two nodes bound the overlap of any two sets below them; and
+    the label that all points below it share, if they do. Two nodes of one label are
+    not descended.
 
     The sum of coordinate minima is half of what two sizes leave of the points' L1
     distance. In the fine groups, of which only parities are kept, that distance is
     at least the number of unequal parities, which bounds the minima once more.
     """
 
-    def __init__(self, n: np.ndarray, points: np.ndarray, bits: list[bytes]) -> None:
-        self.order = np.lexsort((points[:, 0], n))
-        self.n, self.points, self.bits = n[self.order], points[self.order], folded(bits)[self.order]
-        self.heads = np.arange(0, len(n), PAGE)
-        self.low = np.minimum.reduceat(self.n, self.heads)
-        self.high = np.maximum.reduceat(self.points, self.heads)
+    def __init__(self, n: np.ndarray, points: np.ndarray, label: np.ndarray) -> None:
+        wide = np.column_stack([points, n])
+        kinds, many = np.unique(label, return_counts=True)
+        # Points of one label stand together, so that whole subtrees have it.
+        parts = [own for k in kinds[many > PAGE].tolist() for own in _packed(wide, np.flatnonzero(label == k))]
+        self.order = np.concatenate(parts + _packed(wide, np.flatnonzero(np.isin(label, kinds[many <= PAGE]))))
+        self.low, self.high, self.label = [n[self.order]], [points[self.order]], [label[self.order]]
+        while len(self.low[-1]) > 1:
+            heads = np.arange(0, len(self.low[-1]), PAGE)
+            least, most = np.minimum.reduceat(self.label[-1], heads), np.maximum.reduceat(self.label[-1], heads)
+            self.low.append(np.minimum.reduceat(self.low[-1], heads))
+            self.high.append(np.maximum.reduceat(self.high[-1], heads))
+            self.label.append(np.where(least == most, least, -1))
+
+    def near(self, n: int, point: np.ndarray, rule: Rule) -> np.ndarray:
+        """Points (positions of the input) that may link with ``point``: a range query."""
+        found = np.zeros(1, np.int64)
+        for level in range(len(self.low) - 1, -1, -1):
+            found = found[_may_link(self.low[level][found], n, np.minimum(self.high[level][found], point).sum(1), rule)]
+            if level:
+                found = (found[:, None] * PAGE + np.arange(PAGE)).ravel()
+                found = found[found < len(self.low[level - 1])]
+        return self.order[found]
 
     def pairs(self, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of positions (of the input) that the bounds leave."""
-        for p, head in enumerate(self.heads.tolist()):
-            bound = np.minimum(self.high[p], self.high[p:]).sum(1)
-            rest = np.flatnonzero(_may_link(self.low[p], self.low[p:], bound, rule)) + p
-            own = np.arange(head, min(head + PAGE, len(self.n)))
-            for start in range(0, len(rest), 64):
-                other = (self.heads[rest[start : start + 64], None] + np.arange(PAGE)).ravel()
-                other = other[other < len(self.n)]
-                bound = np.minimum(self.points[own][:, None], self.points[other][None]).sum(2)
-                x, y = np.nonzero(_may_link(self.n[own][:, None], self.n[other][None], bound, rule) & (own[:, None] < other[None]))
-                x, y = own[x], other[y]
-                differ = np.bitwise_count(self.bits[x] ^ self.bits[y]).sum(1, dtype=np.int64)
-                fine = _may_link_fine(self.n[x], self.n[y], differ, rule)
-                if fine.any():
-                    yield self.order[x[fine]], self.order[y[fine]]
-
-
-def block_pairs(members: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs ``a, b`` of one block and different components that the R-tree bound leaves.
-
-    ``members``: ``hub, key, node, component, n, point, parity``. Blocks with one hub
-    (their least node) go to one task, where pairs that share several of them are
-    emitted once.
+        """Pairs of points (positions of the input) of unlike labels that may link: a join of the tree with itself, depth first."""
+        top = len(self.low) - 1
+        todo = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))] if top else []
+        while todo:
+            level, i, j = todo.pop()
+            if len(i) > 64:
+                todo.append((level, i[64:], j[64:]))
+                i, j = i[:64], j[:64]
+            level -= 1
+            x = np.broadcast_to((i[:, None] * PAGE + np.arange(PAGE))[:, :, None], (len(i), PAGE, PAGE)).ravel()
+            y = np.broadcast_to((j[:, None] * PAGE + np.arange(PAGE))[:, None, :], (len(i), PAGE, PAGE)).ravel()
+            ok = (y < len(self.low[level])) & ((x <= y) if level else (x < y))
+            x, y = x[ok], y[ok]
+            label = self.label[level]
+            ok = (label[x] != label[y]) | (label[x] < 0)
+            x, y = x[ok], y[ok]
+            low, high = self.low[level], self.high[level]
+            ok = _may_link(low[x], low[y], np.minimum(high[x], high[y]).sum(1), rule)
+            if ok.any():
+                if level:
+                    todo.append((level, x[ok], y[ok]))
+                else:
+                    yield self.order[x[ok]], self.order[y[ok]]
+
+
+class Blocks:
+    """Whole blocks of one batch: their members in the order of block and node."""
+
+    def __init__(self, batch: pa.RecordBatch, heads: np.ndarray) -> None:
+        self.node, self.label, self.n = (batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3, 4))
+        self.points, self.parity = unpacked_points(batch.column(5)), Parities(batch.column(6))
+        self.heads, self.sizes = heads, np.diff(np.append(heads, batch.num_rows))
+
+    def _fine(self, x: np.ndarray, y: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs that the fine bound leaves, and in how many parities they differ."""
+        differ = self.parity.differ(x, y)
+        ok = _may_link_fine(self.n[x], self.n[y], differ, rule) & (self.node[x] != self.node[y])
+        return x[ok], y[ok], differ[ok]
+
+    def _pages(self, cross: bool, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Pairs within blocks of one page, for all of them at once."""
+        small = self.sizes <= PAGE
+        heads, sizes = self.heads[small], self.sizes[small]
+        step = max(1, (1 << 18) // (PAGE * PAGE))
+        for s in range(0, len(heads), step):
+            own = sizes[s : s + step]
+            row = np.repeat(heads[s : s + step], own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+            ahead = np.repeat(heads[s : s + step] + own, own) - row - 1
+            x = np.repeat(row, ahead)
+            y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(ahead) - ahead, ahead)
+            if cross:
+                unlike = self.label[x] != self.label[y]
+                x, y = x[unlike], y[unlike]
+            ok = _may_link(self.n[x], self.n[y], np.minimum(self.points[x], self.points[y]).sum(1), rule)
+            yield self._fine(x[ok], y[ok], rule)
+
+    def _tree(self, rows: np.ndarray, label: np.ndarray) -> CountTree:
+        return CountTree(self.n[rows], self.points[rows], label)
+
+    def first_partners(self, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each member at most one partner in its block that stands before it and may link."""
+
+        def first(x, y):
+            x, y = np.minimum(x, y), np.maximum(x, y)
+            order = np.lexsort((x, y))
+            keep = order[np.append(True, np.diff(y[order]) != 0)] if len(y) else order
+            return x[keep], y[keep]
+
+        for x, y, _ in self._pages(False, rule):
+            yield first(x, y)
+        for head, size in zip(self.heads[self.sizes > PAGE].tolist(), self.sizes[self.sizes > PAGE].tolist(), strict=True):
+            rows = np.arange(head, head + size)
+            tree = self._tree(rows, np.arange(size))
+            open_ = np.ones(size, bool)
+            for _ in range(SEEDS):
+                if not open_.any():
+                    break
+                seed = int(open_.argmax())
+                open_[seed] = False
+                near = tree.near(int(self.n[head + seed]), self.points[head + seed], rule)
+                near = head + near[open_[near]]
+                x, y, _ = self._fine(np.full(len(near), head + seed), near, rule)
+                open_[y - head] = False
+                yield x, y
+            rest = rows[open_]
+            if len(rest) > 1:
+                for x, y in self._tree(rest, np.arange(len(rest))).pairs(rule):
+                    yield first(*self._fine(rest[x], rest[y], rule)[:2])
+
+    def cross_pairs(self, rule: Rule, every: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs across labels that may link: all of them, or for each two labels of a block (or page run) the nearest pair."""
+
+        def chosen(x, y, differ):
+            if every or not len(x):
+                return x, y
+            low, high = np.minimum(self.label[x], self.label[y]), np.maximum(self.label[x], self.label[y])
+            order = np.lexsort((self.node[y], self.node[x], differ, high, low))
+            keep = order[np.append(True, (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0))]
+            return x[keep], y[keep]
+
+        for found in self._pages(True, rule):
+            yield chosen(*found)
+        for head, size in zip(self.heads[self.sizes > PAGE].tolist(), self.sizes[self.sizes > PAGE].tolist(), strict=True):
+            rows = np.arange(head, head + size)
+            held = [np.zeros(0, np.int64)] * 3
+            for x, y in self._tree(rows, np.unique(self.label[rows], return_inverse=True)[1]).pairs(rule):
+                new = self._fine(rows[x], rows[y], rule)
+                if every:
+                    yield new[:2]
+                    continue
+                x, y = chosen(*(np.concatenate(z) for z in zip(held, new, strict=True)))
+                held = [x, y, self.parity.differ(x, y)]
+            yield held[0], held[1]
+
+
+def block_pairs(members: DataFrame, rule: Rule, search) -> DataFrame:
+    """Distinct pairs ``a < b`` that ``search`` (of ``Blocks``) finds within blocks, and in how many blocks (``shared``).
+
+    ``members``: ``key, chunk, node, label, n, point, parity``; a block is a key and chunk.
     """
-    columns = ["key", "node", "component", "n", "point", "parity", "hub"]
-    sorted_ = members.select(*columns).repartition("hub").sortWithinPartitions("hub", "key")
-
-    def search(node, comp, n, points, bits):
-        for a, b in PackedTree(n, points, bits.tolist()).pairs(rule):
-            cross = comp[a] != comp[b]
-            if cross.any():
-                yield np.minimum(node[a[cross]], node[b[cross]]), np.maximum(node[a[cross]], node[b[cross]])
+    spark = members.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, 1 + members.count() // TASK_ROWS)
+    columns = ["key", "chunk", "node", "label", "n", "point", "parity"]
+    sorted_ = members.select(*columns).repartition(parts, "key", "chunk").sortWithinPartitions("key", "chunk", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 4 + [np.zeros((0, GROUPS), np.int64), np.zeros(0, object), np.zeros(0, np.int64)]
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        last = None
-
-        def once():
-            return np.unique(np.stack([np.concatenate(x) for x in zip(*found, strict=True)], 1), axis=0)
-
-        def out():
-            if found:
-                pairs = once()
-                found.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-        def blocks(values, stop):
-            nonlocal last
-            key, node, comp, n, points, bits, hub = (v[:stop] for v in values)
-            heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if stop else np.zeros(0, np.int64)
-            sizes = np.diff(np.append(heads, stop))
-            two = heads[sizes == 2]
-            bound = np.minimum(points[two], points[two + 1]).sum(1)
-            two = two[_may_link(n[two], n[two + 1], bound, rule) & (comp[two] != comp[two + 1])]
-            for h in sorted([*two.tolist(), *heads[sizes > 2].tolist()]):
-                end = h + int(sizes[np.searchsorted(heads, h)])
-                if hub[h] != last:
-                    yield from out()
-                    last = hub[h]
-                for pair in search(node[h:end], comp[h:end], n[h:end], points[h:end], bits[h:end]):
-                    found.append(pair)
-                if sum(len(x) for x, _ in found) > 1 << 20:  # so many with repeats: fold them, and let go of what is still large
-                    pairs = once()
-                    found[:] = [(pairs[:, 0], pairs[:, 1])]
-                    if len(pairs) > 1 << 19:
-                        yield from out()
+        def whole(batch, heads):
+            for x, y in search(Blocks(batch, heads), rule):
+                if len(x):
+                    a, b = batch.column(2).take(pa.array(x)).to_numpy(), batch.column(2).take(pa.array(y)).to_numpy()
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
+        held = None
         for batch in batches:
-            new = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(4)]
-            new.append(batch.column(4).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, GROUPS))
-            new.append(np.array([*batch.column(5).to_pylist(), None], object)[:-1])
-            new.append(batch.column(6).to_numpy(zero_copy_only=False).astype(np.int64))
-            held = [np.concatenate(x) for x in zip(held, new, strict=True)]
-            key = held[0]
-            stop = int(np.flatnonzero(np.append(True, key[1:] != key[:-1]))[-1]) if len(key) else 0
-            yield from blocks(held, stop)
-            held = [v[stop:] for v in held]
-        yield from blocks(held, len(held[0]))
-        yield from out()
+            if held is not None and held.num_rows:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            key, chunk = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            heads = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])))
+            yield from whole(batch.slice(0, int(heads[-1])), heads[:-1])
+            held = batch.slice(int(heads[-1]))
+        if held is not None:
+            yield from whole(held, np.zeros(1, np.int64))
+
+    return sorted_.mapInArrow(trimmed(run), "a bigint, b bigint").groupBy("a", "b").agg(F.count("*").alias("shared"))
+
 
-    return sorted_.mapInArrow(trimmed(run), "a bigint, b bigint").distinct()
+def _chunked(members: DataFrame, everywhere) -> DataFrame:
+    """``members`` (``node, size``) with ``chunk``; those of ``everywhere`` stand in all chunks of their block."""
+    chunks = F.ceil(F.col("size") / CHUNK)
+    own = F.array(F.pmod(F.xxhash64("node"), chunks))
+    return members.withColumn("chunk", F.explode(F.when((chunks > 1) & everywhere, F.sequence(F.lit(0).cast("bigint"), chunks - 1)).otherwise(own))).drop("size")
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -353,32 +515,51 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_i
     docs = _input(docs, doc_id, text)
     sketch = materialize(sketches(docs, rule), "sketches")
     full = sketch.where("n > 0 AND doc_id IS NOT NULL")
-    classes = materialize(full.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = classes.select(F.col("rep").alias("_rep"), F.col("h1").alias("_h1"))
-    reps = full.join(reps, (F.col("doc_id") == F.col("_rep")) & (F.col("h1") == F.col("_h1")), "left_semi")
+    classes = full.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"))
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    same = ["h1", "h2", "n"]
+    reps = full.join(classes, same).where(F.col("doc_id") == F.col("rep")).select("node", "n", "point", "parity", "blocks")
+
     shared = Window.partitionBy("key")
-    members = exploded_blocks(reps).withColumns({"hub": F.min("node").over(shared), "size": F.count("*").over(shared)}).where("size > 1").drop("size")
+    members = exploded_blocks(reps).withColumns({"hub": F.min("node").over(shared), "size": F.count("*").over(shared)}).where("size > 1")
     members = materialize(members, "blocks")
-    points = materialize(reps.select(F.col("doc_id").alias("node"), "n", "point", "parity").join(members.select("node").distinct(), "node", "left_semi"), "points")
-
-    # Each representative against the hub it shares most blocks with.
-    hubs = members.where("hub < node").groupBy("node", "hub").count().groupBy("node").agg(F.max_by("hub", F.struct("count", -F.col("hub"))).alias("hub"))
-    p = hubs.join(points, "node").drop("parity").join(points.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("point").alias("hub_point")), "hub")
-    bound = F.aggregate(F.zip_with("point", "hub_point", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    links = verified(p.where(_may_link(F.col("n"), F.col("hub_n"), bound, rule)).select(F.col("hub").alias("a"), F.col("node").alias("b")), docs, rule)
+    points = reps.select("node", "n", "point", "parity").join(members.select("node").distinct(), "node", "left_semi")
+    points = materialize(points.dropDuplicates(["node"]), "points")
+
+    # Every representative's first partners by the trees; the one met in most blocks is checked.
+    placed = _chunked(members, F.col("node") == F.col("hub")).withColumn("label", F.col("node"))
+    partners = block_pairs(placed.join(points, "node"), rule, Blocks.first_partners)
+    best = partners.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
+    tried = materialize(best.select("a", "b"), "pairs")
+    links = verified(tried, docs, classes, rule)
+    # Texts of one id are one document.
+    ids = full.select("doc_id", *same).join(classes, same).select("doc_id", "node")
+    ids = ids.join(ids.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("doc_id", "a"), "doc_id")
+    links = links.unionByName(materialize(ids.where("a <> node").select("a", F.col("node").alias("b")).distinct(), "links"))
     found = materialize(components(links), "components")
 
-    # What the hubs left apart: pairs across components within a block.
-    labelled = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = labelled.withColumns({"lo": F.min("component").over(shared), "hi": F.max("component").over(shared)}).where("lo <> hi").drop("lo", "hi")
-    more = block_pairs(split.join(points, "node"), rule)
-    tried = hubs.select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    more = verified(more.join(tried, ["a", "b"], "left_anti"), docs, rule)
-    if not more.isEmpty():
-        found = materialize(components(links.unionByName(more)), "components")
-
-    named = classes.join(found, F.col("rep") == F.col("node"), "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component_id"))
-    out = sketch.select("doc_id", "n", "h1", "h2").join(named, ["h1", "h2", "n"], "left")
+    # What is left apart: pairs across components within a block.
+    for every in (False, True):
+        labelled = members.join(found, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+        labelled = labelled.withColumns({"lo": F.min("label").over(shared), "hi": F.max("label").over(shared), "first": F.min_by("label", "node").over(shared)})
+        split = materialize(labelled.where("lo <> hi").drop("lo", "hi"), "split")
+        if split.isEmpty():
+            break
+        placed = _chunked(split, F.col("label") != F.col("first"))
+        more = block_pairs(placed.join(points, "node"), rule, lambda blocks, rule, every=every: blocks.cross_pairs(rule, every))
+        more = materialize(more.select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
+        if more.isEmpty():
+            break
+        new = verified(more, docs, classes, rule)
+        tried = tried.unionByName(more)
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            found = materialize(components(links), "components")
+
+    named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = named.join(least, "component").select(*same, "component_id")
+    out = sketch.select("doc_id", *same).join(named, same, "left")
     component = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,6 +76,59 @@ def test_near_duplicates_odd_rows(spark):
     assert rtree.near_duplicates(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_rows_of_one_id_unite_their_links(spark):
+    """1 is like one text of 5, 7 like the other: all are one component, in any order of rows."""
+    x, y = ([f"{c}{i}" for i in range(60)] for c in "xy")
+    rows = [(1, " ".join(x)), (5, " ".join([*x[:-1], "z"])), (5, " ".join(y)), (7, " ".join([*y[:-1], "z"])), (9, "q " * 9)]
+    for order in (rows, rows[::-1]):
+        got = {(r.doc_id, r.component_id) for r in rtree.near_duplicates(spark.createDataFrame(order, "doc_id bigint, text string")).collect()}
+        assert got == {(1, 1), (5, 1), (7, 1), (9, 9)}
+
+
+def test_trees_against_all_pairs():
+    """The range query and the join of a tree find just the pairs that the bound leaves, less those of one label."""
+    rng = np.random.Generator(np.random.PCG64(8))
+    rule = rtree.Rule(4, 85)
+    for m in (2, 17, 300):
+        points = np.concatenate([rng.poisson(c, (m, rtree.GROUPS)) for c in (3, 9)])[rng.permutation(2 * m)][:m].astype(np.int32)
+        points[m // 2 :] = points[rng.integers(0, m // 2 + 1, m - m // 2)] + rng.integers(0, 2, (m - m // 2, rtree.GROUPS))
+        n, label = points.sum(1) + rng.integers(0, 3, m), rng.integers(0, 4, m)
+        bound = np.minimum(points[:, None], points[None]).sum(2)
+        want = rtree._may_link(n[:, None], n[None], bound, rule)
+        tree = rtree.CountTree(n, points, label)
+        for i in range(0, m, 7):
+            assert sorted(tree.near(int(n[i]), points[i], rule).tolist()) == np.flatnonzero(want[i]).tolist()
+        got = sorted((min(a, b), max(a, b)) for x, y in tree.pairs(rule) for a, b in zip(x.tolist(), y.tolist(), strict=True))
+        assert got == [(a, b) for a in range(m) for b in range(a + 1, m) if want[a, b] and label[a] != label[b]]
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_large_groups_in_chunks(spark, monkeypatch, seed):
+    """Blocks far larger than a page, cut into chunks, lose no link: near copies, a chain of copies, and a group just below the threshold."""
+    monkeypatch.setattr(rtree, "CHUNK", 24)
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(150)]
+    docs = []
+    for i in range(120):
+        copy = list(base)
+        for _ in range(rng.choice([1, 1, 2, 4])):
+            copy[rng.randrange(150)] = f"r{i}"
+        docs.append((i, " ".join(copy)))
+    for i in range(60):
+        base[rng.randrange(150)] = f"c{i}"
+        docs.append((200 + i, " ".join(base)))
+    rng.shuffle(docs)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in rtree.near_duplicates(df, words=4, percent=85).collect()}
+    assert got == brute(docs, 4, 85)
+
+
+def test_very_long_text(spark):
+    long = " ".join(f"w{i}" for i in range(150_000))
+    df = spark.createDataFrame([(3, long), (8, long + " end"), (9, long.replace("w1", "v1"))], "doc_id bigint, text string")
+    assert {r.doc_id: r.component_id for r in rtree.near_duplicates(df).collect()} == {3: 3, 8: 3, 9: 9}
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, x) for x in range(101, 140)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
