@@ -1,19 +1,20 @@
 """Packing by deficit round-robin over source queues.
 
-Each source is a queue of its documents' ids. Every window of ``length`` ids is
-filled from all queues at once in the target proportions; what rounding withholds
-from a queue (its deficit) is carried to the next window. Written as virtual
-time: id k of a queue with weight w is due at (k + 1/2) / w, and a window takes
-the next ``length`` ids that are due. A queue that runs dry leaves its share to
-the others. Without weights each queue weighs what it holds, so that all queues
-end together and only the last window is padded.
-
-Since the order is a formula over the queues' totals, any task can tell which
-windows its documents fall into: deficits cross windows and partitions without a
-sequential pass. Every source has a queue of its own. Queues of equal total and
-weight are due at the same times, so the totals are kept once for each such class
-with the number of its members: there are far fewer classes than sources, since n
-ids make at most sqrt(2 n) different totals.
+Each source is a queue of its documents' ids, in packets of at most ``PACKET`` ids
+of one document. In every round a queue's deficit counter grows by its quantum (its
+target share of a window), and the queue sends packets while the counter covers
+them; what is left over stays in the counter for the next round. The rounds' packets
+one after another are the stream that is cut into windows of ``length`` ids. A queue
+that has run dry leaves its share to the others.
+
+No counter has to be stepped: after r rounds a queue has been given r quanta, so a
+packet that ends at id e of its queue is sent in round ceil(e / quantum). Deficits
+thus cross windows and partitions, and the stream's order is a sort by round, source
+and place, whatever the number of sources. Quanta are whole numbers of 1/``UNIT`` ids,
+so the rounds are exact. While no queue is dry, after any number of ids a source is
+at most a packet and a quantum behind, and a window ahead of or behind its target.
+
+A document is cut where a packet ends that others follow, and at window edges.
 
 Defined cases: a null text is one id (the end id); a null source is a source of
 its own; repeated rows are packed as often as they occur; an empty table gives
@@ -35,88 +36,26 @@ from localpulse.llm.core import materialize, text_buffer, trimmed
 from localpulse.llm.tokens import encoder, slices
 
 WINDOW = 2048
-#: Documents whose pieces are worked out at once.
-PACK_ROWS = 1000
-#: Windows times classes that are worked out at once.
-CELLS = 2_000_000
+PACKET = 512
+#: Parts of an id in which quanta are counted.
+UNIT = 1 << 16
 #: Rows of the offsets table (writer task x source) up to which it is broadcast; it is joined by shuffle beyond.
 BROADCAST_ROWS = 200_000
 
 TOKENS = "part int, source string, doc_id bigint, at bigint, n_tokens bigint, ids binary"
+PACKETS = "late boolean, round bigint, source string, place bigint, doc_id bigint, start bigint, doc_tokens bigint, ids binary"
+STREAM = "part int, at bigint, source string, doc_id bigint, start bigint, doc_tokens bigint, ids binary"
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, source string"
 
 
-class Schedule:
-    """Which ids the windows take from which queue. A queue may stand for a class of ``members`` equal ones."""
-
-    def __init__(self, totals: list[int], weights: list[float], length: int, members: list[int] | None = None) -> None:
-        self.totals = np.array(totals, np.int64)
-        self.weights = np.array(weights, np.float64)
-        self.members = np.ones(len(totals), np.int64) if members is None else np.array(members, np.int64)
-        self.length = length
-        self.n = int((self.totals * self.members).sum())
-
-    def _due(self, queue: np.ndarray | int, k: np.ndarray) -> np.ndarray:
-        return (k + 0.5) / self.weights[queue]
-
-    def _before(self, queue: int, time: np.ndarray, with_ties: np.ndarray | bool) -> np.ndarray:
-        """Ids of a queue that are due before each time (or at it, ``with_ties``)."""
-        k = np.maximum(np.floor(time * self.weights[queue] - 0.5).astype(np.int64) - 1, 0)
-        for _ in range(4):
-            due = self._due(queue, k)
-            k += (due < time) | (with_ties & (due == time))
-        return np.minimum(k, self.totals[queue])
-
-    def window_of(self, queue: np.ndarray, k: np.ndarray, member: np.ndarray | int = 0) -> np.ndarray:
-        """Window of id ``k`` of each queue (of its ``member``)."""
-        rank, time = k.astype(np.int64) * self.members[queue] + member, self._due(queue, k)
-        for other in range(len(self.totals)):
-            rank = rank + np.where(queue == other, 0, self.members[other] * self._before(other, time, other < queue))
-        return rank // self.length
-
-    def cut(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids taken before each window from every member of each queue, and how many first members gave one more: shapes (windows, queues)."""
-        goal = np.minimum(windows.astype(np.int64) * self.length, self.n)
-        queues = range(len(self.totals))
-        low = np.zeros(len(goal))
-        high = np.full(len(goal), float((self.totals / self.weights).max()) + 1.0)
-        for _ in range(80):  # the last time before which no more than ``goal`` ids are due
-            mid = (low + high) / 2
-            few = sum(self.members[q] * self._before(q, mid, False) for q in queues) <= goal
-            low, high = np.where(few, mid, low), np.where(few, high, mid)
-            if np.all(np.nextafter(low, np.inf) >= high):
-                break
-        out = np.stack([self._before(q, low, False) for q in queues], 1)
-        more = np.zeros_like(out)
-        left = goal - out @ self.members
-        for q in queues:  # ids due at just that time, in the order of the queues
-            tie = (out[:, q] < self.totals[q]) & (self._due(q, out[:, q]) == low)
-            more[:, q] = np.where(tie, np.minimum(left, self.members[q]), 0)
-            left -= more[:, q]
-        assert not left.any()
-        return out, more
-
-    def taken(self, windows: np.ndarray) -> np.ndarray:
-        """Ids taken from each queue (all its members) before each window: shape (windows, queues)."""
-        out, more = self.cut(windows)
-        return out * self.members + more
-
-    def spans(self, queue: np.ndarray, member: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First id, end and place in the window of what each window takes from a member of a queue."""
-        step = max(1, CELLS // len(self.totals))
-        found = [self._spans(queue[i : i + step], member[i : i + step], window[i : i + step]) for i in range(0, len(queue), step)]
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
-
-    def _spans(self, queue: np.ndarray, member: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        windows = np.unique(np.concatenate([window, window + 1]))
-        out, more = self.cut(windows)
-        at, to = np.searchsorted(windows, window), np.searchsorted(windows, window + 1)
-        taken = out * self.members + more
-        before = np.cumsum(taken, 1) - taken
-        base, base_to, some, some_to = out[at, queue], out[to, queue], more[at, queue], more[to, queue]
-        begin, end = base + (member < some), base_to + (member < some_to)
-        ahead = before[to, queue] - before[at, queue] + (base_to - base) * member + np.minimum(member, some_to) - np.minimum(member, some)
-        return begin, end, ahead
+def _bounds(column: pa.Array, width: int) -> tuple[pa.Buffer, np.ndarray]:
+    """Data of a binary column, and where its rows start in elements of ``width`` bytes (one more entry than rows)."""
+    _, where, data = column.buffers()
+    return data, np.frombuffer(where, np.int32, len(column) + 1, 4 * column.offset).astype(np.int64) // width
+
+
+def _binaries(data: pa.Buffer, bounds: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), data])
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str | Column, text: str | Column, source: str | Column) -> DataFrame:
@@ -143,60 +82,109 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str | Column, t
     return materialize(rows.mapInArrow(trimmed(run), TOKENS), "tokens")
 
 
-def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, length: int = WINDOW, weights: dict[str, float] | None = None, doc_id: str | Column = "doc_id", text: str | Column = "text", source: str | Column = "source") -> DataFrame:
+def quanta(per_part: DataFrame, length: int, weights: dict[str | None, float] | None, temper: float) -> DataFrame:
+    """``own`` (source), ``quantum`` and ``late`` of every source of ``per_part`` (``source, n``)."""
+    sources = per_part.groupBy("source").agg(F.sum("n").alias("n")).withColumn("share", F.pow(F.col("n").cast("double"), F.lit(temper)))
+    late = F.lit(False)
+    if weights is not None:
+        named = per_part.sparkSession.createDataFrame([(q, float(w)) for q, w in weights.items()], "named string, target double")
+        sources = sources.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("named")), "left")  # as many rows as the caller named
+        late = F.col("target").isNull()
+        sources = sources.withColumn("share", F.coalesce("target", "share"))
+    sources = materialize(sources.select("source", "share", late.alias("late")), "queues")
+    total = F.broadcast(sources.groupBy(F.col("late").alias("_late")).agg(F.sum("share").alias("all")))  # two rows
+    quantum = F.greatest(F.floor(F.col("share") / F.col("all") * (length * UNIT)), F.lit(1)).cast("bigint")
+    return sources.join(total, F.col("late") == F.col("_late")).select(F.col("source").alias("own"), quantum.alias("quantum"), "late")
+
+
+def packets(placed: DataFrame, dtype: type, packet: int) -> DataFrame:
+    """Packets (columns ``PACKETS``) of documents ``doc_id, source, late, quantum, at, n_tokens, ids``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            quantum, at, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5))
+            data, where = _bounds(batch.column(6), dtype().itemsize)
+            per = -(-n // packet)
+            row = np.repeat(np.arange(len(n)), per)
+            start = (np.arange(len(row)) - np.repeat(np.cumsum(per) - per, per)) * packet
+            size = np.minimum(packet, n[row] - start)
+            round_ = -(-(at[row] + start + size) * UNIT // quantum[row])
+            ids = _binaries(data, np.append(where[row] + start, where[-1]) * dtype().itemsize)
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column(2).take(take), pa.array(round_), batch.column(1).take(take).cast(pa.string()), pa.array(at[row] + start), batch.column(0).take(take), pa.array(start), pa.array(n[row]), ids], ["late", "round", "source", "place", "doc_id", "start", "doc_tokens", "ids"])
+
+    return placed.select("doc_id", "source", "late", "quantum", "at", "n_tokens", "ids").mapInArrow(trimmed(run), PACKETS)
+
+
+def stream(sent: DataFrame, dtype: type) -> DataFrame:
+    """Stored packets in the order in which they are sent (columns ``STREAM``); neighbours that continue a document are one row.
+
+    ``at``: ids before the row in its partition; ``part`` numbers the partitions in order.
+    """
+    order = ["late", "round", "source", "place"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, total = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            data, where = _bounds(batch.column(7), dtype().itemsize)
+            size = np.diff(where)
+            place, start = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 5))
+            # A packet that is not a document's first continues the one before it if it is the next of the same queue.
+            names = batch.column(2).cast(pa.string()).fill_null("\x00").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            go_on = (names[1:] == names[:-1]) & (place[1:] == place[:-1] + size[:-1]) & (start[1:] == start[:-1] + size[:-1]) & (start[1:] > 0)
+            head = np.flatnonzero(np.append(True, ~go_on))
+            bounds = np.append(where[head], where[-1])
+            at = total + bounds[:-1] - bounds[0]
+            total += int(bounds[-1] - bounds[0])
+            take = pa.array(head)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(head), part, np.int32)), pa.array(at), *(batch.column(i).take(take) for i in (2, 4, 5, 6)), _binaries(data, bounds * dtype().itemsize)], ["part", "at", "source", "doc_id", "start", "doc_tokens", "ids"])
+
+    sorted_ = sent.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialize(sorted_.mapInArrow(trimmed(run), STREAM), "stream")
+
+
+def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, length: int = WINDOW, packet: int = PACKET, weights: dict[str | None, float] | None = None, temper: float = 1.0, doc_id: str | Column = "doc_id", text: str | Column = "text", source: str | Column = "source") -> DataFrame:
     """One row for each piece of a document in a window (columns ``PIECES``).
 
-    ``weights``: target share of each source, in any unit; without, the corpus's own.
-    Sources that are not named weigh nothing until the named ones are used up.
+    ``weights``: target share of each source, in any unit; sources that are not named
+    follow when the named ones are used up. Without, a source's target share goes with
+    its number of ids to the power ``temper``: 1 for the corpus's own proportions (all
+    queues end together), less to raise small sources.
     """
-    stored = encode(docs, tokenizer, end_id, doc_id, text, source)
     dtype = encoder(tokenizer).dtype
+    stored = encode(docs, tokenizer, end_id, doc_id, text, source)
     per_part = materialize(stored.groupBy("source", "part").agg(F.sum("n_tokens").alias("n")), "queue-parts")
-    # A source's class (equal total and weight) and its number there, in the order of the names, by range partitions.
-    sources = per_part.groupBy("source").agg(F.sum("n").alias("n")).withColumn("weight", F.col("n").cast("double"))
-    if weights is not None:
-        least = 1e-9 * max(weights.values(), default=1.0)
-        named = docs.sparkSession.createDataFrame([(q, float(w)) for q, w in weights.items()], "named string, target double")
-        sources = sources.join(named, F.col("source").eqNullSafe(F.col("named")), "left").select("source", "n", F.greatest(F.coalesce("target", F.lit(0.0)), F.lit(least)).alias("weight"))
-    ranged = materialize(sources.repartitionByRange(F.desc("n"), F.desc("weight"), F.col("source")).withColumn("range", F.spark_partition_id()), "queues")
-    counts = materialize(ranged.groupBy("n", "weight", "range").agg(F.count("*").alias("members")), "queue-ranges")
-    classes = sorted(counts.groupBy("n", "weight").agg(F.sum("members").alias("members")).collect(), key=lambda r: (-r.n, -r.weight))
-    plan = docs.sparkSession.sparkContext.broadcast(Schedule([r.n for r in classes], [r.weight for r in classes], length, [r.members for r in classes]))
-    earlier = Window.partitionBy("n", "weight").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("n", "weight", "range", F.coalesce(F.sum("members").over(earlier), F.lit(0)).alias("start"))
-    place = F.row_number().over(Window.partitionBy("n", "weight", "range").orderBy("source")) - 1
-    members = ranged.withColumn("place", place).join(starts, ["n", "weight", "range"]).select(F.col("source").alias("own"), F.col("n").alias("total"), "weight", (F.col("start") + F.col("place")).alias("member"))
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).join(members, F.col("source").eqNullSafe(F.col("own")))
-    offsets = offsets.select(F.col("source").alias("of"), F.col("part").alias("in"), "base", "total", "weight", "member")
-    offsets = materialize(offsets, "queue-offsets")
+    offsets = per_part.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    offsets = offsets.join(quanta(per_part, length, weights, temper), F.col("source").eqNullSafe(F.col("own")))
+    offsets = materialize(offsets.select(F.col("source").alias("of"), F.col("part").alias("in"), "base", "quantum", "late"), "queue-offsets")
     if offsets.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    placed = stored.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in"))).select("doc_id", "source", (F.col("base") + F.col("at")).alias("at"), "n_tokens", "ids", "total", "weight", "member")
+    placed = stored.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in"))).withColumn("at", F.col("base") + F.col("at"))
+    sent = stream(packets(placed, dtype, packet), dtype)
+    # One row for each partition of the stream: as many as its writer had tasks, whatever the corpus holds.
+    width, base, total = dtype().itemsize, {}, 0
+    for r in sent.groupBy("part").agg(F.sum(F.octet_length("ids")).alias("n")).orderBy("part").collect():
+        base[r.part] = total // width
+        total += r.n
+    bases = docs.sparkSession.sparkContext.broadcast(base)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schedule = plan.value
-        number = {key: i for i, key in enumerate(zip(schedule.totals.tolist(), schedule.weights.tolist(), strict=True))}
-        for batch in (b.slice(i, PACK_ROWS) for b in batches for i in range(0, b.num_rows, PACK_ROWS)):
-            queue = np.array([number[key] for key in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True)], np.int64)
-            a, n, member = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 7))
-            first, last = schedule.window_of(queue, a, member), schedule.window_of(queue, a + n - 1, member)
-            per = last - first + 1
-            row = np.repeat(np.arange(len(a)), per)
+        for batch in batches:
+            at, start, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 4, 5))
+            data, where = _bounds(batch.column(6), width)
+            at = at + np.array([bases.value[p] for p in batch.column(0).to_pylist()], np.int64)
+            size = np.diff(where)
+            first = at // length
+            per = (at + size - 1) // length - first + 1
+            row = np.repeat(np.arange(len(at)), per)
             window = np.repeat(first, per) + np.arange(len(row)) - np.repeat(np.cumsum(per) - per, per)
-            begin, end, ahead = schedule.spans(queue[row], member[row], window)
-            lo, hi = np.maximum(begin, a[row]), np.minimum(end, (a + n)[row])
-            offset = ahead + lo - begin
-            some = hi > lo
-            row, window, lo, hi, offset = (x[some] for x in (row, window, lo, hi, offset))
-            start = lo - a[row]
-            blob = batch.column(4)
-            _, where, data = blob.buffers()
-            where = np.frombuffer(where, np.int32, len(blob) + 1, 4 * blob.offset).astype(np.int64)
-            ids = np.frombuffer(data, dtype, (where[-1] - where[0]) // dtype().itemsize, where[0]).astype("<u4")
-            from_ = (where[row] - where[0]) // dtype().itemsize + start
+            lo, hi = np.maximum(window * length, at[row]), np.minimum((window + 1) * length, (at + size)[row])
+            ids = np.frombuffer(data, dtype)[where[0] : where[-1]].astype("<u4")
+            from_ = where[row] - where[0] + lo - at[row]
             view = memoryview(ids.tobytes())
             crc = [zlib.crc32(view[4 * i : 4 * j]) for i, j in zip(from_.tolist(), (from_ + hi - lo).tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(start), pa.array(hi - lo), pa.array(crc, pa.int64()), pa.array(n[row]), pa.array(window), pa.array(offset), batch.column(1).take(pa.array(row)).cast(pa.string())], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column(3).take(take), pa.array(start[row] + lo - at[row]), pa.array(hi - lo), pa.array(crc, pa.int64()), pa.array(n[row]), pa.array(window), pa.array(lo - window * length), batch.column(2).take(take).cast(pa.string())], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
 
-    return placed.mapInArrow(trimmed(run), PIECES)
+    return sent.mapInArrow(trimmed(run), PIECES)

@@ -110,10 +110,10 @@ FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 
 
 def op6_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pack all documents by deficit round-robin over their sources."""
+    """Pack all documents by deficit round-robin over their sources, in target shares that raise small sources."""
     from localpulse.llm import mixpack
 
-    return mixpack.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1)
+    return mixpack.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1, temper=0.7)
 
 
 def op7_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
