@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -12,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-_SCRATCH: list[str] = []
+_LOCAL = threading.local()
 _OWN_DIR: list[str] = []
 
 
@@ -41,22 +42,39 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, tag)
     df.write.parquet(path)
-    _SCRATCH.append(path)
+    _scratch().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def scratch_since(mark: int) -> list[str]:
-    """Scratch tables written since there were ``mark`` of them; ``scratch_since(0)`` lists all."""
-    return _SCRATCH[mark:]
+def _scratch() -> list[str]:
+    """Scratch tables of this thread, in the order of writing; operators of other threads have their own list."""
+    if not hasattr(_LOCAL, "paths"):
+        _LOCAL.paths = []
+    return _LOCAL.paths
+
+
+def scratch_count() -> int:
+    return len(_scratch())
 
 
 def release(spark: SparkSession, paths: list[str]) -> None:
-    """Delete scratch tables; only for callers that have stored what they read from them."""
+    """Delete stored tables; only for callers that have stored what they read from them."""
     for path in paths:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def release_since(spark: SparkSession, mark: int, *, but: int = 0) -> None:
+    """Delete the scratch tables written since ``scratch_count`` was ``mark``, but not the last ``but`` of them.
+
+    An operator calls it when its result reads none of those tables any more.
+    """
+    paths = _scratch()
+    stop = len(paths) - but
+    release(spark, paths[mark:stop])
+    del paths[mark:stop]
+
+
 BATCH_BYTES = 4 << 20
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import materialize, release, scratch_since
+from localpulse.llm.core import materialize, release_since, scratch_count
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,8 +14,9 @@ def components(edges: DataFrame) -> DataFrame:
     Each step joins edges with one row per node, so a node with very many edges is
     only a skewed key, which the join splits; the edge list never grows.
     """
+    mark = scratch_count()
     state = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before, mark = None, len(scratch_since(0)) - 1
+    before = None
     while True:
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -26,8 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
         state = materialize(small.distinct(), "edges")
         sign = state.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         # The state is stored: the tables it was made from are not read again.
-        release(edges.sparkSession, scratch_since(mark)[:-1])
-        mark = len(scratch_since(0)) - 1
+        release_since(edges.sparkSession, mark, but=1)
         if (sign.n, sign.h) == before:
             break
         before = (sign.n, sign.h)

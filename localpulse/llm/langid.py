@@ -4,15 +4,17 @@ Features are TF-IDF weights of character 1- to 3-grams, hashed into 2^16 buckets
 term frequencies are shares of the text's n-grams. Document frequencies are
 counted over all training documents. The weights are trained by
 follow-the-regularised-leader (proximal, per coordinate) with an elastic-net
-penalty, on at most ``PER_LANGUAGE`` documents of each of at most
-``MAX_LANGUAGES`` languages, chosen by a hash of their ids; a fifth of these is
-held back to fit the temperature that calibrates the scores.
+penalty, on at most ``PER_LANGUAGE`` documents of each language, chosen by a hash of
+their ids; a fifth of these is held back to fit the temperature that calibrates the
+scores. Every value of the language column is learned; the model has ``BUCKETS``
+weights for each.
 
 Prediction reads only the text, the whole of it.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0;
 without training rows every text is ``und``; equal scores go to the first
-language in order; repeated rows are predicted alike; other columns are ignored.
+language in order; repeated rows are predicted alike, and of rows with one id one is
+learned from; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,14 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import materialize, text_buffer, trimmed
+from localpulse.llm.core import materialize, release_since, scratch_count, text_buffer, trimmed
 from localpulse.llm.tokens import slices
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 PER_LANGUAGE = 500
-MAX_LANGUAGES = 200
-#: Documents of all languages together; with more than eight languages each has an equal share.
+#: Documents of all languages together; with more than eight languages each has an equal share, one at least.
 MAX_SAMPLE = 4000
 SCALE = 30.0
 UNKNOWN = "und"
@@ -76,6 +77,14 @@ def ngram_buckets(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
     return out, starts
 
 
+def sparse_counts(grams: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, bucket and count of every bucket that occurs in a row, in that order."""
+    row = np.repeat(np.arange(len(starts) - 1, dtype=np.uint64), np.diff(starts))
+    keys = np.sort((row << np.uint64(16)) | grams)
+    head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return (keys[head] >> np.uint64(16)).astype(np.int64), (keys[head] & np.uint64(BUCKETS - 1)).astype(np.int64), np.diff(np.append(head, len(keys)))
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == fold
 
@@ -90,9 +99,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
             seen[BUCKETS] += len(offs) - 1
             for i, j in slices(offs, 1 << 20):
                 grams, starts = ngram_buckets(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                    own = np.sort(grams[a:b], kind="stable")
-                    seen[own[np.concatenate([[True], own[1:] != own[:-1]])] if b > a else own] += 1
+                seen[:BUCKETS] += np.bincount(sparse_counts(grams, starts)[1], minlength=BUCKETS)
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(seen[some])], ["bucket", "n"])
 
@@ -110,17 +117,21 @@ class Model:
     bias: np.ndarray
     temperature: float
 
-    def logits(self, grams: np.ndarray) -> np.ndarray:
-        if not len(grams):
-            return self.bias
-        count = np.bincount(grams, minlength=BUCKETS)
-        some = np.flatnonzero(count)
-        return self.bias + (count[some] @ self.weights[some]) * (SCALE / len(grams))
+    def logits(self, grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """One row for each text, whose n-grams start at ``starts`` (one more entry than texts)."""
+        size = np.diff(starts)
+        out = np.tile(self.bias, (len(size), 1))
+        some = size > 0
+        at = grams.astype(np.intp)
+        for k, column in enumerate(self.weights.T):
+            if some.any():
+                out[some, k] += np.add.reduceat(np.ascontiguousarray(column)[at], starts[:-1][some]) * (SCALE / size[some])
+        return out
 
-    def predict(self, grams: np.ndarray) -> tuple[int, float]:
-        p = softmax(self.logits(grams) / self.temperature)
-        best = int(p.argmax())
-        return best, float(p[best])
+    def predict(self, grams: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of the likeliest language of each text, and its probability."""
+        p = softmax(self.logits(grams, starts) / self.temperature)
+        return p.argmax(1), p.max(1)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -128,8 +139,8 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def train(samples: list[tuple[np.ndarray, int]], idf: np.ndarray, languages: list[str], *, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.05, epochs: int = 3) -> Model:
-    """Fit on (bucket array, language number) pairs in the given order; every fifth is for the temperature alone."""
+def train(samples: list[tuple[np.ndarray, np.ndarray, int]], idf: np.ndarray, languages: list[str], *, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.05, epochs: int = 3) -> Model:
+    """Fit on (buckets, their counts, language number) in the given order; every fifth is for the temperature alone."""
     k = len(languages)
     z, n = np.zeros((BUCKETS + 1, k)), np.zeros((BUCKETS + 1, k))
 
@@ -140,10 +151,8 @@ def train(samples: list[tuple[np.ndarray, int]], idf: np.ndarray, languages: lis
     fit = [s for i, s in enumerate(samples) if i % 5]
     rest = [s for i, s in enumerate(samples) if not i % 5] or fit
     for _ in range(epochs):
-        for grams, y in fit:
-            count = np.bincount(grams, minlength=BUCKETS)
-            at = np.flatnonzero(count)
-            x = np.append(count[at] * idf[at] * (SCALE / max(len(grams), 1)), 1.0)
+        for at, count, y in fit:
+            x = np.append(count * idf[at] * (SCALE / max(count.sum(), 1)), 1.0)
             at = np.append(at, BUCKETS)
             w = weights(at)
             p = softmax(x @ w)
@@ -154,7 +163,9 @@ def train(samples: list[tuple[np.ndarray, int]], idf: np.ndarray, languages: lis
             n[at] += g * g
     w = weights(np.arange(BUCKETS + 1))
     model = Model(languages, w[:BUCKETS] * idf[:, None], w[BUCKETS], 1.0)
-    logits, y = np.array([model.logits(g) for g, _ in rest]), np.array([y for _, y in rest])
+    grams = np.concatenate([np.repeat(at, count) for at, count, _ in rest])
+    starts = np.concatenate([[0], np.cumsum([count.sum() for _, count, _ in rest])]).astype(np.int64)
+    logits, y = model.logits(grams, starts), np.array([y for *_, y in rest])
 
     def loss(t: float) -> float:
         return float(-np.log(softmax(logits / t)[np.arange(len(y)), y] + 1e-12).mean())
@@ -163,36 +174,49 @@ def train(samples: list[tuple[np.ndarray, int]], idf: np.ndarray, languages: lis
     return model
 
 
+def sampled_ids(rows: DataFrame, most: int) -> DataFrame:
+    """``_d, lang`` of the first ``most`` ids of each language of ``rows`` (``doc_id, lang``) by their hash.
+
+    Counts by language and range of hashes tell where enough rows are reached; only
+    those rows are ranked, so no language is gathered.
+    """
+    hashed = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("range", F.shiftright("h", 48))
+    ranges = hashed.groupBy("lang", "range").count()
+    upto = F.sum("count").over(Window.partitionBy("lang").orderBy("range"))  # at most 65,536 rows a language
+    ranges = ranges.withColumn("before", upto - F.col("count")).where(F.col("before") < most).select("lang", "range")
+    near = hashed.join(ranges, ["lang", "range"], "left_semi").select("doc_id", "lang", "h").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    return near.withColumn("r", place).where(F.col("r") <= most).select(F.col("doc_id").alias("_d"), "lang")
+
+
 def fit(docs: DataFrame, *, folds: int = 5, fold: int = 0) -> Model | None:
     """Train on ``docs`` (``doc_id, text, lang``) outside the fold; None without any labelled row."""
     rows = docs.where(~held_out(F.col("doc_id"), folds, fold) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    languages = sorted(r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect())
+    languages = sorted(r.lang for r in rows.select("lang").distinct().collect())
     if not languages:
         return None
     df, total = document_frequencies(rows)
     idf = 1.0 + np.log((1.0 + total) / (1.0 + df))
-    order = F.xxhash64("doc_id")
-    most = min(PER_LANGUAGE, MAX_SAMPLE // len(languages))
-    chosen = rows.select("doc_id", "lang", order.alias("h")).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("r") <= most)
-    chosen = materialize(chosen.where(F.col("lang").isin(languages)).select(F.col("doc_id").alias("_d")).distinct(), "sample-ids")
-    sample = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_d"), "left_semi")  # at most MAX_SAMPLE ids
+    chosen = materialize(sampled_ids(rows, max(1, min(PER_LANGUAGE, MAX_SAMPLE // len(languages)))), "sample-ids")
+    # At most MAX_SAMPLE ids, or one for each language.
+    sample = rows.join(F.broadcast(chosen.select("_d").distinct()), F.col("doc_id") == F.col("_d"), "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = text_buffer(batch.column(2))
             for i, j in slices(offs, 1 << 20):
                 grams, starts = ngram_buckets(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                for k in range(i, j):
-                    value, count = np.unique(grams[starts[k - i] : starts[k - i + 1]], return_counts=True)
-                    blob = value.tobytes() + count.astype(np.uint32).tobytes()
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 1), batch.column(1).slice(k, 1).cast(pa.string()), pa.array([blob], pa.binary())], ["doc_id", "lang", "counts"])
+                row, bucket, count = sparse_counts(grams, starts)
+                ends = np.searchsorted(row, np.arange(j - i + 1))
+                blobs = [bucket[a:b].astype(np.uint16).tobytes() + count[a:b].astype(np.uint32).tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i).cast(pa.string()), pa.array(blobs, pa.binary())], ["doc_id", "lang", "counts"])
 
-    found = sample.select("doc_id", "lang", "text").mapInArrow(trimmed(run), "doc_id bigint, lang string, counts binary").orderBy(order, "doc_id").collect()
+    found = sample.select("doc_id", "row.lang", "row.text").mapInArrow(trimmed(run), "doc_id bigint, lang string, counts binary").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     samples = []
     for r in found:
         n = len(r.counts) // 6
-        samples.append((np.repeat(np.frombuffer(r.counts, np.uint16, n), np.frombuffer(r.counts, np.uint32, n, 2 * n)), languages.index(r.lang)))
-    return train(samples, idf, languages)
+        samples.append((np.frombuffer(r.counts, np.uint16, n).astype(np.int64), np.frombuffer(r.counts, np.uint32, n, 2 * n).astype(np.int64), languages.index(r.lang)))
+    return train(samples, idf, languages) if samples else None
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -207,14 +231,12 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         model = sent.value
         for batch in batches:
             buf, offs = text_buffer(batch.column(1))
-            letters = batch.column(2).to_pylist()
-            names, scores = [], []
-            for i, j in slices(offs, 1 << 20):
-                grams, starts = ngram_buckets(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                for k in range(i, j):
-                    best, p = model.predict(grams[starts[k - i] : starts[k - i + 1]]) if letters[k] else (-1, 0.0)
-                    names.append(model.languages[best] if best >= 0 else UNKNOWN)
-                    scores.append(p)
+            letters = batch.column(2).to_numpy(zero_copy_only=False)
+            best, scores = np.full(len(letters), -1), np.zeros(len(letters))
+            for i, j in slices(offs, 1 << 18):
+                best[i:j], scores[i:j] = model.predict(*ngram_buckets(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i]))
+            scores[~letters], best[~letters] = 0.0, -1
+            names = [model.languages[b] if b >= 0 else UNKNOWN for b in best.tolist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return rows.mapInArrow(trimmed(run), "doc_id bigint, lang_pred string, score double")
@@ -223,5 +245,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 def identify(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 5, fold: int = 0) -> DataFrame:
     """Train on the rows outside the fold and predict all rows: ``doc_id, held_out, lang_pred, score``."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    out = predict(rows.select("doc_id", "text"), fit(rows, folds=folds, fold=fold))
+    mark = scratch_count()
+    model = fit(rows, folds=folds, fold=fold)
+    release_since(docs.sparkSession, mark)
+    out = predict(rows.select("doc_id", "text"), model)
     return out.select("doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), "lang_pred", "score")

@@ -12,7 +12,8 @@ DataFrame functions only; line texts are not moved, only 128-bit hashes of them.
 Defined cases: a null text stays null and has no lines; lines without a word are
 never boilerplate; a null site is a site of its own; a null id sorts first;
 rows that are equal in id and text are treated alike; an empty table gives an
-empty result; other columns pass through.
+empty result; other columns pass through, but for input columns named ``n_lines`` or
+``n_removed``, which are replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import materialize
+from localpulse.llm.core import materialize, release_since, scratch_count
 
 MIN_SITES = 8
 BAND = 0.15
@@ -55,14 +56,18 @@ def widespread(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 def remove_boilerplate(docs: DataFrame, *, min_sites: int = MIN_SITES, doc_id: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
     """``docs`` with ``text`` cut, and ``n_lines`` (lines with a word before) and ``n_removed``."""
+    mark = scratch_count()
     lines = line_table(docs, doc_id, text, site)
     bad = materialize(widespread(lines, min_sites), "boilerplate")
     gone = lines.join(bad, ["h1", "h2"]).where(F.struct("__lp_id", "pos") != F.col("first"))
-    gone = gone.groupBy("__lp_id", "__lp_text").agg(F.array_sort(F.collect_set("pos")).alias("__lp_gone"))
+    gone = materialize(gone.groupBy("__lp_id", "__lp_text").agg(F.array_sort(F.collect_set("pos")).alias("__lp_gone")), "removed-lines")
+    release_since(docs.sparkSession, mark, but=1)
     keyed = docs.withColumns(dict(zip(("__lp_id", "__lp_text"), _keys(doc_id, text), strict=True)))
     out = keyed.join(gone, ["__lp_id", "__lp_text"], "left")
     parts = F.split(F.col(text), "\n")
-    kept = F.when(F.col("__lp_gone").isNull(), F.col(text)).otherwise(F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("__lp_gone", i)), "\n"))
+    # array_except looks places up by hash, so that a long text takes time in proportion to its lines.
+    places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__lp_gone"))
+    kept = F.when(F.col("__lp_gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(places, lambda i: F.get(parts, i)), "\n"))
     n_lines = F.coalesce(F.size(F.filter(parts, lambda x: x.rlike(_WORD))), F.lit(0)).cast("bigint")
     n_lines = F.when(F.col(text).isNull(), F.lit(0).cast("bigint")).otherwise(n_lines)
     n_gone = F.when(F.col("__lp_gone").isNull(), F.lit(0)).otherwise(F.size("__lp_gone")).cast("bigint")

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import materialize, text_buffer, trimmed
+from localpulse.llm.core import materialize, release_since, scratch_count, text_buffer, trimmed
 from localpulse.llm.tokens import encoder, slices
 
 WINDOW = 2048
@@ -152,6 +152,7 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, length: int = WIND
     queues end together), less to raise small sources.
     """
     dtype = encoder(tokenizer).dtype
+    mark = scratch_count()
     stored = encode(docs, tokenizer, end_id, doc_id, text, source)
     per_part = materialize(stored.groupBy("source", "part").agg(F.sum("n_tokens").alias("n")), "queue-parts")
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -162,6 +163,7 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, length: int = WIND
         offsets = F.broadcast(offsets)
     placed = stored.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in"))).withColumn("at", F.col("base") + F.col("at"))
     sent = stream(packets(placed, dtype, packet), dtype)
+    release_since(docs.sparkSession, mark, but=1)
     # One row for each partition of the stream: as many as its writer had tasks, whatever the corpus holds.
     width, base, total = dtype().itemsize, {}, 0
     for r in sent.groupBy("part").agg(F.sum(F.octet_length("ids")).alias("n")).orderBy("part").collect():

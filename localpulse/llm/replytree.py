@@ -78,7 +78,8 @@ def format_branches(nodes: DataFrame, *, per_tree: int = 1, roles_with_loss: tup
     A branch's score is the mean of its nodes'. Returns ``tree, leaf, branch_rank,
     score, n_turns, formatted, loss_spans`` (start and length in code points).
     """
-    keyed = nodes.withColumn("key", F.coalesce(F.col("tree").cast("string"), F.lit("\x00")))
+    key = F.coalesce(F.col("tree").cast("string"), F.lit("\x00"))
+    keyed = nodes.groupBy(key.alias("key"), "node").agg(F.min(F.struct("tree", "parent", "role", "text", "score")).alias("row")).select("key", "node", "row.*")
     ids = materialize(keyed.select("key", "tree", "node", "parent", "score"), "nodes")
     paths = branches(ids.select("key", "node", "parent"))
     scored = paths.join(ids.select("key", "tree", "node", "score"), ["key", "node"]).groupBy("key", "leaf").agg(F.first("tree").alias("tree"), F.avg("score").alias("score"))

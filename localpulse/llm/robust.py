@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import NOT_SPACE, byte_table, gram_hashes, materialize, mix64, run_hashes, text_buffer, trimmed, word_runs
+from localpulse.llm.core import NOT_SPACE, byte_table, gram_hashes, materialize, mix64, release_since, run_hashes, scratch_count, text_buffer, trimmed, word_runs
 from localpulse.llm.tokens import slices
 
 MIN_WORDS = 50
@@ -190,6 +190,7 @@ def verdicts(stats: DataFrame) -> DataFrame:
     """``stats`` (columns ``COUNTS``) with ``base_failed``, ``distance`` and ``kept``."""
     stats = stats.withColumn("base_failed", base_failed())
     held = materialize(stats, "counts")
+    mark = scratch_count()
     own = F.concat_ws("\x1f", F.coalesce("lang", F.lit("\x00")), F.coalesce("source", F.lit("\x00")))
     by_lang = F.coalesce("lang", F.lit("\x00"))
     good = held.where(~F.col("base_failed"))
@@ -207,10 +208,10 @@ def verdicts(stats: DataFrame) -> DataFrame:
     diagonal = [1 / F.pow(F.greatest(F.col("mad")[i] * 1.2533, F.lit(FLOOR[i])), 2) if i == j else F.lit(0.0) for i, j in _PAIRS]
     second = spread.select("grp", F.lit(1).alias("start"), F.col("mid").alias("mean"), F.array(*diagonal).alias("inv"), F.lit(0.0).alias("logdet"), F.lit(0).alias("free"))
     params = first.unionByName(second)
-    for _ in range(MOST_STEPS):
+    for step in range(MOST_STEPS):
         last = params.select("grp", "start", F.col("logdet").alias("last"))
         params = materialize(_estimates(_nearest(rows, params, ["grp", "start"]), ["grp", "start"]), "estimates")
-        if params.join(last, ["grp", "start"]).where(F.abs(F.col("logdet") - F.col("last")) > SETTLED).isEmpty():
+        if step and params.join(last, ["grp", "start"]).where(F.abs(F.col("logdet") - F.col("last")) > SETTLED).isEmpty():
             break
     best = params.groupBy("grp").agg(F.min_by(F.struct("mean", "inv", "free"), F.struct("logdet", "start")).alias("b")).select("grp", "b.*")
     # Scale so that the median distance is that of the chi-square distribution over the directions that vary, then reweight once.
@@ -219,6 +220,7 @@ def verdicts(stats: DataFrame) -> DataFrame:
     raw = materialize(_estimates(scaled, ["grp"]), "estimates")
     inner = rows.join(raw, "grp").where(_distance() <= CHI2_975).groupBy("grp").agg(*_moments())
     final = materialize(_estimates(inner.withColumn("scale", F.lit(1.1)), ["grp"]), "estimates")
+    release_since(stats.sparkSession, mark + 1, but=1)  # all but the groups and the last estimates
     measured = held.join(sizes, same, "left").join(final.select(F.col("grp").alias("_g"), "mean", "inv"), F.col("grp") == F.col("_g"), "left")
     measured = measured.select(held["*"], "mean", "inv", *(f.alias(x) for f, x in zip(features(), _X, strict=True)))
     out = measured.withColumn("distance", F.when(~F.col("base_failed"), _distance())).drop("mean", "inv", *_X)

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import LOWER, NOT_SPACE, gram_hashes, materialize, mix64, run_hashes, text_buffer, trimmed, word_runs
+from localpulse.llm.core import LOWER, NOT_SPACE, gram_hashes, materialize, mix64, release_since, run_hashes, scratch_count, text_buffer, trimmed, word_runs
 from localpulse.llm.graph import components
 from localpulse.llm.tokens import slices
 
@@ -513,6 +513,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_i
     """``doc_id, n_shingles, component_id`` for every row: set size, and the least id reachable by links of similar sets."""
     rule = Rule(words, percent)
     docs = _input(docs, doc_id, text)
+    mark = scratch_count()
     sketch = materialize(sketches(docs, rule), "sketches")
     full = sketch.where("n > 0 AND doc_id IS NOT NULL")
     classes = full.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"))
@@ -558,7 +559,8 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_i
 
     named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "component").select(*same, "component_id")
+    named = materialize(named.join(least, "component").select(*same, "component_id"), "named")
+    release_since(docs.sparkSession, mark + 1, but=1)  # all but the sketches and the names
     out = sketch.select("doc_id", *same).join(named, same, "left")
     component = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
@@ -566,6 +568,9 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_i
 
 def keep_one(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with only the least id of each group of near-duplicates."""
+    mark = scratch_count()
     groups = near_duplicates(docs, words=words, percent=percent, doc_id=doc_id, text=text)
     gone = groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("__lp_gone")).distinct()
-    return docs.join(materialize(gone, "near-duplicates"), F.col(doc_id) == F.col("__lp_gone"), "left_anti")
+    gone = materialize(gone, "near-duplicates")
+    release_since(docs.sparkSession, mark, but=1)
+    return docs.join(gone, F.col(doc_id) == F.col("__lp_gone"), "left_anti")

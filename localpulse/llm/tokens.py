@@ -3,12 +3,15 @@
 The word-level BPE vocabulary never merges across the pieces its pre-tokenizer
 makes, so a piece gets the same ids wherever it stands. Pieces are found and
 hashed on bytes for a whole Arrow batch at once; the library encodes each
-distinct piece once per worker and the ids are gathered from that table.
+distinct piece once per worker and the ids are gathered from that table. That is
+done only for files whose normaliser and pre-tokenizer are the ones it was written
+for; with any other file the library encodes each text whole.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 
 import numpy as np
@@ -46,6 +49,20 @@ def _byte_letters() -> dict[int, int]:
 _LETTERS = _byte_letters()
 
 
+#: Normaliser and pre-tokenizer whose pieces ``encode`` finds by itself: fixed values.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def has_known_pieces(tokenizer: dict) -> bool:
+    """Whether a tokenizer file splits texts the way ``PieceEncoder`` does."""
+    steps = (tokenizer.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    split = len(steps) == 2 and steps[0].get("pattern") == {"Regex": _PIECES} and steps[0].get("invert") is True and steps[0].get("behavior") == "Removed"
+    plain = split and steps[1].get("type") == "ByteLevel" and not steps[1].get("add_prefix_space") and not steps[1].get("use_regex")
+    marks = all("<|" in t["content"] and not t.get("lstrip") and not t.get("rstrip") for t in tokenizer.get("added_tokens", []))
+    return tokenizer.get("normalizer") == _NORMALIZER and plain and marks and tokenizer["model"].get("type") == "BPE" and not tokenizer["model"].get("dropout")
+
+
 class PieceEncoder:
     """Encodes batches of texts; one per worker process."""
 
@@ -54,6 +71,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            self.by_pieces = has_known_pieces(json.load(f))
         self.dtype = np.uint16 if self.tok.get_vocab_size(with_added_tokens=True) <= 65536 else np.uint32
         self._forget()
 
@@ -90,6 +109,9 @@ class PieceEncoder:
         rows = len(offs) - 1
         if not len(buf):
             return np.zeros(0, self.dtype), np.zeros(rows, np.int64)
+        if not self.by_pieces:
+            own = [self._whole(buf[a:b].tobytes().decode("utf-8")) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
+            return np.array([x for ids in own for x in ids], self.dtype), np.array([len(ids) for ids in own], np.int64)
         kind = _KIND[buf]
         low = _LOWER[buf]
         # Two-byte letters from U+00C0 to U+00FF, less the signs at D7 and F7, are letters with a case rule of their own.

@@ -18,7 +18,7 @@ non-ASCII characters, with A-Z lowered, compared by 64-bit hashes.
 Defined cases: a null or empty text matches nothing and gets the score of such a
 text; without labels of both kinds no lexicon is learned and every score is the
 prior (0 without any label); labels with a null id or value are ignored, of several
-labels of one id the largest holds; other columns are ignored.
+labels of one id the largest holds, and of rows with one id one is learned from; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import ALNUM, LOWER, HashTable, byte_table, materialize, mix64, run_hashes, text_buffer, trimmed, word_runs
+from localpulse.llm.core import ALNUM, LOWER, HashTable, byte_table, materialize, mix64, release_since, run_hashes, scratch_count, text_buffer, trimmed, word_runs
 from localpulse.llm.langid import held_out
 from localpulse.llm.tokens import slices
 
@@ -40,7 +40,6 @@ SAMPLE_TOXIC = 2000
 SAMPLE_CLEAN = 5000
 PREFIXES = range(3, 11)
 MIN_DOCS = 5
-LEXICON = 4000
 THRESHOLD = 0.3
 
 #: Words that steer a clause, in English, German, French and Spanish: fixed values.
@@ -266,8 +265,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, folds: int = 4, fold: int = 2) ->
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = rows.where("toxic = 1").orderBy(*order).limit(SAMPLE_TOXIC).unionByName(rows.where("toxic = 0").orderBy(*order).limit(SAMPLE_CLEAN))
     chosen = materialize(chosen.select(F.col("doc_id").alias("_d"), "toxic"), "sample-ids")
-    # At most SAMPLE_TOXIC + SAMPLE_CLEAN ids.
-    sample = materialize(docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_d")).select("doc_id", "text", "toxic"), "sample")
+    # At most SAMPLE_TOXIC + SAMPLE_CLEAN ids, of each of which one row is learned from.
+    sample = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_d")).groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    sample = materialize(sample.select("doc_id", "text", "toxic"), "sample")
     n = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(n) < 2:
         return held[1] / sum(held.values())
@@ -281,8 +281,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, folds: int = 4, fold: int = 2) ->
     ratio = t * F.log(t / both / share) + F.when(c > 0, c * F.log(c / both / (1 - share))).otherwise(0.0)
     weight = F.log((t + 0.5) / (n_t + 1)) - F.log((c + 0.5) / (n_c + 1))
     good = counts.withColumns({"ratio": ratio, "weight": weight}).where((F.col("ratio") > float(np.log(max(distinct, 1)) + 3)) & (F.col("weight") > 1.2))
+    # Each of these stands in MIN_DOCS sampled documents at least, far beyond chance: their number is bounded by the sample's.
     lists: dict[int, tuple[list[int], list[float]]] = {}
-    for r in good.orderBy(F.desc("ratio"), "k", "hash").limit(LEXICON).collect():
+    for r in good.orderBy(F.desc("ratio"), "k", "hash").collect():
         hashes, weights = lists.setdefault(r.k, ([], []))
         hashes.append(r.hash)
         weights.append(r.weight)
@@ -320,13 +321,18 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text
     """``doc_id, held_out, score, predicted`` for every row of ``docs``."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     marks = labels.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(label).alias("toxic"))
-    out = score(rows, fit(rows, marks, folds=folds, fold=fold))
+    mark = scratch_count()
+    model = fit(rows, marks, folds=folds, fold=fold)
+    release_since(docs.sparkSession, mark)
+    out = score(rows, model)
     return out.select("doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def remove_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``docs`` without those predicted toxic; rows of one id share the higher score. Rows with a null id are scored like any other."""
+    mark = scratch_count()
     found = toxicity(docs, labels, **options)
     doc_id = options.get("doc_id", "doc_id")
     bad = materialize(found.where("predicted = 1").select(F.col("doc_id").alias("__lp_bad")).distinct(), "toxic")
+    release_since(docs.sparkSession, mark, but=1)
     return docs.join(bad, F.col(doc_id).eqNullSafe(F.col("__lp_bad")), "left_anti")

@@ -1,11 +1,16 @@
 """Reply trees, language and toxicity models, and the pipeline."""
 
+import math
 import random
+import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from localpulse.llm import langid, replytree, toxicity
+from localpulse.llm.core import text_buffer
 
 
 def formatted(spark, rows, **options):
@@ -22,6 +27,14 @@ def test_branches_are_ranked(spark):
     assert formatted(spark, rows, per_tree=5).where("tree = 't'").count() == 2
 
 
+def test_repeated_nodes_and_clashing_columns(spark):
+    rows = [("t", 1, None, "user", "q", 1.0), ("t", 1, None, "user", "r", 5.0), ("t", 2, 1, "assistant", "a", 1.0), ("t", 2, 1, "assistant", "a", 1.0)]
+    nodes = spark.createDataFrame(rows, "tree string, node bigint, parent bigint, role string, text string, score double").withColumns({"key": F.lit("x"), "leaf": F.lit(7), "depth": F.lit(0)})
+    for df in (nodes, nodes.orderBy(F.desc("text"))):
+        out = replytree.format_branches(df).withColumn("turns", replytree.parsed_turns(F.col("formatted"))).collect()
+        assert [[tuple(t) for t in r.turns] for r in out] == [[("user", "q"), ("assistant", "a")]]
+
+
 def test_every_control_string_survives(spark):
     rng = random.Random(3)
     parts = [*replytree.CONTROL, "\\", "\\\\", "<", "|>", "\n", "é", "$1", "/", "<|", "im_end"]
@@ -117,3 +130,124 @@ def test_pipeline_stages(spark):
     kept = {r.doc_id for r in docs.collect()}
     assert {r.doc_id for r in cp.STAGES[-1][1](spark, docs, base).collect()} == kept
     assert {r.doc_id for r in cp.run(spark, base).collect()} == kept
+
+
+def test_pipeline_runs_twice_and_takes_odd_tables(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    base = "/root/testdata/sf0.001"
+    first = cp.run(spark, base)
+    second = cp.run(spark, base)
+    rows = sorted(map(tuple, first.collect()))
+    assert rows and rows == sorted(map(tuple, second.collect()))
+    docs = spark.read.parquet(f"{base}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{base}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    few = docs.limit(30).withColumns({"shard": F.lit("clash"), "node": F.lit(1)})
+    odd = few.unionByName(few.limit(1).withColumns({c: F.lit(None).cast(few.schema[c].dataType) for c in few.columns}))
+    odd.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    assert cp.run(spark, str(tmp_path)).where("doc_id IS NULL").count() == 1
+    docs.limit(0).write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
+    assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def grams_of(text):
+    """Buckets of one text by the library, checked to be one for each 1-, 2- and 3-gram."""
+    grams, starts = langid.ngram_buckets(*text_buffer(pa.array([text])))
+    assert starts.tolist() == [0, sum(max(len(text) - k + 1, 0) for k in (1, 2, 3))]
+    return grams.tolist()
+
+
+def test_training_against_a_plain_ftrl():
+    texts = [("the cat and the dog", 0), ("der hund und die katze", 1), ("le chien et le chat", 2), ("a dog", 0), ("ein hund", 1), ("un chat", 2)] * 4
+    names, idf = ["de", "en", "fr"], np.random.Generator(np.random.PCG64(1)).uniform(1, 3, langid.BUCKETS)
+    samples = []
+    for t, y in texts:
+        at, count = np.unique(grams_of(t), return_counts=True)
+        samples.append((at, count, y))
+    model = langid.train(samples, idf, names, epochs=2)
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.02, 0.05
+    z, n = {}, {}
+
+    def weight(f, k):
+        zz = z.get((f, k), 0.0)
+        return 0.0 if abs(zz) <= l1 else -(zz - math.copysign(l1, zz)) / ((beta + math.sqrt(n.get((f, k), 0.0))) / alpha + l2)
+
+    for _ in range(2):
+        for i, (t, y) in enumerate(texts):
+            if i % 5 == 0:
+                continue
+            grams = grams_of(t)
+            x = {g: grams.count(g) * idf[g] * langid.SCALE / len(grams) for g in set(grams)} | {"bias": 1.0}
+            w = {(f, k): weight(f, k) for f in x for k in range(3)}
+            logit = [sum(v * w[f, k] for f, v in x.items()) for k in range(3)]
+            e = [math.exp(v - max(logit)) for v in logit]
+            for f, v in x.items():
+                for k in range(3):
+                    g = v * (e[k] / sum(e) - (k == y))
+                    old = n.get((f, k), 0.0)
+                    n[f, k] = old + g * g
+                    z[f, k] = z.get((f, k), 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / alpha * w[f, k]
+    for f in {g for t, _ in texts for g in grams_of(t)}:
+        assert model.weights[f] == pytest.approx([weight(f, k) * idf[f] for k in range(3)], abs=1e-9)
+    assert model.bias == pytest.approx([weight("bias", k) for k in range(3)], abs=1e-9)
+    # Prediction of a batch, an empty text among it.
+    grams, starts = langid.ngram_buckets(*text_buffer(pa.array(["the dog", "", "die katze"])))
+    got = model.logits(grams, starts)
+    for i, t in enumerate(["the dog", "", "die katze"]):
+        own = grams_of(t)
+        want = [model.bias[k] + sum(model.weights[g][k] for g in own) * langid.SCALE / max(len(own), 1) for k in range(3)]
+        assert got[i] == pytest.approx(want, abs=1e-9)
+
+
+def test_every_language_is_learned_and_no_row_counts_twice(spark):
+    rows = [(i * 10 + k, f"{chr(0x4E00 + i)}{chr(0x4E00 + i)} word{i}", f"l{i:03d}") for i in range(230) for k in range(10)]
+    rows += [(rows[0][0], rows[0][1], rows[0][2])] * 50 + [(None, "x", "l000")] * 50
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    ids = langid.sampled_ids(df, 4).collect()
+    per = {}
+    for r in ids:
+        per.setdefault(r.lang, []).append(r._d)
+    assert len(per) == 230 and all(len(v) == len(set(v)) and 1 <= len(v) <= 4 for v in per.values())
+    out = langid.identify(df).join(df.select("doc_id", "lang").distinct(), "doc_id").toPandas()
+    assert out.lang_pred.nunique() > 215 and (out.lang_pred == out.lang).mean() > 0.9
+
+
+def plain_clauses(text, lexicon):
+    """The grammar's rules written out: factors of the words around each lexicon or threat word of a clause."""
+    kinds = {w: k for words, k in ((toxicity.TARGETS, "target"), (toxicity.NEGATIONS, "negation"), (toxicity.REPORTED, "speech"), (toxicity.THREATS, "threat")) for w in words.split()}
+    rules = {"insult": {"base": 1.0, "target": (4, 1.3), "negation": (2, 0.7), "speech": (6, 0.8), "after": (3, 1.2)}, "threat": {"base": 0.2, "target": (4, 5.0), "negation": (2, 0.4), "speech": (6, 0.5), "after": (3, 5.0)}}
+    total = 0.0
+    for clause in re.split(r"[.!?\n;]", text):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", clause.lower())
+        kind = ["insult" if w in lexicon else kinds.get(w) for w in words]
+        for i, k in enumerate(kind):
+            if k in rules:
+                w = lexicon.get(words[i], 1.0) * rules[k]["base"]
+                for trigger in ("target", "negation", "speech"):
+                    reach, factor = rules[k][trigger]
+                    w *= factor if trigger in kind[max(0, i - reach) : i] else 1.0
+                reach, factor = rules[k]["after"]
+                total += w * (factor if "target" in kind[i + 1 : i + 1 + reach] else 1.0)
+    return total
+
+
+def test_clauses_against_rules_written_out():
+    rng = random.Random(11)
+    lexicon = {"fool": 2.0, "scum": 3.5, "trottel": 1.5}
+    pool = [*lexicon, "you", "your", "not", "never", "said", "kill", "hurt", "the", "apple", "of", "tú", "Said", "YOU"]
+    hashes = toxicity._listed(" ".join(lexicon))
+    lex = toxicity.Lexicon({0: (hashes, np.array(list(lexicon.values())))})
+    texts = ["".join(rng.choice(pool) + rng.choice([" ", " ", " ", ", ", ". ", "! "]) for _ in range(rng.randrange(40))) for _ in range(120)]
+    got = lex.clauses(toxicity.read_words(*text_buffer(pa.array(texts)), []))
+    assert got.tolist() == pytest.approx([plain_clauses(t, lexicon) for t in texts])
+
+
+def test_very_long_and_repeated_rows(spark):
+    long = "you are a fool. " * 40_000
+    docs = spark.createDataFrame([(1, long, "en"), (1, long, "en"), (2, "fine words here", "en"), (3, "x", None)], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (1, 1)], "doc_id bigint, toxic int")
+    assert toxicity.toxicity(docs, labels).count() == 4 and langid.identify(docs).count() == 4
+    turns = docs.select(F.col("doc_id").alias("conv_id"), F.lit(0).alias("turn"), F.lit("user").alias("role"), "text")
+    out = {r.tree: r.turns for r in replytree.format_branches(replytree.turns_as_tree(turns)).withColumn("turns", replytree.parsed_turns(F.col("formatted"))).collect()}
+    assert [t.text for t in out[1]] == [long, long]

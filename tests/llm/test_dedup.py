@@ -166,3 +166,11 @@ def test_line_spread_is_exact_near_the_threshold(spark):
     rows = [(100 * n + i, f"line {n}", f"site{i}") for n in range(2, 30) for i in range(n)]
     lines = linespread.line_table(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), "doc_id", "text", "source")
     assert linespread.widespread(lines, 10).count() == 20
+
+
+def test_line_spread_of_long_texts_and_clashing_names(spark):
+    long = "\n".join(f"line {i % 900}" for i in range(20_000))
+    df = spark.createDataFrame([(i, long + f"\nown {i}", f"s{i}", "clash") for i in range(4)], "doc_id bigint, text string, source string, n_lines string")
+    got = {r.doc_id: r for r in linespread.remove_boilerplate(df, min_sites=3).collect()}
+    assert got[3].text == "own 3" and got[3].n_removed == 20_000 and got[3].n_lines == 20_001
+    assert got[0].text == "\n".join(f"line {i}" for i in range(900)) + "\nown 0"

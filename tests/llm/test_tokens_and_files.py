@@ -32,6 +32,15 @@ def test_odd_texts():
     assert split(ODD) == [plain_ids(t) for t in ODD]
 
 
+def test_other_tokenizers_encode_whole_texts():
+    other = encoder(tokenizer_path("byte_bpe_50k.json"))
+    assert encoder(tokenizer_path()).by_pieces and not other.by_pieces
+    buf, offs = text_buffer(pa.array(ODD, pa.string()))
+    ids, n = other.encode(buf, offs)
+    stop = np.cumsum(n)
+    assert [ids[b - k : b].tolist() for b, k in zip(stop, n, strict=True)] == [other.tok.encode(t or "", add_special_tokens=False).ids for t in ODD]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.characters(blacklist_categories=("Cs",)), max_size=30), max_size=6))
 def test_any_text(texts):
