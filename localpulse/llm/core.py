@@ -33,7 +33,7 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/localpulse/{tag}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, *, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage: lost executors cost a re-read, not a re-computation, and
@@ -41,7 +41,7 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, tag)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     _scratch().append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -180,9 +180,9 @@ def sampled_ids(rows: DataFrame, most: int) -> DataFrame:
     Counts by language and range of hashes tell where enough rows are reached; only
     those rows are ranked, so no language is gathered.
     """
-    hashed = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("range", F.shiftright("h", 48))
+    hashed = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("range", F.shiftright("h", 52))
     ranges = hashed.groupBy("lang", "range").count()
-    upto = F.sum("count").over(Window.partitionBy("lang").orderBy("range"))  # at most 65,536 rows a language
+    upto = F.sum("count").over(Window.partitionBy("lang").orderBy("range"))  # at most 4,096 rows a language
     ranges = ranges.withColumn("before", upto - F.col("count")).where(F.col("before") < most).select("lang", "range")
     near = hashed.join(ranges, ["lang", "range"], "left_semi").select("doc_id", "lang", "h").distinct()
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))

@@ -79,7 +79,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str | Column, t
                 flat = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(ids.tobytes())]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(j - i, part, np.int32)), batch.column(1).slice(i, j - i).cast(pa.string()), batch.column(0).slice(i, j - i), pa.array(at, pa.int64()), pa.array(n), flat], ["part", "source", "doc_id", "at", "n_tokens", "ids"])
 
-    return materialize(rows.mapInArrow(trimmed(run), TOKENS), "tokens")
+    return materialize(rows.mapInArrow(trimmed(run), TOKENS), "tokens", compression="zstd")
 
 
 def quanta(per_part: DataFrame, length: int, weights: dict[str | None, float] | None, temper: float) -> DataFrame:
@@ -140,7 +140,7 @@ def stream(sent: DataFrame, dtype: type) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(head), part, np.int32)), pa.array(at), *(batch.column(i).take(take) for i in (2, 4, 5, 6)), _binaries(data, bounds * dtype().itemsize)], ["part", "at", "source", "doc_id", "start", "doc_tokens", "ids"])
 
     sorted_ = sent.repartitionByRange(*order).sortWithinPartitions(*order)
-    return materialize(sorted_.mapInArrow(trimmed(run), STREAM), "stream")
+    return materialize(sorted_.mapInArrow(trimmed(run), STREAM), "stream", compression="zstd")
 
 
 def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, length: int = WINDOW, packet: int = PACKET, weights: dict[str | None, float] | None = None, temper: float = 1.0, doc_id: str | Column = "doc_id", text: str | Column = "text", source: str | Column = "source") -> DataFrame:
