@@ -63,8 +63,9 @@ def remove_boilerplate(docs: DataFrame, *, min_sites: int = MIN_SITES, doc_id: s
     gone = materialize(gone.groupBy("__lp_id", "__lp_text").agg(F.array_sort(F.collect_set("pos")).alias("__lp_gone")), "removed-lines")
     release_since(docs.sparkSession, mark, but=1)
     keyed = docs.withColumns(dict(zip(("__lp_id", "__lp_text"), _keys(doc_id, text), strict=True)))
-    out = keyed.join(gone, ["__lp_id", "__lp_text"], "left")
-    parts = F.split(F.col(text), "\n")
+    # A merge join at every size: the removed lines grow with the corpus.
+    out = keyed.join(gone.hint("merge"), ["__lp_id", "__lp_text"], "left").withColumn("__lp_parts", F.split(F.col(text), "\n"))
+    parts = F.col("__lp_parts")
     # array_except looks places up by hash, so that a long text takes time in proportion to its lines.
     places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__lp_gone"))
     kept = F.when(F.col("__lp_gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(places, lambda i: F.get(parts, i)), "\n"))
@@ -72,4 +73,4 @@ def remove_boilerplate(docs: DataFrame, *, min_sites: int = MIN_SITES, doc_id: s
     n_lines = F.when(F.col(text).isNull(), F.lit(0).cast("bigint")).otherwise(n_lines)
     n_gone = F.when(F.col("__lp_gone").isNull(), F.lit(0)).otherwise(F.size("__lp_gone")).cast("bigint")
     out = out.withColumns({"__lp_kept": kept, "n_lines": n_lines, "n_removed": n_gone})
-    return out.withColumn(text, F.col("__lp_kept")).drop("__lp_id", "__lp_text", "__lp_gone", "__lp_kept")
+    return out.withColumn(text, F.col("__lp_kept")).drop("__lp_id", "__lp_text", "__lp_gone", "__lp_parts", "__lp_kept")

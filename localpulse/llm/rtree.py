@@ -18,13 +18,14 @@ Order of work:
 2. equal sets become one class; from here on only one representative of each moves;
 3. an R-tree over each block gives every representative its first partner there
    (range queries from the block's first points, then a dual-tree join of what they
-   leave); the partner met in most blocks is checked, and links give components;
+   leave; those that share most with others stand first); the partner met in most
+   blocks is checked, and links give components;
 4. blocks that still hold several components are joined by the trees again, one
    pair for each pair of components first, then all that is left across components;
    subtrees of one component are not descended. These pairs are checked too.
    Nothing else can link.
 
-A block with more than ``CHUNK`` members is searched in chunks. In step 3 each has
+A block with more than ``CHUNK`` members is searched in chunks. In step 3 each holds
 the block's first member; in step 4 all members outside that one's component.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing;
@@ -382,7 +383,7 @@ class CountTree:
 
 
 class Blocks:
-    """Whole blocks of one batch: their members in the order of block and node."""
+    """Whole blocks of one batch: their members in the order of block and rank."""
 
     def __init__(self, batch: pa.RecordBatch, heads: np.ndarray) -> None:
         self.node, self.label, self.n = (batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3, 4))
@@ -472,21 +473,21 @@ class Blocks:
 
 
 def block_pairs(members: DataFrame, rule: Rule, search) -> DataFrame:
-    """Distinct pairs ``a < b`` that ``search`` (of ``Blocks``) finds within blocks, and in how many blocks (``shared``).
+    """Distinct pairs ``a, b`` (``a`` of higher rank) that ``search`` (of ``Blocks``) finds within blocks, and in how many blocks (``shared``).
 
-    ``members``: ``key, chunk, node, label, n, point, parity``; a block is a key and chunk.
+    ``members``: ``key, chunk, node, rank, label, n, point, parity``; a block is a key and chunk.
     """
     spark = members.sparkSession
     parts = max(spark.sparkContext.defaultParallelism, 1 + members.count() // TASK_ROWS)
-    columns = ["key", "chunk", "node", "label", "n", "point", "parity"]
-    sorted_ = members.select(*columns).repartition(parts, "key", "chunk").sortWithinPartitions("key", "chunk", "node")
+    columns = ["key", "chunk", "node", "label", "n", "point", "parity", "rank"]
+    sorted_ = members.select(*columns).repartition(parts, "key", "chunk").sortWithinPartitions("key", "chunk", F.desc("rank"), "node").drop("rank")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def whole(batch, heads):
             for x, y in search(Blocks(batch, heads), rule):
                 if len(x):
-                    a, b = batch.column(2).take(pa.array(x)).to_numpy(), batch.column(2).take(pa.array(y)).to_numpy()
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                    a, b = (batch.column(2).take(pa.array(z)) for z in (np.minimum(x, y), np.maximum(x, y)))
+                    yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
 
         held = None
         for batch in batches:
@@ -522,13 +523,15 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_i
     reps = full.join(classes, same).where(F.col("doc_id") == F.col("rep")).select("node", "n", "point", "parity", "blocks")
 
     shared = Window.partitionBy("key")
-    members = exploded_blocks(reps).withColumns({"hub": F.min("node").over(shared), "size": F.count("*").over(shared)}).where("size > 1")
+    members = exploded_blocks(reps).withColumn("size", F.count("*").over(shared)).where("size > 1")
     members = materialize(members, "blocks")
-    points = reps.select("node", "n", "point", "parity").join(members.select("node").distinct(), "node", "left_semi")
-    points = materialize(points.dropDuplicates(["node"]), "points")
+    # A member's rank is the number of neighbours that its blocks show: an original ranks before its copies.
+    ranks = members.groupBy("node").agg(F.sum("size").alias("rank"))
+    points = materialize(reps.select("node", "n", "point", "parity").join(ranks, "node").dropDuplicates(["node"]), "points")
+    large = members.where(F.col("size") > CHUNK).join(ranks, "node").groupBy("key").agg(F.max_by("node", F.struct("rank", -F.col("node"))).alias("hub"))
 
     # Every representative's first partners by the trees; the one met in most blocks is checked.
-    placed = _chunked(members, F.col("node") == F.col("hub")).withColumn("label", F.col("node"))
+    placed = _chunked(members.join(large, "key", "left"), F.col("node") == F.col("hub")).withColumn("label", F.col("node"))
     partners = block_pairs(placed.join(points, "node"), rule, Blocks.first_partners)
     best = partners.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
     tried = materialize(best.select("a", "b"), "pairs")
@@ -548,6 +551,10 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_i
             break
         placed = _chunked(split, F.col("label") != F.col("first"))
         more = block_pairs(placed.join(points, "node"), rule, lambda blocks, rule, every=every: blocks.cross_pairs(rule, every))
+        if not every:  # of the pairs that the blocks show for two components, the one of most blocks
+            of = lambda c: split.select(F.col("node").alias(c), F.col("label").alias(f"of_{c}")).distinct()  # noqa: E731, B023
+            sides = more.join(of("a"), "a").join(of("b"), "b")
+            more = sides.groupBy(F.least("of_a", "of_b").alias("x"), F.greatest("of_a", "of_b").alias("y")).agg(F.max_by(F.struct("a", "b"), F.struct("shared", -F.col("a"), -F.col("b"))).alias("pair")).select("pair.*")
         more = materialize(more.select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
         if more.isEmpty():
             break
