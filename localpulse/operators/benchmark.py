@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from localpulse.operators.budget import running_total
+
 #: Crawlers that fetch pages to cite them: fixed values.
 CITATION_BOTS = ("OAI-SearchBot", "PerplexityBot", "Bingbot")
 
@@ -51,8 +53,8 @@ def rubric(bench: DataFrame) -> DataFrame:
 
 
 def leaderboard(scored: DataFrame) -> DataFrame:
-    w = Window.orderBy(F.desc("total"), "entity")  # one row per configured entity
-    return scored.withColumn("place", F.row_number().over(w))
+    placed = running_total(scored.withColumn("_one", F.lit(1).cast("bigint")), "_one", [F.desc("total"), F.col("entity")])
+    return placed.withColumn("place", F.col("running").cast("int")).drop("_one", "running")
 
 
 def benchmark_table(entities: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:

@@ -25,26 +25,24 @@ def citation_join(urls: DataFrame, domains: DataFrame) -> DataFrame:
     return host.withColumn("domain", F.explode(C.suffixes(F.col("_host")))).join(domains, "domain").drop("_host")
 
 
-def mention_join(texts: DataFrame, aliases: DataFrame, limit: int = 10_000) -> DataFrame:
+def mention_join(texts: DataFrame, aliases: DataFrame) -> DataFrame:
     """``key, entity`` where an alias of the entity stands between word boundaries in ``text``, in any case.
 
-    Aliases are one broadcast pattern table (the configured entities; more than
-    ``limit`` rows are matched by their first word instead, as an equi-join).
+    An equi-join of the texts' words with the aliases' first words at every size; the
+    whole alias is tested on what meets. An alias without a word matches nothing.
     """
     pattern = C.word_pattern(F.col("alias"))
-    if aliases.count() <= limit:
-        hit = texts.join(F.broadcast(aliases.select("entity", pattern.alias("_p"))), F.expr("text rlike _p"))
-    else:
-        words = texts.withColumn("_w", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\w+"), F.lit(0)))))
-        first = aliases.select("entity", pattern.alias("_p"), F.regexp_extract(F.lower("alias"), r"(?U)\w+", 0).alias("_w"))
-        hit = words.join(first, "_w").where(F.expr("text rlike _p"))
+    words = texts.withColumn("_w", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\w+"), F.lit(0)))))
+    first = aliases.select("entity", pattern.alias("_p"), F.regexp_extract(F.lower("alias"), r"(?U)\w+", 0).alias("_w")).where("_w <> ''")
+    hit = words.join(first, "_w").where(F.expr("text rlike _p"))
     return hit.select("key", "entity").distinct()
 
 
-def ai_scoreboard(asked: DataFrame, mentions: DataFrame, citations: DataFrame) -> DataFrame:
-    """Questions asked, answers that mention and that cite each entity (``key, entity`` pairs)."""
-    flags = asked.join(mentions.withColumn("m", F.lit(1)), ["key", "entity"], "left").join(citations.withColumn("c", F.lit(1)), ["key", "entity"], "left")
-    return flags.groupBy("entity").agg(F.count("*").alias("asked"), F.count("m").alias("mentioned"), F.count("c").alias("cited"))
+def ai_scoreboard(entities: DataFrame, asked: int, mentions: DataFrame, citations: DataFrame) -> DataFrame:
+    """Questions asked of the market, answers that mention and that cite each of ``entities`` (``key, entity`` pairs)."""
+    m, c = (df.select("key", "entity").distinct().groupBy("entity").agg(F.count("*").alias(n)) for df, n in ((mentions, "mentioned"), (citations, "cited")))
+    counted = entities.join(m, "entity", "left").join(c, "entity", "left")
+    return counted.select("entity", F.lit(asked).cast("bigint").alias("asked"), *(F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in ("mentioned", "cited")))
 
 
 def pick_audit(entities: DataFrame, audits: DataFrame) -> DataFrame:

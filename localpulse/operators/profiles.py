@@ -13,7 +13,7 @@ from localpulse.operators.grid import earliest, latest
 
 INFO = (
     "place_id string, is_claimed boolean, rating struct<value:double,votes_count:int>, category string, additional_categories array<string>, "
-    "description string, total_photos int, work_time string, attributes string, rating_distribution map<string,int>"
+    "description string, total_photos int, work_time string, attributes string, rating_distribution map<string,int>, snippet string, unavailable_attributes string"
 )
 
 
@@ -26,10 +26,11 @@ def extract_profile(responses: DataFrame) -> DataFrame:
         F.col("rating.votes_count").alias("rating_votes"),
         "category",
         F.when(F.col("additional_categories").isNotNull(), F.size("additional_categories")).alias("additional_categories_count"),
-        F.when(F.coalesce(F.trim("description"), F.lit("")) != "", 1).otherwise(0).alias("has_description"),
+        F.when(F.coalesce(F.nullif(F.trim("description"), F.lit("")), F.trim("snippet"), F.lit("")) != "", 1).otherwise(0).alias("has_description"),
         "total_photos",
         F.when(F.coalesce("work_time", F.lit("")) != "", 1).otherwise(0).alias("has_hours"),
         C.leaf_count(F.col("attributes")).alias("attr_available_count"),
+        C.leaf_count(F.col("unavailable_attributes")).alias("attr_unavailable_count"),
         C.negative_count(F.col("rating_distribution")).alias("neg_reviews"),
     )
 

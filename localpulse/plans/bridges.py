@@ -54,7 +54,7 @@ BRIDGES = {
     "contacts": """SELECT CAST(c_custkey AS {str}) AS place_id, '555-' || CAST(c_custkey AS {str}) AS phone FROM {customer} c WHERE c_custkey % 3 = 0""",
     "sightings": """
         SELECT CAST(o_custkey AS {str}) AS place_id, o_orderpriority AS name, o_orderstatus AS website, CAST(o_orderkey % 100 AS BIGINT) AS review_count, o_orderstatus AS state_code, o_orderpriority AS trade_bucket, 'match' AS relevance, o_orderpriority AS via, o_orderkey AS seq
-        FROM {orders} o WHERE o_orderkey % 10 = 3""",
+        FROM {orders} o""",
     "requests": """SELECT o_orderkey AS id, o_totalprice AS priority, CAST(ROUND(o_totalprice / 10000) AS BIGINT) AS cost, CAST(o_orderkey % 40 AS BIGINT) AS actual, o_orderstatus = 'P' AS failed FROM {orders} o""",
     "answers": """SELECT c.conv_id AS key, c.turn, c.text, p.url FROM {conversations} c JOIN {pages} p ON p.page_id = c.conv_id % 50 WHERE c.role = 'assistant'""",
 }

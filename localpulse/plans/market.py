@@ -95,7 +95,7 @@ HIGH = "CASE WHEN population < 100000 THEN 1 WHEN population < 200000 THEN 4 WHE
 query("f10_o1_plan_cells", f"SELECT cell_id, population, {RADIUS} AS radius_m, {EXPECTED} AS expected_cells, {HIGH} AS high_cells FROM cells", "cells")(lambda s: discovery.plan_cells(s.cells).select("cell_id", "population", "radius_m", "expected_cells", "high_cells"))
 query("f2_filter_region_names", "SELECT cell_id FROM cells WHERE lower(state_code) IN ('france', 'asia') OR lower(state_name) IN ('france', 'asia')", "cells")(lambda s: discovery.filter_region(s.cells, "France, ASIA").select("cell_id"))
 query("f2_filter_region_bbox", "SELECT cell_id FROM cells WHERE lat BETWEEN 35.5e0 AND 36.5e0 AND lng BETWEEN -89.5e0 AND -88e0", "cells")(lambda s: discovery.filter_region(s.cells, "bbox:35.5,-89.5,36.5,-88").select("cell_id"))
-query("f3_filter_states", "SELECT place_id FROM businesses WHERE lower(state_code) IN ('france', 'china')", "businesses")(lambda s: discovery.filter_states(s.businesses, "FRANCE,china").select("place_id"))
+query("f3_filter_states", "SELECT place_id FROM businesses WHERE lower(state_code) IN ('nation_3', 'nation_7')", "businesses")(lambda s: discovery.filter_states(s.businesses, "NATION_3,nation_7").select("place_id"))
 query("c17_geo_bucket", "SELECT cell_id, CAST(FLOOR(lat / 0.5e0) AS BIGINT) AS y, CAST(FLOOR(lng / 0.5e0) AS BIGINT) AS x FROM cells", "cells")(lambda s: s.cells.select("cell_id", *(c.alias(n) for c, n in zip(C.geo_bucket(F.col("lat"), F.col("lng")), ("y", "x"), strict=True))))
 HAV = "2 * 6371000e0 * asin(least(1, sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2))))"
 query("c13_haversine", f"SELECT a.cell_id AS a, b.cell_id AS b, ROUND({HAV}, 3) AS metres FROM cells a JOIN cells b ON a.state_code = b.state_code AND a.cell_id < b.cell_id", "cells")(
@@ -322,3 +322,37 @@ query("f21_negatives", "SELECT review_id FROM reviews WHERE rating <= 2 AND trim
 query("a12_review_rollup", "SELECT place_id, COUNT(*) AS n_reviews, COUNT(*) FILTER (rating <= 2 AND trim(text) <> '') AS n_negative FROM reviews GROUP BY 1", "reviews")(lambda s: reviews.review_rollup(s.reviews))
 query("j19_f9_reviews_in_scope", "SELECT r.review_id, b.trade_bucket FROM reviews r JOIN businesses b USING (place_id) WHERE b.trade_bucket IN ('BUILDING', 'MACHINERY')", "reviews", "businesses")(lambda s: s.reviews.join(s.businesses, "place_id").where(F.col("trade_bucket").isin("BUILDING", "MACHINERY")).select("review_id", "trade_bucket"))
 query("a11_coverage_notes", "SELECT 'audits' AS input, COUNT(*) AS n, CASE WHEN COUNT(*) = 0 THEN 'not measured' ELSE 'measured' END AS note FROM audits UNION ALL SELECT 'errors', COUNT(*), CASE WHEN COUNT(*) = 0 THEN 'not measured' ELSE 'measured' END FROM audits WHERE status = 'none'", "audits")(lambda s: benchmark.coverage_notes({"audits": s.audits, "errors": s.audits.where("status = 'none'")}))
+
+
+# --- listing responses --------------------------------------------------------
+
+
+def _responses(s):
+    """Listing responses of the parts: rating, categories, description, hours and attributes, some of them absent."""
+    size = F.col("p_size")
+    return s.part.select(
+        F.col("p_partkey").cast("string").alias("place_id"),
+        F.when(size % 4 != 0, size % 4 == 1).alias("is_claimed"),
+        F.when(size % 5 != 0, F.struct(F.col("p_retailprice").alias("value"), size.cast("int").alias("votes_count"))).alias("rating"),
+        F.col("p_type").alias("category"),
+        F.when(size % 3 != 0, F.split("p_name", " ")).alias("additional_categories"),
+        F.when(size % 2 == 0, F.col("p_name")).otherwise(F.lit("  ")).alias("description"),
+        F.when(size % 7 != 0, size.cast("int")).alias("total_photos"),
+        F.when(size % 3 == 1, F.col("p_brand")).alias("work_time"),
+        F.when(size % 6 == 0, F.to_json(F.split("p_name", " "))).when(size % 6 == 1, F.to_json(F.struct(F.split("p_name", " ").alias("a"), F.array("p_brand").alias("b")))).alias("attributes"),
+        F.when(size % 2 == 1, F.create_map(F.lit("1"), size.cast("int"), F.lit("2"), F.lit(2), F.lit("4"), F.lit(9))).alias("rating_distribution"),
+        F.when(size % 9 == 1, F.col("p_type")).alias("snippet"),
+        F.when(size % 6 == 2, F.to_json(F.array("p_type"))).alias("unavailable_attributes"),
+    )
+
+
+query(
+    "g1_extract_profile",
+    """SELECT CAST(p_partkey AS VARCHAR) AS place_id, CAST(CASE WHEN p_size % 4 <> 0 THEN p_size % 4 = 1 END AS INT) AS is_claimed, CASE WHEN p_size % 5 <> 0 THEN p_retailprice END AS rating_value, CAST(CASE WHEN p_size % 5 <> 0 THEN p_size END AS INT) AS rating_votes, p_type AS category,
+      CAST(CASE WHEN p_size % 3 <> 0 THEN len(string_split(p_name, ' ')) END AS INT) AS additional_categories_count, CAST(p_size % 2 = 0 OR p_size % 9 = 1 AS INT) AS has_description, CAST(CASE WHEN p_size % 7 <> 0 THEN p_size END AS INT) AS total_photos, CAST(p_size % 3 = 1 AS INT) AS has_hours,
+      CAST(CASE p_size % 6 WHEN 0 THEN len(string_split(p_name, ' ')) WHEN 1 THEN len(string_split(p_name, ' ')) + 1 END AS INT) AS attr_available_count, CAST(CASE WHEN p_size % 6 = 2 THEN 1 END AS INT) AS attr_unavailable_count, CAST(CASE WHEN p_size % 2 = 1 THEN p_size + 2 END AS BIGINT) AS neg_reviews FROM part""",
+)(lambda s: profiles.extract_profile(_responses(s)).withColumns({"attr_available_count": F.col("attr_available_count").cast("int"), "attr_unavailable_count": F.col("attr_unavailable_count").cast("int"), "neg_reviews": F.col("neg_reviews").cast("bigint")}))
+query(
+    "g2_extract_posts",
+    "SELECT user_id AS place_id, COUNT(*) AS post_count, date_trunc('second', max(ts)) AS last_post_ts, CAST(floor(epoch(TIMESTAMP '2025-06-01' - date_trunc('second', max(ts))) / 86400) AS INT) AS days_since_post FROM events GROUP BY 1",
+)(lambda s: profiles.extract_posts(s.events.select(F.col("user_id").alias("place_id"), F.date_format("ts", "yyyy/MM/dd HH:mm:ss").alias("timestamp")), F.lit("2025-06-01").cast("timestamp")).withColumn("days_since_post", F.col("days_since_post").cast("int")))

@@ -44,11 +44,11 @@ query(
     "SELECT place_id, CASE WHEN trade_bucket = 'BUILDING' OR contains(lower(name || ' ' || trade_bucket), '77') THEN 'match' WHEN contains(lower(name || ' ' || trade_bucket), 'mach') THEN 'maybe' ELSE 'other' END AS rel FROM businesses",
     "businesses",
 )(lambda s: s.businesses.select("place_id", C.relevance(F.col("name"), F.array("trade_bucket"), F.lit(None).cast("string"), ["BUILDING"], ["77"], ["mach"]).alias("rel")))
-query("f5_tier_of", "SELECT place_id, CASE WHEN contains(lower(name), '00') AND contains(lower(name), '1') THEN 'chain' ELSE 'local' END AS tier FROM businesses WHERE contains(lower(name), '1')", "businesses")(lambda s: s.businesses.where(F.lower("name").contains("1")).select("place_id", C.tier_of(F.col("name"), ["00"]).alias("tier")))
+query("f5_tier_of", "SELECT place_id, CASE WHEN contains(lower(name), '77') THEN 'chain' ELSE 'local' END AS tier FROM businesses", "businesses")(lambda s: s.businesses.select("place_id", C.tier_of(F.col("name"), ["77"]).alias("tier")))
 query("f6_is_microsite", f"SELECT page_id, starts_with(split_part({HOST.format(c='url')}, '.', 1), 'site') OR starts_with(split_part({HOST.format(c='url')}, '.', 1), 'ex') AS micro FROM pages")(lambda s: s.pages.select("page_id", C.is_microsite(C.host_of(F.col("url")), ["site", "ex"]).alias("micro")))
 query("f7_footprint", "SELECT place_id, state_name NOT IN ('ASIA', 'AFRICA') AS inside FROM businesses", "businesses")(lambda s: s.businesses.select("place_id", (~F.col("state_name").isin("ASIA", "AFRICA")).alias("inside")))
-query("f8_parse_location", "SELECT place_id, lower(name) AS town, CASE WHEN no_website = 1 THEN 'TN' ELSE 'ON' END AS state FROM (SELECT place_id, 'Town' AS name, no_website FROM businesses)", "businesses")(
-    lambda s: s.businesses.select("place_id", C.parse_location(F.concat(F.lit("12 Main, Old, XX St, Town, "), F.when(F.col("no_website") == 1, "TN").otherwise("ON"), F.lit(" 12345, USA"))).alias("l")).select("place_id", "l.*")
+query("f8_parse_location", "SELECT p_partkey, CASE WHEN p_size % 3 = 2 THEN '' ELSE lower(p_name) END AS town, CASE p_size % 3 WHEN 0 THEN 'TN' WHEN 1 THEN 'ON' ELSE '' END AS state FROM part")(
+    lambda s: s.part.select("p_partkey", C.parse_location(F.concat(F.col("p_partkey").cast("string"), F.lit(" Main, Old, XX St, "), "p_name", F.lit(", "), F.when(F.col("p_size") % 3 == 0, "TN").when(F.col("p_size") % 3 == 1, "ON").otherwise("QQ"), F.lit(" 12345, USA"))).alias("l")).select("p_partkey", "l.*")
 )
 query("f9_trade_group", "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'excavation' WHEN 1 THEN 'septic' WHEN 2 THEN 'plumber' WHEN 3 THEN 'construction' ELSE 'other' END AS grp FROM part")(
     lambda s: s.part.select("p_partkey", C.trade_group(F.element_at(F.array(*(F.lit(x) for x in ("Paving contractor", "Septic system service", "Plumber", "Contractor", "Roofer"))), (F.col("p_partkey") % 5 + 1).cast("int"))).alias("grp"))
@@ -101,8 +101,7 @@ query("j13_mention_join", MENTION, "reviews")(lambda s: names.mention_join(s.rev
 def scoreboard(s):
     aliases = s.spark.createDataFrame(ALIASES, "entity string, alias string")
     m = names.mention_join(s.reviews.select(F.col("review_id").alias("key"), "text"), aliases)
-    asked = s.reviews.select(F.col("review_id").alias("key")).crossJoin(F.broadcast(aliases.select("entity")))  # four configured entities
-    return names.ai_scoreboard(asked, m, m.where("key % 2 = 0"))
+    return names.ai_scoreboard(aliases.select("entity"), s.reviews.count(), m, m.where("key % 2 = 0"))
 
 
 query(
@@ -190,7 +189,7 @@ def _readiness(s):
 
 @query("h6_enrich")
 def enrich(s):
-    page = _readiness(s).select("host", "score", "title", "word_count").dropDuplicates(["host"])
+    page = _readiness(s).groupBy("host").agg(F.min_by(F.struct("score", "title", "word_count"), "page_id").alias("p")).select("host", "p.*")  # a host's first page
     leads = s.businesses.withColumn("host", C.host_of(F.col("website"))).join(page, "host", "left")
     status = C.site_status(F.col("host"), F.col("no_website"), F.col("score").isNotNull(), F.lit(200), F.col("title"), F.col("word_count"))
     return leads.select("place_id", status.alias("site_status"), F.when(status == "live", F.col("score")).alias("readiness_score"))
@@ -200,8 +199,33 @@ BUILDER_SQL = "CASE " + " ".join("WHEN " + " OR ".join(f"contains(lower(html), '
 query("h7_builder", f"SELECT page_id, {BUILDER_SQL} AS builder FROM pages")(lambda s: s.pages.select("page_id", pages.detect_builder(F.col("html")).alias("builder")))
 TAG_SQL = "list_sort(list_filter([" + ", ".join("CASE WHEN " + " OR ".join("contains(lower(html), '" + m.replace("'", "''") + "')" for m in marks) + f" THEN '{n}' END" for n, marks in K.TAGS.items()) + "], lambda x: x IS NOT NULL))"
 query("h8_tags", f"SELECT page_id, array_to_string({TAG_SQL}, ',') AS tags, {' OR '.join(f'contains(lower(html), {chr(39)}{m}{chr(39)})' for m in K.ADS_MARKERS)} AS ads FROM pages")(lambda s: s.pages.select("page_id", F.array_join(pages.detect_tags(F.col("html")), ",").alias("tags"), pages.detect_ads(F.col("html")).alias("ads")))
-query("h9_agency_credit")(lambda s: s.pages.select("page_id", pages.agency_credit(F.col("html"), C.host_of(F.col("url"))).alias("c")).select("page_id", "c.*"))
-query("h10_management")(lambda s: s.pages.select("page_id", *(c.alias(n) for c, n in zip(pages.management(pages.detect_builder(F.col("html")), pages.detect_tags(F.col("html")), F.lit(False), F.lit(False), pages.detect_ads(F.col("html")), F.col("html").isNotNull()), ("status", "confidence"), strict=True))))
+CREDIT_SQL = rf"(?i)\\b({'|'.join(sorted(K.CREDIT_WORDS, key=len, reverse=True))})\\s+(?:(?:&amp;|&|and)\\s*)?(?:\\w+\\s+)?by\\s*:?\\s*<a\\b[^>]*href=[\\x22\\x27]([^\\x22\\x27]+)[\\x22\\x27][^>]*>([^<]{{2,60}})</a>".replace("\\\\", "\\")
+query(
+    "h9_agency_credit",
+    f"""WITH m AS (SELECT page_id, {HOST.format(c='url')} AS own, unnest(list_zip(range(1, 1000), regexp_extract_all(html, '{CREDIT_SQL}', 1), regexp_extract_all(html, '{CREDIT_SQL}', 2), regexp_extract_all(html, '{CREDIT_SQL}', 3), true)) AS c FROM pages),
+    d AS (SELECT page_id, c[1] AS k, {HOST.format(c='c[3]')} AS domain, trim(c[4]) AS label, regexp_matches(lower(c[2]), '{'|'.join(K.STRONG_CREDIT)}') AS strong, own FROM m),
+    f AS (SELECT page_id, arg_min(struct_pack(domain, label, strong), k) AS c FROM d WHERE domain <> '' AND domain <> own AND NOT regexp_matches(domain, '{'|'.join(K.PLATFORM_DOMAINS).replace('.', '[.]')}') GROUP BY 1)
+    SELECT page_id, c.domain AS domain, c.label AS label, c.strong AS strong FROM pages LEFT JOIN f USING (page_id)""",
+)(lambda s: s.pages.select("page_id", pages.agency_credit(F.col("html"), C.host_of(F.col("url"))).alias("c")).select("page_id", "c.*"))
+names_of = lambda c: ", ".join(f"'{x}'" for x in c)
+query(
+    "h10_management",
+    f"""WITH p AS (SELECT page_id, {BUILDER_SQL} AS builder, {TAG_SQL} AS tags, {' OR '.join(f"contains(lower(html), '{m}')" for m in K.ADS_MARKERS)} AS ads FROM pages),
+    q AS (SELECT *, list_filter(tags, lambda x: x IN ({names_of(K.MANAGED_TAGS)})) AS m, list_filter(tags, lambda x: x IN ({names_of(K.ACTIVE_TAGS)}) AND x NOT IN ({names_of(K.MANAGED_TAGS)})) AS o, coalesce(builder IN ({names_of(K.DIY_BUILDERS)}), false) AS diy FROM p),
+    e AS (SELECT *, list_filter(['builder: ' || builder, CASE WHEN len(m) > 0 THEN 'marketing stack: ' || array_to_string(m, ', ') END, CASE WHEN len(o) > 0 THEN 'tags: ' || array_to_string(o, ', ') END, CASE WHEN ads AND NOT list_contains(m, 'Google Ads') THEN 'running Google Ads' END], lambda x: x IS NOT NULL) AS found FROM q)
+    SELECT page_id, CASE WHEN (len(m) > 0 OR ads) AND NOT diy THEN 'likely agency-managed' WHEN len(m) > 0 OR ads OR len(o) > 0 THEN 'self-managed (active marketing)' WHEN diy THEN 'DIY / unmanaged' ELSE 'custom/unclear - review' END AS status,
+      CASE WHEN len(m) > 0 OR ads OR diy THEN 'medium' ELSE 'low' END AS confidence, CASE WHEN len(found) > 0 THEN array_to_string(found, '|') ELSE 'no recognizable builder or marketing tags' END AS evidence FROM e""",
+)(lambda s: _managed(s).select("page_id", "status", "confidence", F.array_join("evidence", "|").alias("evidence")))
+
+
+def _managed(s):
+    html = F.col("html")
+    rows = s.pages.select("page_id", "html", pages.agency_credit(html, C.host_of(F.col("url"))).alias("credit"))
+    found = pages.management(pages.detect_builder(html), pages.detect_tags(html), F.col("credit"), pages.detect_ads(html), html.isNotNull())
+    return rows.select("page_id", *(c.alias(n) for c, n in zip(found, ("status", "confidence", "evidence"), strict=True)))
+
+
+
 ROBOTS = "User-agent: GPTBot\nUser-agent: CCBot\nDisallow: /\n\nUser-agent: *\nAllow: /\nSitemap: https://x/s.xml\nCrawl-delay: 5"
 
 
@@ -222,9 +246,18 @@ PHONE_SQL = rf"(list_sort(list_distinct(list_transform(regexp_extract_all(html,
 query("h14_phones", f"SELECT page_id, array_to_string({PHONE_SQL}, ',') AS phones FROM pages")(lambda s: s.pages.select("page_id", F.array_join(pages.phones(F.col("html")), ",").alias("phones")))
 query("h15_owners")(lambda s: pages.owners(s.pages))
 query("h16_owner_hints")(lambda s: pages.owner_hints(s.pages))
-ADDR = ["zed@other.org", "sales@a.com", "info@a.com"]
-query("h17_best_email", "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'info@a.com' ELSE 'zed@other.org' END AS email FROM pages")(lambda s: s.pages.select("page_id", pages.best_email(C.lit_array(ADDR), F.when(F.col("page_id") % 2 == 0, "www.a.com").otherwise("other.org")).alias("email")))
-query("h18_best_email_strict", "SELECT page_id, 'ok@a.com' AS email FROM pages")(lambda s: s.pages.select("page_id", pages.best_email_strict(F.array(F.lit("test@test.com"), F.lit("moc.x@y.com"), F.lit("a@b.zz"), F.concat(F.lit("p"), "page_id"), F.lit("ok@a.com"))).alias("email")))
+
+
+def _mailboxes(s):
+    """Addresses at the page's own host and elsewhere, by what its text holds."""
+    host, word = C.host_of(F.col("url")), F.lower(F.regexp_extract("html", "<p><b>([A-Za-z]+)", 1))
+    held = F.array_compact(F.array(F.concat(word, F.lit("@mail.org")), F.when(F.length("html") % 2 == 0, F.concat(F.lit("sales@"), host)), F.when(F.length("html") % 3 == 0, F.concat(F.lit("office@"), host)), F.concat(F.lit("sales@"), word, F.lit(".zz"))))
+    return s.pages.select("page_id", host.alias("host"), held.alias("held"))
+
+
+WORD_SQL = "lower(regexp_extract(html, '<p><b>([A-Za-z]+)', 1))"
+query("h17_best_email", f"SELECT page_id, CASE WHEN length(html) % 3 = 0 THEN 'office@' || {HOST.format(c='url')} WHEN length(html) % 2 = 0 THEN 'sales@' || {HOST.format(c='url')} ELSE 'sales@' || {WORD_SQL} || '.zz' END AS email FROM pages")(lambda s: _mailboxes(s).select("page_id", pages.best_email(F.col("held"), F.col("host")).alias("email")))
+query("h18_best_email_strict", f"SELECT page_id, {WORD_SQL} || '@mail.org' AS email FROM pages")(lambda s: _mailboxes(s).select("page_id", pages.best_email_strict(F.concat(F.array(F.lit("test@test.com"), F.concat(F.lit("moc."), "host", F.lit("@y.com")), F.concat(F.lit("a@"), "host", F.lit(".zz"))), F.filter("held", lambda e: ~e.endswith(F.col("host"))))).alias("email")))
 
 
 @query("a15_h19_x5_merge_contacts", f"WITH e AS (SELECT {HOST.format(c='url')} AS host, unnest({EMAIL_SQL}) AS x FROM pages) SELECT host, count(DISTINCT x) AS n FROM (SELECT {HOST.format(c='url')} AS host FROM pages) p LEFT JOIN e USING (host) GROUP BY 1")
@@ -246,7 +279,9 @@ query("a8_rollup_pages")(lambda s: benchmark.rollup_pages(_facts(s)).select("hos
 query("a8_rollup_counts", f"SELECT {HOST.format(c='url')} AS host, COUNT(*) AS pages_n FROM pages GROUP BY 1")(lambda s: benchmark.rollup_pages(_facts(s)).select("host", "pages_n"))
 query("g12_j22_rubric")(lambda s: _bench(s).select("entity", "technical", "content", "local", "agentic", "total"))
 query("o8_leaderboard")(lambda s: benchmark.leaderboard(_bench(s)).select("entity", "total", "place"))
-query("a10_market_gaps", "SELECT signal FROM (SELECT bool_and(k % 2 <> 2) AS a, bool_and(k % 3 <> 0) AS b FROM (SELECT l_suppkey AS k FROM lineitem)) UNPIVOT (absent FOR signal IN (a, b)) WHERE absent")(lambda s: benchmark.market_gaps(s.lineitem.select((F.col("l_suppkey") % 2 == 2).alias("a"), (F.col("l_suppkey") % 3 == 0).alias("b")), ["a", "b"]))
+query("a10_market_gaps", "SELECT signal FROM (SELECT bool_and(NOT contains(lower(html), 'application/ld+json')) AS jsonld, bool_and(NOT contains(lower(html), 'viewport')) AS viewport, bool_and(NOT contains(html, '<h1')) AS h1, bool_and(NOT contains(html, 'lang=\"de\"')) AS german FROM pages) UNPIVOT (absent FOR signal IN (jsonld, viewport, h1, german)) WHERE absent")(
+    lambda s: benchmark.market_gaps(s.pages.select(F.lower("html").contains("application/ld+json").alias("jsonld"), F.lower("html").contains("viewport").alias("viewport"), F.col("html").contains("<h1").alias("h1"), F.col("html").contains('lang="de"').alias("german")), ["jsonld", "viewport", "h1", "german"])
+)
 query(
     "g13_measure",
     "WITH r AS (SELECT item_id AS place_id, min(NULLIF(rank_absolute, 0)) AS rank FROM items WHERE item_id IS NOT NULL GROUP BY 1), v AS (SELECT place_id, bool_or(rating > 3) AS mentioned, bool_or(rating = 5) AS cited FROM reviews GROUP BY 1) SELECT b.place_id, r.rank, v.mentioned, v.cited FROM businesses b LEFT JOIN r USING (place_id) LEFT JOIN v USING (place_id)",
@@ -261,8 +296,8 @@ query(
         s.reviews.select("place_id", (F.col("rating") > 3).alias("mentioned"), (F.col("rating") == 5).alias("cited")),
     ).select("place_id", "rank", "mentioned", "cited")
 )
-query("g15_lead_location", "SELECT place_id, 'Old Town,TN,United States' AS location FROM businesses", "businesses")(
-    lambda s: s.businesses.select("place_id", C.parse_location(F.concat("name", F.lit(" Rd, old town, TN 37000, USA"))).alias("l")).select("place_id", C.location_string(C.title_case(F.col("l.town")), F.col("l.state"), F.lit("United States")).alias("location"))
+query("g15_lead_location", "SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda x: upper(x[1]) || x[2:]), ' ') || ',TN,United States' AS location FROM part")(
+    lambda s: s.part.select("p_partkey", C.parse_location(F.concat("p_type", F.lit(" Rd, "), "p_name", F.lit(", TN 37000, USA"))).alias("l")).select("p_partkey", C.location_string(C.title_case(F.col("l.town")), F.col("l.state"), F.lit("United States")).alias("location"))
 )
 
 # --- reviews and replies ----------------------------------------------------
@@ -411,13 +446,13 @@ def listing_stream(s):
 
 @query("t3_live_grid", "SELECT place_id, scan_id, COUNT(rank) / CAST(COUNT(*) AS DOUBLE) AS found_share FROM points GROUP BY 1, 2", "points")
 def live(s):
-    from localpulse.streaming.jobs import live_grid
+    from localpulse.streaming.jobs import latest_grid, live_grid
 
     source = new_path(s.spark, "pin-files")
     s.points.write.parquet(source)
-    name = "live_grid_" + source.rsplit("-", 1)[1]
-    live_grid(s.spark.readStream.schema(s.points.schema).parquet(source), name, new_path(s.spark, "grid-checkpoint")).awaitTermination()
-    return s.spark.table(name).select("place_id", "scan_id", "found_share")
+    sink = new_path(s.spark, "grid")
+    live_grid(s.spark.readStream.schema(s.points.schema).parquet(source), sink, new_path(s.spark, "grid-checkpoint")).awaitTermination()
+    return latest_grid(s.spark, sink).select("place_id", "scan_id", "found_share")
 
 
 @query("t4_stale_places", "SELECT place_id FROM audits GROUP BY 1 HAVING max(audited_ts) < (SELECT max(audited_ts) - INTERVAL 12 HOUR FROM audits)", "audits")

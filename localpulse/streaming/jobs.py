@@ -65,9 +65,19 @@ def ingest_snapshots(audits: DataFrame, path: str, checkpoint: str) -> Streaming
     return audits.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def live_grid(points: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
-    """Share of local voice per scan as its pins arrive."""
-    return solv(points, ["place_id", "scan_id"]).writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def live_grid(points: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Share of local voice per scan as its pins arrive: each batch writes the scans that it changed as a folder ``v=<batch>`` of the table at ``path``; ``latest_grid`` reads the newest row of each scan."""
+    spark = points.sparkSession
+
+    def put(batch: DataFrame, number: int) -> None:
+        SnapshotTable(spark, path, batch).write(batch, number)
+
+    return solv(points, ["place_id", "scan_id"]).writeStream.foreachBatch(put).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest_grid(spark: SparkSession, path: str) -> DataFrame:
+    rows = spark.read.parquet(path)
+    return rows.groupBy("place_id", "scan_id").agg(F.max_by(F.struct(*(c for c in rows.columns if c not in ("place_id", "scan_id", "v"))), "v").alias("_r")).select("place_id", "scan_id", "_r.*")
 
 
 def stale_places(audits: DataFrame, since) -> DataFrame:

@@ -109,7 +109,6 @@ def test_mentions_need_word_boundaries(spark):
     texts = spark.createDataFrame([(1, "Acme Dirt rocks"), (2, "AcmeDirty"), (3, "see ACME DIRT!"), (4, None), (5, "")], "key int, text string")
     aliases = spark.createDataFrame([("e", "acme dirt")], "entity string, alias string")
     assert sorted(r.key for r in names.mention_join(texts, aliases).collect()) == [1, 3]
-    assert sorted(r.key for r in names.mention_join(texts, aliases, limit=0).collect()) == [1, 3]
 
 
 def test_page_facts_and_fingerprint(spark):
@@ -152,3 +151,36 @@ def test_rescore_is_idempotent(spark):
     once = profiles.rescore(audits, {**__import__("localpulse.config", fromlist=["x"]).NEGLECT_WEIGHTS, "no_hours": 0})
     again = profiles.rescore(once.drop("moved", "old_score"), {**__import__("localpulse.config", fromlist=["x"]).NEGLECT_WEIGHTS, "no_hours": 0})
     assert once.where("moved").count() == 1 and again.where("moved").count() == 0
+
+
+def test_builder_and_credit_of_literal_pages(spark):
+    rows = [
+        (1, '<meta content="Hand Made 2" data-x="1" name="generator">', {"X-Powered-By": "none"}),
+        (2, "<p>hello</p>", {"X-Via": "cdn.Squarespace.com"}),
+        (3, '<footer>Website designed by <a class="x" href="https://www.smith-studio.com/x">Smith Studio</a></footer>', None),
+        (4, '<footer>powered by: <a href="https://wix.com">Wix</a> built and hosted by <a href="//own.com/">Own</a> site by <a href="https://other.io">Other</a></footer>', None),
+        (5, "<p>Sold by <a href='https://shop.com'>Shop</a></p>", None),
+        (6, None, None),
+    ]
+    df = spark.createDataFrame(rows, "id int, html string, headers map<string,string>").withColumn("credit", pages.agency_credit(F.col("html"), F.lit("www.own.com")))
+    kinds = pages.management(pages.detect_builder(F.col("html"), F.col("headers")), pages.detect_tags(F.col("html")), F.col("credit"), pages.detect_ads(F.col("html")), F.col("html").isNotNull())
+    got = {r.id: r for r in df.select("id", pages.detect_builder(F.col("html"), F.col("headers")).alias("builder"), "credit", *(c.alias(n) for c, n in zip(kinds, ("status", "confidence", "evidence"), strict=True))).collect()}
+    assert got[1].builder == "Hand Made 2" and got[2].builder == "Squarespace" and got[5].builder is None
+    assert got[3].credit.asDict() == {"domain": "smith-studio.com", "label": "Smith Studio", "strong": True} and got[4].credit.domain == "other.io" and not got[4].credit.strong
+    assert got[1].credit is None and got[5].credit is None
+    assert (got[3].status, got[3].confidence, got[3].evidence) == ("likely agency-managed", "high", ["footer credit: Smith Studio (smith-studio.com)"])
+    assert (got[2].status, got[2].evidence) == ("DIY / unmanaged", ["builder: Squarespace"])
+    assert got[4].confidence == "medium" and got[5].evidence == ["no recognizable builder or marketing tags"]
+    assert (got[6].status, got[6].confidence, got[6].evidence) == ("unknown", "n/a", ["site did not load - could not fingerprint"])
+
+
+def test_profiles_of_literal_responses(spark):
+    schema = profiles.INFO
+    rows = [("a", True, (4.5, 12), "Plumber", ["x", "y"], " text ", 7, "mon", '{"a":["p","q"],"b":["r"]}', {"1": 2, "2": 1, "5": 9}, None, '["z"]'), ("b", *[None] * 11), ("c", False, (None, 0), "", [], "  ", 0, "", "{bad", {}, "snip", None)]
+    got = {r.place_id: r for r in profiles.extract_profile(spark.createDataFrame(rows, schema)).collect()}
+    assert tuple(got["a"])[1:] == (1, 4.5, 12, "Plumber", 2, 1, 7, 1, 3, 1, 3)
+    assert tuple(got["b"])[1:] == (None, None, None, None, None, 0, None, 0, None, None, None)
+    assert (got["c"].is_claimed, got["c"].rating_votes, got["c"].additional_categories_count, got["c"].total_photos, got["c"].neg_reviews, got["c"].has_description) == (0, 0, 0, 0, None, 1)
+    posts = spark.createDataFrame([("a", "2024/05/01 10:00:00"), ("a", "2024-05-03 09:00:00"), ("b", "junk"), ("b", None)], "place_id string, timestamp string")
+    out = {r.place_id: r for r in profiles.extract_posts(posts, F.lit("2024-05-10 08:00:00").cast("timestamp")).collect()}
+    assert (out["a"].post_count, out["a"].days_since_post) == (2, 6) and (out["b"].post_count, out["b"].last_post_ts, out["b"].days_since_post) == (2, None, None)
