@@ -9,10 +9,12 @@ with the smaller determinant stays. After one reweighting step, documents beyond
 ``CUTOFF``, the 0.999 quantile of the chi-square distribution, are rejected. Where a
 scatter is singular or narrower than ``FLOOR``, it is widened to that and no further.
 
-Steps go on until no group's determinant falls any more. All rows count in every
-step: a step is one aggregation of moments by group and distance bin (``BINS`` to an
-octave), so no group is gathered anywhere and a hot source only adds to sums. The
-bin in which the support ends counts with the share of it that is still needed.
+The two starts are concentrated first within about ``START_ROWS`` rows of each group,
+drawn evenly, which are the whole group where it has no more. From there the steps go
+on over all rows until no group's determinant moves any more: the draw only shortens
+the way. A step over all rows is one aggregation of moments by group and distance bin
+(``BINS`` to an octave), so no group is gathered anywhere and a hot source only adds to
+sums. The bin in which the support ends counts with the share of it that is still needed.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null
 language or source is a value of its own; repeated rows each count; rows with a null
@@ -39,6 +41,8 @@ SUPPORT = 0.75
 SETTLED = 1e-4
 MOST_STEPS = 20
 BINS = 64
+#: Rows of a group, about, that the steps begin with.
+START_ROWS = 2000
 #: Rows a group needs for estimates of its own: ten for each feature. Of so few the support still holds 38, and the quarter
 #: left out of it may be outliers of any size (the breakdown point); smaller groups have too few rows for a scatter of 15 numbers.
 OWN_GROUP = 50
@@ -143,36 +147,76 @@ def _moments() -> list[Column]:
 _SUMS = ["n", *(f"s_{x}" for x in _X), *(f"s_{i}_{j}" for i, j in _PAIRS)]
 
 
+def _solve(n: np.ndarray, sums: np.ndarray, squares: np.ndarray, scale: np.ndarray | float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Mean, inverse scatter (upper triangle), log determinant and count of directions wider than the floor from moments, a group to a row."""
+    n = np.maximum(n, 1.0)[:, None]
+    mean = sums / n
+    cov = np.empty((len(n), FEATURES, FEATURES))
+    for k, (i, j) in enumerate(_PAIRS):
+        cov[:, i, j] = cov[:, j, i] = squares[:, k] / n[:, 0] - mean[:, i] * mean[:, j]
+    # In units of the floor no direction is narrower than 1.
+    unit = np.outer(FLOOR, FLOOR)
+    width, axes = np.linalg.eigh(cov * np.reshape(scale, (-1, 1, 1)) / unit)
+    free = (width > 1.0).sum(1).astype(np.int32)
+    width = np.maximum(width, 1.0)
+    inv = (axes / width[:, None, :]) @ axes.transpose(0, 2, 1) / unit
+    return mean, np.stack([inv[:, i, j] for i, j in _PAIRS], 1), np.log(width).sum(1), free
+
+
+_FOUND = "mean array<double>, inv array<double>, logdet double, free int"
+
+
 def _estimates(sums: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean, inverse scatter (upper triangle), log determinant and count of directions wider than the floor from moments; one row per key."""
+    """The estimates (``_FOUND``) from moments; one row per key."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        unit = np.outer(FLOOR, FLOOR)
         for df in batches:
-            n = np.maximum(df["n"].to_numpy(float), 1.0)
-            mean = df[[f"s_{x}" for x in _X]].to_numpy(float) / n[:, None]
-            cov = np.empty((len(df), FEATURES, FEATURES))
-            for i, j in _PAIRS:
-                cov[:, i, j] = cov[:, j, i] = df[f"s_{i}_{j}"].to_numpy(float) / n - mean[:, i] * mean[:, j]
-            scale = df["scale"].to_numpy(float)[:, None, None] if "scale" in df else 1.0
-            # In units of the floor no direction is narrower than 1.
-            width, axes = np.linalg.eigh(cov * scale / unit)
-            free = (width > 1.0).sum(1)
-            width = np.maximum(width, 1.0)
-            inv = (axes / width[:, None, :]) @ axes.transpose(0, 2, 1) / unit
-            out = df[keys].copy()
-            out["mean"] = list(mean)
-            out["inv"] = [[float(m[i, j]) for i, j in _PAIRS] for m in inv]
-            out["logdet"] = np.log(width).sum(1)
-            out["free"] = free.astype(np.int32)
-            yield out
+            squares = df[[f"s_{i}_{j}" for i, j in _PAIRS]].to_numpy(float)
+            scale = df["scale"].to_numpy(float) if "scale" in df else 1.0
+            mean, inv, logdet, free = _solve(df["n"].to_numpy(float), df[[f"s_{x}" for x in _X]].to_numpy(float), squares, scale)
+            yield df[keys].assign(mean=list(mean), inv=list(inv), logdet=logdet, free=free)
 
     fields = ", ".join(f"{k} {sums.schema[k].dataType.simpleString()}" for k in keys)
-    return sums.mapInPandas(run, f"{fields}, mean array<double>, inv array<double>, logdet double, free int")
+    return sums.mapInPandas(run, f"{fields}, {_FOUND}")
+
+
+def _support(distances: np.ndarray) -> np.ndarray:
+    """Weight of each row: 1 in the bins that lie within the ``SUPPORT`` share, the share still needed in the bin where it ends, else 0."""
+    _, at, n = np.unique(np.floor(np.log2(distances + 1e-9) * BINS), return_inverse=True, return_counts=True)
+    taken = np.cumsum(n) - n
+    return np.clip((np.ceil(len(distances) * SUPPORT) - taken) / n, 0.0, 1.0)[at]
+
+
+def _starts(drawn: DataFrame) -> DataFrame:
+    """Both starts of each group, concentrated within its drawn rows."""
+
+    def run(df: pd.DataFrame) -> pd.DataFrame:
+        x = df[_X].to_numpy(float)
+        squares = np.stack([x[:, i] * x[:, j] for i, j in _PAIRS], 1)
+        twice = np.array([1 if i == j else 2 for i, j in _PAIRS])
+
+        def solve(weight: np.ndarray) -> list[np.ndarray]:
+            return [found[0] for found in _solve(weight.sum()[None], (weight @ x)[None], (weight @ squares)[None])]
+
+        # Mean and scatter of all rows; medians with mean absolute deviations about them.
+        mid = np.median(x, 0)
+        spread = np.maximum(np.abs(x - mid).mean(0) * 1.2533, FLOOR)
+        ends = []
+        for now in (solve(np.ones(len(x))), [mid, np.array([spread[i] ** -2 if i == j else 0.0 for i, j in _PAIRS]), np.inf, 0]):
+            for _ in range(MOST_STEPS):
+                last = now[2]
+                d = x - now[0]
+                now = solve(_support(np.stack([d[:, i] * d[:, j] for i, j in _PAIRS], 1) @ (now[1] * twice)))
+                if abs(now[2] - last) <= SETTLED:
+                    break
+            ends.append(now)
+        return pd.DataFrame({"grp": df["grp"].iloc[0], "start": [0, 1], **{k: [end[c] for end in ends] for c, k in enumerate(["mean", "inv", "logdet", "free"])}})
+
+    return drawn.groupBy("grp").applyInPandas(run, f"grp string, start int, {_FOUND}")
 
 
 def _nearest(rows: DataFrame, params: DataFrame, keys: list[str]) -> DataFrame:
-    """Moments of the ``SUPPORT`` share of each group's rows that are nearest by the joined estimates, and the consistency scale."""
+    """Moments of the ``SUPPORT`` share of each group's rows that are nearest by the joined estimates, and the median distance."""
     at = F.floor(F.log2(_distance() + 1e-9) * BINS).alias("bin")
     binned = rows.join(params, "grp").groupBy(*keys, at).agg(*_moments())
     group = Window.partitionBy(*keys)
@@ -197,21 +241,16 @@ def verdicts(stats: DataFrame) -> DataFrame:
     sizes = good.groupBy("lang", "source").count().withColumn("grp", F.when(F.col("count") >= OWN_GROUP, own).otherwise(by_lang))
     pooled = Window.partitionBy("grp")
     sizes = sizes.withColumn("grp", F.when(F.sum("count").over(pooled) >= OWN_GROUP, F.col("grp")).otherwise(F.lit("")))
-    sizes = materialize(sizes.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "grp"), "groups")
+    sizes = sizes.withColumn("drawn", START_ROWS / F.sum("count").over(pooled))
+    sizes = materialize(sizes.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "grp", "drawn"), "groups")
     same = F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s"))
-    rows = materialize(good.join(sizes, same).select("doc_id", "grp", *(f.alias(x) for f, x in zip(features(), _X, strict=True))), "features")
-
-    # Starts: mean and scatter of all rows; medians with mean absolute deviations about them.
-    first = _estimates(rows.groupBy("grp").agg(*_moments()).withColumn("start", F.lit(0)), ["grp", "start"])
-    medians = rows.groupBy("grp").agg(F.array(*(F.percentile_approx(x, 0.5, 1000) for x in _X)).alias("mid"))
-    spread = rows.join(medians, "grp").groupBy("grp", "mid").agg(F.array(*(F.avg(F.abs(F.col(x) - F.col("mid")[i])) for i, x in enumerate(_X))).alias("mad"))
-    diagonal = [1 / F.pow(F.greatest(F.col("mad")[i] * 1.2533, F.lit(FLOOR[i])), 2) if i == j else F.lit(0.0) for i, j in _PAIRS]
-    second = spread.select("grp", F.lit(1).alias("start"), F.col("mid").alias("mean"), F.array(*diagonal).alias("inv"), F.lit(0.0).alias("logdet"), F.lit(0).alias("free"))
-    params = first.unionByName(second)
-    for step in range(MOST_STEPS):
+    rows = materialize(good.join(sizes, same).select("grp", "drawn", *(f.alias(x) for f, x in zip(features(), _X, strict=True))), "features")
+
+    params = materialize(_starts(rows.where(F.rand(0) < F.col("drawn"))), "estimates")
+    for _ in range(MOST_STEPS):
         last = params.select("grp", "start", F.col("logdet").alias("last"))
         params = materialize(_estimates(_nearest(rows, params, ["grp", "start"]), ["grp", "start"]), "estimates")
-        if step and params.join(last, ["grp", "start"]).where(F.abs(F.col("logdet") - F.col("last")) > SETTLED).isEmpty():
+        if params.join(last, ["grp", "start"]).where(F.abs(F.col("logdet") - F.col("last")) > SETTLED).isEmpty():
             break
     best = params.groupBy("grp").agg(F.min_by(F.struct("mean", "inv", "free"), F.struct("logdet", "start")).alias("b")).select("grp", "b.*")
     # Scale so that the median distance is that of the chi-square distribution over the directions that vary, then reweight once.
