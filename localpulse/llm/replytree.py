@@ -1,10 +1,11 @@
 """Reply trees to chat conversations.
 
-Iterative self-joins enumerate all root-to-leaf paths: in step k every branch is
-extended by the ancestors 2^k above what it holds, so a tree of depth d takes
-log2(d) joins, and only ids are joined. Branches are ranked within their tree by
-score, and each chosen path is formatted as one conversation, with the spans of
-the assistant's texts as loss mask.
+Iterative self-joins enumerate all root-to-leaf paths: step k finds each node's
+ancestor 2^k above and the scores on the way, so a tree of depth d takes log2(d)
+joins, and only ids and scores are joined. Every leaf climbs to its root by these
+jumps, which gives its branch's length and score in one row; branches are ranked
+within their tree, and only the chosen ones are listed node by node. Each is
+formatted as one conversation, with the spans of the assistant's texts as loss mask.
 
 DataFrame functions only.
 
@@ -27,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import materialize
+from localpulse.llm.core import materialize, release_since, scratch_count
 
 START, MIDDLE, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 #: Strings that steer a model in common templates: fixed values.
@@ -50,26 +51,59 @@ def turns_as_tree(turns: DataFrame, *, tree: str = "conv_id", order: str = "turn
     return rows.select("tree", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def branches(nodes: DataFrame) -> DataFrame:
-    """``key, leaf, node, depth`` (0 at the root) for every node of every root-to-leaf path of ``nodes`` (``key, node, parent``)."""
-    links = nodes.where("parent IS NOT NULL").select("key", F.col("node").alias("below"), F.col("parent").alias("above"))
+def jumps(nodes: DataFrame) -> list[DataFrame]:
+    """Stored tables of the ancestors 1, 2, 4, ... above each node of ``nodes`` (``key, node, parent, score``).
+
+    Columns ``key, below, above``, and sum and number of the scores (``total, rated``) from ``below`` up to, not including, ``above``.
+    """
+    links = nodes.where("parent IS NOT NULL").select("key", F.col("node").alias("below"), F.col("parent").alias("above"), *_score(F.col("score")))
     exists = nodes.select("key", F.col("node").alias("above"))
-    jump = materialize(links.join(exists, ["key", "above"], "left_semi").select("key", "below", "above"), "jumps")
-    roots = nodes.select("key", "node").join(jump.select("key", F.col("below").alias("node")), ["key", "node"], "left_anti")
-    leaves = nodes.select("key", "node").join(jump.select("key", F.col("above").alias("node")), ["key", "node"], "left_anti")
-    held = leaves.select("key", F.col("node").alias("leaf"), "node", F.lit(0).cast("bigint").alias("up"))
-    left, step = jump.count(), 1
+    levels = [materialize(links.join(exists, ["key", "above"], "left_semi").select("key", "below", "above", "total", "rated"), "jumps")]
+    left = levels[0].count()
     while left:
-        up = held.join(jump, (held.key == jump.key) & (held.node == jump.below)).select(held.key, "leaf", F.col("above").alias("node"), (F.col("up") + step).alias("up"))
-        held = materialize(held.unionByName(up), "branches")
-        far = jump.select(F.col("key").alias("k"), F.col("below").alias("middle"), F.col("above").alias("top"))
-        jump = materialize(jump.join(far, (F.col("key") == F.col("k")) & (F.col("above") == F.col("middle"))).select("key", "below", F.col("top").alias("above")), "jumps")
-        before, left, step = left, jump.count(), 2 * step
+        jump = levels[-1]
+        far = jump.select(F.col("key").alias("k"), F.col("below").alias("middle"), F.col("above").alias("top"), F.col("total").alias("t"), F.col("rated").alias("r"))
+        met = jump.join(far, (F.col("key") == F.col("k")) & (F.col("above") == F.col("middle")))
+        jump = materialize(met.select("key", "below", F.col("top").alias("above"), (F.col("total") + F.col("t")).alias("total"), (F.col("rated") + F.col("r")).alias("rated")), "jumps")
+        before, left = left, jump.count()
         if left == before:  # only cycles keep all their jumps
             break
-    ends = held.join(roots, ["key", "node"], "left_semi").groupBy("key", "leaf").agg(F.min("up").alias("length"))
-    path = held.join(ends, ["key", "leaf"]).where("up <= length")
-    return path.select("key", "leaf", "node", (F.col("length") - F.col("up")).alias("depth"))
+        if left:
+            levels.append(jump)
+    return levels
+
+
+def _score(score: Column) -> list[Column]:
+    return [F.coalesce(score, F.lit(0.0)).alias("total"), score.isNotNull().cast("bigint").alias("rated")]
+
+
+def branches(nodes: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """``key, leaf, length`` (nodes above the leaf) and ``score`` (mean, nulls apart) of every root-to-leaf path of ``nodes``."""
+    links = levels[0]
+    roots = nodes.join(links.select("key", F.col("below").alias("node")), ["key", "node"], "left_anti")
+    leaves = nodes.select("key", "node").join(links.select("key", F.col("above").alias("node")), ["key", "node"], "left_anti")
+    at = leaves.select("key", F.col("node").alias("leaf"), "node", F.lit(0).cast("bigint").alias("length"), F.lit(0.0).alias("total"), F.lit(0).cast("bigint").alias("rated"))
+    # A jump exists as long as the way up is as long, so the longest ones first, once each.
+    for k, jump in reversed(list(enumerate(levels))):
+        up = jump.select(F.col("key").alias("k"), "below", "above", F.col("total").alias("t"), F.col("rated").alias("r"))
+        gain = lambda c, by: (F.col(c) + F.coalesce(by, F.lit(0))).alias(c)
+        risen = F.when(F.col("above").isNotNull(), F.lit(2**k).cast("bigint"))
+        at = at.join(up, (F.col("key") == F.col("k")) & (F.col("node") == F.col("below")), "left")
+        at = at.select("key", "leaf", F.coalesce("above", "node").alias("node"), gain("length", risen), gain("total", F.col("t")), gain("rated", F.col("r")))
+    top = roots.select("key", "node", *(c.alias(f"top_{n}") for n, c in zip(("total", "rated"), _score(F.col("score")), strict=True)))
+    mean = (F.col("total") + F.col("top_total")) / F.nullif(F.col("rated") + F.col("top_rated"), F.lit(0))
+    return at.join(top, ["key", "node"]).select("key", "leaf", "length", mean.alias("score"))
+
+
+def listed(best: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """Every node of the branches ``best`` (``key, leaf, length`` and others), as ``node`` at ``depth`` (0 at the root); stored."""
+    held = best.withColumns({"node": F.col("leaf"), "depth": F.col("length")}).drop("length")
+    for k, jump in enumerate(levels):
+        held = materialize(held, "branches")
+        over = jump.select(F.col("key").alias("k"), "below", "above")
+        up = held.join(over, (F.col("key") == F.col("k")) & (F.col("node") == F.col("below")))
+        held = held.unionByName(up.withColumns({"node": F.col("above"), "depth": F.col("depth") - 2**k}).drop("k", "below", "above"))
+    return materialize(held, "branches")
 
 
 def format_branches(nodes: DataFrame, *, per_tree: int = 1, roles_with_loss: tuple[str, ...] = ("assistant",)) -> DataFrame:
@@ -80,13 +114,15 @@ def format_branches(nodes: DataFrame, *, per_tree: int = 1, roles_with_loss: tup
     """
     key = F.coalesce(F.col("tree").cast("string"), F.lit("\x00"))
     keyed = nodes.groupBy(key.alias("key"), "node").agg(F.min(F.struct("tree", "parent", "role", "text", "score")).alias("row")).select("key", "node", "row.*")
-    ids = materialize(keyed.select("key", "tree", "node", "parent", "score"), "nodes")
-    paths = branches(ids.select("key", "node", "parent"))
-    scored = paths.join(ids.select("key", "tree", "node", "score"), ["key", "node"]).groupBy("key", "leaf").agg(F.first("tree").alias("tree"), F.avg("score").alias("score"))
+    mark = scratch_count()
+    ids = materialize(keyed.select("key", "node", "parent", F.col("score").cast("double").alias("score")), "nodes")
+    levels = jumps(ids)
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc_nulls_last("score"), F.col("leaf")))
-    best = scored.withColumn("branch_rank", rank).where(F.col("branch_rank") <= per_tree)
+    best = branches(ids, levels).withColumn("branch_rank", rank).where(F.col("branch_rank") <= per_tree)
+    paths = listed(best, levels)
+    release_since(nodes.sparkSession, mark, but=1)
     head = F.concat(F.lit(START), escaped(F.col("role")), F.lit(MIDDLE))
-    rows = paths.join(best, ["key", "leaf"]).join(keyed.select("key", "node", head.alias("head"), escaped(F.col("text")).alias("body"), F.coalesce(F.col("role").isin(*roles_with_loss), F.lit(False)).alias("loss")), ["key", "node"])
+    rows = paths.join(keyed.select("key", "node", "tree", head.alias("head"), escaped(F.col("text")).alias("body"), F.coalesce(F.col("role").isin(*roles_with_loss), F.lit(False)).alias("loss")), ["key", "node"])
     piece = F.concat("head", "body", F.lit(END + "\n"))
     before = Window.partitionBy("key", "leaf").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("piece", piece)

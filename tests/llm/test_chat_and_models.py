@@ -27,6 +27,28 @@ def test_branches_are_ranked(spark):
     assert formatted(spark, rows, per_tree=5).where("tree = 't'").count() == 2
 
 
+def test_bushy_trees_against_walking_up(spark):
+    rng = random.Random(8)
+    rows = [("hot" if i % 3 else f"t{i % 4}", i, None if i < 12 or rng.random() < 0.02 else rng.randrange(max(0, i - 30), i), "user", str(i), rng.choice([None, rng.random()])) for i in range(240)]
+    rows += [("hot", 900, 901, "user", "", 9.0), ("hot", 901, 900, "user", "", 9.0), ("hot", 902, 901, "user", "", 9.0)]  # a cycle and a leaf below it
+    known = {(r[0], r[1]): r for r in rows}
+    answered = {(r[0], r[2]) for r in rows}
+    want = {}
+    for tree, node, *_ in rows:
+        if (tree, node) in answered or node >= 900:
+            continue
+        path, at = [], (tree, node)
+        while at in known:
+            path.append(known[at])
+            at = (tree, known[at][2])
+        scores = [r[5] for r in path if r[5] is not None]
+        want.setdefault(tree, []).append((-(sum(scores) / len(scores)) if scores else math.inf, node, [r[4] for r in reversed(path)]))
+    got = {}
+    for r in formatted(spark, rows, per_tree=3).collect():
+        got.setdefault(r.tree, []).append((r.branch_rank, [t.text for t in r.turns]))
+    assert {t: [p for _, p in sorted(b)] for t, b in got.items()} == {t: [p for *_, p in sorted(b)[:3]] for t, b in want.items()}
+
+
 def test_repeated_nodes_and_clashing_columns(spark):
     rows = [("t", 1, None, "user", "q", 1.0), ("t", 1, None, "user", "r", 5.0), ("t", 2, 1, "assistant", "a", 1.0), ("t", 2, 1, "assistant", "a", 1.0)]
     nodes = spark.createDataFrame(rows, "tree string, node bigint, parent bigint, role string, text string, score double").withColumns({"key": F.lit("x"), "leaf": F.lit(7), "depth": F.lit(0)})
