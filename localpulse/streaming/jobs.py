@@ -12,10 +12,14 @@ from localpulse.operators.store import merge_businesses
 
 
 class SnapshotTable:
-    """A keyed table as a series of snapshot folders ``v=<batch>``; a batch that is run again writes the same folder."""
+    """A table as a series of folders ``v=<batch>``; a batch that is run again writes the same folder.
 
-    def __init__(self, spark: SparkSession, path: str, empty: DataFrame) -> None:
-        self.spark, self.path, self.empty = spark, path, empty
+    Keyed tables hold in each folder the rows that the batch changed, and in every
+    ``whole``-th folder all rows, so that a batch writes in proportion to its own size.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, empty: DataFrame, key: str = "place_id", whole: int = 32) -> None:
+        self.spark, self.path, self.empty, self.key, self.whole = spark, path, empty, key, whole
 
     def _fs(self):
         where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
@@ -28,22 +32,43 @@ class SnapshotTable:
         done = lambda s: fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
         return sorted(int(s.getPath().getName()[2:]) for s in fs.listStatus(where) if s.getPath().getName().startswith("v=") and done(s))
 
-    def read(self, before: int | None = None) -> DataFrame:
+    def read(self, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
+        """The newest row of each key; with ``only``, of the keys that it holds."""
         found = [v for v in self.versions() if before is None or v < before]
-        return self.spark.read.parquet(f"{self.path}/v={found[-1]}") if found else self.empty
+        if not found:
+            return self.empty
+        since = max((v for v in found if v % self.whole == 0), default=0)
+        rows = self.spark.read.option("basePath", self.path).parquet(*(f"{self.path}/v={v}" for v in found if v >= since))
+        if only is not None:
+            rows = rows.join(only.select(self.key).distinct(), self.key, "left_semi")
+        rest = F.struct(*(c for c in rows.columns if c not in (self.key, "v")))
+        return rows.groupBy(self.key).agg(F.max_by(rest, "v").alias("_r")).select(self.key, "_r.*")
+
+    def forget(self, before: int) -> None:
+        """Delete the folders of batches before one."""
+        fs, _ = self._fs()
+        for v in self.versions():
+            if v < before:
+                fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={v}"), True)
 
     def write(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
 
 
 def ingest_listings(sightings: DataFrame, table: SnapshotTable, checkpoint: str, refresh: bool = False) -> StreamingQuery:
-    """Merge arriving sightings into the business table; the checkpoint and the batch number make it exactly-once."""
+    """Merge arriving sightings into the business table, stamped with the time of the batch; the checkpoint and the batch number make it exactly-once.
+
+    Only the places of the batch are looked up and written; the folders before the last
+    but one whole folder are deleted.
+    """
 
     def merge(batch: DataFrame, number: int) -> None:
-        old = table.read(before=number)
-        now = F.lit("2000-01-01 00:00:00").cast("timestamp") + F.make_interval(secs=F.lit(number))
-        merged = merge_businesses(old, batch, now, refresh)
+        whole = number % table.whole == 0
+        old = table.read(before=number, only=None if whole else batch)
+        merged = merge_businesses(old, batch, F.current_timestamp(), refresh)
         table.write(merged.drop("action", "sightings"), number)
+        if whole:
+            table.forget(number - table.whole)
 
     return sightings.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -4,6 +4,7 @@ import datetime
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from localpulse.operators import budget, discovery, grid, store
@@ -36,15 +37,18 @@ def test_merge_keeps_first_seen(spark):
     assert all(r.first_seen == first[r.place_id] for r in merged.collect() if r.place_id in first)
 
 
-def test_stream_equals_batch(spark):
+@pytest.mark.parametrize("whole", [1, 2, 32])
+def test_stream_equals_batch(spark, whole):
     rows = sightings(60, 4)
     path, target = new_path(spark, "in"), new_path(spark, "out")
-    for part in (rows[:20], rows[20:45], rows[45:]):
+    for part in (rows[:40], rows[40:45], rows[45:]):
         spark.createDataFrame(part, SIGHTING).coalesce(1).write.mode("append").parquet(path)
     empty = spark.createDataFrame([], BUSINESS)
-    table = SnapshotTable(spark, target, empty)
+    table = SnapshotTable(spark, target, empty, whole=whole)
     ingest_listings(spark.readStream.schema(SIGHTING).option("maxFilesPerTrigger", 1).parquet(path), table, new_path(spark, "cp")).awaitTermination()
-    assert len(table.versions()) == 3
+    assert table.versions() == ([1, 2] if whole == 1 else [0, 1, 2])
+    stored = {r.place_id for r in spark.read.parquet(f"{target}/v=1").collect()}
+    assert stored == {r[0] for r in (rows[:45] if whole == 1 else rows[40:45])}
     batch = store.merge_businesses(empty, spark.createDataFrame(rows, SIGHTING), F.lit(None).cast("timestamp"))
     pick = lambda df: sorted((r.place_id, tuple(r.found_via)) for r in df.collect())
     assert pick(table.read()) == pick(batch)
