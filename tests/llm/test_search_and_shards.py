@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -190,7 +191,9 @@ def brute_mcd(x):
     return dist(estimate(x[dist(raw) <= robust.CHI2_975], 1.1))
 
 
-def test_verdicts_against_brute_force(spark):
+@pytest.mark.parametrize("drawn", [robust.START_ROWS, 60])
+def test_verdicts_against_brute_force(spark, monkeypatch, drawn):
+    monkeypatch.setattr(robust, "START_ROWS", drawn)
     rng = np.random.Generator(np.random.PCG64(3))
     rows = []
     for g, (lang, source) in enumerate([("en", "a"), ("en", "b"), ("de", None)]):
