@@ -48,12 +48,15 @@ def solv(points: DataFrame, keys: list[str], max_rank: int = 20) -> DataFrame:
 
 
 def solv_by_keyword(base: DataFrame, cur: DataFrame, keys: list[str], max_rank: int = 20) -> DataFrame:
-    """Share of local voice of each keyword in both scans; a keyword of one scan only scores 0 in the other."""
+    """Share of local voice of each keyword in both scans; a keyword of one scan only scores 0 in the other.
+
+    The change has nine decimals, so that the order of summing makes no change of its own.
+    """
     on = [*keys, "keyword"]
     b = solv(base, on, max_rank).select(*on, F.col("solv").alias("base_solv"))
     c = solv(cur, on, max_rank).select(*on, F.col("solv").alias("cur_solv"))
     both = b.join(c, on, "full").withColumns({x: F.coalesce(x, F.lit(0.0)) for x in ("base_solv", "cur_solv")})
-    return both.withColumn("change", F.col("cur_solv") - F.col("base_solv"))
+    return both.withColumn("change", F.round(F.col("cur_solv") - F.col("base_solv"), 9))
 
 
 def pin_mean(points: DataFrame) -> DataFrame:

@@ -31,9 +31,9 @@ BRIDGES = {
           k % 3 AS additional_categories_count, k % 2 AS has_hours, k % 5 AS is_claimed
         FROM (SELECT *, CAST({k} AS INT) AS k FROM {events}) e""",
     "points": """
-        SELECT CAST(l_suppkey % 20 AS {str}) AS place_id, YEAR(l_shipdate) AS scan_id, CAST(l_partkey % 7 AS INT) AS {row}, CAST(l_orderkey % 7 AS INT) AS col, l_returnflag AS keyword,
+        SELECT CAST(l_suppkey AS {str}) AS place_id, YEAR(l_shipdate) AS scan_id, CAST(l_partkey % 7 AS INT) AS {row}, CAST(l_orderkey % 7 AS INT) AS col, l_returnflag AS keyword,
           MIN(CASE WHEN l_quantity > 25 THEN NULL ELSE CAST(l_quantity AS INT) END) AS rank
-        FROM {lineitem} l GROUP BY l_suppkey % 20, YEAR(l_shipdate), CAST(l_partkey % 7 AS INT), CAST(l_orderkey % 7 AS INT), l_returnflag""",
+        FROM {lineitem} l GROUP BY l_suppkey, YEAR(l_shipdate), CAST(l_partkey % 7 AS INT), CAST(l_orderkey % 7 AS INT), l_returnflag""",
     "scans": """
         SELECT place_id, scan_id, COUNT(*) AS n_pins, CAST(MAX({row}) + 1 AS INT) AS grid_rows, CAST(MAX(col) + 1 AS INT) AS grid_cols FROM {points} p GROUP BY place_id, scan_id""",
     "base_points": """
@@ -56,6 +56,30 @@ BRIDGES = {
         SELECT CAST(o_custkey AS {str}) AS place_id, o_orderpriority AS name, o_orderstatus AS website, CAST(o_orderkey % 100 AS BIGINT) AS review_count, o_orderstatus AS state_code, o_orderpriority AS trade_bucket, 'match' AS relevance, o_orderpriority AS via, o_orderkey AS seq
         FROM {orders} o""",
     "requests": """SELECT o_orderkey AS id, o_totalprice AS priority, CAST(ROUND(o_totalprice / 10000) AS BIGINT) AS cost, CAST(o_orderkey % 40 AS BIGINT) AS actual, o_orderstatus = 'P' AS failed FROM {orders} o""",
+    # Pages with the markup that the table lacks (meta tags, JSON-LD, headings, images), made of each page's own address, title and first word.
+    "sitepages": """
+        SELECT page_id, url, replace(html, '</title>', '</title>'
+            || CASE WHEN n % 2 = 0 THEN '<meta name="viewport" content="width=device-width">' ELSE '' END
+            || CASE WHEN n % 3 = 0 THEN '<meta name="description" content="' || title || ' - ' || title || '">' ELSE '' END
+            || CASE WHEN n % 5 < 3 THEN '<link rel="canonical" href="' || split_part(url, '?', 1) || '">' ELSE '' END
+            || CASE WHEN n % 9 < 3 THEN '<img src="a.png"><img src="b.png" alt="' || word || '">' ELSE '' END
+            || CASE WHEN n % 7 < 4 THEN '<h2>Call (615) 555-' || lpad(CAST(n % 10000 AS {str}), 4, '0') || '</h2><h2>' || word || '</h2>' ELSE '' END
+            || CASE WHEN n % 4 = 3 THEN '' ELSE '<script type="application/ld+json">' || chr(123) || CASE n % 4
+                WHEN 0 THEN '"@type":["LocalBusiness","Organization"],"founder":' || chr(123) || '"@type":"Person","name":"' || word || '"' || chr(125) || chr(125)
+                WHEN 1 THEN '"@type":"FAQPage","employee":[' || chr(123) || '"name":"Ann ' || word || '"' || chr(125) || ',' || chr(123) || '"name":"' || word || '"' || chr(125) || '],"x":' || chr(123) || '"@type":"Review"' || chr(125) || chr(125)
+                ELSE '"@type":"AggregateRating"' END || '</script>' END) AS html
+        FROM (SELECT page_id, url, html, length(html) AS n, regexp_extract(html, '<title>([^<]*)', 1) AS title, regexp_extract(html, '<p><b>([A-Za-z]+)', 1) AS word FROM {pages} p) x""",
+    # Robots, sitemap and llms files made of each page's address and text; blog hosts serve a page in place of robots.txt, mobile hosts none.
+    "sitefiles": """
+        SELECT page_id, agent, shut, star, train, delay, links, kind, word, url,
+          CASE kind WHEN 'blog' THEN html WHEN 'm' THEN NULL ELSE 'User-agent: ' || agent || chr(10) || 'Disallow: /' || CASE WHEN shut THEN '' ELSE word END || chr(10)
+            || CASE WHEN star THEN 'User-agent: *' || chr(10) || 'Content-Signal: search=yes, ai-train=' || train || chr(10) ELSE '' END
+            || CASE WHEN delay = '' THEN '' ELSE 'Sitemap: ' || url || chr(10) || 'Crawl-delay: ' || delay || chr(10) END END AS robots,
+          CASE WHEN url LIKE '%#%' THEN html ELSE '<urlset>' || repeat('<loc>' || word || '</loc>', links) || '</urlset>' END AS sitemap,
+          CASE WHEN url LIKE '%#%' THEN html WHEN url LIKE '%?%' THEN '# ' || word END AS llms
+        FROM (SELECT page_id, url, html, word, n % 3 = 0 OR word = '' AS shut, n % 5 < 3 AS star, CASE WHEN n % 2 = 0 THEN 'no' ELSE 'yes' END AS train, CAST(n % 50 AS INT) AS links,
+            regexp_extract(url, '/([0-9]+)', 1) AS delay, split_part(split_part(url, '/', 3), '.', 1) AS kind, CASE split_part(url, '/', 4) WHEN 'en' THEN 'GPTBot' WHEN 'fr' THEN 'CCBot' ELSE 'Bingbot' END AS agent
+          FROM (SELECT page_id, url, html, length(html) AS n, regexp_extract(html, '<p><b>([A-Za-z]+)', 1) AS word FROM {pages} p) x) y""",
     "answers": """SELECT c.conv_id AS key, c.turn, c.text, p.url FROM {conversations} c JOIN {pages} p ON p.page_id = c.conv_id % 50 WHERE c.role = 'assistant'""",
 }
 

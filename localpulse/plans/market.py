@@ -28,7 +28,7 @@ query("a4_g7_solv_per_scan", f"SELECT place_id, scan_id, {SOLV} FROM points GROU
 query(
     "a5_solv_by_keyword",
     f"""WITH b AS (SELECT place_id, keyword, 100 * SUM({VIS}) / COUNT(*) AS v FROM base_points GROUP BY 1, 2), c AS (SELECT place_id, keyword, 100 * SUM({VIS}) / COUNT(*) AS v FROM cur_points GROUP BY 1, 2)
-    SELECT COALESCE(b.place_id, c.place_id) AS place_id, COALESCE(b.keyword, c.keyword) AS keyword, COALESCE(b.v, 0) AS base_solv, COALESCE(c.v, 0) AS cur_solv, COALESCE(c.v, 0) - COALESCE(b.v, 0) AS change
+    SELECT COALESCE(b.place_id, c.place_id) AS place_id, COALESCE(b.keyword, c.keyword) AS keyword, COALESCE(b.v, 0) AS base_solv, COALESCE(c.v, 0) AS cur_solv, ROUND(COALESCE(c.v, 0) - COALESCE(b.v, 0), 9) + 0.0 AS change
     FROM b FULL JOIN c ON b.place_id = c.place_id AND b.keyword = c.keyword""",
     "base_points",
     "cur_points",
@@ -36,7 +36,7 @@ query(
 query(
     "o9_keyword_changes_ranked",
     f"""WITH b AS (SELECT place_id, keyword, 100 * SUM({VIS}) / COUNT(*) AS v FROM base_points GROUP BY 1, 2), c AS (SELECT place_id, keyword, 100 * SUM({VIS}) / COUNT(*) AS v FROM cur_points GROUP BY 1, 2),
-    j AS (SELECT COALESCE(b.place_id, c.place_id) AS place_id, COALESCE(b.keyword, c.keyword) AS keyword, ROUND(COALESCE(c.v, 0) - COALESCE(b.v, 0), 6) AS change FROM b FULL JOIN c ON b.place_id = c.place_id AND b.keyword = c.keyword)
+    j AS (SELECT COALESCE(b.place_id, c.place_id) AS place_id, COALESCE(b.keyword, c.keyword) AS keyword, ROUND(COALESCE(c.v, 0) - COALESCE(b.v, 0), 6) + 0.0 AS change FROM b FULL JOIN c ON b.place_id = c.place_id AND b.keyword = c.keyword)
     SELECT *, ROW_NUMBER() OVER (PARTITION BY place_id ORDER BY change DESC, keyword) AS place FROM j""",
     "base_points",
     "cur_points",

@@ -169,17 +169,47 @@ query("j18_fan_out", f"SELECT place_id, {HOST.format(c='website')} AS host, leng
 
 # --- pages ------------------------------------------------------------------
 
-query("h1_page_signals")(lambda s: pages.page_signals(s.pages))
+UNQUOTED = "regexp_replace(replace({c}, '&quot;', '\"'), '&amp;?', '&', 'g')"
+META = r"""regexp_extract(html, '(?i)<meta name="{n}" content="([^"]*)"', 1)"""
+LD_TYPES = r"""list_sort(list_distinct(list_concat(flatten(list_transform(valid, lambda s: regexp_extract_all(s, '"@type":"([^"]*)"', 1))),
+  flatten(list_transform(valid, lambda s: flatten(list_transform(regexp_extract_all(s, '"@type":\[([^\]]*)\]', 1), lambda l: regexp_extract_all(l, '"([^"]*)"', 1))))))))"""
+# Page facts in SQL, enough for the markup of the pages.
+FACTS = rf"""b AS (SELECT *, regexp_extract_all(html, '(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>', 1) AS blocks, {HOST.format(c='url')} AS host, starts_with(lower(url), 'https://') AS https,
+    NULLIF(trim({UNQUOTED.format(c="regexp_extract(html, '(?is)<title>(.*?)</title>', 1)")}), '') AS title, NULLIF(trim({UNQUOTED.format(c=META.format(n='description'))}), '') AS meta_description,
+    NULLIF({META.format(n='robots')}, '') AS meta_robots, NULLIF({META.format(n='twitter:card')}, '') AS twitter_card, regexp_matches(html, '(?i)<meta name="viewport"') AS viewport,
+    NULLIF(regexp_extract(html, '(?i)<link rel="canonical" href="([^"]*)"', 1), '') AS canonical, NULLIF(regexp_extract(html, '(?i)<html lang="([^"]*)"', 1), '') AS html_lang,
+    regexp_extract_all(html, '(?i)<img[^>]*>') AS images,
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[ >].*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*(>|$)', ' ', 'g'), '\s+', ' ', 'g') AS txt FROM sitepages),
+  v AS (SELECT *, list_filter(blocks, lambda s: json_valid(s)) AS valid FROM b),
+  t AS (SELECT *, {LD_TYPES} AS types FROM v),
+  facts AS (SELECT *, CAST(COALESCE(length(title), 0) AS INT) AS title_length, CAST(COALESCE(length(meta_description), 0) AS INT) AS meta_description_length,
+    CAST(len(regexp_extract_all(html, '(?i)<h1[\s>]')) AS INT) AS h1_count, CAST(len(regexp_extract_all(html, '(?i)<h2[\s>]')) AS INT) AS h2_count, CAST(len(regexp_extract_all(html, '(?i)<h3[\s>]')) AS INT) AS h3_count,
+    CAST(len(regexp_extract_all(txt, '\S+')) AS INT) AS word_count, CAST(len(images) AS INT) AS images_total, CAST(len(list_filter(images, lambda i: NOT regexp_matches(i, '\salt="[^"]'))) AS INT) AS images_missing_alt,
+    regexp_matches(txt, '\(?\d{{3}}\)?[\s.-]?\d{{3}}[\s.-]?\d{{4}}') AS has_phone, regexp_matches(lower(array_to_string(types, ' ')), 'localbusiness|excavating|sportsactivitylocation|healthclub|organization') AS local_business,
+    list_contains(types, 'FAQPage') AS faq, list_contains(types, 'Organization') AS organization, list_contains(types, 'AggregateRating') OR list_contains(types, 'Review') AS rated FROM t)"""
+query("h1_page_signals", f"WITH {FACTS} SELECT {', '.join(c.split()[0] for c in pages.SIGNALS.split(', '))} FROM facts", "sitepages")(lambda s: pages.page_signals(s.sitepages))
 query("h1_heading_counts", r"SELECT page_id, CAST(len(regexp_extract_all(html, '(?i)<h1[\s>]')) AS INT) AS h1_count, CAST(len(regexp_extract_all(html, '(?i)<h2[\s>]')) AS INT) AS h2_count FROM pages")(lambda s: pages.page_signals(s.pages).select("page_id", "h1_count", "h2_count"))
-query("h2_c24_jsonld", r"SELECT page_id, CAST(len(regexp_extract_all(html, '(?is)<script[^>]*application/ld\+json')) AS INT) AS n_blocks FROM pages")(lambda s: pages.jsonld(s.pages).select("page_id", "n_blocks"))
+query("h2_c24_jsonld", f"WITH {FACTS} SELECT page_id, CAST(len(blocks) AS INT) AS n_blocks, CAST(len(valid) AS INT) AS n_valid, array_to_string(types, ',') AS types, local_business, faq, organization, list_contains(types, 'AggregateRating') AS rating, list_contains(types, 'Review') AS review FROM facts", "sitepages")(
+    lambda s: pages.jsonld(s.sitepages).withColumn("types", F.array_join("types", ","))
+)
 LINKS = r"""h AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*?href=["\x27]([^"\x27]*)["\x27]', 1)) AS href FROM pages), k AS (SELECT page_id, href, NOT regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\-]*:') OR regexp_extract(href, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1) = regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1) AS inside FROM h)"""
 query("h3_link_counts", f"WITH {LINKS} SELECT pages.page_id, CAST(count(*) FILTER (inside) AS INT) AS internal_links, CAST(count(*) FILTER (NOT inside AND starts_with(href, 'http')) AS INT) AS external_links FROM pages LEFT JOIN k USING (page_id) GROUP BY 1")(lambda s: pages.link_counts(s.pages))
-query("h4_readiness")(lambda s: _readiness(s).select("page_id", "score", F.array_join("gaps", "|").alias("gaps")))
-query("h5_prospect_score")(lambda s: _readiness(s).select("page_id", *(c.alias(n) for c, n in zip(pages.prospect_score(F.col("score"), F.col("gaps"), F.lit(False), F.col("page_id") % 2 == 0), ("score", "gaps"), strict=True))))
+RULES = (
+    ("NOT https", 3, "no HTTPS"), ("NOT viewport", 3, "not mobile-friendly (no viewport)"), ("len(types) = 0", 3, "no structured data"),
+    ("len(types) > 0 AND NOT list_contains(types, 'LocalBusiness')", 1, "no local business schema"), ("len(types) > 0 AND NOT faq", 1, "no FAQ schema"),
+    ("title_length NOT BETWEEN 10 AND 65", 1, "title length off"), ("meta_description_length NOT BETWEEN 50 AND 170", 1, "meta description off"),
+    ("word_count < 400", 2, "thin homepage content"), ("word_count BETWEEN 400 AND 599", 1, "light homepage content"), ("canonical IS NULL", 1, "no canonical tag"),
+)
+READY = f"""{FACTS}, ready AS (SELECT *, CAST({' + '.join(f'CASE WHEN {c} THEN {n} ELSE 0 END' for c, n, _ in RULES)} AS INT) AS score,
+  list_filter([{', '.join(f"CASE WHEN {c} THEN '{g}' END" for c, _, g in RULES)}], lambda x: x IS NOT NULL) AS gaps FROM facts)"""
+query("h4_readiness", f"WITH {READY} SELECT page_id, score, array_to_string(gaps, '|') AS gaps FROM ready", "sitepages")(lambda s: _readiness(s).select("page_id", "score", F.array_join("gaps", "|").alias("gaps")))
+query("h5_prospect_score", f"WITH {READY} SELECT page_id, CAST(score + 1 + page_id % 2 AS INT) AS score, array_to_string(list_concat(gaps, CASE page_id % 2 WHEN 0 THEN ['no sitemap'] ELSE ['no sitemap', 'no llms.txt'] END), '|') AS gaps FROM ready", "sitepages")(
+    lambda s: _readiness(s).select("page_id", *(c.alias(n) for c, n in zip(pages.prospect_score(F.col("score"), F.col("gaps"), F.lit(False), F.col("page_id") % 2 == 0), ("score", "gaps"), strict=True))).withColumn("gaps", F.array_join("gaps", "|"))
+)
 
 
 def _facts(s):
-    return pages.page_signals(s.pages).join(pages.jsonld(s.pages), "page_id").join(s.pages.select("page_id", "url", C.host_of(F.col("url")).alias("host")), "page_id").withColumn("https", F.lower("url").startswith("https://"))
+    return pages.page_signals(s.sitepages).join(pages.jsonld(s.sitepages), "page_id").join(s.pages.select("page_id", "url", C.host_of(F.col("url")).alias("host")), "page_id").withColumn("https", F.lower("url").startswith("https://"))
 
 
 def _readiness(s):
@@ -187,7 +217,19 @@ def _readiness(s):
     return _facts(s).withColumns({"score": score, "gaps": gaps})
 
 
-@query("h6_enrich")
+LISTED = lambda c, words: "(" + " OR ".join(f"contains({c}, '{w}')" for w in words) + ")"
+
+
+@query(
+    "h6_enrich",
+    f"""WITH {READY}, first AS (SELECT host, arg_min(struct_pack(score := score, title := lower(COALESCE(title, '')), words := word_count), page_id) AS p FROM ready GROUP BY 1),
+    j AS (SELECT place_id, no_website, COALESCE({HOST.format(c='website')}, '') AS h, p.score AS score, p.title AS title, p.words AS words FROM businesses b LEFT JOIN first f ON f.host = {HOST.format(c='b.website')}),
+    k AS (SELECT *, CASE WHEN no_website = 1 OR h = '' THEN 'none' WHEN {LISTED('h', K.SOCIAL_HOSTS)} THEN 'social_only' WHEN {LISTED('h', K.DIRECTORY_HOSTS)} THEN 'directory' WHEN score IS NULL THEN 'unreachable'
+      WHEN {LISTED('title', K.PARKED_HINTS)} THEN 'parked' WHEN (contains(title, 'not found') OR contains(title, '404')) AND words < 120 THEN 'dead' ELSE 'live' END AS site_status FROM j)
+    SELECT place_id, site_status, CASE WHEN site_status = 'live' THEN score END AS readiness_score FROM k""",
+    "sitepages",
+    "businesses",
+)
 def enrich(s):
     page = _readiness(s).groupBy("host").agg(F.min_by(F.struct("score", "title", "word_count"), "page_id").alias("p")).select("host", "p.*")  # a host's first page
     leads = s.businesses.withColumn("host", C.host_of(F.col("website"))).join(page, "host", "left")
@@ -225,18 +267,15 @@ def _managed(s):
     return rows.select("page_id", *(c.alias(n) for c, n in zip(found, ("status", "confidence", "evidence"), strict=True)))
 
 
-
-ROBOTS = "User-agent: GPTBot\nUser-agent: CCBot\nDisallow: /\n\nUser-agent: *\nAllow: /\nSitemap: https://x/s.xml\nCrawl-delay: 5"
-
-
 def _robots(s):
-    text = F.when(F.col("page_id") % 3 == 0, F.lit(ROBOTS)).when(F.col("page_id") % 3 == 1, F.lit("User-agent: *\nContent-Signal: ai-train=no")).otherwise("# nothing")
-    return s.pages.select(F.concat(F.lit("h"), "page_id").alias("host"), text.alias("robots"), F.lit("<urlset><loc>a</loc><loc>b</loc></urlset>").alias("sitemap"), F.when(F.col("page_id") % 2 == 0, F.lit("# llms")).alias("llms"))
+    return s.sitefiles.select(F.concat(F.lit("h"), "page_id").alias("host"), "robots", "sitemap", "llms")
 
 
 BOT_SQL = ", ".join(f"('{b}')" for b in K.AI_BOTS)
-query("h12_w13_robots_status", f"SELECT 'h' || page_id AS host, bot, CASE page_id % 3 WHEN 0 THEN CASE WHEN bot IN ('GPTBot', 'CCBot') THEN 'blocked' ELSE 'allowed' END WHEN 1 THEN 'blocked' ELSE 'unspecified' END AS status FROM pages, (VALUES {BOT_SQL}) b(bot)")(lambda s: pages.robots_status(_robots(s)))
-query("h11_site_files", "SELECT 'h' || page_id AS host, true AS robots_exists, page_id % 3 = 0 AS sitemap_declared, CAST(CASE WHEN page_id % 3 = 0 THEN 5 END AS INT) AS crawl_delay, 2 AS url_count, page_id % 2 = 0 AS llms_exists FROM pages")(lambda s: pages.site_files(_robots(s)))
+query("h12_w13_robots_status", f"""SELECT 'h' || page_id AS host, bot, CASE WHEN kind IN ('blog', 'm') THEN 'unspecified' WHEN bot = agent THEN CASE WHEN shut THEN 'blocked' ELSE 'allowed' END
+  WHEN star THEN CASE train WHEN 'no' THEN 'blocked' ELSE 'allowed' END ELSE 'unspecified' END AS status FROM sitefiles, (VALUES {BOT_SQL}) b(bot)""", "sitefiles")(lambda s: pages.robots_status(_robots(s)))
+query("h11_site_files", """SELECT 'h' || page_id AS host, kind NOT IN ('blog', 'm') AS robots_exists, kind NOT IN ('blog', 'm') AND delay <> '' AS sitemap_declared, CASE WHEN kind NOT IN ('blog', 'm') THEN CAST(NULLIF(delay, '') AS INT) END AS crawl_delay,
+  CASE WHEN NOT contains(url, '#') THEN links END AS url_count, contains(url, '?') AND NOT contains(url, '#') AS llms_exists FROM sitefiles""", "sitefiles")(lambda s: pages.site_files(_robots(s)))
 query("w14_resolve_attempts", "SELECT url, arg_min(attempt, (CASE WHEN attempt = 0 OR length(html) < 2000 THEN 1 ELSE 0 END, attempt)) AS attempt FROM (SELECT url, html, unnest([0, 1, 2]) AS attempt FROM pages) GROUP BY url")(
     lambda s: pages.resolve_attempts(s.pages.select("url", "html", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("attempt")).withColumn("status", F.when(F.col("attempt") == 0, 503).otherwise(200))).select("url", "attempt")
 )
@@ -244,7 +283,11 @@ EMAIL_SQL = rf"list_sort(list_distinct(list_transform(list_filter(list_concat(li
 query("h13_emails", f"SELECT page_id, array_to_string({EMAIL_SQL}, ',') AS emails FROM pages")(lambda s: s.pages.select("page_id", F.array_join(pages.emails(F.col("html")), ",").alias("emails")))
 PHONE_SQL = rf"(list_sort(list_distinct(list_transform(regexp_extract_all(html, '{K.PHONE_PATTERN}'), lambda x: regexp_replace(trim(x), '\s+', ' ', 'g')))))[1:6]"
 query("h14_phones", f"SELECT page_id, array_to_string({PHONE_SQL}, ',') AS phones FROM pages")(lambda s: s.pages.select("page_id", F.array_join(pages.phones(F.col("html")), ",").alias("phones")))
-query("h15_owners")(lambda s: pages.owners(s.pages))
+NAMED = r"""list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(array_to_string(valid, ' '), '{p}', 1), lambda x: trim(x)), lambda x: x <> '')))"""
+query("h15_owners", f"""WITH {FACTS} SELECT page_id, array_to_string({NAMED.format(p='"@type":"Person","name":"([^"]*)"')}, '|') AS persons,
+  array_to_string({NAMED.format(p='(?:"@type":"Person",|[[,].)"name":"([^"]*)"')}, '|') AS founders FROM facts""", "sitepages")(
+    lambda s: pages.owners(s.sitepages).select("page_id", F.array_join("persons", "|").alias("persons"), F.array_join("founders", "|").alias("founders"))
+)
 query("h16_owner_hints")(lambda s: pages.owner_hints(s.pages))
 
 
@@ -275,10 +318,18 @@ def _bench(s):
     return benchmark.rubric(benchmark.benchmark_table(roll.select("entity"), {"rollup": roll, "site": extra}))
 
 
-query("a8_rollup_pages")(lambda s: benchmark.rollup_pages(_facts(s)).select("host", "pages_n", "all_titled", "all_h1", "multi_h2"))
+ROLLUP = f"""{FACTS}, roll AS (SELECT host, COUNT(*) AS pages_n, round_even(avg(word_count), 0) AS avg_words, bool_and(title_length BETWEEN 10 AND 65) AS all_titled, bool_and(meta_description_length BETWEEN 50 AND 170) AS all_desc,
+  bool_and(h1_count >= 1) AS all_h1, bool_and(h2_count >= 2) AS multi_h2, bool_or(has_phone) AS has_phone, bool_or(local_business) AS local_business, bool_or(faq) AS faq, bool_or(organization) AS organization, bool_or(rated) AS rated,
+  bool_or(len(types) > 0) AS any_jsonld, arg_min(canonical IS NOT NULL, page_id) AS canonical, arg_min(viewport, page_id) AS viewport, arg_min(https, page_id) AS https FROM facts GROUP BY 1)"""
+RUBRIC = f"""{ROLLUP}, e AS (SELECT *, length(host) % 2 = 0 AS sitemap, length(host) % 3 = 0 AS cites FROM roll),
+  points AS (SELECT host AS entity, CAST(sitemap AS INT) + CAST(cites AS INT) + CAST(all_titled AS INT) + CAST(all_desc AS INT) + CAST(canonical AND https AND viewport AS INT) AS technical,
+    CAST(avg_words >= 400 AS INT) + CAST(avg_words >= 800 AS INT) + CAST(all_h1 AND multi_h2 AS INT) + CAST(faq AS INT) + CAST(pages_n >= 3 AS INT) AS content,
+    least(5, 2 * CAST(local_business AS INT) + CAST(has_phone AS INT) + CAST(rated AS INT) + CAST(organization AS INT)) AS local, CAST(any_jsonld AS INT) + CAST(faq AS INT) + CAST(cites AS INT) + 1 AS agentic FROM e),
+  scored AS (SELECT *, technical + content + local + agentic AS total FROM points)"""
+query("a8_rollup_pages", f"WITH {ROLLUP} SELECT * FROM roll", "sitepages")(lambda s: benchmark.rollup_pages(_facts(s)))
 query("a8_rollup_counts", f"SELECT {HOST.format(c='url')} AS host, COUNT(*) AS pages_n FROM pages GROUP BY 1")(lambda s: benchmark.rollup_pages(_facts(s)).select("host", "pages_n"))
-query("g12_j22_rubric")(lambda s: _bench(s).select("entity", "technical", "content", "local", "agentic", "total"))
-query("o8_leaderboard")(lambda s: benchmark.leaderboard(_bench(s)).select("entity", "total", "place"))
+query("g12_j22_rubric", f"WITH {RUBRIC} SELECT entity, technical, content, local, agentic, total FROM scored", "sitepages")(lambda s: _bench(s).select("entity", "technical", "content", "local", "agentic", "total"))
+query("o8_leaderboard", f"WITH {RUBRIC} SELECT entity, total, CAST(ROW_NUMBER() OVER (ORDER BY total DESC, entity) AS INT) AS place FROM scored", "sitepages")(lambda s: benchmark.leaderboard(_bench(s)).select("entity", "total", "place"))
 query("a10_market_gaps", "SELECT signal FROM (SELECT bool_and(NOT contains(lower(html), 'application/ld+json')) AS jsonld, bool_and(NOT contains(lower(html), 'viewport')) AS viewport, bool_and(NOT contains(html, '<h1')) AS h1, bool_and(NOT contains(html, 'lang=\"de\"')) AS german FROM pages) UNPIVOT (absent FOR signal IN (jsonld, viewport, h1, german)) WHERE absent")(
     lambda s: benchmark.market_gaps(s.pages.select(F.lower("html").contains("application/ld+json").alias("jsonld"), F.lower("html").contains("viewport").alias("viewport"), F.col("html").contains("<h1").alias("h1"), F.col("html").contains('lang="de"').alias("german")), ["jsonld", "viewport", "h1", "german"])
 )

@@ -120,6 +120,8 @@ def test_page_facts_and_fingerprint(spark):
     f = {r.page_id: r for r in pages.page_signals(df).collect()}
     assert (f[1].title, f[1].h1_count, f[1].h2_count, f[1].viewport, f[1].has_phone, f[1].canonical, f[1].images_missing_alt) == ("Best Dirt Co of Town", 1, 2, True, True, "https://a.com/", 1)
     assert f[2].title is None and f[2].word_count == 0
+    cut = spark.createDataFrame([(3, "<title>a</title><p>one two&am")], "page_id bigint, html string")
+    assert pages.page_signals(cut).first().word_count == 3
     j = {r.page_id: r for r in pages.jsonld(df).collect()}
     assert (j[1].n_blocks, j[1].n_valid, j[1].local_business, j[2].n_blocks) == (2, 1, True, 0) and "Person" in j[1].types
     o = {r.page_id: r for r in pages.owners(df).collect()}
