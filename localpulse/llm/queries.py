@@ -174,6 +174,82 @@ def op10_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), folds=4, fold=2)
 
 
+def op11_divergence_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language diverge in their terms, over all documents."""
+    from localpulse.llm import stripes
+
+    out = stripes.divergences(_table(spark, sf_dir, "documents"), min_docs=10, top=10)
+    return out.select("lang", "source", "part", "item", "value", F.col("rank").cast("int").alias("rank"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT doc_id, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT doc_id) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+gn AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+lc AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL),
+ln AS (SELECT lang, sum(n) AS total FROM lc GROUP BY ALL),
+p AS (SELECT gn.lang, gn.source, k.term, coalesce(c.n, 0) AS n, CAST(1 + (1000000000 * (coalesce(c.n, 0) + 2)::HUGEINT) // (total + 2 * v)::HUGEINT AS BIGINT) AS p
+      FROM gn JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = gn.lang AND c.source = gn.source AND c.term = k.term),
+q AS (SELECT lang, term, CAST(1 + (1000000000 * (n + 2)::HUGEINT) // (total + 2 * v)::HUGEINT AS BIGINT) AS q FROM lc JOIN ln USING (lang) JOIN v USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS BIGINT) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+out AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT p.lang, source, 'term', p.term, (p - q) * (p - q) // (p + q) FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM out QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
+def op12_spelling_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the frequent words of all documents, one run in 199 misspelt."""
+    from localpulse.llm import spelling
+
+    return spelling.variants(_table(spark, sf_dir, "documents"), every=199).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def _op12_sql() -> str:
+    """CRC-32 bit by bit: each byte, then seven shifts. The distance counts bytes, so Latin-1 letters are set to single bytes."""
+    wide = "".join(map(chr, range(0xC0, 0x100)))
+    narrow = "".join(map(chr, range(0x21, 0x61))).replace("'", "''")
+    bits = "flatten(list_transform(string_split(id || ':' || w, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c), -1, -1, -1, -1, -1, -1, -1] ELSE [195, -1, -1, -1, -1, -1, -1, -1, ord(c) - 64, -1, -1, -1, -1, -1, -1, -1] END))"
+    fed = "(CASE WHEN x >= 0 THEN xor(h, x::BIGINT) ELSE h END)"
+    crc = f"xor(list_reduce({bits}, lambda h, x: xor({fed} >> 1, 3988292384 * ({fed} & 1)), 4294967295::BIGINT), 4294967295)"
+    return f"""
+WITH RECURSIVE t AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS w FROM documents),
+c AS (SELECT id, w, count(*) AS n FROM t WHERE length(w) >= 6 GROUP BY ALL),
+h AS (SELECT w, n, {crc} AS h FROM c),
+m AS (SELECT CASE WHEN h % 199 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n, length(word) AS size, left(word, 1) AS head, right(word, 1) AS tail, translate(word, '{wide}', '{narrow}') AS spelt FROM m WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+sized AS (SELECT *, unnest([size - 1, size, size + 1]) AS other FROM words),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM sized a JOIN words b ON a.other = b.size AND a.head = b.head WHERE levenshtein(a.spelt, b.spelt) = 1
+  UNION SELECT a.word, b.word, b.n FROM sized a JOIN words b ON a.other = b.size AND a.tail = b.tail WHERE levenshtein(a.spelt, b.spelt) = 1),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS form_n FROM near GROUP BY word),
+form AS (SELECT best.word, min(near) AS form, any_value(form_n) AS form_n FROM best JOIN near ON near.word = best.word AND near_n = form_n JOIN words ON words.word = best.word WHERE form_n >= 5 * n GROUP BY best.word),
+chain(word, root) AS (SELECT word, word FROM words UNION ALL SELECT chain.word, form.form FROM chain JOIN form ON form.word = chain.root),
+last AS (SELECT chain.word, root FROM chain WHERE root NOT IN (SELECT word FROM form))
+SELECT words.word, form.form, last.root, words.n, coalesce(n_near, 0) AS n_near, form.form_n
+FROM words LEFT JOIN form USING (word) LEFT JOIN best USING (word) JOIN last USING (word)"""
+
+
+def op13_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents by tensored MinHash: 2-word shingles, Jaccard 0.8."""
+    from localpulse.llm import minhash
+
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+OP13_SQL = OP8_SQL.replace("w[i:i + 3]", "w[i:i + 1]").replace("len(w) - 3", "len(w) - 1").replace(">= 85 *", ">= 80 *").replace("r.component_id\n", "r.component_id, dw.doc_id = r.component_id AS kept\n")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_reply_trees": op1_reply_trees,
@@ -186,6 +262,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_count_vector_rtree": op8_count_vector_rtree,
         "op9_language": op9_language,
         "op10_pattern_grammar": op10_pattern_grammar,
+        "op11_divergence_stripes": op11_divergence_stripes,
+        "op12_spelling_chunks": op12_spelling_chunks,
+        "op13_tensored_minhash": op13_tensored_minhash,
     }
 
 
@@ -195,4 +274,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_positional_index": OP5_SQL,
         "op7_site_spread": OP7_SQL,
         "op8_count_vector_rtree": OP8_SQL,
+        "op11_divergence_stripes": OP11_SQL,
+        "op12_spelling_chunks": _op12_sql(),
+        "op13_tensored_minhash": OP13_SQL,
     }

@@ -29,10 +29,10 @@ A block with more than ``CHUNK`` members is searched in chunks. In step 3 each h
 the block's first member; in step 4 all members outside that one's component.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing;
-a text with fewer words than a shingle is one shingle; rows with one id are one
-document to the links, whatever their texts; rows with a null id are linked with
-nothing and get a null component; an empty table gives an empty result; other
-columns are ignored.
+a text with fewer words than a shingle is one shingle; rows are told apart by their
+texts, so rows that share an id, or have none, are linked like any others; a
+component's id is its least one that is not null, null if there is none; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -95,7 +95,9 @@ class Rule:
 #: Least and most fine groups of a set, of whose counts the parities are kept; a power of two near the set's size.
 FINE = (256, 4096)
 
-SKETCH = "doc_id bigint, n bigint, h1 bigint, h2 bigint, point binary, parity binary, blocks binary"
+SKETCH = "doc_id bigint, text_hash bigint, n bigint, h1 bigint, h2 bigint, point binary, parity binary, blocks binary"
+#: A row's set of shingles, up to equality.
+SAME = ["h1", "h2", "n"]
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -225,25 +227,26 @@ def set_hashes(h: np.ndarray, row: np.ndarray, rows: int) -> list[np.ndarray]:
 
 
 def _input(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
 
 
-def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Columns ``SKETCH`` for every row of ``docs`` (``doc_id``, ``text``)."""
+def sketches(docs: DataFrame, rule: Rule, keys_of=block_keys) -> DataFrame:
+    """Columns ``SKETCH`` for every row of ``docs`` (``doc_id, text_hash, text``); ``keys_of`` (as ``block_keys``) gives the last one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, offs = text_buffer(batch.column(1))
+            buf, offs = text_buffer(batch.column(2))
             for i, j in slices(offs, 1 << 20):
                 rows = j - i
                 h, row = shingle_sets(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], rule.words)
                 n = np.bincount(row, minlength=rows)
                 h1, h2 = set_hashes(h, row, rows)
                 point = np.bincount(row * GROUPS + (mix64(h) >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=rows * GROUPS).astype(np.int32)
-                key, owner = block_keys(h, row, n, rule)
+                key, owner = keys_of(h, row, n, rule)
                 blocks = _binary_column(key, 8 * np.bincount(owner, minlength=rows))
                 points = _binary_column(*packed_points(point.reshape(rows, GROUPS)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, rows), pa.array(n), pa.array(h1), pa.array(h2), points, _binary_column(*parities(h, row, n)), blocks], ["doc_id", "n", "h1", "h2", "point", "parity", "blocks"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, rows), batch.column(1).slice(i, rows), pa.array(n), pa.array(h1), pa.array(h2), points, _binary_column(*parities(h, row, n)), blocks], ["doc_id", "text_hash", "n", "h1", "h2", "point", "parity", "blocks"])
 
     return docs.mapInArrow(trimmed(run), SKETCH)
 
@@ -265,10 +268,10 @@ def exploded_blocks(reps: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Stored ``node, items`` for the classes of ``pairs``, from a row of each class."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    nodes = materialize(classes.join(nodes, "node", "left_semi").select("node", F.col("rep").alias("_rep"), "h1", "h2"), "nodes")
+    nodes = materialize(classes.join(nodes, "node", "left_semi").select("node", "rep", "h1", "h2"), "nodes")
     if nodes.count() <= BROADCAST_IDS:
         nodes = F.broadcast(nodes)
-    few = docs.join(nodes, F.col("doc_id") == F.col("_rep")).select("node", "text", "h1", "h2")
+    few = docs.join(nodes, F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("text_hash") == F.col("rep.text_hash"))).select("node", "text", "h1", "h2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,7 +279,7 @@ def _sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, rule: Rule) ->
             for i, j in slices(offs, 1 << 20):
                 h, row = shingle_sets(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], rule.words)
                 ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=j - i))]).astype(np.int32)
-                # Other texts of the same id belong to other classes.
+                # Another text with the hash of the representative's is not its class.
                 own = np.ones(j - i, bool)
                 for c, have in zip((2, 3), set_hashes(h, row, j - i), strict=True):
                     own &= batch.column(c).slice(i, j - i).to_numpy(zero_copy_only=False) == have
@@ -284,7 +287,7 @@ def _sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, rule: Rule) ->
                 yield out if own.all() else out.filter(pa.array(own))
 
     sets = few.mapInArrow(trimmed(run), "node bigint, items array<bigint>")
-    return materialize(sets, "sets").groupBy("node").agg(F.first("items").alias("items"))  # rows of a class have equal sets
+    return materialize(sets, "sets").groupBy("node").agg(F.first("items").alias("items"))  # a row that stands twice gives its set twice
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
@@ -510,43 +513,35 @@ def _chunked(members: DataFrame, everywhere) -> DataFrame:
     return members.withColumn("chunk", F.explode(F.when((chunks > 1) & everywhere, F.sequence(F.lit(0).cast("bigint"), chunks - 1)).otherwise(own))).drop("size")
 
 
-def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row: set size, and the least id reachable by links of similar sets."""
-    rule = Rule(words, percent)
-    docs = _input(docs, doc_id, text)
-    mark = scratch_count()
-    sketch = materialize(sketches(docs, rule), "sketches")
-    full = sketch.where("n > 0 AND doc_id IS NOT NULL")
-    classes = full.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"))
-    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    same = ["h1", "h2", "n"]
-    reps = full.join(classes, same).where(F.col("doc_id") == F.col("rep")).select("node", "n", "point", "parity", "blocks")
+def classes_of(sketch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored classes of equal sets (``node, h1, h2, n, rep``), and one row of each (``node, n, point, parity, blocks``).
 
-    shared = Window.partitionBy("key")
-    members = exploded_blocks(reps).withColumn("size", F.count("*").over(shared)).where("size > 1")
-    members = materialize(members, "blocks")
-    # A member's rank is the number of neighbours that its blocks show: an original ranks before its copies.
-    ranks = members.groupBy("node").agg(F.sum("size").alias("rank"))
-    points = materialize(reps.select("node", "n", "point", "parity").join(ranks, "node").dropDuplicates(["node"]), "points")
-    large = members.where(F.col("size") > CHUNK).join(ranks, "node").groupBy("key").agg(F.max_by("node", F.struct("rank", -F.col("node"))).alias("hub"))
+    ``sketch``: stored columns ``SKETCH`` and ``row``, a number of the row. ``rep`` is the least row by id (nulls last) and text.
+    """
+    full = sketch.where("n > 0")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "row"))
+    classes = materialize(full.groupBy(*SAME).agg(least.alias("rep")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    reps = full.join(classes.select("node", *SAME, F.col("rep.row").alias("row")), [*SAME, "row"])
+    return classes, reps.select("node", "n", "point", "parity", "blocks")
 
-    # Every representative's first partners by the trees; the one met in most blocks is checked.
-    placed = _chunked(members.join(large, "key", "left"), F.col("node") == F.col("hub")).withColumn("label", F.col("node"))
-    partners = block_pairs(placed.join(points, "node"), rule, Blocks.first_partners)
-    best = partners.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
-    tried = materialize(best.select("a", "b"), "pairs")
+
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``members`` of the blocks that hold several components, with ``label`` and the ``first`` label of the block."""
+    labelled = members.join(found, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by("label", "node").alias("first")).where("lo <> hi")
+    return labelled.join(mixed.select("key", "first"), "key")
+
+
+def linked(members: DataFrame, points: DataFrame, tried: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """``node, component`` from the stored pairs ``tried`` (``a, b``) and whatever else links within blocks (``members``: ``key, node, size``).
+
+    ``tried`` is checked first. Of blocks that then hold several components the trees give
+    one pair for each two of them, and at last all pairs across components.
+    """
     links = verified(tried, docs, classes, rule)
-    # Texts of one id are one document.
-    ids = full.select("doc_id", *same).join(classes, same).select("doc_id", "node")
-    ids = ids.join(ids.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("doc_id", "a"), "doc_id")
-    links = links.unionByName(materialize(ids.where("a <> node").select("a", F.col("node").alias("b")).distinct(), "links"))
     found = materialize(components(links), "components")
-
-    # What is left apart: pairs across components within a block.
     for every in (False, True):
-        labelled = members.join(found, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-        labelled = labelled.withColumns({"lo": F.min("label").over(shared), "hi": F.max("label").over(shared), "first": F.min_by("label", "node").over(shared)})
-        split = materialize(labelled.where("lo <> hi").drop("lo", "hi"), "split")
+        split = materialize(_mixed(members, found), "split")
         if split.isEmpty():
             break
         placed = _chunked(split, F.col("label") != F.col("first"))
@@ -563,21 +558,67 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_i
         if not new.isEmpty():
             links = links.unionByName(new)
             found = materialize(components(links), "components")
+    return found
+
+
+def named(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """Stored ``h1, h2, n`` of each class with its component's least row (``least``) and id."""
+    of = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = of.groupBy("component").agg(F.min("rep").alias("least"))
+    return materialize(of.join(least, "component").select(*SAME, "least"), "named")
 
-    named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = materialize(named.join(least, "component").select(*same, "component_id"), "named")
+
+def grouped(sketch: DataFrame, names: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, n, least`` (null for empty sets) of every row."""
+    return sketch.select("doc_id", "text_hash", *SAME).join(names, SAME, "left").select("doc_id", "text_hash", "n", "least")
+
+
+def _groups(docs: DataFrame, words: int, percent: int, doc_id: str, text: str) -> DataFrame:
+    rule = Rule(words, percent)
+    docs = _input(docs, doc_id, text)
+    mark = scratch_count()
+    sketch = materialize(sketches(docs, rule).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    classes, reps = classes_of(sketch)
+    shared = Window.partitionBy("key")
+    members = exploded_blocks(reps).withColumn("size", F.count("*").over(shared)).where("size > 1")
+    members = materialize(members, "blocks")
+    # A member's rank is the number of neighbours that its blocks show: an original ranks before its copies.
+    ranks = members.groupBy("node").agg(F.sum("size").alias("rank"))
+    points = materialize(reps.select("node", "n", "point", "parity").join(ranks, "node"), "points")
+    large = members.where(F.col("size") > CHUNK).join(ranks, "node").groupBy("key").agg(F.max_by("node", F.struct("rank", -F.col("node"))).alias("hub"))
+
+    # Every representative's first partners by the trees; the one met in most blocks is checked.
+    placed = _chunked(members.join(large, "key", "left"), F.col("node") == F.col("hub")).withColumn("label", F.col("node"))
+    partners = block_pairs(placed.join(points, "node"), rule, Blocks.first_partners)
+    best = partners.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
+    tried = materialize(best.select("a", "b"), "pairs")
+    names = named(classes, linked(members, points, tried, docs, classes, rule))
     release_since(docs.sparkSession, mark + 1, but=1)  # all but the sketches and the names
-    out = sketch.select("doc_id", *same).join(named, same, "left")
-    component = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id"))
+    return grouped(sketch, names)
+
+
+def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row: set size, and the least id reachable by links of similar sets."""
+    out = _groups(docs, words, percent, doc_id, text)
+    component = F.when(F.col("n") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def keep_one(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with only the least id of each group of near-duplicates."""
+    """``docs`` with one row of each group of near-duplicates: that of the least id (nulls last), then of the least text hash.
+
+    Rows without a word stay. Rows are told apart by id and text; of rows that agree in both, one of the group's stays.
+    """
     mark = scratch_count()
-    groups = near_duplicates(docs, words=words, percent=percent, doc_id=doc_id, text=text)
-    gone = groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("__lp_gone")).distinct()
-    gone = materialize(gone, "near-duplicates")
+    rows = _groups(docs, words, percent, doc_id, text).where("n > 0")
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+    keys = rows.groupBy(F.col("doc_id").alias("__lp_id"), F.col("text_hash").alias("__lp_text")).agg(F.bool_or(stays).alias("stays"), F.count("*").alias("times"))
+    gone = materialize(keys.where("NOT stays OR times > 1"), "near-duplicates")
     release_since(docs.sparkSession, mark, but=1)
-    return docs.join(gone, F.col(doc_id) == F.col("__lp_gone"), "left_anti")
+    at = F.col(doc_id).cast("bigint").eqNullSafe(F.col("__lp_id")) & (F.xxhash64(F.col(text).cast("string")) == F.col("__lp_text"))
+    out = docs.join(gone, at, "left_anti")
+    twice = gone.where("stays").select("__lp_id", "__lp_text")
+    if twice.isEmpty():
+        return out
+    whole = F.first(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("row")
+    return out.unionByName(docs.join(twice, at).groupBy("__lp_id", "__lp_text").agg(whole).select("row.*"))
