@@ -45,6 +45,8 @@ from localpulse.llm.rtree import Rule
 #: Small hashes of a collection, and minhashes of a small hash.
 SIDE = 20
 ROWS = 3
+#: Parities a shingle: with four, few pairs that the bounds leave are below the threshold by more than a hundredth.
+FINE = 4
 
 
 def factors(side: int, rows: int) -> np.ndarray:
@@ -125,7 +127,7 @@ def _groups(docs: DataFrame, rule: Rule, side: int, rows: int, doc_id: str, text
 
 def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, side: int = SIDE, rows: int = ROWS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row: set size, least id reachable by links of similar sets, and whether the row stays."""
-    out = _groups(docs, Rule(words, percent), side, rows, doc_id, text)
+    out = _groups(docs, Rule(words, percent, FINE), side, rows, doc_id, text)
     empty = F.col("n") == 0
     stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
     component = F.when(empty, F.col("doc_id")).otherwise(F.col("least.doc_id"))

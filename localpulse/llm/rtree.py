@@ -69,10 +69,11 @@ _MARGIN = 1.003
 
 @dataclass(frozen=True)
 class Rule:
-    """Shingle length and least Jaccard similarity in percent."""
+    """Shingle length, least Jaccard similarity in percent, and how many parities a shingle are kept, about."""
 
     words: int
     percent: int
+    fine: int = 1
 
     @property
     def ratio(self) -> float:
@@ -92,7 +93,7 @@ class Rule:
         return differ + 1 + spare, spare
 
 
-#: Least and most fine groups of a set, of whose counts the parities are kept; a power of two near the set's size.
+#: Least and most fine groups of a set, of whose counts the parities are kept; a power of two near the set's size, times ``Rule.fine`` (a power of two).
 FINE = (256, 4096)
 
 SKETCH = "doc_id bigint, text_hash bigint, n bigint, h1 bigint, h2 bigint, point binary, parity binary, blocks binary"
@@ -152,9 +153,9 @@ def block_keys(h: np.ndarray, row: np.ndarray, n: np.ndarray, rule: Rule) -> tup
     return key[order], owner[order]
 
 
-def parities(h: np.ndarray, row: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def parities(h: np.ndarray, row: np.ndarray, n: np.ndarray, fine: int) -> tuple[np.ndarray, np.ndarray]:
     """Parity bits of the fine group counts of all rows, packed, and the bytes of each row."""
-    groups = np.clip(2 ** np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64), *FINE)
+    groups = fine * np.clip(2 ** np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64), *FINE)
     base = np.cumsum(groups) - groups
     slot = base[row] + (mix64(h ^ np.uint64(0x1F83D9ABFB41BD6B)) & (groups[row] - 1).astype(np.uint64)).astype(np.int64)
     return np.packbits((np.bincount(slot, minlength=int(groups.sum())) & 1).astype(np.uint8)), groups // 8
@@ -246,7 +247,7 @@ def sketches(docs: DataFrame, rule: Rule, keys_of=block_keys) -> DataFrame:
                 key, owner = keys_of(h, row, n, rule)
                 blocks = _binary_column(key, 8 * np.bincount(owner, minlength=rows))
                 points = _binary_column(*packed_points(point.reshape(rows, GROUPS)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, rows), batch.column(1).slice(i, rows), pa.array(n), pa.array(h1), pa.array(h2), points, _binary_column(*parities(h, row, n)), blocks], ["doc_id", "text_hash", "n", "h1", "h2", "point", "parity", "blocks"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, rows), batch.column(1).slice(i, rows), pa.array(n), pa.array(h1), pa.array(h2), points, _binary_column(*parities(h, row, n, rule.fine)), blocks], ["doc_id", "text_hash", "n", "h1", "h2", "point", "parity", "blocks"])
 
     return docs.mapInArrow(trimmed(run), SKETCH)
 
