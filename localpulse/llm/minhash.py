@@ -45,8 +45,8 @@ from localpulse.llm.rtree import Rule
 #: Small hashes of a collection, and minhashes of a small hash.
 SIDE = 20
 ROWS = 3
-#: Parities a shingle: with four, few pairs that the bounds leave are below the threshold by more than a hundredth.
-FINE = 4
+#: Parities a shingle: with eight, few pairs that the bounds leave are below the threshold by more than a hundredth.
+FINE = 8
 
 
 def factors(side: int, rows: int) -> np.ndarray:
