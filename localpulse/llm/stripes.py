@@ -40,59 +40,55 @@ from pyspark.sql import functions as F
 from localpulse.llm.core import materialize, release_since, scratch_count, trimmed
 
 #: Bytes of stripes that a task holds, about, before it spills them.
-STRIPE_BYTES = 48 << 20
+STRIPE_BYTES = 128 << 20
 #: Sources of a block.
 BLOCK = 64
 #: Runs of ASCII letters (lowered before) and of bytes of other characters.
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 
-STRIPE = "lang string, term string, n_docs bigint, sources array<string>, counts array<bigint>"
+CELL = "lang string, term string, source string, n bigint, n_docs bigint"
 
 
 def stripes(docs: DataFrame, *, stripe_bytes: int = STRIPE_BYTES) -> DataFrame:
-    """Stripes (columns ``STRIPE``) of every task's rows (``lang, source, text``); those of a null term list the groups that occur."""
-    schema = pa.schema([("lang", pa.string()), ("term", pa.string()), ("n_docs", pa.int64()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+    """What every task spills of its stripes, an entry a row (columns ``CELL``), for ``docs`` (``lang, source, text``, not null).
+
+    A stripe holds occurrences and documents by source; a document has one source, so the
+    document frequency of a term is the sum of its stripe's documents.
+    """
+    names = [c.split()[0] for c in CELL.split(", ")]
+    one_doc = 1 << 48  # documents stand above the occurrences in one number
 
     def spilled(held: dict[str, dict]) -> Iterator[pa.RecordBatch]:
         for lang, table in held.items():
             terms = list(table)
             for a in range(0, len(terms), 20_000):
-                part = [table[t] for t in terms[a : a + 20_000]]
-                n_docs = [s.pop(None) for s in part]
-                columns = [pa.array([lang] * len(part)), pa.array(terms[a : a + 20_000], pa.binary()).cast(pa.string()), pa.array(n_docs, pa.int64()), pa.array([list(s) for s in part], schema.field(3).type), pa.array([list(s.values()) for s in part], schema.field(4).type)]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                part = terms[a : a + 20_000]
+                entries = [table[t] for t in part]
+                term = np.repeat(np.arange(len(part)), [len(e) for e in entries])
+                both = np.array([v for e in entries for v in e.values()], np.int64)
+                columns = [pa.array([lang]).take(pa.array(np.zeros(len(term), np.int32))), pa.array(part, pa.binary()).cast(pa.string()).take(pa.array(term)), pa.array([x for e in entries for x in e], pa.string())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(both & (one_doc - 1)), pa.array(both >> 48)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, dict] = {}
-        groups: dict[str, set] = {}
         size = 0
         for batch in batches:
             lang, source = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for row, text in enumerate(batch.column(2).cast(pa.binary())):
                 by, table = source[row], held.setdefault(lang[row], {})
-                groups.setdefault(lang[row], set()).add(by)
                 for term, n in Counter(_TERM.findall(text.as_py().lower())).items():
                     stripe = table.get(term)
                     if stripe is None:
-                        table[term] = {None: 1, by: n}
+                        table[term] = {by: one_doc + n}
                         size += 400 + len(term)
                     else:
-                        stripe[None] += 1
-                        if by in stripe:
-                            stripe[by] += n
-                        else:
-                            stripe[by] = n
-                            size += 100
+                        stripe[by] = stripe.get(by, 0) + one_doc + n
                 if size > stripe_bytes:
                     yield from spilled(held)
                     held, size = {}, 0
         yield from spilled(held)
-        rows = [{"lang": lang, "term": None, "n_docs": 0, "sources": sorted(found), "counts": [0] * len(found)} for lang, found in groups.items()]
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema)
 
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    return docs.select(text("lang"), text("source"), text("text")).mapInArrow(trimmed(run), STRIPE)
+    return docs.mapInArrow(trimmed(run), CELL)
 
 
 def _share(count: str, total: str, terms: str) -> Column:
@@ -172,15 +168,15 @@ def _pair_sums(rows: DataFrame) -> DataFrame:
 def divergences(docs: DataFrame, *, min_docs: int = 10, top: int = 10, lang: str = "lang", source: str = "source", text: str = "text", stripe_bytes: int = STRIPE_BYTES) -> DataFrame:
     """``lang, source, part, item, value, rank`` of every group of ``docs``: all other sources, and its ``top`` own terms."""
     mark = scratch_count()
-    rows = docs.select(F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("text"))
-    found = materialize(stripes(rows, stripe_bytes=stripe_bytes), "stripes")
-    used = found.where("term IS NOT NULL")
-    kept = used.groupBy("lang", "term").agg(F.sum("n_docs").alias("df")).where(F.col("df") >= min_docs).select("lang", "term")
-    each = used.join(kept, ["lang", "term"], "left_semi").select("lang", "term", F.explode(F.arrays_zip("sources", "counts")).alias("c"))
-    cells = materialize(each.groupBy("lang", "term", F.col("c.sources").alias("source")).agg(F.sum("c.counts").alias("n")), "cells")
+    read = lambda c, name: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name)
+    rows = docs.select(read(lang, "lang"), read(source, "source"), read(text, "text"))
+    # One shuffle, by term: its merged stripe stands together, and says whether the term is kept.
+    merged = stripes(rows, stripe_bytes=stripe_bytes).repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
+    kept = merged.withColumn("df", F.sum("n_docs").over(Window.partitionBy("lang", "term"))).where(F.col("df") >= min_docs)
+    cells = materialize(kept.select("lang", "term", "source", "n"), "cells")
     terms = materialize(cells.groupBy("lang", "term").agg(F.sum("n").alias("n")), "terms")
     langs = terms.groupBy("lang").agg(F.sum("n").alias("all_n"), F.count("*").alias("v"))
-    groups = found.where("term IS NULL").select("lang", F.explode("sources").alias("source")).distinct()
+    groups = rows.select("lang", "source").distinct()
     groups = groups.join(cells.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0, ["total", "v", "all_n"])
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")).cast("bigint") - 1
     groups = groups.withColumn("number", number).withColumn("zero", F.lit(0).cast("bigint"))
