@@ -11,7 +11,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL = threading.local()
 _OWN_DIR: list[str] = []
@@ -75,6 +76,20 @@ def release_since(spark: SparkSession, mark: int, *, but: int = 0) -> None:
     del paths[mark:stop]
 
 
+def row_key(doc_id: str, text: str) -> Column:
+    """A hash of a row's id and text: what is decided by the text holds for all rows of a key.
+
+    Two rows of unlike texts share a key with a chance of 2^-64.
+    """
+    return F.xxhash64(F.col(doc_id).cast("string"), F.col(text).cast("string"))
+
+
+def without(docs: DataFrame, bad: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` without the rows whose ``row_key`` is a ``doc_id`` of ``bad``."""
+    keys = bad.select(F.col("doc_id").alias("__lp_bad")).distinct()
+    return docs.join(keys, row_key(doc_id, text) == F.col("__lp_bad"), "left_anti")
+
+
 BATCH_BYTES = 4 << 20
 
 

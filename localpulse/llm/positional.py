@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import ALNUM, LOWER, materialize, release_since, run_hashes, scratch_count, text_buffer, trimmed, word_runs
+from localpulse.llm.core import ALNUM, LOWER, materialize, release_since, row_key, run_hashes, scratch_count, text_buffer, trimmed, without, word_runs
 from localpulse.llm.tokens import slices
 
 WINDOW = 10
@@ -211,9 +211,10 @@ def contamination(index: DataFrame, benchmark: DataFrame, *, window: int = WINDO
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the documents in which a window of the benchmark stands. Documents with a null id are matched like any other."""
+    """``docs`` without the rows in whose text a window of the benchmark stands; rows are told apart by id and text, so null and repeated ids decide nothing."""
     mark = scratch_count()
-    found = contamination(build_index(docs, doc_id=doc_id, text=text), benchmark, window=window)
-    bad = materialize(found.where("contaminated").select(F.col("doc_id").alias("__lp_bad")).distinct(), "contaminated")
+    rows = docs.select(row_key(doc_id, text).alias("doc_id"), F.col(text).alias("text"))
+    found = contamination(build_index(rows), benchmark, window=window)
+    bad = materialize(found.where("contaminated").select("doc_id"), "contaminated")
     release_since(docs.sparkSession, mark, but=1)
-    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col("__lp_bad")), "left_anti")
+    return without(docs, bad, doc_id, text)

@@ -16,9 +16,10 @@ and those of other common templates) gets a backslash after its first character;
 
 Defined cases: null roles and texts are empty; a parent that does not exist makes
 a root; nodes whose ancestors form a cycle are on no path; a null tree id is a
-tree of its own; repeated nodes of one id in a tree are not told apart (give them
-ids of their own, as ``turns_as_tree`` does); an empty table gives an empty
-result; other columns are ignored.
+tree of its own; of several rows under one id in a tree the first (by parent, role,
+text and score) has the id, and the replies to it, and each other one ends a branch
+of its own, so none is lost (rows equal in all are one); an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -106,6 +107,20 @@ def listed(best: DataFrame, levels: list[DataFrame]) -> DataFrame:
     return materialize(held, "branches")
 
 
+def _numbered(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with an id for each row: of several under one id the first (by parent, role, text and score) keeps it, the others get one of their own.
+
+    Replies to a repeated id hang on the row that keeps it; the others end branches, so none is lost.
+    """
+    # Rows equal in all are one.
+    nodes = nodes.repartition("key", "node").groupBy("key", "node", "parent", "role", "text", "score").agg(F.first("tree").alias("tree"))
+    same = Window.partitionBy("key", "node").orderBy("parent", "role", "text", "score")
+    times = F.row_number().over(same)
+    own = F.struct(F.col("node"), (F.col("_time") - 1).alias("time"))
+    # A parent is the first row of its id.
+    return nodes.withColumn("_time", times).withColumns({"node": own, "parent": F.when(F.col("parent").isNotNull(), F.struct(F.col("parent").alias("node"), F.lit(0).alias("time")))}).drop("_time")
+
+
 def format_branches(nodes: DataFrame, *, per_tree: int = 1, roles_with_loss: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """The ``per_tree`` best branches of each tree of ``nodes`` (``tree, node, parent, role, text, score``) as conversations.
 
@@ -113,7 +128,7 @@ def format_branches(nodes: DataFrame, *, per_tree: int = 1, roles_with_loss: tup
     score, n_turns, formatted, loss_spans`` (start and length in code points).
     """
     key = F.coalesce(F.col("tree").cast("string"), F.lit("\x00"))
-    keyed = nodes.groupBy(key.alias("key"), "node").agg(F.min(F.struct("tree", "parent", "role", "text", "score")).alias("row")).select("key", "node", "row.*")
+    keyed = _numbered(nodes.select(key.alias("key"), "node", "tree", "parent", "role", "text", "score"))
     mark = scratch_count()
     ids = materialize(keyed.select("key", "node", "parent", F.col("score").cast("double").alias("score")), "nodes")
     levels = jumps(ids)
@@ -131,7 +146,7 @@ def format_branches(nodes: DataFrame, *, per_tree: int = 1, roles_with_loss: tup
     turns = F.array_sort(F.collect_list(F.struct("depth", "piece", span.alias("span"))))
     out = rows.groupBy("key", "leaf").agg(F.first("tree").alias("tree"), F.first("branch_rank").alias("branch_rank"), F.first("score").alias("score"), turns.alias("turns"))
     spans = F.filter(F.transform("turns", lambda t: t["span"]), lambda s: s.isNotNull())
-    return out.select("tree", "leaf", "branch_rank", "score", F.size("turns").cast("bigint").alias("n_turns"), F.concat_ws("", F.transform("turns", lambda t: t["piece"])).alias("formatted"), spans.alias("loss_spans"))
+    return out.select("tree", F.col("leaf.node").alias("leaf"), "branch_rank", "score", F.size("turns").cast("bigint").alias("n_turns"), F.concat_ws("", F.transform("turns", lambda t: t["piece"])).alias("formatted"), spans.alias("loss_spans"))
 
 
 def parsed_turns(formatted: Column) -> Column:

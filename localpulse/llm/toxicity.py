@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from localpulse.llm.core import ALNUM, LOWER, HashTable, byte_table, materialize, mix64, release_since, run_hashes, scratch_count, text_buffer, trimmed, word_runs
+from localpulse.llm.core import ALNUM, LOWER, HashTable, byte_table, materialize, mix64, release_since, row_key, run_hashes, scratch_count, text_buffer, trimmed, without, word_runs
 from localpulse.llm.langid import held_out
 from localpulse.llm.tokens import slices
 
@@ -317,22 +317,27 @@ def score(docs: DataFrame, model: Model | float) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(trimmed(run), "doc_id bigint, score double")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 4, fold: int = 2) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row of ``docs``."""
+def _model(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, folds: int, fold: int) -> Model | float:
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     marks = labels.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(label).alias("toxic"))
     mark = scratch_count()
     model = fit(rows, marks, folds=folds, fold=fold)
     release_since(docs.sparkSession, mark)
-    out = score(rows, model)
+    return model
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 4, fold: int = 2) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for every row of ``docs``."""
+    model = _model(docs, labels, doc_id, text, label, folds, fold)
+    out = score(docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")), model)
     return out.select("doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def remove_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """``docs`` without those predicted toxic; rows of one id share the higher score. Rows with a null id are scored like any other."""
+def remove_toxic(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 4, fold: int = 2) -> DataFrame:
+    """``docs`` without the rows whose text is predicted toxic; rows are told apart by id and text, so null and repeated ids decide nothing."""
+    model = _model(docs, labels, doc_id, text, label, folds, fold)
     mark = scratch_count()
-    found = toxicity(docs, labels, **options)
-    doc_id = options.get("doc_id", "doc_id")
-    bad = materialize(found.where("predicted = 1").select(F.col("doc_id").alias("__lp_bad")).distinct(), "toxic")
+    scores = score(docs.select(row_key(doc_id, text).alias("doc_id"), F.col(text).cast("string").alias("text")), model)
+    bad = materialize(scores.where(F.col("score") >= THRESHOLD).select("doc_id"), "toxic")
     release_since(docs.sparkSession, mark, but=1)
-    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col("__lp_bad")), "left_anti")
+    return without(docs, bad, doc_id, text)

@@ -54,7 +54,7 @@ def test_repeated_nodes_and_clashing_columns(spark):
     nodes = spark.createDataFrame(rows, "tree string, node bigint, parent bigint, role string, text string, score double").withColumns({"key": F.lit("x"), "leaf": F.lit(7), "depth": F.lit(0)})
     for df in (nodes, nodes.orderBy(F.desc("text"))):
         out = replytree.format_branches(df).withColumn("turns", replytree.parsed_turns(F.col("formatted"))).collect()
-        assert [[tuple(t) for t in r.turns] for r in out] == [[("user", "q"), ("assistant", "a")]]
+        assert [[tuple(t) for t in r.turns] for r in out] == [[("user", "r")]]
 
 
 def test_every_control_string_survives(spark):
