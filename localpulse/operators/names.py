@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from localpulse.functions import columns as C
+from localpulse.sources.scratch import materialize
 
 
 def domain_join(hosts: DataFrame, domains: DataFrame) -> DataFrame:
@@ -25,17 +26,77 @@ def citation_join(urls: DataFrame, domains: DataFrame) -> DataFrame:
     return host.withColumn("domain", F.explode(C.suffixes(F.col("_host")))).join(domains, "domain").drop("_host")
 
 
+def _words_and_gaps(text: Column) -> tuple[Column, Column]:
+    """Words of a lower-cased text, and what stands before, between and after them (one more)."""
+    low = F.lower(text)
+    return F.regexp_extract_all(low, F.lit(r"(?U)\w+"), F.lit(0)), F.split(low, r"(?U)\w+", -1)
+
+
+def _alias_trie(aliases: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges of the trie of all aliases by word (``level, parent, word, gap, node``), and ends of whole aliases (``node, entity, lead, trail``).
+
+    A node is the hash of the words and the gaps between them from the first word on.
+    """
+    words, gaps = _words_and_gaps(F.col("alias"))
+    held = aliases.select("entity", words.alias("w"), gaps.alias("g")).where("size(w) > 0")
+    prefix = "array_join(transform(sequence(1, {k}), j -> concat(if(j = 1, '', g[j - 1]), w[j - 1])), '')"
+    edge = f"transform(sequence(1, size(w)), k -> struct(k AS level, if(k = 1, 0L, xxhash64({prefix.format(k='greatest(k - 1, 1)')})) AS parent, xxhash64(w[k - 1]) AS word, if(k = 1, '', g[k - 1]) AS gap, xxhash64({prefix.format(k='k')}) AS node))"
+    edges = held.select(F.explode(F.expr(edge)).alias("e")).select("e.*").distinct()
+    ends = held.select(F.expr(f"xxhash64({prefix.format(k='size(w)')})").alias("node"), "entity", F.expr("g[0]").alias("lead"), F.expr("element_at(g, -1)").alias("trail")).distinct()
+    return edges, ends
+
+
+def _mentions_without_words(texts: DataFrame, aliases: DataFrame) -> DataFrame:
+    """``key, entity`` for aliases made of no word character, which can only stand inside a gap between words.
+
+    Of every distinct gap, the pieces of the lengths that such aliases have meet them in an equi-join.
+    """
+    plain = aliases.select("entity", F.lower("alias").alias("piece")).where((F.col("piece") != "") & ~F.col("piece").rlike(r"(?U)\w"))
+    sizes = plain.agg(F.collect_set(F.length("piece")).alias("sizes"))  # one row, no longer than the longest alias
+    held = texts.select("key", _words_and_gaps(F.col("text"))[1].alias("g"))
+    inner = held.select("key", F.explode(F.array_distinct(F.expr("slice(g, 2, greatest(size(g) - 2, 0))"))).alias("gap"), F.lit(False).alias("first"), F.lit(False).alias("last"))
+    outer = held.select("key", F.expr("inline(array(struct(g[0] AS gap, true AS first, size(g) = 1 AS last), struct(if(size(g) = 1, '', element_at(g, -1)) AS gap, false AS first, true AS last)))"))
+    spread = inner.unionByName(outer).where("gap <> ''")
+    cut = spread.crossJoin(F.broadcast(sizes)).withColumn("size", F.explode("sizes")).where("length(gap) >= size")
+    # The neighbours of a piece are no word characters: they are in the gap, or there are none.
+    start = F.when(F.col("first"), 0).otherwise(1)
+    stop = F.length("gap") - F.col("size") - F.when(F.col("last"), 0).otherwise(1)
+    cut = cut.where(start <= stop).withColumn("at", F.explode(F.sequence(start, stop)))
+    return cut.select("key", F.substr("gap", F.col("at") + 1, F.col("size")).alias("piece")).distinct().join(plain, "piece").select("key", "entity")
+
+
 def mention_join(texts: DataFrame, aliases: DataFrame) -> DataFrame:
     """``key, entity`` where an alias of the entity stands between word boundaries in ``text``, in any case.
 
-    An equi-join of the texts' words with the aliases' first words at every size; the
-    whole alias is tested on what meets. An alias without a word matches nothing.
+    A phrase index: of the texts only the words that occur in aliases leave their row, as
+    key, position, hash and the gaps beside them. From a first word on, an alias's trie is
+    followed word by word along the positions; words and the gaps between them must agree,
+    and what an alias has before its first and after its last word. Aliases without a word
+    character are looked up in the gaps. Null texts and null or empty aliases match nothing.
     """
-    pattern = C.word_pattern(F.col("alias"))
-    words = texts.withColumn("_w", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\w+"), F.lit(0)))))
-    first = aliases.select("entity", pattern.alias("_p"), F.regexp_extract(F.lower("alias"), r"(?U)\w+", 0).alias("_w")).where("_w <> ''")
-    hit = words.join(first, "_w").where(F.expr("text rlike _p"))
-    return hit.select("key", "entity").distinct()
+    texts = texts.select("key", "text").where("text IS NOT NULL")
+    aliases = aliases.select("entity", "alias").where("alias IS NOT NULL")
+    edges, ends = _alias_trie(aliases)
+    words, gaps = _words_and_gaps(F.col("text"))
+    zipped = F.expr("arrays_zip(w, g, slice(g, 2, size(g)))")
+    spread = texts.select("key", words.alias("w"), gaps.alias("g")).select("key", F.size("w").alias("n"), F.posexplode(zipped).alias("pos", "t"))
+    spread = spread.select("key", "pos", F.col("t.w").alias("w"), F.col("t.g").alias("before"), F.col("t.2").alias("after"), (F.col("pos") == F.col("n") - 1).alias("last"))
+    spread = spread.where("w IS NOT NULL").withColumn("word", F.xxhash64("w")).drop("w")
+    # Stored: every step reads it, and the texts are read once.
+    tokens = materialize(spread.join(edges.select("word").distinct(), "word", "left_semi"), "alias-words")
+
+    step = lambda level: edges.where(F.col("level") == level).select("parent", "word", "gap", "node")
+    at = tokens.join(step(1).drop("parent", "gap"), "word").select("key", "pos", "node", F.col("before").alias("ahead"), (F.col("pos") == 0).alias("first"), "after", "last")
+    reached = [at]
+    for level in range(2, 1 + (edges.agg(F.max("level").alias("n")).first().n or 1)):
+        on = at.select("key", (F.col("pos") + 1).alias("pos"), F.col("node").alias("parent"), "ahead", "first")
+        met = on.join(tokens.withColumnRenamed("before", "gap"), ["key", "pos"]).join(step(level), ["parent", "word", "gap"])
+        at = met.select("key", "pos", "node", "ahead", "first", "after", "last")
+        reached.append(at)
+    led = (F.col("lead") == "") | (F.endswith("ahead", "lead") & ((F.length("ahead") > F.length("lead")) | F.col("first")))
+    trailed = (F.col("trail") == "") | (F.startswith("after", "trail") & ((F.length("after") > F.length("trail")) | F.col("last")))
+    found = reduce(DataFrame.unionByName, (r.join(ends, "node").where(led & trailed).select("key", "entity") for r in reached))
+    return found.unionByName(_mentions_without_words(texts, aliases)).distinct()
 
 
 def ai_scoreboard(entities: DataFrame, asked: int, mentions: DataFrame, citations: DataFrame) -> DataFrame:

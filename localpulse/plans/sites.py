@@ -91,15 +91,21 @@ def _domains(s):
 DOMAINS = "d AS (SELECT DISTINCT host AS domain FROM h WHERE page_id % 2 = 0)"
 query("j10_domain_join", f"WITH {HOSTS}, {DOMAINS} SELECT DISTINCT host, domain FROM h, d WHERE host = domain OR ends_with(host, '.' || domain) OR ends_with(domain, '.' || host)")(lambda s: names.domain_join(_hosts(s), _domains(s)))
 query("j14_citation_join", f"WITH {HOSTS.replace('url', 'url')}, {DOMAINS} SELECT key, turn, domain FROM (SELECT key, turn, {HOST.format(c='url')} AS host FROM answers) a JOIN d ON host = domain OR ends_with(host, '.' || domain)", "answers")(lambda s: names.citation_join(s.answers, _domains(s)).select("key", "turn", "domain"))
-ALIASES = [("a", "the"), ("b", "and"), ("c", "der"), ("d", "thing")]
-ALIAS_SQL = "(VALUES ('a', 'the'), ('b', 'and'), ('c', 'der'), ('d', 'thing')) v(entity, alias)"
-MENTION = rf"SELECT DISTINCT review_id AS key, entity FROM reviews, {ALIAS_SQL} WHERE regexp_matches(text, '(?i)(^|[^\p{{L}}\p{{N}}_])' || alias || '([^\p{{L}}\p{{N}}_]|$)')"
-query("j13_mention_join", MENTION, "reviews")(lambda s: names.mention_join(s.reviews.select(F.col("review_id").alias("key"), "text"), s.spark.createDataFrame(ALIASES, "entity string, alias string")))
+ALIASES = "VALUES ('a', 'the'), ('b', 'and'), ('c', 'der'), ('d', 'thing'), ('e', 'Tion the'), ('f', 'de, la'), ('g', ' -'), ('h', '.'), ('i', 'thing.')"
+ALIAS_SQL = f"({ALIASES}) v(entity, alias)"
+MENTION = rf"SELECT DISTINCT review_id AS key, entity FROM reviews, {ALIAS_SQL} WHERE regexp_matches(text, '(?i)(^|[^\p{{L}}\p{{N}}_])' || regexp_escape(alias) || '([^\p{{L}}\p{{N}}_]|$)')"
+
+
+def _aliases(s):
+    return s.spark.sql(f"SELECT * FROM {ALIASES} AS v(entity, alias)")
+
+
+query("j13_mention_join", MENTION, "reviews")(lambda s: names.mention_join(s.reviews.select(F.col("review_id").alias("key"), "text"), _aliases(s)))
 
 
 @query("a9_ai_scoreboard", f"WITH m AS ({MENTION}) SELECT entity, (SELECT COUNT(*) FROM reviews) AS asked, COUNT(key) AS mentioned, COUNT(key) FILTER (key % 2 = 0) AS cited FROM {ALIAS_SQL} LEFT JOIN m USING (entity) GROUP BY entity", "reviews")
 def scoreboard(s):
-    aliases = s.spark.createDataFrame(ALIASES, "entity string, alias string")
+    aliases = _aliases(s)
     m = names.mention_join(s.reviews.select(F.col("review_id").alias("key"), "text"), aliases)
     return names.ai_scoreboard(aliases.select("entity"), s.reviews.count(), m, m.where("key % 2 = 0"))
 

@@ -1,5 +1,8 @@
 """Every registered market query against its SQL, and literal rows for what the tables do not hold."""
 
+import random
+import re
+
 import glob
 import math
 import os
@@ -111,6 +114,27 @@ def test_mentions_need_word_boundaries(spark):
     assert sorted(r.key for r in names.mention_join(texts, aliases).collect()) == [1, 3]
 
 
+def test_mentions_by_phrase(spark):
+    """Word runs, gaps, edges and aliases without a word, against the pattern written out."""
+    rng = random.Random(4)
+    bits = ["the", "The", "crag", "Crags", "climb", "ÉCLAIR", "éclair", "&", "++", "c", "-", " ", " ", " ", ", ", ".", "_", "(", ")"]
+    made = [(k, "".join(rng.choice(bits) for _ in range(rng.randrange(14)))) for k in range(400)]
+    known = ["the", "The Crag", "the crag climb", "c++", "&", "++", "(crag)", ". c", "éclair", "crag", "the  crag", "-", " & ", "", "climb."]
+    texts = spark.createDataFrame([*made, (900, None), (901, ""), (902, "I love The Crag downtown")], "key int, text string")
+    aliases = spark.createDataFrame([(f"e{i}", a) for i, a in enumerate(known)] + [("none", None)], "entity string, alias string")
+    got = {tuple(r) for r in names.mention_join(texts, aliases).collect()}
+    want = {(k, f"e{i}") for k, t in [*made, (902, "I love The Crag downtown")] for i, a in enumerate(known) if a and re.search(r"(?<!\w)" + re.escape(a.lower()) + r"(?!\w)", t.lower())}
+    assert got == want and len(want) > 300
+
+
+def test_mention_plan_carries_no_text(spark):
+    texts = spark.range(100).selectExpr("id AS key", "concat('the crag ', id) AS text")
+    aliases = spark.sql("SELECT * FROM VALUES ('a', 'the crag') AS v(entity, alias)")
+    plan = names.mention_join(texts, aliases)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and not any("text" in line for line in joins)
+
+
 def test_page_facts_and_fingerprint(spark):
     html = """<html lang="en"><head><title>Best Dirt Co of Town</title><meta name="viewport" content="x"><meta name="description" content="d">
     <link rel="canonical" href="https://a.com/"><script type="application/ld+json">{"@type":["LocalBusiness","Thing"],"founder":{"@type":"Person","name":"Ann B"}}</script>
