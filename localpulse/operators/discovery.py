@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from localpulse import config as K
 from localpulse.functions import columns as C
+from localpulse.operators.ordering import ranked
 from localpulse.sources.scratch import materialize
 
 
@@ -51,20 +55,48 @@ def cover_edges(cells: DataFrame) -> DataFrame:
     return a.join(b, (F.col("a.by") == F.col("b.by")) & (F.col("a.bx") == F.col("b.bx")) & ahead & reach).select(F.col("a.cell_id").alias("small"), F.col("b.cell_id").alias("large"))
 
 
-def prune_overlapping(cells: DataFrame) -> DataFrame:
-    """Keep a cell unless a kept cell ahead of it covers it: the greedy result, reached by rounds.
+def prune_overlapping(cells: DataFrame, tile: float = 16.0) -> DataFrame:
+    """Keep a cell unless a kept cell ahead of it covers it: the greedy result.
 
-    A round keeps undecided cells that no undecided or kept cell covers and drops
-    those that a kept one covers; as many rounds as the longest chain of covers.
+    Cells are tiled by ``tile`` degrees. In a round every tile decides, in order of density,
+    what follows from the cells decided before and from its own: a chain of covers takes a
+    round for each tile border that it crosses, not one for each cell. Between rounds only
+    undecided cells and the covers of theirs that are undecided remain; each round's tiles
+    are shifted by half a tile, so that chains along a border are not cut twice.
+    A tile is one task's work: undecided cells within it, a key and its open covers each.
     """
     edges = materialize(cover_edges(cells), "covers")
-    state = materialize(cells.select("cell_id", F.lit(0).alias("kept")), "cells")  # 0 undecided, 1 kept, -1 dropped
-    while not state.where("kept = 0").isEmpty():
-        over = edges.join(state.select(F.col("cell_id").alias("large"), F.col("kept").alias("k")), "large").groupBy("small").agg(F.max(F.when(F.col("k") == 1, 1).otherwise(0)).alias("by_kept"), F.max(F.when(F.col("k") == 0, 1).otherwise(0)).alias("by_open"))
-        s = state.join(over, state.cell_id == over.small, "left")
-        decided = F.when(F.col("kept") != 0, F.col("kept")).when(F.coalesce("by_kept", F.lit(0)) == 1, -1).when(F.coalesce("by_open", F.lit(0)) == 0, 1).otherwise(0)
-        state = materialize(s.select("cell_id", decided.alias("kept")), "cells")
-    return cells.join(state.where("kept = 1").select("cell_id"), "cell_id", "left_semi")
+    order = F.struct((-F.col("population").cast("double")).alias("p"), F.col("cell_id").alias("c"))
+    open_ = cells.select("cell_id", "lat", "lng", order.alias("place"))
+    covers = edges.groupBy(F.col("small").alias("cell_id")).agg(F.collect_list("large").alias("by"))  # the cells within reach of one
+    open_ = materialize(open_.join(covers, "cell_id", "left").withColumn("by", F.coalesce("by", F.array().cast(covers.schema["by"].dataType))), "open-cells")
+    decided, turn = [], 0
+    kind = cells.schema["cell_id"].dataType.simpleString()
+
+    def decide(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["p", "c"], kind="stable")
+        inside = set(rows["cell_id"])
+        kept: dict = {}
+        for cell, by in zip(rows["cell_id"], rows["by"], strict=True):
+            states = [kept.get(other) if other in inside else None for other in by]
+            kept[cell] = False if True in states else None if None in states else True
+        return pd.DataFrame({"cell_id": list(kept), "kept": pd.array([kept[c] for c in kept], "boolean")})
+
+    while True:
+        shift = tile / 2 * (turn % 2)
+        at = [F.floor((F.col(c) + shift) / tile).alias(n) for c, n in (("lat", "y"), ("lng", "x"))]
+        found = open_.select(*at, "cell_id", "by", "place.*").groupBy("y", "x").applyInPandas(decide, f"cell_id {kind}, kept boolean")
+        found = materialize(found.where("kept IS NOT NULL"), "decided")
+        decided.append(found.where("kept").select("cell_id"))
+        # Dropped cells cover nothing any more; a kept one drops those that it covers.
+        rest = open_.join(found.select("cell_id"), "cell_id", "left_anti")
+        links = rest.select(F.col("cell_id").alias("small"), F.explode_outer("by").alias("large")).join(found.select(F.col("cell_id").alias("large"), "kept"), "large", "left")
+        left = links.groupBy(F.col("small").alias("cell_id")).agg(F.bool_or(F.coalesce("kept", F.lit(False))).alias("gone"), F.collect_list(F.when(F.col("kept").isNull(), F.col("large"))).alias("by")).where("NOT gone").drop("gone")
+        open_ = materialize(rest.drop("by").join(left, "cell_id"), "open-cells")
+        turn += 1
+        if open_.isEmpty():
+            break
+    return cells.join(reduce(DataFrame.unionByName, decided), "cell_id", "left_semi")
 
 
 def subdivide(cells: DataFrame, n: int = 4) -> DataFrame:
@@ -105,4 +137,4 @@ def sweep_estimate(cells: DataFrame, queries: int, rate: float) -> DataFrame:
 
 
 def rank_within(df: DataFrame, key: str, order: list) -> DataFrame:
-    return df.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    return ranked(df, order, "place", by=[key])

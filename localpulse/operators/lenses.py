@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from localpulse.functions import columns as C
+from localpulse.operators.ordering import ranked
 
 
 def lead_view(biz: DataFrame, enrichment: DataFrame, contacts: DataFrame) -> DataFrame:
@@ -120,9 +121,8 @@ def prospect_groups(prospects: DataFrame) -> DataFrame:
     group = F.when(F.col("no_usable"), "build").when(F.col("tier") == "local", "local").when(F.col("tier") == "chain", "chain")
     reviews = F.coalesce("review_count", F.lit(0))
     score = F.when(group == "local", F.coalesce("score", F.lit(-1))).otherwise(0)
-    w = Window.partitionBy("group").orderBy(F.desc("_s"), F.desc("_r"), "place_id")
     out = prospects.withColumns({"group": group, "_s": score, "_r": reviews}).where("group IS NOT NULL")
-    return out.withColumn("rank", F.row_number().over(w)).drop("_s", "_r")
+    return ranked(out, [F.desc("_s"), F.desc("_r"), F.asc("place_id")], "rank", by=["group"]).drop("_s", "_r")
 
 
 def flat_prospects(prospects: DataFrame) -> DataFrame:

@@ -243,15 +243,17 @@ def enrich(s):
     return leads.select("place_id", status.alias("site_status"), F.when(status == "live", F.col("score")).alias("readiness_score"))
 
 
-BUILDER_SQL = "CASE " + " ".join("WHEN " + " OR ".join(f"contains(lower(html), '{m}')" for m in marks) + f" THEN '{n}'" for n, marks in K.BUILDERS.items()) + r" ELSE NULLIF(trim(regexp_extract(html, '(?i)<meta[^>]+name=[\x22\x27]generator[\x22\x27][^>]+content=[\x22\x27]([^\x22\x27]+)', 1)), '') END"
+GENERATOR_SQL = r"list_filter(regexp_extract_all(html, '(?i)<meta\s([^>]*)>', 1), lambda m: regexp_matches(m, '(?i)\bname\s*=\s*.generator[^a-z]'))[1]"
+BUILDER_SQL = "CASE " + " ".join("WHEN " + " OR ".join(f"contains(lower(html), '{m}')" for m in marks) + f" THEN '{n}'" for n, marks in K.BUILDERS.items()) + rf" ELSE NULLIF(trim(split_part(split_part(lower({GENERATOR_SQL}), 'content=', 2)[2:], chr(34), 1)), '') END"
 query("h7_builder", f"SELECT page_id, {BUILDER_SQL} AS builder FROM pages")(lambda s: s.pages.select("page_id", pages.detect_builder(F.col("html")).alias("builder")))
 TAG_SQL = "list_sort(list_filter([" + ", ".join("CASE WHEN " + " OR ".join("contains(lower(html), '" + m.replace("'", "''") + "')" for m in marks) + f" THEN '{n}' END" for n, marks in K.TAGS.items()) + "], lambda x: x IS NOT NULL))"
 query("h8_tags", f"SELECT page_id, array_to_string({TAG_SQL}, ',') AS tags, {' OR '.join(f'contains(lower(html), {chr(39)}{m}{chr(39)})' for m in K.ADS_MARKERS)} AS ads FROM pages")(lambda s: s.pages.select("page_id", F.array_join(pages.detect_tags(F.col("html")), ",").alias("tags"), pages.detect_ads(F.col("html")).alias("ads")))
-CREDIT_SQL = rf"(?i)\\b({'|'.join(sorted(K.CREDIT_WORDS, key=len, reverse=True))})\\s+(?:(?:&amp;|&|and)\\s*)?(?:\\w+\\s+)?by\\s*:?\\s*<a\\b[^>]*href=[\\x22\\x27]([^\\x22\\x27]+)[\\x22\\x27][^>]*>([^<]{{2,60}})</a>".replace("\\\\", "\\")
+LIST_OF = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
 query(
     "h9_agency_credit",
-    f"""WITH m AS (SELECT page_id, {HOST.format(c='url')} AS own, unnest(list_zip(range(1, 1000), regexp_extract_all(html, '{CREDIT_SQL}', 1), regexp_extract_all(html, '{CREDIT_SQL}', 2), regexp_extract_all(html, '{CREDIT_SQL}', 3), true)) AS c FROM pages),
-    d AS (SELECT page_id, c[1] AS k, {HOST.format(c='c[3]')} AS domain, trim(c[4]) AS label, regexp_matches(lower(c[2]), '{'|'.join(K.STRONG_CREDIT)}') AS strong, own FROM m),
+    f"""WITH l AS (SELECT page_id, {HOST.format(c='url')} AS own, unnest(regexp_extract_all(html, '(?i)[^<>]{{0,80}}<a\\b[^>]*>[^<]{{2,60}}</a>')) AS link, generate_subscripts(regexp_extract_all(html, '(?i)[^<>]{{0,80}}<a\\b[^>]*>[^<]{{2,60}}</a>'), 1) AS k FROM pages),
+    w AS (SELECT *, list_reverse(regexp_extract_all(lower(split_part(link, '<', 1)), '[a-z]+')) AS said, regexp_replace(regexp_extract(link, 'href=.([^\\x22\\x27]+)', 1), '^//', '') AS href, trim(split_part(split_part(link, '>', 2), '<', 1)) AS label FROM l),
+    d AS (SELECT page_id, k, own, label, CASE WHEN contains(href, '://') THEN {HOST.format(c='href')} ELSE regexp_replace(lower(split_part(href, '/', 1)), '^www\\.', '') END AS domain, said, list_has_any(said[2:4], {LIST_OF(K.STRONG_CREDIT)}) AS strong FROM w WHERE said[1] = 'by' AND list_has_any(said[2:4], {LIST_OF(K.CREDIT_WORDS)})),
     f AS (SELECT page_id, arg_min(struct_pack(domain, label, strong), k) AS c FROM d WHERE domain <> '' AND domain <> own AND NOT regexp_matches(domain, '{'|'.join(K.PLATFORM_DOMAINS).replace('.', '[.]')}') GROUP BY 1)
     SELECT page_id, c.domain AS domain, c.label AS label, c.strong AS strong FROM pages LEFT JOIN f USING (page_id)""",
 )(lambda s: s.pages.select("page_id", pages.agency_credit(F.col("html"), C.host_of(F.col("url"))).alias("c")).select("page_id", "c.*"))
@@ -454,6 +456,13 @@ def snapshots(s):
     return s.spark.read.parquet(path).groupBy("place_id").agg(F.count("*").alias("n"))
 
 
+@query("s17_ranked_sink", "SELECT state_code, place_id, row_number() OVER (PARTITION BY state_code ORDER BY coalesce(review_count, 0) DESC, place_id) AS rank FROM businesses", "businesses")
+def ranked_sink(s):
+    path = new_path(s.spark, "ranked-csv")
+    tables.write_ranked(s.businesses.select("state_code", "place_id", "review_count"), path, [F.desc(F.coalesce("review_count", F.lit(0))), F.asc("place_id")])
+    return s.spark.read.csv(path, header=True, schema="state_code string, place_id string, review_count bigint, rank int").select("state_code", "place_id", "rank")
+
+
 @query("s17_s18_written_by_state", "SELECT state_code, COUNT(*) AS n FROM businesses GROUP BY 1", "businesses")
 def by_state(s):
     path = new_path(s.spark, "by-state")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from localpulse.operators.ordering import ranked
+
 RESPONSES = (
     "places array<struct<id:string,displayName:struct<text:string>,formattedAddress:string,location:struct<latitude:double,longitude:double>,nationalPhoneNumber:string,"
     "internationalPhoneNumber:string,primaryTypeDisplayName:struct<text:string>,types:array<string>,googleMapsUri:string,rating:double,userRatingCount:int,websiteUri:string>>"
@@ -124,8 +126,13 @@ def append_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_ranked(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).csv(path)
+def write_ranked(df: DataFrame, path: str, order: list[Column], by: str = "state_code", name: str = "rank") -> None:
+    """CSV parts in the order of group and rank: reading them by number gives the whole ranked list.
+
+    Ranks count from 1 within ``by``; ``order`` is a lens's order.
+    """
+    out = ranked(df, order, name, by=[by])
+    out.repartitionByRange(F.asc(by), F.asc(name)).sortWithinPartitions(by, name).write.option("header", True).csv(path)
 
 
 def write_by(df: DataFrame, column: str, path: str) -> None:

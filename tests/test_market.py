@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from localpulse.functions import columns as C
 from localpulse.operators import budget, discovery, grid, names, pages, profiles, reviews
+from localpulse.operators.ordering import ranked
 from localpulse.plans.all import ORACLES, QUERIES
+from localpulse.sources import tables
 
 DATA = "/root/testdata/sf0.001"
 
@@ -114,6 +116,49 @@ def test_mentions_need_word_boundaries(spark):
     assert sorted(r.key for r in names.mention_join(texts, aliases).collect()) == [1, 3]
 
 
+def test_ranks_by_range(spark):
+    """Groups over many partitions, null groups and ties by key; ranks are gapless, and the sink's parts are in order."""
+    rng = random.Random(6)
+    rows = [(rng.choice([None, "a", "hot", "hot", "hot"]), rng.choice([None, 1, 2, 3]), f"k{i:04d}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "state_code string, score int, place_id string").repartition(7)
+    order = [F.desc_nulls_last("score"), F.asc("place_id")]
+    got = {(r.state_code, r.rank): r.place_id for r in ranked(df, order, "rank", by=["state_code"]).collect()}
+    want = {}
+    for g in (None, "a", "hot"):
+        own = sorted((r for r in rows if r[0] == g), key=lambda r: (-(r[1] or 0), r[2]))
+        want |= {(g, i): r[2] for i, r in enumerate(own, 1)}
+    assert got == want
+    assert [r.n for r in ranked(df, order, "n", start=3).orderBy("n").collect()] == list(range(3, 2003))
+    assert ranked(df.limit(0), order).count() == 0
+
+
+def test_ranked_sink_is_ordered_by_part(spark, tmp_path):
+    df = spark.createDataFrame([(state, i % 50, f"k{i:04d}") for i, state in enumerate(["b", "a", "hot", "hot"] * 200)], "state_code string, score int, place_id string")
+    tables.write_ranked(df, str(tmp_path / "out"), [F.desc("score"), F.asc("place_id")])
+    lines = [line for part in sorted(glob.glob(str(tmp_path / "out" / "part-*"))) for line in open(part).read().splitlines()[1:]]
+    held = [(line.split(",")[0], int(line.split(",")[3])) for line in lines]
+    assert held == sorted(held) and len(held) == 800
+
+
+def test_pruning_follows_long_chains_in_few_rounds(spark):
+    """Every cell covers the next one: the greedy result keeps every second."""
+    n = 1500
+    cells = spark.range(n).select(F.format_string("c%05d", "id").alias("cell_id"), (F.lit(30.0) + F.col("id") * 0.01).alias("lat"), F.lit(-100.0).alias("lng"), (F.lit(10**6) - F.col("id")).alias("population"), F.lit(1500).alias("radius_m"))
+    kept = sorted(int(r.cell_id[1:]) for r in discovery.prune_overlapping(cells).collect())
+    assert kept == list(range(0, n, 2))
+    assert discovery.prune_overlapping(cells.limit(0)).count() == 0
+
+
+def test_credits_by_the_words_before_a_link(spark):
+    page = '<footer>{}<a href="https://www.agency.com/x">Agency One</a></footer>'
+    said = {"Website design &amp; SEO by ": True, "Designed by: ": True, "Powered by ": False, "Site by ": False, "Reviewed by ": None, "By design of ": None, "Built and hosted by ": True, "Marketing, it was once said in town, by ": None, "": None}
+    df = spark.createDataFrame([(k, page.format(k)) for k in said], "said string, html string")
+    got = {r.said: r.c and r.c.strong for r in df.select("said", pages.agency_credit(F.col("html"), F.lit("own.com")).alias("c")).collect()}
+    assert got == said
+    own = spark.createDataFrame([(page.format("Designed by "),)], "html string").select(pages.agency_credit(F.col("html"), F.lit("agency.com")).alias("c")).first()
+    assert own.c is None
+
+
 def test_mentions_by_phrase(spark):
     """Word runs, gaps, edges and aliases without a word, against the pattern written out."""
     rng = random.Random(4)
