@@ -61,6 +61,7 @@ BRIDGES = {
         SELECT page_id, url, replace(html, '</title>', '</title>'
             || CASE WHEN n % 2 = 0 THEN '<meta name="viewport" content="width=device-width">' ELSE '' END
             || CASE WHEN n % 3 = 0 THEN '<meta name="description" content="' || title || ' - ' || title || '">' ELSE '' END
+            || CASE WHEN n % 6 < 2 THEN '<meta property="og:title" content="' || title || '"><meta property="og:url" content="' || split_part(url, '?', 1) || '"><meta property="og:site_name" content="' || word || '"><meta property="og:type" content="">' ELSE '' END
             || CASE WHEN n % 5 < 3 THEN '<link rel="canonical" href="' || split_part(url, '?', 1) || '">' ELSE '' END
             || CASE WHEN n % 9 < 3 THEN '<img src="a.png"><img src="b.png" alt="' || word || '">' ELSE '' END
             || CASE WHEN n % 7 < 4 THEN '<h2>Call (615) 555-' || lpad(CAST(n % 10000 AS {str}), 4, '0') || '</h2><h2>' || word || '</h2>' ELSE '' END

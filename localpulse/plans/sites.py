@@ -193,6 +193,8 @@ FACTS = rf"""b AS (SELECT *, regexp_extract_all(html, '(?is)<script[^>]*applicat
     CAST(len(regexp_extract_all(txt, '\S+')) AS INT) AS word_count, CAST(len(images) AS INT) AS images_total, CAST(len(list_filter(images, lambda i: NOT regexp_matches(i, '\salt="[^"]'))) AS INT) AS images_missing_alt,
     regexp_matches(txt, '\(?\d{{3}}\)?[\s.-]?\d{{3}}[\s.-]?\d{{4}}') AS has_phone, regexp_matches(lower(array_to_string(types, ' ')), 'localbusiness|excavating|sportsactivitylocation|healthclub|organization') AS local_business,
     list_contains(types, 'FAQPage') AS faq, list_contains(types, 'Organization') AS organization, list_contains(types, 'AggregateRating') OR list_contains(types, 'Review') AS rated FROM t)"""
+OPEN_GRAPH = ", ".join("NULLIF(trim(" + UNQUOTED.format(c=META.replace("name=", "property=").format(n=f"og:{k}")) + f"), '') AS og_{k}" for k in pages.OPEN_GRAPH)
+FACTS = FACTS.replace("AS txt FROM sitepages)", f"AS txt, {OPEN_GRAPH} FROM sitepages)")
 query("h1_page_signals", f"WITH {FACTS} SELECT {', '.join(c.split()[0] for c in pages.SIGNALS.split(', '))} FROM facts", "sitepages")(lambda s: pages.page_signals(s.sitepages))
 query("h1_heading_counts", r"SELECT page_id, CAST(len(regexp_extract_all(html, '(?i)<h1[\s>]')) AS INT) AS h1_count, CAST(len(regexp_extract_all(html, '(?i)<h2[\s>]')) AS INT) AS h2_count FROM pages")(lambda s: pages.page_signals(s.pages).select("page_id", "h1_count", "h2_count"))
 query("h2_c24_jsonld", f"WITH {FACTS} SELECT page_id, CAST(len(blocks) AS INT) AS n_blocks, CAST(len(valid) AS INT) AS n_valid, array_to_string(types, ',') AS types, local_business, faq, organization, list_contains(types, 'AggregateRating') AS rating, list_contains(types, 'Review') AS review FROM facts", "sitepages")(

@@ -188,7 +188,10 @@ def test_page_facts_and_fingerprint(spark):
     df = spark.createDataFrame([(1, "https://a.com/", html), (2, "https://b.com/", None)], "page_id bigint, url string, html string")
     f = {r.page_id: r for r in pages.page_signals(df).collect()}
     assert (f[1].title, f[1].h1_count, f[1].h2_count, f[1].viewport, f[1].has_phone, f[1].canonical, f[1].images_missing_alt) == ("Best Dirt Co of Town", 1, 2, True, True, "https://a.com/", 1)
-    assert f[2].title is None and f[2].word_count == 0
+    assert f[2].title is None and f[2].word_count == 0 and f[2].og_title is None
+    og = spark.createDataFrame([(4, '<meta property="OG:Title" content=" Dirt &amp; Co "><meta property="og:title" content="later"><meta property="og:image" content=""><meta name="og:type" content="x"><meta name="robots" property="og:url" content="u">')], "page_id bigint, html string")
+    g = pages.page_signals(og).first()
+    assert (g.og_title, g.og_image, g.og_type, g.og_url, g.meta_robots, g.og_site_name) == ("Dirt & Co", None, None, "u", "u", None)
     cut = spark.createDataFrame([(3, "<title>a</title><p>one two&am")], "page_id bigint, html string")
     assert pages.page_signals(cut).first().word_count == 3
     j = {r.page_id: r for r in pages.jsonld(df).collect()}
