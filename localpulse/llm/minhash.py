@@ -21,7 +21,7 @@ Buckets are counted by aggregation, so a frequent key is never gathered; a bucke
 more members than a task takes is searched in chunks, and one in a single component not
 at all. There is no cap on buckets or partners.
 
-Defined cases are those of ``rtree``: a null or empty text has an empty set and is linked
+Defined cases: a null or empty text has an empty set and is linked
 with nothing; a text with fewer words than a shingle is one shingle; rows are told apart
 by their texts, so rows that share an id, or have none, are linked like any others;
 a component's id is its least one that is not null; of a component the row of the least

@@ -29,10 +29,11 @@ A block with more than ``CHUNK`` members is searched in chunks. In step 3 each h
 the block's first member; in step 4 all members outside that one's component.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing;
-a text with fewer words than a shingle is one shingle; rows are told apart by their
-texts, so rows that share an id, or have none, are linked like any others; a
-component's id is its least one that is not null, null if there is none; an empty
-table gives an empty result; other columns are ignored.
+a text with fewer words than a shingle is one shingle; to ``near_duplicates`` rows with
+one id are one document, whatever their texts, and rows with a null id are linked with
+nothing and get a null component; ``keep_one`` tells rows apart by id and text, and
+links those of a null id like any others; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -533,13 +534,15 @@ def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
     return labelled.join(mixed.select("key", "first"), "key")
 
 
-def linked(members: DataFrame, points: DataFrame, tried: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+def linked(members: DataFrame, points: DataFrame, tried: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule, also: DataFrame | None = None) -> DataFrame:
     """``node, component`` from the stored pairs ``tried`` (``a, b``) and whatever else links within blocks (``members``: ``key, node, size``).
 
-    ``tried`` is checked first. Of blocks that then hold several components the trees give
+    ``tried`` is checked first; the stored pairs ``also`` link unchecked. Of blocks that then hold several components the trees give
     one pair for each two of them, and at last all pairs across components.
     """
     links = verified(tried, docs, classes, rule)
+    if also is not None:
+        links = links.unionByName(also)
     found = materialize(components(links), "components")
     for every in (False, True):
         split = materialize(_mixed(members, found), "split")
@@ -574,12 +577,14 @@ def grouped(sketch: DataFrame, names: DataFrame) -> DataFrame:
     return sketch.select("doc_id", "text_hash", *SAME).join(names, SAME, "left").select("doc_id", "text_hash", "n", "least")
 
 
-def _groups(docs: DataFrame, words: int, percent: int, doc_id: str, text: str) -> DataFrame:
+def _groups(docs: DataFrame, words: int, percent: int, doc_id: str, text: str, by_id: bool) -> DataFrame:
+    """``grouped`` rows; ``by_id``: rows of one id are one document, and rows without an id are left out of the groups."""
     rule = Rule(words, percent)
     docs = _input(docs, doc_id, text)
     mark = scratch_count()
     sketch = materialize(sketches(docs, rule).withColumn("row", F.monotonically_increasing_id()), "sketches")
-    classes, reps = classes_of(sketch)
+    full = sketch.where("n > 0 AND doc_id IS NOT NULL") if by_id else sketch
+    classes, reps = classes_of(full)
     shared = Window.partitionBy("key")
     members = exploded_blocks(reps).withColumn("size", F.count("*").over(shared)).where("size > 1")
     members = materialize(members, "blocks")
@@ -593,15 +598,20 @@ def _groups(docs: DataFrame, words: int, percent: int, doc_id: str, text: str) -
     partners = block_pairs(placed.join(points, "node"), rule, Blocks.first_partners)
     best = partners.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
     tried = materialize(best.select("a", "b"), "pairs")
-    names = named(classes, linked(members, points, tried, docs, classes, rule))
+    also = None
+    if by_id:
+        ids = full.select("doc_id", *SAME).join(classes, SAME).select("doc_id", "node")
+        ids = ids.join(ids.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("doc_id", "a"), "doc_id")
+        also = materialize(ids.where("a <> node").select("a", F.col("node").alias("b")).distinct(), "links")
+    names = named(classes, linked(members, points, tried, docs, classes, rule, also))
     release_since(docs.sparkSession, mark + 1, but=1)  # all but the sketches and the names
     return grouped(sketch, names)
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row: set size, and the least id reachable by links of similar sets."""
-    out = _groups(docs, words, percent, doc_id, text)
-    component = F.when(F.col("n") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id"))
+    out = _groups(docs, words, percent, doc_id, text, by_id=True)
+    component = F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("least.doc_id"))).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
@@ -611,7 +621,7 @@ def keep_one(docs: DataFrame, *, words: int = 5, percent: int = 80, doc_id: str
     Rows without a word stay. Rows are told apart by id and text; of rows that agree in both, one of the group's stays.
     """
     mark = scratch_count()
-    rows = _groups(docs, words, percent, doc_id, text).where("n > 0")
+    rows = _groups(docs, words, percent, doc_id, text, by_id=False).where("n > 0")
     stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
     keys = rows.groupBy(F.col("doc_id").alias("__lp_id"), F.col("text_hash").alias("__lp_text")).agg(F.bool_or(stays).alias("stays"), F.count("*").alias("times"))
     gone = materialize(keys.where("NOT stays OR times > 1"), "near-duplicates")
