@@ -1,20 +1,22 @@
 """Packing by deficit round-robin over source queues.
 
-Each source is a queue of its documents' ids, in packets of at most ``PACKET`` ids
-of one document. In every round a queue's deficit counter grows by its quantum (its
-target share of a window), and the queue sends packets while the counter covers
-them; what is left over stays in the counter for the next round. The rounds' packets
-one after another are the stream that is cut into windows of ``length`` ids. A queue
-that has run dry leaves its share to the others.
-
-No counter has to be stepped: after r rounds a queue has been given r quanta, so a
-packet that ends at id e of its queue is sent in round ceil(e / quantum). Deficits
-thus cross windows and partitions, and the stream's order is a sort by round, source
-and place, whatever the number of sources. Quanta are whole numbers of 1/``UNIT`` ids,
-so the rounds are exact. While no queue is dry, after any number of ids a source is
-at most a packet and a quantum behind, and a window ahead of or behind its target.
-
-A document is cut where a packet ends that others follow, and at window edges.
+Each source is a queue of its documents' ids, in packets of ``packet`` ids. A round fills
+one window of ``length`` ids: every queue's deficit counter grows by its quantum (its
+target share of the window), and the queue sends packets while the counter covers
+them; what is left over stays in the counter for the next window. A queue that has run
+dry leaves its share to the others, whose quanta grow so that they fill the window.
+
+No counter has to be stepped. Let a queue with target share s have been given s * t ids
+by time t, or all its n ids once it is dry. All queues together have then been given
+T(t) = sum of min(n, s * t), so window w ends at the time t with T(t) = (w + 1) * length,
+and the whole packets that fit into s * t are those that its queue has sent by then. T is
+a line between the times at which queues run dry, so it is kept as a curve of at most
+``KNOTS`` such times (all of them up to that many sources, quantiles beyond). Deficits
+thus cross windows and partitions, and the stream's order is a sort by window, source
+and place, whatever the number of sources. In every window each live source is within a
+packet of its target, but for the few ids by which the packets shift the window's edge.
+
+A document is cut where its source's share of a window ends, and at window edges.
 
 Defined cases: a null text is one id (the end id); a null source is a source of
 its own; repeated rows are packed as often as they occur; an empty table gives
@@ -36,9 +38,9 @@ from localpulse.llm.core import materialize, release_since, scratch_count, text_
 from localpulse.llm.tokens import encoder, slices
 
 WINDOW = 2048
-PACKET = 512
-#: Parts of an id in which quanta are counted.
-UNIT = 1 << 16
+PACKET = 16
+#: Times of queues running dry that the curve keeps.
+KNOTS = 1024
 #: Rows of the offsets table (writer task x source) up to which it is broadcast; it is joined by shuffle beyond.
 BROADCAST_ROWS = 200_000
 
@@ -82,8 +84,8 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str | Column, t
     return materialize(rows.mapInArrow(trimmed(run), TOKENS), "tokens", compression="zstd")
 
 
-def quanta(per_part: DataFrame, length: int, weights: dict[str | None, float] | None, temper: float) -> DataFrame:
-    """``own`` (source), ``quantum`` and ``late`` of every source of ``per_part`` (``source, n``)."""
+def queues(per_part: DataFrame, weights: dict[str | None, float] | None, temper: float) -> tuple[DataFrame, dict[bool, tuple[np.ndarray, np.ndarray]]]:
+    """``own`` (source), ``share`` and ``late`` of every source of ``per_part`` (``source, n``), and the curves of ``late``: times, and ids given to all queues by then."""
     sources = per_part.groupBy("source").agg(F.sum("n").alias("n")).withColumn("share", F.pow(F.col("n").cast("double"), F.lit(temper)))
     late = F.lit(False)
     if weights is not None:
@@ -91,29 +93,57 @@ def quanta(per_part: DataFrame, length: int, weights: dict[str | None, float] |
         sources = sources.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("named")), "left")  # as many rows as the caller named
         late = F.col("target").isNull()
         sources = sources.withColumn("share", F.coalesce("target", "share"))
-    sources = materialize(sources.select("source", "share", late.alias("late")), "queues")
-    total = F.broadcast(sources.groupBy(F.col("late").alias("_late")).agg(F.sum("share").alias("all")))  # two rows
-    quantum = F.greatest(F.floor(F.col("share") / F.col("all") * (length * UNIT)), F.lit(1)).cast("bigint")
-    return sources.join(total, F.col("late") == F.col("_late")).select(F.col("source").alias("own"), quantum.alias("quantum"), "late")
-
-
-def packets(placed: DataFrame, dtype: type, packet: int) -> DataFrame:
-    """Packets (columns ``PACKETS``) of documents ``doc_id, source, late, quantum, at, n_tokens, ids``."""
+    sources = materialize(sources.select(F.col("source").alias("own"), "n", "share", late.alias("late"), (F.col("n") / F.col("share")).alias("dry")), "queues")
+    ranks = [k / KNOTS for k in range(1, KNOTS + 1)]
+    times = sources.groupBy(F.col("late").alias("of")).agg(F.array_sort(F.array_distinct(F.array_append(F.percentile_approx("dry", ranks, 10 * KNOTS), F.max("dry")))).alias("times"))
+    timed = sources.join(F.broadcast(times), F.col("late") == F.col("of"))  # two rows
+    knot = F.size(F.filter("times", lambda t: t < F.col("dry")))
+    sums = timed.groupBy("late", F.get("times", knot).alias("time")).agg(F.sum("n").alias("n"), F.sum("share").alias("share")).orderBy("late", "time")
+    curves, base = {}, 0
+    rows = sums.collect()  # at most KNOTS + 1 rows for each of the two curves
+    for key in (False, True):
+        own = [r for r in rows if r.late == key]
+        time, n, share = (np.array([r[c] for r in own], np.float64) for c in ("time", "n", "share"))
+        given = np.cumsum(n) + time * (share.sum() - np.cumsum(share))
+        if own:
+            given[-1] = n.sum()
+        curves[key] = np.append(0.0, time), base + np.append(0.0, given)
+        base += int(n.sum())
+    return sources.select("own", "share", "late"), curves
+
+
+def packets(placed: DataFrame, dtype: type, packet: int, length: int, curves: dict[bool, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """What each window takes (columns ``PACKETS``) of documents ``doc_id, source, late, share, at, n_tokens, ids``."""
+    close = 1e-6  # of a packet or window, for sums that are whole numbers but for rounding
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            quantum, at, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5))
-            data, where = _bounds(batch.column(6), dtype().itemsize)
-            per = -(-n // packet)
+            late, share, at, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4, 5))
+
+            def window_of(place: np.ndarray) -> np.ndarray:
+                """Windows in which the packets that hold these places of their queues are sent."""
+                time = (place // packet + 1) * packet / share
+                given = np.where(late, *(np.interp(time, *curves[k]) for k in (True, False)))
+                return np.maximum(np.ceil(given / length - close).astype(np.int64) - 1, 0)
+
+            first = window_of(at)
+            per = window_of(at + n - 1) - first + 1
             row = np.repeat(np.arange(len(n)), per)
-            start = (np.arange(len(row)) - np.repeat(np.cumsum(per) - per, per)) * packet
-            size = np.minimum(packet, n[row] - start)
-            round_ = -(-(at[row] + start + size) * UNIT // quantum[row])
+            ends = np.cumsum(per)
+            window = np.arange(len(row)) - np.repeat(ends - per - first, per)
+            time = np.where(late[row], *(np.interp((window + 1.0) * length, *curves[k][::-1]) for k in (True, False)))
+            to = np.clip(np.floor(share[row] * time / packet + close).astype(np.int64) * packet, at[row], (at + n)[row]) - at[row]
+            to[ends - 1] = n
+            start = np.append(0, to[:-1])
+            start[ends - per] = 0
+            some = to > start
+            row, window, start = row[some], window[some], start[some]
+            data, where = _bounds(batch.column(6), dtype().itemsize)
             ids = _binaries(data, np.append(where[row] + start, where[-1]) * dtype().itemsize)
             take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([batch.column(2).take(take), pa.array(round_), batch.column(1).take(take).cast(pa.string()), pa.array(at[row] + start), batch.column(0).take(take), pa.array(start), pa.array(n[row]), ids], ["late", "round", "source", "place", "doc_id", "start", "doc_tokens", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(2).take(take), pa.array(window), batch.column(1).take(take).cast(pa.string()), pa.array(at[row] + start), batch.column(0).take(take), pa.array(start), pa.array(n[row]), ids], ["late", "round", "source", "place", "doc_id", "start", "doc_tokens", "ids"])
 
-    return placed.select("doc_id", "source", "late", "quantum", "at", "n_tokens", "ids").mapInArrow(trimmed(run), PACKETS)
+    return placed.select("doc_id", "source", "late", "share", "at", "n_tokens", "ids").mapInArrow(trimmed(run), PACKETS)
 
 
 def stream(sent: DataFrame, dtype: type) -> DataFrame:
@@ -157,12 +187,13 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, length: int = WIND
     per_part = materialize(stored.groupBy("source", "part").agg(F.sum("n_tokens").alias("n")), "queue-parts")
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    offsets = offsets.join(quanta(per_part, length, weights, temper), F.col("source").eqNullSafe(F.col("own")))
-    offsets = materialize(offsets.select(F.col("source").alias("of"), F.col("part").alias("in"), "base", "quantum", "late"), "queue-offsets")
+    shares, curves = queues(per_part, weights, temper)
+    offsets = offsets.join(shares, F.col("source").eqNullSafe(F.col("own")))
+    offsets = materialize(offsets.select(F.col("source").alias("of"), F.col("part").alias("in"), "base", "share", "late"), "queue-offsets")
     if offsets.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     placed = stored.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in"))).withColumn("at", F.col("base") + F.col("at"))
-    sent = stream(packets(placed, dtype, packet), dtype)
+    sent = stream(packets(placed, dtype, packet, length, curves), dtype)
     release_since(docs.sparkSession, mark, but=1)
     # One row for each partition of the stream: as many as its writer had tasks, whatever the corpus holds.
     width, base, total = dtype().itemsize, {}, 0

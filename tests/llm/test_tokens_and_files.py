@@ -2,6 +2,7 @@
 
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -138,50 +139,75 @@ def test_packing_keeps_every_id(spark, weights):
         assert zlib.crc32(np.array(ids, "<u4").tobytes()) == r.ids_crc32
 
 
-def round_robin(queues, quantum, packet):
-    """Packets (source, document, start, length) as counters stepped round by round send them."""
-    todo = {q: [(d, s, min(packet, n - s)) for d, n in docs for s in range(0, n, packet)] for q, docs in queues.items()}
-    deficit, sent = dict.fromkeys(queues, 0), []
-    while any(todo.values()):
-        for q in sorted(todo):
-            if todo[q]:
-                deficit[q] += quantum[q]
-            while todo[q] and todo[q][0][2] * mixpack.UNIT <= deficit[q]:
-                d, s, n = todo[q].pop(0)
-                deficit[q] -= n * mixpack.UNIT
-                sent.append((q, d, s, n))
-    return sent
-
-
-@pytest.mark.parametrize(("length", "packet", "weights", "temper"), [(64, 16, None, 1.0), (100, 300, None, 0.5), (50, 50, {"a": 3.0, "b": 1.0, "c": 1.0, "d": 0.01}, 1.0)])
-def test_stream_against_stepped_counters(spark, length, packet, weights, temper):
+def round_robin(queues, share, packet, length):
+    """Pieces (window, source, first and last place) as counters stepped window by window send them, in fractions."""
+    size = {q: sum(n for _, n in docs) for q, docs in queues.items()}
+    given, sent, out, window = dict.fromkeys(queues, Fraction(0)), dict.fromkeys(queues, 0), [], 0
+    while any(sent[q] < size[q] for q in queues):
+        room = Fraction(length)
+        while room and any(given[q] < size[q] for q in queues):
+            live = [q for q in queues if given[q] < size[q]]
+            pace = {q: share[q] / sum(share[x] for x in live) for q in live}
+            step = min([room, *((size[q] - given[q]) / pace[q] for q in live)])
+            for q in live:
+                given[q] += step * pace[q]
+            room -= step
+        for q in sorted(queues):
+            to = size[q] if given[q] == size[q] else given[q] // packet * packet
+            if to > sent[q]:
+                out.append((window, q, sent[q], to))
+                sent[q] = to
+        window += 1
+    return out
+
+
+@pytest.mark.parametrize(("length", "packet", "weights", "temper"), [(64, 1, None, 1.0), (64, 4, None, 0.5), (100, 300, None, 0.5), (50, 7, {"a": 3.0, "b": 1.0, "c": 1.0, "d": 0.5}, 1.0)])
+def test_windows_against_stepped_counters(spark, length, packet, weights, temper):
     rng = np.random.Generator(np.random.PCG64(9))
     rows = [(i, "one two three four " * int(rng.integers(0, 60)), "abcd"[int(rng.choice(4, p=[0.5, 0.3, 0.15, 0.05]))]) for i in range(90)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").coalesce(1)
     got = mixpack.pack(docs, tokenizer_path(), length=length, packet=packet, weights=weights, temper=temper).toPandas().sort_values(["sequence_id", "offset"])
-    queues, size = {}, {}
+    queues = {}
     for i, text, q in rows:
-        size[i] = len(plain_ids(text)) + 1
-        queues.setdefault(q, []).append((i, size[i]))
-    share = weights or {q: sum(n for _, n in docs) ** temper for q, docs in queues.items()}
-    quantum = {q: int(share[q] / sum(share.values()) * length * mixpack.UNIT) for q in queues}
-    sent = round_robin(queues, quantum, packet)
-    assert [(q, d, s + k) for q, d, s, n in sent for k in range(n)] == [(r.source, r.doc_id, r.start + k) for r in got.itertuples() for k in range(r.length)]
-    # While no queue is dry, every window edge finds each source within a packet and two windows of its target.
-    seen, last = dict.fromkeys(queues, 0), {q: max(k for k, x in enumerate(sent) if x[0] == q) for q in queues}
-    for k, (q, _, _, n) in enumerate(sent):
-        if k > min(last.values()):
-            break
-        seen[q] += n
-        total = sum(seen.values())
-        for s in queues:
-            assert abs(seen[s] - total * quantum[s] / sum(quantum.values())) <= packet + 2 * length
-    # A document is cut at packet ends that others follow and at window edges, and nowhere else.
-    at = 0
-    for a, b in zip(list(got.itertuples()), list(got.itertuples())[1:], strict=False):
-        at += a.length
-        if (a.doc_id, a.start + a.length) == (b.doc_id, b.start):
-            assert at % length == 0
+        queues.setdefault(q, []).append((i, len(plain_ids(text)) + 1))
+    share = {q: Fraction(w) for q, w in (weights or {q: sum(n for _, n in docs) ** temper for q, docs in queues.items()}).items()}
+    ids = {q: [(d, k) for d, n in docs for k in range(n)] for q, docs in queues.items()}
+    want = {q: [] for q in queues}
+    for window, q, lo, hi in round_robin(queues, share, packet, length):
+        want[q] += [window] * (hi - lo)
+    have = {q: [] for q in queues}
+    for r in got.itertuples():
+        have[r.source] += [(r.doc_id, r.start + k, r.sequence_id) for k in range(r.length)]
+    # Each queue comes in its own order, at most the shift of the window's edge away from the stepped window.
+    for q in queues:
+        assert [x[:2] for x in have[q]] == ids[q]
+        shift = -(-packet * len(queues) // length)
+        off = [abs(x[2] - w) for x, w in zip(have[q][: len(have[q]) - packet], want[q], strict=False)]
+        assert max(off, default=0) <= shift
+    # While no queue is dry, every window holds each source's share within a packet and the shift of its edges.
+    total = sum(share.values())
+    held = got.pivot_table(index="sequence_id", columns="source", values="length", aggfunc="sum", fill_value=0)
+    dry = min(got[got.source == q].sequence_id.max() for q in queues)
+    for q in queues:
+        assert (abs(held[q].loc[: dry - 1] - float(share[q] / total) * length) <= packet * (len(queues) + 1) + 1).all()
+
+
+def test_default_windows_are_near_their_targets(spark):
+    """Total variation distance of every window from the targets while no queue is dry, default packet and length, uneven sources."""
+    rng = np.random.Generator(np.random.PCG64(4))
+    docs = spark.createDataFrame([(i, "a b c d e f g h " * int(rng.integers(1, 120)), f"s{int(rng.zipf(1.3)) % 12:02d}") for i in range(900)], "doc_id bigint, text string, source string")
+    rows = mixpack.pack(docs, tokenizer_path(), temper=0.7).toPandas()
+    share = rows.groupby("source").length.sum() ** 0.7
+    held = rows.pivot_table(index="sequence_id", columns="source", values="length", aggfunc="sum", fill_value=0)
+    dry = rows.groupby("source").sequence_id.max().min()
+    assert dry > 20
+    distance = (held.loc[: dry - 1] / mixpack.WINDOW - share / share.sum()).abs().sum(axis=1) / 2
+    assert distance.max() < 0.06
+    # Once a queue is dry the others share its part by their own targets.
+    for window in range(dry + 2, held.index.max() - 1):
+        live = [q for q in share.index if rows[rows.source == q].sequence_id.max() > window + 1]
+        if len(live) > 1 and held.loc[window, live].sum() == mixpack.WINDOW:
+            assert (held.loc[window, live] / mixpack.WINDOW - share[live] / share[live].sum()).abs().sum() / 2 < 0.06
 
 
 def test_targets_hold_in_every_window(spark):
