@@ -62,13 +62,15 @@ BRIDGES = {
             || CASE WHEN n % 2 = 0 THEN '<meta name="viewport" content="width=device-width">' ELSE '' END
             || CASE WHEN n % 3 = 0 THEN '<meta name="description" content="' || title || ' - ' || title || '">' ELSE '' END
             || CASE WHEN n % 6 < 2 THEN '<meta property="og:title" content="' || title || '"><meta property="og:url" content="' || split_part(url, '?', 1) || '"><meta property="og:site_name" content="' || word || '"><meta property="og:type" content="">' ELSE '' END
+            || CASE WHEN n % 5 = 4 THEN '<p>Founder and owner ' || word || ' of ' || title || ' - family owned since ' || CAST(n % 90 + 1900 AS {str}) || '. ' || repeat(word || ' ', CAST(n % 40 AS INT)) || 'Proprietor: ' || word || '</p>' ELSE '' END
             || CASE WHEN n % 5 < 3 THEN '<link rel="canonical" href="' || split_part(url, '?', 1) || '">' ELSE '' END
             || CASE WHEN n % 9 < 3 THEN '<img src="a.png"><img src="b.png" alt="' || word || '">' ELSE '' END
             || CASE WHEN n % 7 < 4 THEN '<h2>Call (615) 555-' || lpad(CAST(n % 10000 AS {str}), 4, '0') || '</h2><h2>' || word || '</h2>' ELSE '' END
             || CASE WHEN n % 4 = 3 THEN '' ELSE '<script type="application/ld+json">' || chr(123) || CASE n % 4
                 WHEN 0 THEN '"@type":["LocalBusiness","Organization"],"founder":' || chr(123) || '"@type":"Person","name":"' || word || '"' || chr(125) || chr(125)
                 WHEN 1 THEN '"@type":"FAQPage","employee":[' || chr(123) || '"name":"Ann ' || word || '"' || chr(125) || ',' || chr(123) || '"name":"' || word || '"' || chr(125) || '],"x":' || chr(123) || '"@type":"Review"' || chr(125) || chr(125)
-                ELSE '"@type":"AggregateRating"' END || '</script>' END) AS html
+                ELSE '"@type":"AggregateRating","about":[[' || chr(123) || '"a":' || chr(123) || '"owner":' || chr(123) || '"@type":["Person","Caf' || chr(92) || 'u00e9' || chr(92) || '/Bar"],"name":"' || word || ' ' || chr(92) || '"Al' || chr(92) || '" ' || chr(92) || 'u00e9"' || repeat(chr(125), 2)
+                  || ',"b":[1,null,' || chr(123) || '"@type":"' || word || '","name":7' || chr(125) || ']' || chr(125) || ']]' || chr(125) END || '</script>' END) AS html
         FROM (SELECT page_id, url, html, length(html) AS n, regexp_extract(html, '<title>([^<]*)', 1) AS title, regexp_extract(html, '<p><b>([A-Za-z]+)', 1) AS word FROM {pages} p) x""",
     # Robots, sitemap and llms files made of each page's address and text; blog hosts serve a page in place of robots.txt, mobile hosts none.
     "sitefiles": """

@@ -177,8 +177,6 @@ query("j18_fan_out", f"SELECT place_id, {HOST.format(c='website')} AS host, leng
 
 UNQUOTED = "regexp_replace(replace({c}, '&quot;', '\"'), '&amp;?', '&', 'g')"
 META = r"""regexp_extract(html, '(?i)<meta name="{n}" content="([^"]*)"', 1)"""
-LD_TYPES = r"""list_sort(list_distinct(list_concat(flatten(list_transform(valid, lambda s: regexp_extract_all(s, '"@type":"([^"]*)"', 1))),
-  flatten(list_transform(valid, lambda s: flatten(list_transform(regexp_extract_all(s, '"@type":\[([^\]]*)\]', 1), lambda l: regexp_extract_all(l, '"([^"]*)"', 1))))))))"""
 # Page facts in SQL, enough for the markup of the pages.
 FACTS = rf"""b AS (SELECT *, regexp_extract_all(html, '(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>', 1) AS blocks, {HOST.format(c='url')} AS host, starts_with(lower(url), 'https://') AS https,
     NULLIF(trim({UNQUOTED.format(c="regexp_extract(html, '(?is)<title>(.*?)</title>', 1)")}), '') AS title, NULLIF(trim({UNQUOTED.format(c=META.format(n='description'))}), '') AS meta_description,
@@ -187,7 +185,9 @@ FACTS = rf"""b AS (SELECT *, regexp_extract_all(html, '(?is)<script[^>]*applicat
     regexp_extract_all(html, '(?i)<img[^>]*>') AS images,
     regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[ >].*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*(>|$)', ' ', 'g'), '\s+', ' ', 'g') AS txt FROM sitepages),
   v AS (SELECT *, list_filter(blocks, lambda s: json_valid(s)) AS valid FROM b),
-  t AS (SELECT *, {LD_TYPES} AS types FROM v),
+  ld AS (SELECT v.page_id AS pid, x.key, x.type, x.path, x.value FROM v, unnest(v.valid) u(s), json_tree(u.s) x),
+  ldt AS (SELECT pid, list_sort(list(DISTINCT json_extract_string(value, '$'))) AS types FROM ld WHERE type = 'VARCHAR' AND (key = '@type' OR ends_with(path, '."@type"')) GROUP BY 1),
+  t AS (SELECT v.*, COALESCE(ldt.types, []) AS types FROM v LEFT JOIN ldt ON v.page_id = ldt.pid),
   facts AS (SELECT *, CAST(COALESCE(length(title), 0) AS INT) AS title_length, CAST(COALESCE(length(meta_description), 0) AS INT) AS meta_description_length,
     CAST(len(regexp_extract_all(html, '(?i)<h1[\s>]')) AS INT) AS h1_count, CAST(len(regexp_extract_all(html, '(?i)<h2[\s>]')) AS INT) AS h2_count, CAST(len(regexp_extract_all(html, '(?i)<h3[\s>]')) AS INT) AS h3_count,
     CAST(len(regexp_extract_all(txt, '\S+')) AS INT) AS word_count, CAST(len(images) AS INT) AS images_total, CAST(len(list_filter(images, lambda i: NOT regexp_matches(i, '\salt="[^"]'))) AS INT) AS images_missing_alt,
@@ -293,12 +293,25 @@ EMAIL_SQL = rf"list_sort(list_distinct(list_transform(list_filter(list_concat(li
 query("h13_emails", f"SELECT page_id, array_to_string({EMAIL_SQL}, ',') AS emails FROM pages")(lambda s: s.pages.select("page_id", F.array_join(pages.emails(F.col("html")), ",").alias("emails")))
 PHONE_SQL = rf"(list_sort(list_distinct(list_transform(regexp_extract_all(html, '{K.PHONE_PATTERN}'), lambda x: regexp_replace(trim(x), '\s+', ' ', 'g')))))[1:6]"
 query("h14_phones", f"SELECT page_id, array_to_string({PHONE_SQL}, ',') AS phones FROM pages")(lambda s: s.pages.select("page_id", F.array_join(pages.phones(F.col("html")), ",").alias("phones")))
-NAMED = r"""list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(array_to_string(valid, ' '), '{p}', 1), lambda x: trim(x)), lambda x: x <> '')))"""
-query("h15_owners", f"""WITH {FACTS} SELECT page_id, array_to_string({NAMED.format(p='"@type":"Person","name":"([^"]*)"')}, '|') AS persons,
-  array_to_string({NAMED.format(p='(?:"@type":"Person",|[[,].)"name":"([^"]*)"')}, '|') AS founders FROM facts""", "sitepages")(
+OWNER_SQL = """COALESCE(array_to_string(list_sort(list(DISTINCT name) FILTER ({c})), '|'), '')"""
+query("h15_owners", f"""WITH {FACTS}, o AS (SELECT pid, trim(json_extract_string(value, '$.name')) AS name, COALESCE(regexp_matches(CAST(json_extract(value, '$."@type"') AS VARCHAR), '"Person"'), false) AS person,
+    COALESCE(key IN ('founder', 'owner', 'employee') OR regexp_matches(path, '[.](founder|owner|employee)$') AND regexp_matches(key, '^[0-9]+$'), false) AS held FROM ld WHERE type = 'OBJECT' AND json_extract_string(value, '$.name') <> '')
+  SELECT page_id, {OWNER_SQL.format(c='person')} AS persons, {OWNER_SQL.format(c='held')} AS founders FROM b LEFT JOIN o ON page_id = pid GROUP BY 1""", "sitepages")(
     lambda s: pages.owners(s.sitepages).select("page_id", F.array_join("persons", "|").alias("persons"), F.array_join("founders", "|").alias("founders"))
 )
-query("h16_owner_hints")(lambda s: pages.owner_hints(s.pages))
+# Every owner word with the lengths of what lies before it, then the snippets of a page in order, first of equal ones.
+HINT_SQL = rf"""x AS (SELECT page_id, {HOST.format(c='url')} AS host, trim(regexp_replace(regexp_replace(html, '{K.HIDDEN_PATTERN}', ' ', 'g'), '\s+', ' ', 'g')) AS txt FROM sitepages),
+  g AS (SELECT *, string_split_regex(txt, '(?i){K.OWNER_PATTERN}') AS gaps, regexp_extract_all(txt, '(?i){K.OWNER_PATTERN}', 0) AS words FROM x),
+  m AS (SELECT page_id, host, txt, unnest(range(1, len(words) + 1)) AS k, gaps, words FROM g),
+  a AS (SELECT page_id, host, k, txt, list_sum(list_transform(gaps[1:k], lambda w: length(w))) + COALESCE(list_sum(list_transform(words[1:k - 1], lambda w: length(w))), 0) AS place, length(words[k]) AS n FROM m),
+  z AS (SELECT page_id, host, trim(substring(txt, CAST(greatest(place - 70, 0) + 1 AS BIGINT), CAST(place + n + 90 - greatest(place - 70, 0) AS BIGINT))) AS hint, min(k) AS k FROM a GROUP BY ALL),
+  few AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY k) AS r FROM z QUALIFY r <= 5)"""
+query("h16_owner_hints", f"WITH {HINT_SQL} SELECT page_id, COALESCE(string_agg(hint, '|' ORDER BY r), '') AS hints FROM sitepages LEFT JOIN few USING (page_id) GROUP BY 1", "sitepages")(
+    lambda s: pages.owner_hints(s.sitepages).withColumn("hints", F.array_join("hints", "|"))
+)
+query("h16_lead_hints", f"WITH {HINT_SQL}, f AS (SELECT host, hint, min((page_id, r)) AS place FROM few GROUP BY 1, 2), l AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY place) AS q FROM f QUALIFY q <= 6) SELECT host, string_agg(hint, '|' ORDER BY q) AS hints FROM l GROUP BY 1", "sitepages")(
+    lambda s: pages.lead_hints(pages.owner_hints(s.sitepages).join(s.pages.select("page_id", C.host_of(F.col("url")).alias("host")), "page_id")).withColumn("hints", F.array_join("hints", "|"))
+)
 
 
 def _mailboxes(s):

@@ -1,16 +1,17 @@
 """Every registered market query against its SQL, and literal rows for what the tables do not hold."""
 
-import random
-import re
-
 import glob
+import json
 import math
 import os
+import random
+import re
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from localpulse import config as K
 from localpulse.functions import columns as C
 from localpulse.operators import budget, discovery, grid, names, pages, profiles, reviews
 from localpulse.operators.ordering import ranked
@@ -258,3 +259,59 @@ def test_profiles_of_literal_responses(spark):
     posts = spark.createDataFrame([("a", "2024/05/01 10:00:00"), ("a", "2024-05-03 09:00:00"), ("b", "junk"), ("b", None)], "place_id string, timestamp string")
     out = {r.place_id: r for r in profiles.extract_posts(posts, F.lit("2024-05-10 08:00:00").cast("timestamp")).collect()}
     assert (out["a"].post_count, out["a"].days_since_post) == (2, 6) and (out["b"].post_count, out["b"].last_post_ts, out["b"].days_since_post) == (2, None, None)
+
+
+def test_jsonld_of_any_depth(spark):
+    """Types, blocks and names equal those of a recursive walk over the parsed JSON."""
+    deep = '{"@type":"L0","k":' * 300 + '{"owner":[{"name":" Zoé\\/B ","@type":["Person",7,"\\u0041\\"q\\""]},{"name":""},"x",{"name":["no"]}]}' + "}" * 300
+    blocks = [
+        ['{"@type":"Caf\\u00e9\\/Bar","founder":{"name":"A \\"B\\" C"},"employee":[{"name":"D"},[{"name":"nested list"}]]}'],
+        ['[[{"@type":["X","Y"],"a":{"b":{"c":[{"d":{"@type":"Person","name":"E"}}]}}}]]', "{bad", "  ", '{"@type":"Z"} trailing', "3", "null", '{"@type":"1"},{"@type":"2"}'],
+        [deep],
+        ['{"@type":{"@type":"Inner"},"owner":{"name":null},"founder":"plain","text":"\\"@type\\":\\"Fake\\""}'],
+        [],
+    ]
+    page = lambda bs: "".join(f'<script type="application/ld+json">{b}</script>' for b in bs)
+    df = spark.createDataFrame([(i, page(b)) for i, b in enumerate(blocks)] + [(9, None)], "page_id bigint, html string")
+    strings = lambda v: [x for x in (v if isinstance(v, list) else [v]) if isinstance(x, str)]
+
+    def walk(v, types, persons, founders):
+        if isinstance(v, dict):
+            types |= set(strings(v.get("@type")))
+            if "Person" in strings(v.get("@type")) and isinstance(v.get("name"), str):
+                persons.add(v["name"].strip())
+            for k in ("founder", "owner", "employee"):
+                held = v.get(k)
+                founders |= {x["name"].strip() for x in (held if isinstance(held, list) else [held]) if isinstance(x, dict) and isinstance(x.get("name"), str) and x["name"]}
+        for x in v.values() if isinstance(v, dict) else v if isinstance(v, list) else []:
+            walk(x, types, persons, founders)
+
+    facts = {r.page_id: r for r in pages.jsonld(df).collect()}
+    names_of = {r.page_id: r for r in pages.owners(df).collect()}
+    for i, bs in enumerate(blocks):
+        sets, valid = (set(), set(), set()), 0
+        for b in bs:
+            try:
+                walk(json.loads(b), *sets)
+                valid += 1
+            except ValueError:
+                continue
+        assert (facts[i].types, names_of[i].persons, names_of[i].founders) == tuple(sorted(x) for x in sets)
+        assert (facts[i].n_valid, facts[i].n_blocks) == (valid, sum(bool(b.strip()) for b in bs))
+    assert (facts[9].types, facts[9].n_valid, names_of[9].persons) == ([], 0, [])
+    assert not any("Python" in line or "Pandas" in line for line in pages.owners(df)._jdf.queryExecution().executedPlan().toString().splitlines())
+
+
+def test_owner_snippets_overlap_and_merge(spark):
+    words = "lorem " * 20
+    texts = ["Owner and FOUNDER " + words + "x family-owned y " + words + "owner owner", "<script>owner</script>no<!-- owner -->thing", "owner", "é president ü " * 9, None, "owner"]
+    df = spark.createDataFrame([(i, f"<p>{t}</p>" if t is not None else None, "h" if i != 1 else "n") for i, t in enumerate(texts)], "page_id bigint, html string, host string")
+    want = {}
+    for i, t in enumerate(texts):
+        t = " ".join(re.sub(r"(?s)<script>.*?</script>|<!--.*?-->", " ", t or "").split())
+        found = (t[max(0, m.start() - 70) : m.end() + 90].strip() for m in re.finditer(K.OWNER_PATTERN, t, re.IGNORECASE))
+        want[i] = list(dict.fromkeys(found))[:5]
+    got = pages.owner_hints(df)
+    assert {r.page_id: r.hints for r in got.collect()} == want and len(want[0]) == 5 and len(want[3]) == 5
+    leads = {r.host: r.hints for r in pages.lead_hints(got.join(df.select("page_id", "host"), "page_id")).collect()}
+    assert leads == {"h": list(dict.fromkeys(x for i in sorted(want) if i != 1 for x in want[i]))[:6]} and len(leads["h"]) == 6
