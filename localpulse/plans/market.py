@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from localpulse.functions import columns as C
 from localpulse.operators import benchmark, budget, discovery, grid, lenses, profiles, reviews, store
 from localpulse.plans.registry import query
+from localpulse.sources.keyed import KeyedTable
+from localpulse.sources.scratch import new_path
 
 VIS = "CASE WHEN rank IS NOT NULL AND rank <= 20 THEN (21 - rank) / CAST(20 AS DOUBLE) ELSE 0 END"
 SOLV = f"100 * SUM({VIS}) / COUNT(*) AS solv, AVG(rank) AS avg_rank, COUNT(*) FILTER (rank <= 3) / CAST(COUNT(*) AS DOUBLE) AS top3_share, COUNT(rank) / CAST(COUNT(*) AS DOUBLE) AS found_share"
@@ -165,8 +167,15 @@ query("j7_pending_pins", 'SELECT place_id, "row", col, keyword FROM cur_points E
 MERGED = "s AS (SELECT place_id, {pick}(name, seq) AS name, {pick}(website, seq) AS website, {pick}(review_count, seq) AS review_count, arg_min(state_code, seq) AS state_code, list_sort(list_distinct(list(via))) AS via, COUNT(*) AS n FROM sightings GROUP BY 1)"
 
 
+MERGED_FIELDS = ["state_code", "trade_bucket", "relevance", "name", "website", "review_count", "found_via", "first_seen", "last_refreshed"]
+
+
+def _held(s):
+    return s.businesses.where("CAST(place_id AS BIGINT) % 2 = 0").withColumns({"found_via": F.array("trade_bucket"), "first_seen": F.lit("2025-01-01").cast("timestamp"), "last_refreshed": F.lit("2025-01-01").cast("timestamp")})
+
+
 def _merged(s, refresh: bool):
-    old = s.businesses.where("CAST(place_id AS BIGINT) % 2 = 0").withColumns({"found_via": F.array("trade_bucket"), "first_seen": F.lit("2025-01-01").cast("timestamp"), "last_refreshed": F.lit("2025-01-01").cast("timestamp")})
+    old = _held(s)
     new = s.sightings.withColumn("found_via", F.array("via"))
     return store.merge_businesses(old, new, F.lit("2026-01-01").cast("timestamp"), refresh)
 
@@ -182,14 +191,51 @@ def _merge_sql(refresh: bool) -> str:
 for _name, _refresh in (("u1_a24_merge", False), ("u1_merge_refresh", True)):
     query(_name, _merge_sql(_refresh), "businesses", "sightings")(lambda s, r=_refresh: _merged(s, r).select("place_id", "state_code", "name", "review_count", F.array_join("found_via", "|").alias("via"), "action"))
 query("a23_merge_counters", "WITH o AS (SELECT place_id FROM businesses WHERE CAST(place_id AS BIGINT) % 2 = 0), n AS (SELECT COUNT(DISTINCT place_id) AS i FROM sightings WHERE place_id NOT IN (SELECT place_id FROM o)) SELECT i AS inserted, (SELECT COUNT(*) FROM sightings) - i AS updated FROM n", "businesses", "sightings")(lambda s: store.merge_counters(_merged(s, False)))
-query("u2_u3_replace_by_key", "SELECT place_id, site_status FROM enrichment WHERE place_id NOT IN (SELECT place_id FROM contacts) UNION ALL SELECT place_id, 'live' FROM contacts", "enrichment", "contacts")(lambda s: store.replace_by_key(s.enrichment.select("place_id", "site_status"), s.contacts.select("place_id", F.lit("live").alias("site_status")), ["place_id"]))
+REPLACE_SQL = "SELECT place_id, site_status FROM enrichment WHERE place_id NOT IN (SELECT place_id FROM contacts) UNION ALL SELECT place_id, 'live' FROM contacts"
+query("u2_u3_replace_by_key", REPLACE_SQL, "enrichment", "contacts")(lambda s: store.replace_by_key(s.enrichment.select("place_id", "site_status"), s.contacts.select("place_id", F.lit("live").alias("site_status")), ["place_id"]))
+PINS_SQL = 'SELECT COALESCE(o.place_id, n.place_id) AS place_id, COALESCE(o."row", n."row") AS "row", COALESCE(o.col, n.col) AS col, COALESCE(o.keyword, n.keyword) AS keyword, COALESCE(o.scan_id, n.scan_id) AS scan_id, CASE WHEN n.place_id IS NOT NULL THEN n.rank ELSE o.rank END AS rank FROM (SELECT 1 AS scan_id, * FROM base_points) o FULL JOIN (SELECT 2 AS scan_id, * FROM cur_points) n ON o.place_id = n.place_id AND o."row" = n."row" AND o.col = n.col AND o.keyword = n.keyword'
 query(
     "u4_upsert_pins",
-    'SELECT COALESCE(o.place_id, n.place_id) AS place_id, COALESCE(o."row", n."row") AS "row", COALESCE(o.col, n.col) AS col, COALESCE(o.keyword, n.keyword) AS keyword, COALESCE(o.scan_id, n.scan_id) AS scan_id, CASE WHEN n.place_id IS NOT NULL THEN n.rank ELSE o.rank END AS rank FROM (SELECT 1 AS scan_id, * FROM base_points) o FULL JOIN (SELECT 2 AS scan_id, * FROM cur_points) n ON o.place_id = n.place_id AND o."row" = n."row" AND o.col = n.col AND o.keyword = n.keyword',
+    PINS_SQL,
     "base_points",
     "cur_points",
 )(lambda s: store.upsert_pins(s.base_points.withColumn("scan_id", F.lit(1)), s.cur_points.withColumn("scan_id", F.lit(2))))
 
+# The same merges into stored tables in buckets: the first apply puts the old rows in, the second merges.
+
+
+def _stored(tag: str, old, new, keys: list[str], merge):
+    table = KeyedTable(old.sparkSession, new_path(old.sparkSession, tag), old.schema, keys)
+    table.apply(old, lambda held, rows: rows)
+    table.apply(new, merge)
+    return table.read()
+
+
+@query("u1_keyed_merge", f"SELECT place_id, state_code, name, review_count, via FROM ({_merge_sql(True)})", "businesses", "sightings")
+def keyed_merge(s):
+    old = _held(s).select("place_id", *MERGED_FIELDS)
+    stored = _stored("businesses", old, s.sightings.withColumn("found_via", F.array("via")), ["place_id"], lambda o, n: store.merge_businesses(o, n, F.lit("2026-01-01").cast("timestamp"), True))
+    return stored.select("place_id", "state_code", "name", "review_count", F.array_join("found_via", "|").alias("via"))
+
+
+@query("u2_keyed_replace", REPLACE_SQL, "enrichment", "contacts")
+def keyed_replace(s):
+    return _stored("enrichment", s.enrichment.select("place_id", "site_status"), s.contacts.select("place_id", F.lit("live").alias("site_status")), ["place_id"], lambda o, n: store.replace_by_key(o, n, ["place_id"]))
+
+
+@query("u3_keyed_ledger", "SELECT o_orderkey AS run_id, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey ELSE 0 END AS requests FROM orders")
+def keyed_ledger(s):
+    runs = s.orders.select(F.col("o_orderkey").cast("bigint").alias("run_id"), F.lit("all").alias("region"), F.lit(5.0).alias("budget"), F.lit("live").alias("mode"), F.lit("2026-01-01").cast("timestamp").alias("started_ts"), F.lit(None).cast("timestamp").alias("ended_ts"), F.lit(0).cast("bigint").alias("requests"), F.lit(0.0).alias("cost"))
+    done = s.orders.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("run_id"), F.lit("2026-01-02").cast("timestamp").alias("ended_ts"), F.col("o_custkey").cast("bigint").alias("requests"), F.col("o_totalprice").alias("cost"))
+    return _stored("ledger", runs, done, ["run_id"], store.finish_run).select("run_id", "requests")
+
+
+@query("u4_keyed_pins", PINS_SQL, "base_points", "cur_points")
+def keyed_pins(s):
+    old = s.base_points.withColumn("scan_id", F.lit(1)).select(*grid.PIN, "scan_id", "rank")
+    return _stored("pins", old, s.cur_points.withColumn("scan_id", F.lit(2)), grid.PIN, store.upsert_pins)
+
+
 # --- lenses -----------------------------------------------------------------
 
 LEAD = "lead AS (SELECT b.*, e.site_status, e.readiness_score, e.google_ads, e.mgmt_status, c.phone FROM businesses b LEFT JOIN enrichment e USING (place_id) LEFT JOIN contacts c USING (place_id))"

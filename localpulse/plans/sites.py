@@ -514,26 +514,26 @@ def snapshot_stream(s):
 
 @query("t1_listing_stream", "SELECT place_id, arg_min(name, seq) AS name FROM sightings GROUP BY 1", "sightings")
 def listing_stream(s):
-    from localpulse.streaming.jobs import SnapshotTable, ingest_listings
+    from localpulse.streaming.jobs import business_table, ingest_listings
 
-    source, target = new_path(s.spark, "sighting-files"), new_path(s.spark, "business-table")
+    source = new_path(s.spark, "sighting-files")
     rows = s.sightings.withColumn("found_via", F.array("via")).drop("via")
     rows.write.parquet(source)
-    empty = s.spark.createDataFrame([], "place_id string, state_code string, trade_bucket string, relevance string, name string, website string, review_count bigint, found_via array<string>, first_seen timestamp, last_refreshed timestamp")
-    table = SnapshotTable(s.spark, target, empty)
+    table = business_table(s.spark, new_path(s.spark, "business-table"))
     ingest_listings(s.spark.readStream.schema(rows.schema).parquet(source), table, new_path(s.spark, "listing-checkpoint")).awaitTermination()
     return table.read().select("place_id", "name")
 
 
 @query("t3_live_grid", "SELECT place_id, scan_id, COUNT(rank) / CAST(COUNT(*) AS DOUBLE) AS found_share FROM points GROUP BY 1, 2", "points")
 def live(s):
-    from localpulse.streaming.jobs import latest_grid, live_grid
+    from localpulse.streaming.jobs import grid_table, live_grid
 
     source = new_path(s.spark, "pin-files")
-    s.points.write.parquet(source)
-    sink = new_path(s.spark, "grid")
-    live_grid(s.spark.readStream.schema(s.points.schema).parquet(source), sink, new_path(s.spark, "grid-checkpoint")).awaitTermination()
-    return latest_grid(s.spark, sink).select("place_id", "scan_id", "found_share")
+    pins = s.points.withColumn("scan_ts", F.make_date("scan_id", F.lit(1), F.lit(1)).cast("timestamp"))
+    pins.write.parquet(source)
+    table = grid_table(s.spark, new_path(s.spark, "grid"))
+    live_grid(s.spark.readStream.schema(pins.schema).parquet(source), table, new_path(s.spark, "grid-checkpoint")).awaitTermination()
+    return table.read().select("place_id", "scan_id", "found_share")
 
 
 @query("t4_stale_places", "SELECT place_id FROM audits GROUP BY 1 HAVING max(audited_ts) < (SELECT max(audited_ts) - INTERVAL 12 HOUR FROM audits)", "audits")

@@ -8,101 +8,85 @@ from pyspark.sql.streaming import StreamingQuery
 
 from localpulse.operators.grid import solv
 from localpulse.operators.profiles import with_neglect
-from localpulse.operators.store import merge_businesses
+from localpulse.operators.store import merge_businesses, replace_by_key
+from localpulse.sources.keyed import KeyedTable, Merge
 
+BUSINESS = "place_id string, state_code string, trade_bucket string, relevance string, name string, website string, review_count bigint, found_via array<string>, first_seen timestamp, last_refreshed timestamp"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = {
+    _PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
-class SnapshotTable:
-    """A table as a series of folders ``v=<batch>``; a batch that is run again writes the same folder.
 
-    Keyed tables hold in each folder the rows that the batch changed, and in every
-    ``whole``-th folder all rows, so that a batch writes in proportion to its own size.
-    """
+def _on_disk(spark: SparkSession, start) -> StreamingQuery:
+    """Start a query with its state on disk, of which a batch uploads only its changes; the session's settings stay."""
+    before = {k: spark.conf.get(k, None) for k in _ROCKS}
+    try:
+        for k, v in _ROCKS.items():
+            spark.conf.set(k, v)
+        return start()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
-    def __init__(self, spark: SparkSession, path: str, empty: DataFrame, key: str = "place_id", whole: int = 32) -> None:
-        self.spark, self.path, self.empty, self.key, self.whole = spark, path, empty, key, whole
-
-    def _fs(self):
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
-
-    def versions(self) -> list[int]:
-        fs, where = self._fs()
-        if not fs.exists(where):
-            return []
-        done = lambda s: fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
-        return sorted(int(s.getPath().getName()[2:]) for s in fs.listStatus(where) if s.getPath().getName().startswith("v=") and done(s))
-
-    def read(self, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
-        """The newest row of each key; with ``only``, of the keys that it holds."""
-        found = [v for v in self.versions() if before is None or v < before]
-        if not found:
-            return self.empty
-        since = max((v for v in found if v % self.whole == 0), default=0)
-        rows = self.spark.read.option("basePath", self.path).parquet(*(f"{self.path}/v={v}" for v in found if v >= since))
-        if only is not None:
-            rows = rows.join(only.select(self.key).distinct(), self.key, "left_semi")
-        rest = F.struct(*(c for c in rows.columns if c not in (self.key, "v")))
-        return rows.groupBy(self.key).agg(F.max_by(rest, "v").alias("_r")).select(self.key, "_r.*")
-
-    def forget(self, before: int) -> None:
-        """Delete the folders of batches before one."""
-        fs, _ = self._fs()
-        for v in self.versions():
-            if v < before:
-                fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={v}"), True)
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-
-
-def ingest_listings(sightings: DataFrame, table: SnapshotTable, checkpoint: str, refresh: bool = False) -> StreamingQuery:
-    """Merge arriving sightings into the business table, stamped with the time of the batch; the checkpoint and the batch number make it exactly-once.
-
-    Only the places of the batch are looked up and written; the folders before the last
-    but one whole folder are deleted.
-    """
 
-    def merge(batch: DataFrame, number: int) -> None:
-        whole = number % table.whole == 0
-        old = table.read(before=number, only=None if whole else batch)
-        merged = merge_businesses(old, batch, F.current_timestamp(), refresh)
-        table.write(merged.drop("action", "sightings"), number)
-        if whole:
-            table.forget(number - table.whole)
+def _into(table: KeyedTable, merge: Merge, checkpoint: str):
+    """A ``foreachBatch`` function that merges each batch once."""
 
-    return sightings.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def put(batch: DataFrame, number: int) -> None:
+        kept = batch.persist()
+        try:
+            table.apply(kept, merge, f"{checkpoint}#{number}")
+        finally:
+            kept.unpersist()
 
+    return put
 
-def ingest_snapshots(audits: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Score arriving audits and append one row per place and time, however late; each batch is a folder ``v=<batch>`` of the table at ``path``."""
-    key = ["place_id", "audited_ts"]
-    spark = audits.sparkSession
 
-    def append(batch: DataFrame, number: int) -> None:
-        table = SnapshotTable(spark, path, batch)
-        new = batch.dropDuplicates(key)
-        held = [f"{path}/v={v}" for v in table.versions() if v < number]
-        if held:
-            old = spark.read.parquet(*held).select(*(F.col(k).alias(f"_{k}") for k in key))
-            new = new.join(old, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key], "left_anti")
-        table.write(with_neglect(new).withColumn("signals", F.map_keys("signals")), number)
+def business_table(spark: SparkSession, path: str, buckets: int = 64) -> KeyedTable:
+    return KeyedTable(spark, path, BUSINESS, ["place_id"], buckets)
 
-    return audits.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
+def grid_table(spark: SparkSession, path: str, scan_type: str = "int", buckets: int = 64) -> KeyedTable:
+    return KeyedTable(spark, path, f"place_id string, scan_id {scan_type}, scan_ts timestamp, solv double, avg_rank double, top3_share double, found_share double", ["place_id", "scan_id"], buckets)
 
-def live_grid(points: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Share of local voice per scan as its pins arrive: each batch writes the scans that it changed as a folder ``v=<batch>`` of the table at ``path``; ``latest_grid`` reads the newest row of each scan."""
-    spark = points.sparkSession
 
-    def put(batch: DataFrame, number: int) -> None:
-        SnapshotTable(spark, path, batch).write(batch, number)
+def ingest_listings(sightings: DataFrame, table: KeyedTable, checkpoint: str, refresh: bool = False) -> StreamingQuery:
+    """Merge arriving sightings into the business table, stamped with the time of the batch.
 
-    return solv(points, ["place_id", "scan_id"]).writeStream.foreachBatch(put).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    Only the buckets of the batch's places are read and rewritten; the checkpoint and the
+    table's token make it exactly-once.
+    """
+    merge = lambda old, new: merge_businesses(old, new, F.current_timestamp(), refresh)
+    return sightings.writeStream.foreachBatch(_into(table, merge, checkpoint)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def latest_grid(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(path)
-    return rows.groupBy("place_id", "scan_id").agg(F.max_by(F.struct(*(c for c in rows.columns if c not in ("place_id", "scan_id", "v"))), "v").alias("_r")).select("place_id", "scan_id", "_r.*")
+def ingest_snapshots(audits: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Score arriving audits and append one row per place and time to the Parquet table at ``path``, however late.
+
+    The places and times seen are keyed state on disk, so a batch looks up its own rows and
+    never reads the table again; the state has one small key for each row of the table. A
+    null place or time counts as a value. The file sink's log makes it exactly-once: read
+    the folder with Spark.
+    """
+    once = audits.dropDuplicates(["place_id", "audited_ts"])
+    scored = with_neglect(once).withColumn("signals", F.map_keys("signals"))
+    return _on_disk(audits.sparkSession, lambda: scored.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def live_grid(points: DataFrame, table: KeyedTable, checkpoint: str, delay: str = "7 days") -> StreamingQuery:
+    """Share of local voice per scan as its pins arrive, one row a scan in ``table``.
+
+    ``points`` carry their scan's start as ``scan_ts``. A scan's sums are kept until a scan
+    that started more than ``delay`` later has been seen in an earlier batch; then the scan
+    is closed, and pins that still arrive for it are left out of its live row and counted
+    by the query's progress (``numRowsDroppedByWatermark``); ``solv`` over the stored pins has
+    them. Pins without ``scan_ts`` never close.
+    """
+    merge = lambda old, new: replace_by_key(old, new, ["place_id", "scan_id"])
+    rows = solv(points.withWatermark("scan_ts", delay), ["place_id", "scan_id", "scan_ts"])
+    return _on_disk(points.sparkSession, lambda: rows.writeStream.foreachBatch(_into(table, merge, checkpoint)).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def stale_places(audits: DataFrame, since) -> DataFrame:
