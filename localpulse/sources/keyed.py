@@ -92,7 +92,7 @@ class KeyedTable:
         only = self.touched(batch)
         if only:
             new = merge(self.read(only), batch).select(*self.schema.names).withColumn("bucket", self._bucket())
-            new.repartition(len(only), "bucket").write.mode("overwrite").parquet(f"{self.path}/stage")
+            new.hint("rebalance", F.col("bucket")).write.mode("overwrite").parquet(f"{self.path}/stage")
             self._note(held.seq + 1, token, "staged")
             self.recover()
         return only
