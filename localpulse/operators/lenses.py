@@ -60,11 +60,12 @@ def state_totals(leads: DataFrame) -> DataFrame:
     return leads.groupBy("state_code").agg(F.count("*").alias("leads"), F.count_if(F.col("no_website") == 1).alias("no_site")).orderBy(F.desc("leads"), "state_code")
 
 
-def shortlist(biz: DataFrame, enrichment: DataFrame, measured: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Leads with a live, scored site that are not yet measured; explicit keys override that filter. Rank them by ``shortlist_order``."""
+def shortlist(biz: DataFrame, enrichment: DataFrame, measured: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Leads with a live, scored site that are not yet measured; explicit ``keys`` (``place_id``) take that filter's place. Rank them by ``shortlist_order``."""
     joined = biz.join(enrichment, "place_id", "left").join(measured.select("place_id"), "place_id", "left_anti")
-    good = (F.coalesce("website", F.lit("")) != "") & (F.col("no_website") == 0) & F.col("readiness_score").isNotNull()
-    return joined.where(F.col("place_id").isin(*keys) if keys else good)
+    if keys is not None:
+        return joined.join(keys.select("place_id"), "place_id", "left_semi")
+    return joined.where((F.coalesce("website", F.lit("")) != "") & (F.col("no_website") == 0) & F.col("readiness_score").isNotNull())
 
 
 def to_record(leads: DataFrame) -> DataFrame:

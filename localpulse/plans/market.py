@@ -278,6 +278,9 @@ query(
 query("a18_tier_counts", f"WITH {LEAD}, {BUDGET} SELECT budget_tier, COUNT(*) AS n FROM bud GROUP BY 1", *LENS)(lambda s: _budget(s).groupBy("budget_tier").agg(F.count("*").alias("n")))
 query("a16_state_totals", "SELECT state_code, COUNT(*) AS leads, COUNT(*) FILTER (no_website = 1) AS no_site FROM businesses GROUP BY 1", "businesses")(lambda s: lenses.state_totals(s.businesses))
 query("j5_shortlist", f"SELECT place_id, ROW_NUMBER() OVER (PARTITION BY state_code ORDER BY readiness_score DESC, review_count DESC, place_id) AS place FROM businesses LEFT JOIN enrichment USING (place_id) WHERE website IS NOT NULL AND no_website = 0 AND readiness_score IS NOT NULL AND place_id NOT IN (SELECT place_id FROM contacts)", *LENS)(lambda s: discovery.rank_within(lenses.shortlist(s.businesses, s.enrichment, s.contacts), "state_code", lenses.shortlist_order()).select("place_id", "place"))
+query("j5_shortlist_keys", "SELECT place_id, readiness_score FROM businesses LEFT JOIN enrichment USING (place_id) WHERE place_id NOT IN (SELECT place_id FROM contacts) AND place_id IN (SELECT place_id FROM sightings)", "businesses", "enrichment", "contacts", "sightings")(
+    lambda s: lenses.shortlist(s.businesses, s.enrichment, s.contacts, s.sightings).select("place_id", "readiness_score")
+)
 query("s7_area_label", "SELECT string_agg(DISTINCT state_name, ', ' ORDER BY state_name) AS label FROM businesses", "businesses")(lambda s: __import__("localpulse.sources.tables", fromlist=["area_label"]).area_label(s.businesses))
 
 query(
