@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import pi
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from localpulse import config as K
 from localpulse.functions import columns as C
 from localpulse.operators.ordering import ranked
+from localpulse.operators.pairs import tiled_join
 from localpulse.sources.scratch import materialize
 
 
@@ -40,24 +42,66 @@ def plan_cells(places: DataFrame) -> DataFrame:
     return places.withColumns({"radius_m": C.radius_for(p), "expected_cells": C.expected_subdivision(p), "high_cells": C.high_subdivision(p)}).orderBy(F.desc("population"), "cell_id")
 
 
-def cover_edges(cells: DataFrame) -> DataFrame:
-    """``small, large``: the large cell comes first in density order and reaches the small one's centre.
+def _reached(small: DataFrame, large: DataFrame) -> DataFrame:
+    """``small, large``: a large cell comes before a small one in density order and reaches its centre.
 
-    An equi-join on half-degree buckets, the larger side exploded into the nine neighbours.
+    An equi-join on half-degree buckets, the larger side exploded into the nine neighbours. Crowded buckets are cut into tiles.
     """
     y, x = C.geo_bucket(F.col("lat"), F.col("lng"))
-    keyed = cells.select("cell_id", "lat", "lng", "radius_m", "population", y.alias("by"), x.alias("bx"))
+    keyed = lambda cells: cells.select("cell_id", "lat", "lng", "radius_m", "population", y.alias("by"), x.alias("bx"))
     near = F.array(*(F.struct(F.lit(i).alias("dy"), F.lit(j).alias("dx")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    a = keyed.alias("a")
-    b = keyed.withColumn("d", F.explode(near)).withColumns({"by": F.col("by") + F.col("d.dy"), "bx": F.col("bx") + F.col("d.dx")}).alias("b")
+    around = keyed(large).withColumn("d", F.explode(near)).withColumns({"by": F.col("by") + F.col("d.dy"), "bx": F.col("bx") + F.col("d.dx")}).drop("d")
     ahead = (F.col("b.population") > F.col("a.population")) | ((F.col("b.population") == F.col("a.population")) & (F.col("b.cell_id") < F.col("a.cell_id")))
-    reach = C.haversine_m(F.col("a.lat"), F.col("a.lng"), F.col("b.lat"), F.col("b.lng")) <= F.greatest("a.radius_m", "b.radius_m")
-    return a.join(b, (F.col("a.by") == F.col("b.by")) & (F.col("a.bx") == F.col("b.bx")) & ahead & reach).select(F.col("a.cell_id").alias("small"), F.col("b.cell_id").alias("large"))
+    reach = F.greatest("a.radius_m", "b.radius_m")
+    # A distance is never under that of the latitudes, which is tested first because it costs little; a metre is left for rounding.
+    level = F.abs(F.col("a.lat") - F.col("b.lat")) * (K.EARTH_METRES * pi / 180) <= reach + 1
+    close = C.haversine_m(F.col("a.lat"), F.col("a.lng"), F.col("b.lat"), F.col("b.lng")) <= reach
+    return tiled_join(keyed(small), around, ["by", "bx"], ahead & level & close).select(F.col("a.cell_id").alias("small"), F.col("b.cell_id").alias("large"))
+
+
+def cover_edges(cells: DataFrame) -> DataFrame:
+    """``small, large``: the large cell comes first in density order and reaches the small one's centre."""
+    return _reached(cells, cells)
 
 
-def prune_overlapping(cells: DataFrame, tile: float = 16.0) -> DataFrame:
+def prune_overlapping(cells: DataFrame, tile: float = 16.0, first: int = 2048) -> DataFrame:
     """Keep a cell unless a kept cell ahead of it covers it: the greedy result.
 
+    Cells are taken in batches by density order, the ``first`` densest to begin with, then about twice
+    as many each time; all later cells that a batch's kept ones cover are dropped at once. Covers are
+    looked up within a batch and between its kept cells and the rest only, never between all cells.
+    A batch crowded into few buckets is halved, down to ``first`` cells, so that its covers stay within
+    about ``first`` squared times nine.
+    """
+    columns = ("cell_id", "lat", "lng", "radius_m", "population")
+    rest = ranked(cells.select(*columns), [F.desc("population"), F.asc("cell_id")])
+    rest = materialize(rest, "open-cells")
+    kept, size = [cells.select("cell_id").limit(0)], first
+    while True:
+        n, low = rest.agg(F.count("*"), F.min("place")).first()
+        if n == 0:
+            break
+        size = max(size, low - 1)
+        while size > first and _crowd(rest.where(F.col("place") < low + size)) > first * first:
+            size = max(first, size // 2)
+        batch = rest.where(F.col("place") < low + size)
+        chosen = materialize(batch.join(_greedy(batch, tile), "cell_id", "left_semi"), "kept")
+        kept.append(chosen.select("cell_id"))
+        later = rest.where(F.col("place") >= low + size)
+        rest = materialize(later.join(_reached(later, chosen).select(F.col("small").alias("cell_id")).distinct(), "cell_id", "left_anti"), "open-cells")
+        size *= 2
+    return cells.join(reduce(DataFrame.unionByName, kept), "cell_id", "left_semi")
+
+
+def _crowd(cells: DataFrame) -> float:
+    """Pairs of cells in one bucket, summed over the buckets."""
+    y, x = C.geo_bucket(F.col("lat"), F.col("lng"))
+    return cells.groupBy(y, x).agg(F.count("*").cast("double").alias("n")).agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0.0
+
+
+def _greedy(cells: DataFrame, tile: float) -> DataFrame:
+    """``cell_id`` of the cells that the greedy pruning keeps, by the covers among them.
+
     Cells are tiled by ``tile`` degrees. In a round every tile decides, in order of density,
     what follows from the cells decided before and from its own: a chain of covers takes a
     round for each tile border that it crosses, not one for each cell. Between rounds only
@@ -96,7 +140,7 @@ def prune_overlapping(cells: DataFrame, tile: float = 16.0) -> DataFrame:
         turn += 1
         if open_.isEmpty():
             break
-    return cells.join(reduce(DataFrame.unionByName, decided), "cell_id", "left_semi")
+    return reduce(DataFrame.unionByName, decided)
 
 
 def subdivide(cells: DataFrame, n: int = 4) -> DataFrame:

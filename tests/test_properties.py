@@ -1,13 +1,15 @@
 """Properties: merges are idempotent, pruning is greedy, prefixes never overspend, streams equal batches."""
 
 import datetime
+import glob
 import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from localpulse.operators import budget, discovery, grid, store
+from localpulse.operators import budget, discovery, grid, pairs, store
+from localpulse.plans.all import QUERIES
 from localpulse.sources.scratch import new_path
 from localpulse.streaming.jobs import business_table, ingest_listings, ingest_snapshots
 
@@ -69,6 +71,49 @@ def test_pruning_is_greedy(spark):
     assert sorted(r.cell_id for r in discovery.prune_overlapping(cells).collect()) == sorted(k[0] for k in kept)
 
 
+def test_pruning_in_batches_is_greedy(spark):
+    """Batches of 8, 16, ... cells, some of them crowded; unknown places and populations cover nothing."""
+    rng = random.Random(8)
+    rows = [(f"c{i:03d}", 35 + rng.random() * 1.2, -90 + rng.random() * 1.2, rng.randrange(1_000, 900_000) // 50_000 * 50_000) for i in range(200)]
+    rows += [(f"d{i:03d}", 35.2, -89.9, 300_000) for i in range(60)] + [("n1", None, -89.9, 300_000), ("n2", 35.2, -89.9, None)]
+    cells = discovery.plan_cells(spark.createDataFrame(rows, "cell_id string, lat double, lng double, population bigint"))
+    edges = {}
+    for r in discovery.cover_edges(cells).collect():
+        edges.setdefault(r.small, set()).add(r.large)
+    kept = set()
+    for row in sorted(rows, key=lambda r: (-(r[3] or 0), r[0])):
+        if not edges.get(row[0], set()) & kept:
+            kept.add(row[0])
+    assert {r.cell_id for r in discovery.prune_overlapping(cells, first=8).collect()} == kept >= {"n1", "n2"}
+
+
+def test_pruning_a_crowded_spot_stores_few_covers(spark):
+    """1,500 cells at one spot have 1,124,250 covers; only those within a batch are looked up."""
+    cells = spark.range(1500).select(F.format_string("c%05d", "id").alias("cell_id"), F.lit(30.0).alias("lat"), F.lit(-100.0).alias("lng"), F.col("id").alias("population"), F.lit(8000).alias("radius_m"))
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://") + "/market/covers-*"
+    before = set(glob.glob(folder))
+    assert [r.cell_id for r in discovery.prune_overlapping(cells, first=64).collect()] == ["c01499"]
+    stored = set(glob.glob(folder)) - before
+    assert stored and sum(spark.read.parquet(path).count() for path in stored) <= 9 * 64 * 64
+
+
+@pytest.mark.parametrize("crowd", ["cover_edges", "c13"])
+def test_pairs_of_a_crowd_span_many_tasks(spark, monkeypatch, tmp_path, crowd):
+    monkeypatch.setattr(pairs, "SIDE", 20)
+    monkeypatch.setattr(pairs, "PER_TASK", 4000)
+    n = 300
+    if crowd == "cover_edges":
+        cells = spark.range(n).select(F.format_string("c%05d", "id").alias("cell_id"), (F.lit(30.0) + F.col("id") * 1e-6).alias("lat"), (F.lit(-100.0) + F.col("id") * 1e-6).alias("lng"), F.col("id").alias("population"), F.lit(8000).alias("radius_m"))
+        found = discovery.cover_edges(cells)
+    else:
+        for name in ("nation", "region"):
+            spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+        spark.range(n).selectExpr("id AS s_suppkey", "'s' AS s_name", "3 AS s_nationkey", "CAST(id AS DOUBLE) AS s_acctbal").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+        found = QUERIES["c13_haversine"](spark, str(tmp_path))
+    tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == n * (n - 1) // 2 and max(tasks) <= sum(tasks) / 4
+
+
 def test_guarded_prefix_never_overspends(spark):
     rng = random.Random(9)
     rows = [(i, rng.randrange(1, 9), rng.randrange(0, 15), rng.random() < 0.2) for i in range(200)]
