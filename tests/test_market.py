@@ -150,6 +150,32 @@ def test_pruning_follows_long_chains_in_few_rounds(spark):
     assert discovery.prune_overlapping(cells.limit(0)).count() == 0
 
 
+def test_pages_are_searched_once(spark):
+    """Plans name a search of the page once for each kind, not once for every use of what it finds."""
+    plan = lambda name: QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    for name, links, lowered in (("h9_agency_credit", 1, 0), ("h10_management", 2, 3)):
+        text = plan(name)
+        assert text.count("regexp_extract_all(coalesce(html#") == links and text.count("lower(coalesce(html#") <= lowered
+
+
+def test_credit_is_the_first_match_of_the_whole_pattern(spark):
+    rng = random.Random(4)
+    bits = ["Designed by ", "site by", " by ", "<br>", "<", ">", "\n", "é" * 45, "x" * 60, "</a>", "<a ", "<A HREF='//b.io/x'>", '<a href="https://www.c.org">', "Label", "L", "<abbr>", "wix.com", "&amp; "]
+    links = ['Powered by <a href="https://d.net">Dee</a>', "by <a href='e.com'>Ee</a>", 'website <b>by <a href="https://f.com"></a>']
+    rows = [(i, "".join(rng.choice(bits + links) for _ in range(rng.randrange(14)))) for i in range(600)]
+    want = {}
+    for i, html in rows:
+        for ahead, tag, label in re.findall(r"(?i)([^<>]{0,80})<a\b([^>]*)>([^<]{2,60})</a>", html):
+            said = re.findall("[a-z]+", ahead.lower())
+            href = re.search(r"(?i)\bhref\s*=\s*[\"']([^\"']+)", tag)
+            domain = re.sub(r"^www[.]", "", re.sub("^(https?:)?//", "", href[1]).split("/")[0]) if href else ""
+            if said[-1:] == ["by"] and set(said[-4:-1]) & set(K.CREDIT_WORDS) and domain not in ("", "own.com"):
+                want[i] = (domain, label.strip(" "), bool(set(said[-4:-1]) & set(K.STRONG_CREDIT)))
+                break
+    found = spark.createDataFrame(rows, "id int, html string").select("id", pages.agency_credit(F.col("html"), F.lit("own.com")).alias("c")).where("c IS NOT NULL")
+    assert {r.id: tuple(r.c) for r in found.collect()} == want and len(want) > 50
+
+
 def test_credits_by_the_words_before_a_link(spark):
     page = '<footer>{}<a href="https://www.agency.com/x">Agency One</a></footer>'
     said = {"Website design &amp; SEO by ": True, "Designed by: ": True, "Powered by ": False, "Site by ": False, "Reviewed by ": None, "By design of ": None, "Built and hosted by ": True, "Marketing, it was once said in town, by ": None, "": None}
