@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from localpulse.functions import columns as C
 from localpulse.operators import benchmark, budget, discovery, grid, lenses, profiles, reviews, store
+from localpulse.operators.pairs import tiled_join
 from localpulse.plans.registry import query
 from localpulse.sources.keyed import KeyedTable
 from localpulse.sources.scratch import new_path
@@ -101,7 +102,7 @@ query("f3_filter_states", "SELECT place_id FROM businesses WHERE lower(state_cod
 query("c17_geo_bucket", "SELECT cell_id, CAST(FLOOR(lat / 0.5e0) AS BIGINT) AS y, CAST(FLOOR(lng / 0.5e0) AS BIGINT) AS x FROM cells", "cells")(lambda s: s.cells.select("cell_id", *(c.alias(n) for c, n in zip(C.geo_bucket(F.col("lat"), F.col("lng")), ("y", "x"), strict=True))))
 HAV = "2 * 6371000e0 * asin(least(1, sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2))))"
 query("c13_haversine", f"SELECT a.cell_id AS a, b.cell_id AS b, ROUND({HAV}, 3) AS metres FROM cells a JOIN cells b ON a.state_code = b.state_code AND a.cell_id < b.cell_id", "cells")(
-    lambda s: s.cells.alias("a").join(s.cells.alias("b"), (F.col("a.state_code") == F.col("b.state_code")) & (F.col("a.cell_id") < F.col("b.cell_id"))).select(F.col("a.cell_id").alias("a"), F.col("b.cell_id").alias("b"), F.round(C.haversine_m(F.col("a.lat"), F.col("a.lng"), F.col("b.lat"), F.col("b.lng")), 3).alias("metres"))
+    lambda s: tiled_join(s.cells.select("state_code", "cell_id", "lat", "lng"), s.cells.select("state_code", "cell_id", "lat", "lng"), ["state_code"], F.col("a.cell_id") < F.col("b.cell_id")).select(F.col("a.cell_id").alias("a"), F.col("b.cell_id").alias("b"), F.round(C.haversine_m(F.col("a.lat"), F.col("a.lng"), F.col("b.lat"), F.col("b.lng")), 3).alias("metres"))
 )
 query("c14_degrees", "SELECT cell_id, 14000 / 111320e0 AS dlat, 14000 / (111320e0 * greatest(0.1, cos(radians(lat)))) AS dlng FROM cells", "cells")(lambda s: s.cells.select("cell_id", *(c.alias(n) for c, n in zip(C.degrees_of(F.lit(14000.0), F.col("lat")), ("dlat", "dlng"), strict=True))))
 query(
