@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from localpulse import config as K
 from localpulse.functions import columns as C
+from localpulse.operators.ordering import dealt
 
 PIN = ["place_id", "row", "col", "keyword"]
 
@@ -30,7 +31,7 @@ def business_position(item_id: Column, partition: list[str], order: list[str]) -
 
 def extract_rank(items: DataFrame, keys: list[str], order: list[str], item_id: str = "item_id") -> DataFrame:
     """Rank of every business in every result list: its first row's absolute rank, else group rank, else position; 0 counts as missing."""
-    placed = items.withColumn("position", business_position(F.col(item_id), keys, order)).where(F.col(item_id).isNotNull())
+    placed = dealt(items, keys).withColumn("position", business_position(F.col(item_id), keys, order)).where(F.col(item_id).isNotNull())
     rank = F.coalesce(F.nullif("rank_absolute", F.lit(0)), F.nullif("rank_group", F.lit(0)), F.col("position").cast("int"))
     return placed.groupBy(*keys, item_id).agg(F.min_by(rank, "position").alias("rank"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from localpulse import config as K
 from localpulse.functions import columns as C
-from localpulse.operators import budget, discovery, grid, names, pages, profiles, reviews
+from localpulse.operators import budget, discovery, grid, names, ordering, pages, profiles, reviews
 from localpulse.operators.ordering import ranked
 from localpulse.plans.all import ORACLES, QUERIES
 from localpulse.sources import tables
@@ -150,6 +150,20 @@ def test_pruning_follows_long_chains_in_few_rounds(spark):
     assert discovery.prune_overlapping(cells.limit(0)).count() == 0
 
 
+def test_result_lists_are_ranked_by_tasks_of_a_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "ROWS", 100)
+    rows = [(f"k{i % 400}", i, None if i % 7 == 0 else f"b{i % 5}", 0, 0) for i in range(2000)]
+    items = spark.createDataFrame(rows, "keyword string, seq int, item_id string, rank_absolute int, rank_group int")
+    ranks = grid.extract_rank(items, ["keyword"], ["seq"]).withColumn("task", F.spark_partition_id()).collect()
+    want, placed = {}, {}
+    for keyword, _, item, _, _ in rows:
+        if item is not None:
+            placed[keyword] = placed.get(keyword, 0) + 1
+            want.setdefault((keyword, item), placed[keyword])
+    assert {(r.keyword, r.item_id): r["rank"] for r in ranks} == want
+    assert len({r.task for r in ranks}) > 10
+
+
 def test_pages_are_searched_once(spark):
     """Plans name a search of the page once for each kind, not once for every use of what it finds."""
     plan = lambda name: QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
