@@ -11,6 +11,7 @@ from localpulse.sources.scratch import materialize
 
 SIDE = 1_000  # rows of either side in a tile
 PER_TASK = 16_000_000  # pairs that one task compares, on average
+SENT = 1_000_000  # rows that one task sends to tiles, or gets for its own, on average
 
 
 def tiled_join(a: DataFrame, b: DataFrame, keys: list[str], condition: Column) -> DataFrame:
@@ -18,21 +19,27 @@ def tiled_join(a: DataFrame, b: DataFrame, keys: list[str], condition: Column) -
 
     Both sides of a group are cut by a hash of the row into pieces of about ``SIDE`` rows, each piece meets
     each of the other side, and tasks are as many as the pairs to compare ask for: a task's work does not
-    grow with a group. A row is sent once for each piece that it meets. Rows should differ: copies of a
-    whole row stay in one piece.
+    grow with a group. A row is sent once for each piece that it meets, so the rows sent grow with the pairs
+    too; they are dealt over as many tasks as that asks for before they are multiplied. Rows should differ:
+    copies of a whole row stay in one piece.
     """
     size = lambda df, name: df.groupBy(*keys).agg(F.count("*").alias(name))
     groups = materialize(size(a, "_na").join(size(b, "_nb"), keys), "tiles")
-    tasks = max(1, ceil((groups.agg(F.sum(F.col("_na").cast("double") * F.col("_nb"))).first()[0] or 0) / PER_TASK))
-    pieces = groups.select(*keys, F.ceil(F.col("_na") / SIDE).alias("_pa"), F.ceil(F.col("_nb") / SIDE).alias("_pb"))
+    counted = groups.withColumns({"_pa": F.ceil(F.col("_na") / SIDE), "_pb": F.ceil(F.col("_nb") / SIDE)})
+    total = lambda x, y: F.coalesce(F.sum(F.col(x).cast("double") * F.col(y)), F.lit(0.0))
+    compared, sent_a, sent_b = counted.agg(total("_na", "_nb"), total("_na", "_pb"), total("_nb", "_pa")).first()
+    tasks = max(1, ceil(compared / PER_TASK), ceil((sent_a + sent_b) / SENT))
+    pieces = counted.select(*keys, "_pa", "_pb")
     on = [*keys, "_i", "_j"]
 
-    def cut(df: DataFrame, own: str, n_own: str, other: str, n_other: str) -> DataFrame:
-        held = df.join(pieces, keys).withColumn(own, F.pmod(F.xxhash64(*df.columns), n_own)).withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n_other) - 1)))
-        held = held.drop("_pa", "_pb")
+    def cut(df: DataFrame, own: str, n_own: str, other: str, n_other: str, sent: float) -> DataFrame:
+        held = df.join(pieces, keys).withColumn(own, F.pmod(F.xxhash64(*df.columns), n_own))
+        if sent > SENT:
+            held = held.repartition(ceil(sent / SENT), *df.columns)
+        held = held.withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n_other) - 1))).drop("_pa", "_pb")
         return held.repartition(tasks, *on) if tasks > 1 else held
 
-    left, right = cut(a, "_i", "_pa", "_j", "_pb").alias("a"), cut(b, "_j", "_pb", "_i", "_pa").alias("b")
+    left, right = cut(a, "_i", "_pa", "_j", "_pb", sent_a).alias("a"), cut(b, "_j", "_pb", "_i", "_pa", sent_b).alias("b")
     same = F.lit(True)
     for c in on:
         same &= F.col(f"a.{c}") == F.col(f"b.{c}")

@@ -114,6 +114,23 @@ def test_pairs_of_a_crowd_span_many_tasks(spark, monkeypatch, tmp_path, crowd):
     assert sum(tasks) == n * (n - 1) // 2 and max(tasks) <= sum(tasks) / 4
 
 
+def test_rows_of_a_crowd_are_sent_by_many_tasks(spark, monkeypatch):
+    """Each of 600 rows meets 30 pieces: 36,000 rows are sent, from inputs of one task each."""
+    monkeypatch.setattr(pairs, "SIDE", 20)
+    monkeypatch.setattr(pairs, "PER_TASK", 40_000)
+    monkeypatch.setattr(pairs, "SENT", 1_000, raising=False)
+    side = spark.range(0, 600, 1, 1).select(F.lit(1).alias("k"), "id")
+    gateway, store = spark.sparkContext._gateway, spark.sparkContext._jsc.sc().statusStore()
+    each = lambda seq: [seq.apply(i) for i in range(seq.size())]
+    stages = lambda: {s.stageId() for s in each(store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList()))}
+    before = stages()
+    assert pairs.tiled_join(side, side, ["k"], F.col("a.id") < F.col("b.id")).count() == 600 * 599 // 2
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    metrics = [t.taskMetrics() for number in stages() - before for t in each(store.taskList(number, 0, 10_000))]
+    sent = [m.get().shuffleWriteMetrics().recordsWritten() for m in metrics if m.isDefined()]
+    assert sum(sent) >= 36_000 and max(sent) <= 3_000
+
+
 def test_guarded_prefix_never_overspends(spark):
     rng = random.Random(9)
     rows = [(i, rng.randrange(1, 9), rng.randrange(0, 15), rng.random() < 0.2) for i in range(200)]
