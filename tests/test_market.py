@@ -247,6 +247,30 @@ def test_page_facts_and_fingerprint(spark):
     assert r.b == "Wix" and r.t == ["CallRail", "Google Tag Manager"] and r.c.domain == "agency.com" and r.c.strong and r.e == ["info@a.com"]
 
 
+def test_page_signals_of_titles_cut_within_a_reference(spark, tmp_path):
+    """As the tables cut them, for every length of the page modulo 6 (which says where the title is repeated)."""
+    title = "A key = &quot;a&quot; &amp;amp; b&amp;&amp;"
+    made = [f'<!DOCTYPE html><html lang="en"><head><title>{title[:n]}</title></head><body><h1>{title[:n]}</h1><p><b>Word {"x" * pad}</p></body></html>' for n in range(1, len(title) + 1) for pad in range(6)]
+    spark.createDataFrame([(i, f"https://a.com/en/{i}", h) for i, h in enumerate(made)], "page_id bigint, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    df = QUERIES["h1_page_signals"](spark, str(tmp_path))
+    got = {r.page_id: tuple(r) for r in df.collect()}
+    cur = con.execute(ORACLES["h1_page_signals"])
+    held = [d[0] for d in cur.description]
+    assert got == {r[held.index("page_id")]: tuple(r[held.index(c)] for c in df.columns) for r in cur.fetchall()}
+    assert {'A key = "a&quot', 'A key = "a&quo'} <= {r[df.columns.index(c)] for r in got.values() for c in ("title", "og_title")}
+
+
+def test_page_signals_read_whole_references_only(spark):
+    html = """<title>A &#39;b&#x27; &lt;c&gt; &copy; D&eacute;</title><meta name="description" content="&quot; &quot &#39 &quotation; &notit; R&notes &amp &amp;lt; &ampquot;">
+    <link rel="canonical" href="https://a.com/?a=1&copy=2&amp;b=3&quot"><img alt="&quot"><script>if (a && b) t = "&lt";</script><p>a && b &nbsp"""
+    f = pages.page_signals(spark.createDataFrame([(1, html)], "page_id bigint, html string")).first()
+    assert (f.title, f.title_length) == ("A 'b' <c> © Dé", 14)
+    assert f.meta_description == '" &quot &#39 &quotation; &notit; R&notes & &lt; &quot;'
+    assert (f.canonical, f.images_missing_alt, f.word_count) == ("https://a.com/?a=1&copy=2&b=3&quot", 0, 9)
+
+
 def test_robots_groups(spark):
     text = "User-agent: GPTBot\nDisallow: /\nUser-agent: CCBot\nAllow: /\nUser-agent: *\nContent-Signal: search=yes, ai-train=no\n"
     df = spark.createDataFrame([("a", text), ("b", ""), ("c", None)], "host string, robots string")
